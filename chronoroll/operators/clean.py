@@ -148,9 +148,10 @@ def split_bad(df: DataFrame, raw_time: str = RAW_TIME,
     side from it, or checkpoint the input first when the source is costly
     to read twice.
     """
-    marked = df.withColumn(BAD_REASON, bad_reason(raw_time, parsed))
-    good = marked.filter(F.col(BAD_REASON).isNull()).drop(BAD_REASON)
-    bad = marked.filter(F.col(BAD_REASON).isNotNull())
+    # a row is bad exactly when its parsed time is null; the reason is only
+    # worked out on the (small) bad side
+    good = df.filter(F.col(parsed).isNotNull())
+    bad = df.filter(F.col(parsed).isNull()).withColumn(BAD_REASON, bad_reason(raw_time, parsed))
     return good, bad
 
 

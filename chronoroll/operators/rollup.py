@@ -125,17 +125,28 @@ def bucket(df: DataFrame, granularity: str, time_col: str = TIME_COLUMN) -> Data
     return df.withColumn(TIME_COLUMN, floor_time(time_col, granularity))
 
 
-def rollup(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN) -> DataFrame:
+def rollup(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN,
+           intervals=None) -> DataFrame:
     """Group by (bucket, all dimensions) and store metric states (A1–A5).
 
-    Null dimension values form their own group, as in the reference.
+    Rows whose time is null, or outside ``intervals`` when given, are left
+    out. That test is made inside the aggregation (such rows fall in a null
+    bucket that is dropped afterwards) rather than by a filter before it:
+    Catalyst would push such a filter below the projection that parses the
+    time text and so parse every row twice. Null dimension values form
+    their own group, as in the reference.
     """
-    keys = [floor_time(time_col, spec.query_granularity).alias(TIME_COLUMN)]
+    t = F.col(time_col)
+    keep = t.isNotNull()
+    if intervals:
+        from .clean import interval_predicate
+        keep = keep & interval_predicate(t, intervals)
+    keys = [F.when(keep, floor_time(t, spec.query_granularity)).alias(TIME_COLUMN)]
     keys += [F.col(f"`{d}`") for d in spec.dim_names]
     aggs = [a for m in spec.metrics for a in state_aggs(m)]
-    if not aggs:
-        return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(*aggs)
+    kept = F.count_if(keep).alias("_kept")
+    out = df.groupBy(*keys).agg(*aggs, kept)
+    return out.filter(F.col("_kept") > 0).drop("_kept")
 
 
 def detail(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN,

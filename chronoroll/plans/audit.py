@@ -62,11 +62,17 @@ def load_audit(rows_in: DataFrame, loaded: DataFrame, bad: DataFrame | None,
                partition_col: str = "region", count_col: str | None = "count") -> DataFrame:
     """Per region: rows read, loaded, set aside, and SUCCESS / FAILED / EMPTY.
 
-    ``loaded`` may be a rolled-up table: rows loaded is then the sum of its
-    ``count`` metric. Status is SUCCESS when every row read is either loaded
-    or set aside.
+    ``rows_in`` is either the raw frame (rows are counted) or the per-region
+    ``counts`` an ingest kept (column ``rows_in``; its ``rows_outside`` are
+    rows outside the intervals and count as accounted for). ``loaded`` is
+    the written table read back: rows loaded is the sum of its ``count``
+    metric for a rolled-up table. Status is SUCCESS when every row read is
+    found loaded or set aside.
     """
-    a = rows_in.groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows_in"))
+    if "rows_in" in rows_in.columns:     # counts kept by the load itself
+        a = rows_in.select(partition_col, "rows_in")
+    else:
+        a = rows_in.groupBy(partition_col).agg(F.count(F.lit(1)).alias("rows_in"))
     if count_col and count_col in loaded.columns:
         b = loaded.groupBy(partition_col).agg(F.sum(count_col).cast("long").alias("rows_loaded"))
     else:
@@ -78,9 +84,15 @@ def load_audit(rows_in: DataFrame, loaded: DataFrame, bad: DataFrame | None,
     else:
         out = out.withColumn("rows_bad", F.lit(0))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    out = out.select(partition_col, z("rows_in"), z("rows_loaded"), z("rows_bad"))
+    if "rows_outside" in rows_in.columns:
+        out = out.join(rows_in.select(partition_col, "rows_outside"), partition_col, "left")
+    else:
+        out = out.withColumn("rows_outside", F.lit(0))
+    out = out.select(partition_col, z("rows_in"), z("rows_loaded"), z("rows_bad"),
+                     z("rows_outside"))
+    accounted = F.col("rows_loaded") + F.col("rows_bad") + F.col("rows_outside")
     status = (F.when(F.col("rows_in") == 0, F.lit("EMPTY"))
-               .when(F.col("rows_in") == F.col("rows_loaded") + F.col("rows_bad"), F.lit("SUCCESS"))
+               .when(F.col("rows_in") == accounted, F.lit("SUCCESS"))
                .otherwise(F.lit("FAILED")))
     return out.withColumn("status", status).orderBy(partition_col)
 

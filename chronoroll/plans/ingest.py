@@ -15,18 +15,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import (RAW_TIME, coerce_dims, exclude, filter_intervals, project,
-                               split_bad, with_event_time)
-from ..operators.rollup import roll
+from ..functions.time import floor_time
+from ..operators.clean import (BAD_REASON, RAW_TIME, bad_reason, coerce_dims, exclude,
+                               filter_intervals, interval_predicate, project, split_bad,
+                               with_event_time)
+from ..operators.rollup import roll, rollup, state_aggs
+from ..session import shared_dir
 from ..sinks.files import CHUNK, append_table, replace_partitions, with_chunk, write_table
 from ..spec import TIME_COLUMN, Dim, TableSpec
 
 
 @dataclass(frozen=True)
 class IngestResult:
+    """Where a load went, plus per-region row accounting when it was kept.
+
+    ``counts`` (rollup loads) has one row per region: ``rows_in``,
+    ``rows_loaded``, ``rows_bad`` and ``rows_outside`` (outside the
+    intervals), taken from the load itself, not from a second read.
+    """
     table: str
     quarantine: str | None
     partition_cols: tuple[str, ...]
+    counts: DataFrame | None = None
 
 
 def _spec_with_partition(spec: TableSpec) -> TableSpec:
@@ -37,51 +47,130 @@ def _spec_with_partition(spec: TableSpec) -> TableSpec:
     return spec
 
 
-def clean(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(typed rows with ``__time`` inside the intervals, bad rows), lazily."""
+def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Projected, typed rows with a nullable ``__time`` and the raw time text."""
     spec = _spec_with_partition(spec)
     keep = [spec.partition_col] if spec.partition_col else []
-    typed = coerce_dims(project(df, spec, keep=keep), spec)
-    timed = with_event_time(typed, spec)
-    good, bad = split_bad(timed)
-    good = filter_intervals(good, spec.intervals)
-    drop = [c for c in (spec.time_column, RAW_TIME, *spec.exclude) if c != TIME_COLUMN]
-    return exclude(good, drop), bad
+    return with_event_time(coerce_dims(project(df, spec, keep=keep), spec), spec)
+
+
+def _consumed(spec: TableSpec) -> list[str]:
+    return [c for c in (spec.time_column, RAW_TIME, *spec.exclude) if c != TIME_COLUMN]
+
+
+def _timed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(typed rows with a nullable ``__time``, bad rows)."""
+    timed = _typed(df, spec)
+    _, bad = split_bad(timed)
+    return exclude(timed, _consumed(spec)), bad
+
+
+def clean(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(typed rows with ``__time`` inside the intervals, bad rows), lazily."""
+    timed, bad = _timed(df, spec)
+    good = filter_intervals(timed.filter(F.col(TIME_COLUMN).isNotNull()), spec.intervals)
+    return good, bad
 
 
 def prepare(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(table rows with ``chunk``, bad rows) for a raw frame, lazily."""
-    good, bad = clean(df, spec)
-    rows = roll(good, _spec_with_partition(spec))
+    """(table rows with ``chunk``, bad rows) for a raw frame, lazily.
+
+    A rollup takes the rows with their nullable time straight into the
+    aggregation (see ``rollup``), so each time text is parsed once.
+    """
+    full = _spec_with_partition(spec)
+    if spec.rollup:
+        timed, bad = _timed(df, spec)
+        rows = rollup(timed, full, intervals=spec.intervals)
+    else:
+        good, bad = clean(df, spec)
+        rows = roll(good, full)
     return with_chunk(rows, TIME_COLUMN, spec.segment_granularity), bad
 
 
+REJECT, KEPT, N = "_reject", "_kept", "_n"
+
+
+def rollup_with_rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """One aggregation that yields the rolled-up rows *and* the bad rows.
+
+    Good rows are grouped by (bucket, dimensions) as usual. A bad row gets
+    its whole content (plus the reason) as an extra grouping key, so it
+    comes out of the same aggregation as its own group with its multiplicity
+    in ``_n``. Rows outside the intervals land in a null bucket. One scan of
+    the input therefore feeds the table, the quarantine and the audit.
+    """
+    full = _spec_with_partition(spec)
+    typed = _typed(df, spec)
+    t = F.col(TIME_COLUMN)
+    raw_cols = [c for c in typed.columns if c != TIME_COLUMN]
+    reject = F.when(t.isNull(), F.struct(*[F.col(f"`{c}`") for c in raw_cols],
+                                         bad_reason().alias(BAD_REASON)))
+    keep = t.isNotNull()
+    if spec.intervals:
+        keep = keep & interval_predicate(t, spec.intervals)
+    keys = [F.when(keep, floor_time(t, spec.query_granularity)).alias(TIME_COLUMN)]
+    keys += [F.col(f"`{d}`") for d in full.dim_names] + [reject.alias(REJECT)]
+    aggs = [a for m in full.metrics for a in state_aggs(m)]
+    return typed.groupBy(*keys).agg(*aggs, F.count_if(keep).alias(KEPT),
+                                    F.count(F.lit(1)).alias(N))
+
+
+def split_rollup(agg: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(table rows with ``chunk``, bad rows, per-region counts) from ``rollup_with_rejects``."""
+    rows = agg.filter(F.col(KEPT) > 0).drop(REJECT, KEPT, N)
+    rows = with_chunk(rows, TIME_COLUMN, spec.segment_granularity)
+    bad = (agg.filter(F.col(REJECT).isNotNull())
+              .select(F.explode(F.array_repeat(REJECT, F.col(N).cast("int"))).alias("_r"))
+              .select("_r.*"))
+    region = [spec.partition_col] if spec.partition_col else []
+    n = F.col(N)
+    counts = agg.groupBy(*region).agg(
+        F.sum(n).alias("rows_in"),
+        F.sum(F.when(F.col(KEPT) > 0, n).otherwise(0)).alias("rows_loaded"),
+        F.sum(F.when(F.col(REJECT).isNotNull(), n).otherwise(0)).alias("rows_bad"))
+    counts = counts.withColumn(
+        "rows_outside", F.col("rows_in") - F.col("rows_loaded") - F.col("rows_bad"))
+    return rows, bad, counts
+
+
 def partition_cols(spec: TableSpec) -> list[str]:
     return ([spec.partition_col] if spec.partition_col else []) + [CHUNK]
 
 
 def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_path: str,
                quarantine_path: str | None = None, mode: str = "replace",
-               files_per_partition: int = 4) -> IngestResult:
+               files_per_partition: int = 4, keep_counts: bool = False) -> IngestResult:
     """Load ``source`` into the table at ``table_path`` as ``spec`` says.
 
     ``mode="replace"`` replaces the (region, chunk) partitions present in
     this load (others stay); ``"append"`` adds rows. Bad rows go to
     ``quarantine_path`` (partitioned by region) when it is given.
+
+    A rollup load with a quarantine or ``keep_counts`` reads its input once:
+    the aggregation of ``rollup_with_rejects`` (small: one row per group and
+    one per bad row) is checkpointed to the cluster's checkpoint folder and
+    the table, the quarantine and the counts are all cut from it. A detail
+    load (no rollup) writes the table from the input and, if asked, the bad
+    rows from a second, filtered pass.
     """
-    rows, bad = prepare(source, spec)
     parts = partition_cols(spec)
     kw = dict(files_per_partition=files_per_partition, max_rows_per_file=spec.max_rows_per_file)
-    if mode == "append":
-        append_table(rows, table_path, parts, **kw)
-    elif mode == "replace":
-        replace_partitions(rows, table_path, parts, **kw)
-    else:
+    if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
+    write = append_table if mode == "append" else replace_partitions
+    counts = None
+    if spec.rollup and (quarantine_path or keep_counts):
+        shared_dir(spark)
+        agg = rollup_with_rejects(source, spec).checkpoint(eager=True)
+        rows, bad, counts = split_rollup(agg, spec)
+    else:
+        rows, bad = prepare(source, spec)
+    write(rows, table_path, parts, **kw)
     if quarantine_path:
         qparts = [spec.partition_col] if spec.partition_col else None
         write_table(bad, quarantine_path, qparts, mode="overwrite", files_per_partition=1)
-    return IngestResult(table_path, quarantine_path, tuple(parts))
+    return IngestResult(table_path, quarantine_path, tuple(parts), counts)
 
 
 def read_table(spark: SparkSession, path: str, string_partitions: list[str] | None = None) -> DataFrame:

@@ -416,9 +416,10 @@ def q_inventory(spark, sf):
 def q_load_audit(spark, sf):
     raw = _raw_csv(spark, sf)
     out, bad = scratch_path(spark, "audit-table"), scratch_path(spark, "audit-bad")
-    run_ingest(spark, EVENTS_HOURLY, raw, out, quarantine_path=bad)
+    res = run_ingest(spark, EVENTS_HOURLY, raw, out, quarantine_path=bad)
     loaded = read_ingested(spark, EVENTS_HOURLY, out)
-    return load_audit(raw, loaded, read_table(spark, bad, ["event_type"]), "event_type")
+    audit = load_audit(res.counts, loaded, read_table(spark, bad, ["event_type"]), "event_type")
+    return audit.drop("rows_outside")
 
 
 def q_spec_job_rollup(spark, sf):

@@ -37,6 +37,7 @@ def build_session(app: str = "chronoroll", master: str | None = None,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -112,3 +112,8 @@ def test_region_from_path(spark):
 
 def test_run_id_has_seconds():
     assert run_id(dt.datetime(2024, 2, 1, 13, 5, 9)) == "20240201130509"
+
+
+def test_region_from_path_keeps_plus_and_plain_names(spark):
+    assert one(spark, region_from_path(F.col("s")), "file:/d/raw/a+b/x.csv") == "a+b"
+    assert one(spark, region_from_path(F.col("s")), "file:/d/raw/boston/x.csv") == "boston"
