@@ -140,7 +140,7 @@ def partition_cols(spec: TableSpec) -> list[str]:
 
 def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_path: str,
                quarantine_path: str | None = None, mode: str = "replace",
-               files_per_partition: int = 4, keep_counts: bool = False) -> IngestResult:
+               files_per_partition: int | None = None, keep_counts: bool = False) -> IngestResult:
     """Load ``source`` into the table at ``table_path`` as ``spec`` says.
 
     ``mode="replace"`` replaces the (region, chunk) partitions present in

@@ -1,12 +1,14 @@
 """File sinks: snapshots, the ``latest`` copy, appends, partition replacement.
 
-Layout rule for every partitioned write: rows are hash-partitioned on the
-partition columns plus a content-hash salt before the write, so each output
-partition (a region, a time chunk) is written by at most ``files_per_partition``
-tasks. A region holding a third of all rows is therefore split over several
-tasks instead of landing on one, and no partition folder collects one file per
-upstream task. The salt is a hash of the row itself, so a retried task routes
-every row exactly as the first attempt did.
+Layout rule for every partitioned write: before writing, rows are clustered
+on the partition columns with Spark's ``REBALANCE`` hint. Adaptive query
+execution then sizes the writer tasks from the real shuffle sizes: small
+partition values are packed into one task, and a value holding a third of
+all rows is split over as many tasks as its bytes need (advisory partition
+size), so no writer task grows with the data and no partition folder
+collects one file per upstream task. Fixed salting (``files_per_partition``
+> 1) and one file per value (``= 1``, the reference's per-region output)
+are available when a caller needs a fixed file count.
 """
 
 from __future__ import annotations
@@ -28,16 +30,21 @@ def with_chunk(df: DataFrame, time_col: str, granularity: str, name: str = CHUNK
     return df.withColumn(name, chunk_label(time_col, granularity))
 
 
-def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int | None = 4,
+def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int | None = None,
            num_partitions: int | None = None) -> DataFrame:
-    """Shuffle so each partition value is written by ≤ ``files_per_partition`` tasks.
-
-    ``files_per_partition=1`` gives one file per partition value (the
-    reference's one-file-per-region output, K8) — use it only when no single
-    value is large. ``None`` keeps the upstream partitioning (no shuffle).
+    """Cluster rows on the partition columns before a partitioned write.
+
+    ``None`` (default): ``REBALANCE`` — AQE merges small and splits large
+    partition values by size. ``1``: one writer task, hence one file, per
+    partition value (K8; only for values known to be small). ``n > 1``:
+    each value spread over ``n`` tasks by a hash of the row (a retried task
+    routes every row as the first attempt did). ``0``: keep the upstream
+    partitioning, no shuffle.
     """
-    if files_per_partition is None or not partition_cols:
+    if not partition_cols or files_per_partition == 0:
         return df
+    if files_per_partition is None:
+        return df.hint("rebalance", *partition_cols)
     keys = [F.col(c) for c in partition_cols]
     if files_per_partition > 1:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
@@ -65,7 +72,7 @@ def _writer(df: DataFrame, mode: str, partition_cols: list[str] | None,
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None,
                 mode: str = "overwrite", fmt: str = "parquet", header: bool = True,
-                files_per_partition: int | None = 4, max_rows_per_file: int | None = None,
+                files_per_partition: int | None = None, max_rows_per_file: int | None = None,
                 dynamic: bool = True, sort_within: list[str] | None = None) -> str:
     """Write ``df`` as a partitioned table; returns ``path``.
 

@@ -71,7 +71,7 @@ def _trigger(writer, trigger: str | None):
 
 def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint: str,
                   quarantine_path: str | None = None, trigger: str | None = "availableNow",
-                  files_per_partition: int = 2):
+                  files_per_partition: int | None = None):
     """Start the partial-rollup stream (ST1–ST3); returns the StreamingQuery.
 
     ``trigger``: ``availableNow`` (process what is there, then stop),

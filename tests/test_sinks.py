@@ -88,3 +88,19 @@ def test_chunk_layout_prunes_partitions(spark, sf_small, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(chunk" in plan
     assert df.count() > 0
+
+
+def test_rebalance_splits_a_hot_region_by_size(spark, sf_small, tmp_dir):
+    ev = table(spark, sf_small, "events")
+    # AQE splits a large partition by ranges of map outputs: give it several
+    # map tasks (a union of eight scans), as any multi-file input has
+    from functools import reduce
+    hot = reduce(lambda a, b: a.union(b), [ev] * 8).withColumn("event_type", F.lit("hot"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_table(hot, f"{tmp_dir}/h", ["event_type"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = glob.glob(f"{tmp_dir}/h/event_type=hot/*.parquet")
+    assert len(files) > 1
+    assert spark.read.parquet(f"{tmp_dir}/h").count() == 8 * ev.count()
