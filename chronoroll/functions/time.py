@@ -177,3 +177,13 @@ def utc_epoch_millis(c: Column | str) -> Column:
     """Epoch milliseconds of a ``timestamp_ntz`` read as a UTC wall clock."""
     local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(c))
     return F.unix_millis(local.cast("timestamp"))
+
+
+def ntz_to_instant(c: Column | str) -> Column:
+    """The instant (``timestamp``) a UTC wall clock (``timestamp_ntz``) denotes."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(c)).cast("timestamp")
+
+
+def instant_to_ntz(c: Column | str) -> Column:
+    """The UTC wall clock (``timestamp_ntz``) of an instant (``timestamp``)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(c).cast(NTZ))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..functions.values import parse_json
 from ..operators.clean import BAD_REASON
 from ..operators.rollup import finish, reaggregate, rollup, state_aggs
@@ -32,6 +33,7 @@ from ..sinks.files import CHUNK, with_chunk, write_table
 from ..spec import TIME_COLUMN, TableSpec
 
 BATCH = "batch_id"
+EVENT_TS = "_event_ts"
 
 
 def read_json_stream(spark: SparkSession, source: str, schema: str | T.StructType,
@@ -112,14 +114,18 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     """
     spec = _spec_with_partition(spec)
     metric_inputs, _ = clean(stream, spec)
+    # event-time windows and watermarks work on instants: the UTC wall clock
+    # is turned into its instant, so windows start at UTC day boundaries
+    # whatever the session zone
+    metric_inputs = metric_inputs.withColumn(EVENT_TS, ntz_to_instant(TIME_COLUMN))
     if watermark:
-        metric_inputs = metric_inputs.withWatermark(TIME_COLUMN, watermark)
+        metric_inputs = metric_inputs.withWatermark(EVENT_TS, watermark)
     aggs = [a for m in spec.metrics for a in state_aggs(m)]
-    agg = (metric_inputs.groupBy(F.window(TIME_COLUMN, window).alias("_w"), *spec.dim_names)
+    agg = (metric_inputs.groupBy(F.window(EVENT_TS, window).alias("_w"), *spec.dim_names)
            .agg(*aggs))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = (batch.withColumn(TIME_COLUMN, F.col("_w.start").cast("timestamp_ntz")).drop("_w")
+        out = (batch.withColumn(TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
                .withColumn(BATCH, F.lit(batch_id).cast("long")))
         write_table(out, out_path, [BATCH], mode="overwrite", files_per_partition=1)
 

@@ -117,3 +117,19 @@ def test_run_id_has_seconds():
 def test_region_from_path_keeps_plus_and_plain_names(spark):
     assert one(spark, region_from_path(F.col("s")), "file:/d/raw/a+b/x.csv") == "a+b"
     assert one(spark, region_from_path(F.col("s")), "file:/d/raw/boston/x.csv") == "boston"
+
+
+def test_instant_round_trip_in_any_zone(spark):
+    from chronoroll.functions.time import instant_to_ntz, ntz_to_instant
+    v = dt.datetime(2024, 1, 5, 23, 30)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = spark.createDataFrame([(v,)], "t timestamp_ntz")
+        r = df.select(F.unix_seconds(ntz_to_instant("t")).alias("s"),
+                      instant_to_ntz(ntz_to_instant("t")).alias("back"),
+                      instant_to_ntz(F.window(ntz_to_instant("t"), "1 day").start).alias("day")
+                      ).collect()[0]
+        assert r["s"] == int(v.replace(tzinfo=dt.timezone.utc).timestamp())
+        assert r["back"] == v and r["day"] == dt.datetime(2024, 1, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

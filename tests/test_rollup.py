@@ -115,3 +115,38 @@ def test_fixed_point_sum_is_order_independent(spark):
                      query_granularity="day", rollup=True)
     good, _ = clean(df.repartition(7), spec)
     assert finish(rollup(good, spec), spec).collect()[0]["s"] == 1.01
+
+
+def test_interval_start_included_end_excluded(spark):
+    import datetime as dt
+    from chronoroll.operators import filter_intervals
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1),), (dt.datetime(2020, 1, 1, 0, 0, 1),),
+                                (dt.datetime(2025, 12, 31),), (dt.datetime(2019, 12, 31, 23, 59),)],
+                               "__time timestamp_ntz")
+    out = [r[0] for r in filter_intervals(df, ["2020-01-01/2025-12-31"]).orderBy("__time").collect()]
+    assert out == [dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1, 0, 0, 1)]
+
+
+def test_rollup_intervals_inside_aggregation(spark):
+    df = spark.createDataFrame([("2020-01-01 00:00:00", "a"), ("2025-12-31 00:00:00", "a"),
+                                (None, "a"), ("2021-06-01 10:00:00", "b")], "ts string, d string")
+    spec = TableSpec(name="t", time_column="ts", dimensions=(Dim("d"),),
+                     metrics=(Metric("count", "count"),), query_granularity="day", rollup=True,
+                     intervals=("2020-01-01/2025-12-31",))
+    from chronoroll.plans.ingest import prepare
+    rows, bad = prepare(df, spec)
+    got = sorted((str(r["__time"]), r["d"], r["count"]) for r in rows.collect())
+    assert got == [("2020-01-01 00:00:00", "a", 1), ("2021-06-01 00:00:00", "b", 1)]
+    assert bad.count() == 1
+
+
+def test_run_ingest_counts_and_quarantine_from_one_pass(spark, sf_small, tmp_dir):
+    from chronoroll.plans.ingest import run_ingest, read_ingested
+    spec = SPEC.with_(partition_col="event_type", dimensions=(Dim("event_type"),),
+                      metrics=(Metric("count", "count"),))
+    raw = _raw(spark, sf_small)
+    res = run_ingest(spark, spec, raw, f"{tmp_dir}/t", quarantine_path=f"{tmp_dir}/q")
+    c = res.counts.agg(F.sum("rows_in"), F.sum("rows_loaded"), F.sum("rows_bad")).collect()[0]
+    assert c[0] == raw.count()
+    assert c[1] == read_ingested(spark, spec, f"{tmp_dir}/t").agg(F.sum("count")).collect()[0][0]
+    assert c[2] == spark.read.parquet(f"{tmp_dir}/q").count() and c[0] == c[1] + c[2]

@@ -58,3 +58,23 @@ def test_window_stream_equals_batch(spark, sf_small, tmp_dir):
     got = sorted(tuple(r) for r in read_stream_window(spark, STREAM_DAILY, f"{tmp_dir}/w")
                  .select(COLS).collect())
     assert got == _batch_answer(spark, sf_small)
+
+
+def test_watermark_drops_rows_behind_it(spark, tmp_dir):
+    topic = f"{tmp_dir}/wm"
+    first = spark.createDataFrame(
+        [("1", "01/05/2024 10:00:00 AM", "1", "click", "1.00", "{}"),
+         ("2", "01/09/2024 10:00:00 AM", "1", "click", "1.00", "{}")], MESSAGE_DDL)
+    publish_json(first, f"{topic}/a")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL)
+    stream_window(src, STREAM_DAILY, f"{tmp_dir}/w", f"{tmp_dir}/c",
+                  watermark="1 day").awaitTermination()
+    late = spark.createDataFrame(
+        [("3", "01/05/2024 11:00:00 AM", "1", "click", "1.00", "{}")], MESSAGE_DDL)
+    publish_json(late, f"{topic}/b")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL)
+    stream_window(src, STREAM_DAILY, f"{tmp_dir}/w", f"{tmp_dir}/c",
+                  watermark="1 day").awaitTermination()
+    got = {str(r["__time"])[:10]: r["count"] for r in
+           read_stream_window(spark, STREAM_DAILY, f"{tmp_dir}/w").collect()}
+    assert got == {"2024-01-05": 1, "2024-01-09": 1}
