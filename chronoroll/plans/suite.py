@@ -32,8 +32,9 @@ from ..sinks.files import (TEXT_TIME_OPTIONS, publish_json, replace_partitions,
 from ..sources.files import (from_csv_lines, read_csv, read_csv_positional, read_parquet,
                              read_partitioned_csv)
 from ..spec import Dim, Metric, TableSpec
-from ..streaming.stream import (read_json_stream, read_stream_rollup, read_stream_window,
-                                stream_rollup, stream_window)
+from ..streaming.stream import (compact_stream_rollup, purge_compacted, read_json_stream,
+                                read_stream_rollup, read_stream_window, stream_rollup,
+                                stream_window)
 from .audit import inventory, load_audit, make_folder
 from .catalog import ctas, register
 from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, MISSING_TIME_MOD,
@@ -431,7 +432,18 @@ def q_stream_rollup_day(spark, sf):
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     q = stream_rollup(_stream_source(spark, sf), STREAM_DAILY, out, ckpt)
     q.awaitTermination()
-    return read_stream_rollup(spark, STREAM_DAILY, out)
+    return read_stream_rollup(spark, STREAM_DAILY, out).drop("chunk")
+
+
+def q_stream_compaction(spark, sf):
+    """Stream, fold the first half of the micro-batches into the compacted
+    base, purge their folders, and read base + newer partials."""
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    base = scratch_path(spark, "stream-base")
+    stream_rollup(_stream_source(spark, sf), STREAM_DAILY, out, ckpt).awaitTermination()
+    compact_stream_rollup(spark, STREAM_DAILY, out, base, upto_batch=1)
+    purge_compacted(spark, out, base)
+    return read_stream_rollup(spark, STREAM_DAILY, out, compacted_path=base).drop("chunk")
 
 
 def q_stream_window_day(spark, sf):
@@ -499,7 +511,7 @@ def q_spec_job_stream(spark, sf):
     out, ckpt = scratch_path(spark, "spec-stream-out"), scratch_path(spark, "spec-stream-ckpt")
     q, spec = run_stream_spec(spark, EVENTS_STREAM_SPEC_JSON, out, ckpt, source_override=topic)
     q.awaitTermination()
-    return read_stream_rollup(spark, spec, out)
+    return read_stream_rollup(spark, spec, out).drop("chunk")
 
 
 def q_ctas_report(spark, sf):
@@ -546,6 +558,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_by_name": q_union_by_name,
     "stream_rollup_day": q_stream_rollup_day,
     "stream_window_day": q_stream_window_day,
+    "stream_compaction": q_stream_compaction,
     "json_publish": q_json_publish,
     "lookup_region": q_lookup_region,
     "inventory": q_inventory,
@@ -700,6 +713,7 @@ ORACLE_SQL["spec_job_csv_detail"] = f"""SELECT {_bucket('hour', 'ts')} AS __time
   CAST(1 AS BIGINT) AS "count", {_chunk('day', 'ts')} AS chunk
 FROM {_CLEAN} c WHERE ts IS NOT NULL"""
 ORACLE_SQL["spec_job_stream"] = _STREAM_DAILY_SQL
+ORACLE_SQL["stream_compaction"] = _STREAM_DAILY_SQL
 
 # queries whose answer is approximate by design: no exact SQL oracle
 APPROXIMATE = ("approx_distinct_hll", "quantile_sketch", "value_histogram")

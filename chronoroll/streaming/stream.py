@@ -20,6 +20,7 @@ group.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,9 +28,11 @@ from pyspark.sql import types as T
 from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..functions.values import parse_json
 from ..operators.clean import BAD_REASON
-from ..operators.rollup import finish, reaggregate, rollup, state_aggs
-from ..plans.ingest import _spec_with_partition, clean, prepare, read_table
-from ..sinks.files import CHUNK, with_chunk, write_table
+from ..operators.rollup import finish, reaggregate, state_aggs
+from ..plans.ingest import (_spec_with_partition, clean, prepare, read_table,
+                            rollup_with_rejects, split_rollup)
+from ..session import shared_dir
+from ..sinks.files import CHUNK, replace_partitions, write_table
 from ..spec import TIME_COLUMN, TableSpec
 
 BATCH = "batch_id"
@@ -80,30 +83,121 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     ``once``, or a processing-time interval such as ``"10 minutes"``.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows, bad = prepare(batch, spec)
-        if quarantine_path:
-            batch.persist()
+        agg = None
+        if quarantine_path and spec.rollup:
+            # one pass over the micro-batch feeds both outputs (see rollup_with_rejects)
+            agg = rollup_with_rejects(batch, spec).persist()
+            rows, bad, _ = split_rollup(agg, spec)
+        else:
+            rows, bad = prepare(batch, spec)
         write_table(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), out_path,
                     [CHUNK, BATCH], mode="overwrite", files_per_partition=files_per_partition,
                     max_rows_per_file=spec.max_rows_per_file)
         if quarantine_path:
             write_table(bad.withColumn(BATCH, F.lit(batch_id).cast("long")), quarantine_path,
                         [BATCH], mode="overwrite", files_per_partition=1)
-            batch.unpersist()
+        if agg is not None:
+            agg.unpersist()
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+UPTO = "upto_batch"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _partials(spark: SparkSession, out_path: str, compacted_path: str | None) -> DataFrame:
+    """Partial states still to merge: compacted base + newer micro-batches."""
+    try:
+        parts = read_table(spark, out_path, [CHUNK])
+    except AnalysisException as e:
+        # every partial folded into the base and purged: no file left to read
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e) or not compacted_path:
+            raise
+        parts = None
+    if not compacted_path or not _exists(spark, compacted_path):
+        return parts.drop(BATCH)
+    base = read_table(spark, compacted_path, [CHUNK])
+    if parts is None:
+        return base.drop(UPTO)
+    covered = base.select(CHUNK, UPTO).distinct()     # one row per compacted chunk
+    newer = (parts.join(covered, CHUNK, "left")
+                  .filter(F.col(UPTO).isNull() | (F.col(BATCH) > F.col(UPTO)))
+                  .drop(UPTO, BATCH))
+    return newer.unionByName(base.drop(UPTO))
+
+
 def read_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
-                       finished: bool = True) -> DataFrame:
-    """Merge the partials of ``stream_rollup`` into the rolled-up table."""
+                       finished: bool = True, compacted_path: str | None = None) -> DataFrame:
+    """Merge the partials of ``stream_rollup`` (and a compacted base) into the table."""
     spec = _spec_with_partition(spec)
-    parts = read_table(spark, out_path, [CHUNK])
-    merged = reaggregate(parts, spec)
+    merged = reaggregate(_partials(spark, out_path, compacted_path), spec, keep=[CHUNK])
     return finish(merged, spec) if finished else merged
 
 
+def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
+                          compacted_path: str, upto_batch: int | None = None) -> int:
+    """Fold all partials up to ``upto_batch`` into the compacted base table.
+
+    The merged states of each chunk replace that chunk of the base, tagged
+    with the last batch they cover; readers then skip partials up to it. A
+    running stream is never blocked: it keeps adding newer batches, and the
+    replaced base partitions are swapped in at commit. Returns the batch the
+    base now covers. Old partial folders may be deleted afterwards with
+    ``purge_compacted`` (readers ignore them either way).
+    """
+    spec = _spec_with_partition(spec)
+    try:
+        parts = read_table(spark, out_path, [CHUNK])
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return -1                      # nothing left to fold in
+    if upto_batch is None:
+        upto_batch = parts.agg(F.max(BATCH)).collect()[0][0]
+    if upto_batch is None:
+        return -1
+    fresh = parts.filter(F.col(BATCH) <= upto_batch).drop(BATCH)
+    if _exists(spark, compacted_path):
+        base = read_table(spark, compacted_path, [CHUNK])
+        touched = fresh.select(CHUNK).distinct()
+        fresh = fresh.unionByName(base.join(touched, CHUNK, "left_semi").drop(UPTO))
+    merged = reaggregate(fresh, spec, keep=[CHUNK]).withColumn(UPTO, F.lit(upto_batch).cast("long"))
+    # the base is read and replaced in one job: cut the lineage first
+    shared_dir(spark)
+    merged = merged.checkpoint(eager=True)
+    replace_partitions(merged, compacted_path, [CHUNK])
+    return int(upto_batch)
+
+
+def purge_compacted(spark: SparkSession, out_path: str, compacted_path: str) -> int:
+    """Delete partial folders already covered by the compacted base; returns the count."""
+    if not _exists(spark, compacted_path):
+        return 0
+    covered = {r[CHUNK]: r[UPTO] for r in
+               read_table(spark, compacted_path, [CHUNK]).select(CHUNK, UPTO).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for chunk, upto in covered.items():
+        folder = jvm.org.apache.hadoop.fs.Path(f"{out_path.rstrip('/')}/{CHUNK}={chunk}")
+        fs = folder.getFileSystem(conf)
+        if not fs.exists(folder):
+            continue
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= upto:
+                fs.delete(st.getPath(), True)
+                removed += 1
+    return removed
+
+
 def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint: str,
                   window: str = "1 day", watermark: str | None = None,
                   trigger: str | None = "availableNow"):
@@ -149,5 +243,5 @@ def bad_messages(spark: SparkSession, quarantine_path: str) -> DataFrame:
     return spark.read.parquet(quarantine_path).filter(F.col(BAD_REASON).isNotNull())
 
 
-__all__ = ["read_json_stream", "stream_rollup", "read_stream_rollup", "stream_window",
-           "read_stream_window", "bad_messages", "rollup"]
+__all__ = ["read_json_stream", "stream_rollup", "read_stream_rollup", "compact_stream_rollup",
+           "purge_compacted", "stream_window", "read_stream_window", "bad_messages"]

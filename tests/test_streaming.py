@@ -78,3 +78,44 @@ def test_watermark_drops_rows_behind_it(spark, tmp_dir):
     got = {str(r["__time"])[:10]: r["count"] for r in
            read_stream_window(spark, STREAM_DAILY, f"{tmp_dir}/w").collect()}
     assert got == {"2024-01-05": 1, "2024-01-09": 1}
+
+
+def test_compaction_keeps_answer_while_stream_continues(spark, sf_small, tmp_dir):
+    from chronoroll.streaming import compact_stream_rollup, purge_compacted
+    import glob
+    ev = raw_events(table(spark, sf_small, "events"))
+    topic, out, ck, base = (f"{tmp_dir}/{x}" for x in ("topic", "out", "ck", "base"))
+    first = ev.filter(F.col("event_id").cast("long") < 500)
+    publish_json(first.repartition(2, "event_id"), f"{topic}/a")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, out, ck).awaitTermination()
+    assert compact_stream_rollup(spark, STREAM_DAILY, out, base) == 1
+    # more messages arrive after the compaction
+    publish_json(ev.filter(F.col("event_id").cast("long") >= 500).repartition(2, "event_id"),
+                 f"{topic}/b")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, out, ck).awaitTermination()
+    read = lambda: sorted(tuple(r) for r in read_stream_rollup(
+        spark, STREAM_DAILY, out, compacted_path=base).select(COLS).collect())
+    want = _batch_answer(spark, sf_small)
+    assert read() == want
+    assert purge_compacted(spark, out, base) > 0
+    assert read() == want
+    assert compact_stream_rollup(spark, STREAM_DAILY, out, base) == 3
+    assert purge_compacted(spark, out, base) > 0
+    assert not glob.glob(f"{out}/chunk=*/batch_id=*/*.parquet")
+    assert read() == want
+
+
+def test_stream_quarantine_holds_bad_messages(spark, sf_small, tmp_dir):
+    from chronoroll.streaming import bad_messages
+    raw = raw_events(table(spark, sf_small, "events"))
+    publish_json(raw.repartition(2, "event_id"), f"{tmp_dir}/t")
+    src = read_json_stream(spark, f"{tmp_dir}/t", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, f"{tmp_dir}/o", f"{tmp_dir}/c",
+                  quarantine_path=f"{tmp_dir}/q").awaitTermination()
+    _, bad = clean(raw, STREAM_DAILY)
+    got = sorted(r["_raw_time"] for r in bad_messages(spark, f"{tmp_dir}/q").collect())
+    assert got == sorted(r["_raw_time"] for r in bad.collect()) and got
+    total = read_stream_rollup(spark, STREAM_DAILY, f"{tmp_dir}/o").agg(F.sum("count")).collect()[0][0]
+    assert total + len(got) == raw.count()
