@@ -17,23 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import region_from_path
+from ..session import list_dirs, make_dirs, path_exists
 
 
 def list_region_folders(spark: SparkSession, base: str) -> list[str]:
-    """Names of the sub-folders of ``base`` (metadata only, on the driver)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
+    """Names of the region sub-folders of ``base`` (metadata only, on the driver)."""
+    if not path_exists(spark, base):
         raise FileNotFoundError(base)
-    names = []
-    for st in fs.listStatus(path):
-        if st.isDirectory():
-            name = st.getPath().getName()
-            if not name.startswith(("_", ".")):
-                names.append(name.split("=", 1)[-1])
-    return sorted(names)
+    return sorted(n.split("=", 1)[-1] for n in list_dirs(spark, base)
+                  if not n.startswith(("_", ".")))
 
 
 def inventory(spark: SparkSession, base: str, partition_col: str = "region",
@@ -99,6 +91,4 @@ def load_audit(rows_in: DataFrame, loaded: DataFrame, bad: DataFrame | None,
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an (empty) folder, e.g. a region announced before its files."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    make_dirs(spark, path)

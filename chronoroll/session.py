@@ -73,3 +73,35 @@ def _join(base: str, rel: str) -> str:
     if "://" in base:
         return base.rstrip("/") + "/" + rel
     return os.path.join(base, rel)
+
+
+# ---- file-system metadata (driver side, no data read): Hadoop FileSystem, so
+# ---- the same calls work on local disk, HDFS and object stores
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -31,7 +31,7 @@ from ..operators.clean import BAD_REASON
 from ..operators.rollup import finish, reaggregate, state_aggs
 from ..plans.ingest import (_spec_with_partition, clean, prepare, read_table,
                             rollup_with_rejects, split_rollup)
-from ..session import shared_dir
+from ..session import delete_path, list_dirs, path_exists, shared_dir
 from ..sinks.files import CHUNK, replace_partitions, write_table
 from ..spec import TIME_COLUMN, TableSpec
 
@@ -106,12 +106,6 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
 UPTO = "upto_batch"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _partials(spark: SparkSession, out_path: str, compacted_path: str | None) -> DataFrame:
     """Partial states still to merge: compacted base + newer micro-batches."""
     try:
@@ -121,7 +115,7 @@ def _partials(spark: SparkSession, out_path: str, compacted_path: str | None) ->
         if "UNABLE_TO_INFER_SCHEMA" not in str(e) or not compacted_path:
             raise
         parts = None
-    if not compacted_path or not _exists(spark, compacted_path):
+    if not compacted_path or not path_exists(spark, compacted_path):
         return parts.drop(BATCH)
     base = read_table(spark, compacted_path, [CHUNK])
     if parts is None:
@@ -164,7 +158,7 @@ def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
     if upto_batch is None:
         return -1
     fresh = parts.filter(F.col(BATCH) <= upto_batch).drop(BATCH)
-    if _exists(spark, compacted_path):
+    if path_exists(spark, compacted_path):
         base = read_table(spark, compacted_path, [CHUNK])
         touched = fresh.select(CHUNK).distinct()
         fresh = fresh.unionByName(base.join(touched, CHUNK, "left_semi").drop(UPTO))
@@ -178,22 +172,16 @@ def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
 
 def purge_compacted(spark: SparkSession, out_path: str, compacted_path: str) -> int:
     """Delete partial folders already covered by the compacted base; returns the count."""
-    if not _exists(spark, compacted_path):
+    if not path_exists(spark, compacted_path):
         return 0
     covered = {r[CHUNK]: r[UPTO] for r in
                read_table(spark, compacted_path, [CHUNK]).select(CHUNK, UPTO).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     for chunk, upto in covered.items():
-        folder = jvm.org.apache.hadoop.fs.Path(f"{out_path.rstrip('/')}/{CHUNK}={chunk}")
-        fs = folder.getFileSystem(conf)
-        if not fs.exists(folder):
-            continue
-        for st in fs.listStatus(folder):
-            name = st.getPath().getName()
+        folder = f"{out_path.rstrip('/')}/{CHUNK}={chunk}"
+        for name in list_dirs(spark, folder):
             if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= upto:
-                fs.delete(st.getPath(), True)
+                delete_path(spark, f"{folder}/{name}")
                 removed += 1
     return removed
 
