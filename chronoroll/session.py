@@ -49,6 +49,29 @@ def build_session(app: str = "chronoroll", master: str | None = None,
     return spark
 
 
+def scale_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster (tens of TB per load), to pass as ``extra``.
+
+    - scan splits of 256 MiB and AQE target partitions of ``advisory_mb``:
+      about 400k scan tasks per 100 TB, shuffle partitions sized by bytes;
+    - initial shuffle partitions = 4 × cores, coalesced or split by AQE (a
+      skewed rebalance partition is split by map-output ranges);
+    - zstd Parquet output; RocksDB state store for windowed streams, whose
+      state lives off the JVM heap and is checkpointed incrementally.
+    """
+    return {
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(4 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * advisory_mb}m",
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (set one only when none is set)."""
     sc = spark.sparkContext

@@ -98,3 +98,10 @@ def test_jdbc_options():
         jdbc_read_options(o, table="t", partition_column="id")
     w = jdbc_write_options(o, "crimes")
     assert w["truncate"] == "true" and w["dbtable"] == "crimes"
+
+
+def test_scale_conf_is_plain_settings():
+    from chronoroll.session import scale_conf
+    c = scale_conf(4000)
+    assert c["spark.sql.shuffle.partitions"] == "16000"
+    assert all(isinstance(v, str) for v in c.values())
