@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -105,3 +106,20 @@ def test_scale_conf_is_plain_settings():
     c = scale_conf(4000)
     assert c["spark.sql.shuffle.partitions"] == "16000"
     assert all(isinstance(v, str) for v in c.values())
+
+
+def test_cli_ingest_and_inventory(spark, sf_small, tmp_dir, capsys):
+    from chronoroll.cli import main
+    from chronoroll.plans.suite import EVENTS_DETAIL_SPEC_JSON
+    base = f"{tmp_dir}/raw"
+    write_region_csv(raw_events(table(spark, sf_small, "events")), base)
+    spec_path = f"{tmp_dir}/spec.json"
+    with open(spec_path, "w") as f:
+        json.dump(EVENTS_DETAIL_SPEC_JSON, f)
+    assert main(["ingest", "--spec", spec_path, "--table", f"{tmp_dir}/t", "--base", base,
+                 "--quarantine", f"{tmp_dir}/q"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/t").count() > 0
+    assert spark.read.parquet(f"{tmp_dir}/q").count() > 0
+    assert main(["inventory", "--base", base]) == 0
+    out = capsys.readouterr().out
+    assert "click" in out and "partitions: region, chunk" in out
