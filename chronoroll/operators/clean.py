@@ -22,13 +22,20 @@ BAD_REASON = "_bad_reason"
 
 
 def project(df: DataFrame, spec: TableSpec, keep: list[str] | None = None) -> DataFrame:
-    """Keep the time column, the listed dimensions and metric inputs."""
+    """Keep the time column, the listed dimensions and metric inputs.
+
+    A listed dimension or metric input that the input does not have (a file
+    with fewer columns) is added as null, so every row has the table's shape.
+    """
     wanted: list[str] = []
     for c in ([spec.time_column] + spec.dim_names
               + [m.field for m in spec.metrics if m.field] + (keep or [])):
-        if c in df.columns and c not in wanted:
+        if c not in wanted:
             wanted.append(c)
-    return df.select(*[F.col(f"`{c}`") for c in wanted])
+    if spec.time_column not in df.columns:
+        raise ValueError(f"time column {spec.time_column!r} is not in the input")
+    return df.select(*[F.col(f"`{c}`") if c in df.columns
+                       else F.lit(None).cast("string").alias(c) for c in wanted])
 
 
 def exclude(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:

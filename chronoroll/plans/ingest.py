@@ -155,7 +155,8 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     rows from a second, filtered pass.
     """
     parts = partition_cols(spec)
-    kw = dict(files_per_partition=files_per_partition, max_rows_per_file=spec.max_rows_per_file)
+    kw = dict(files_per_partition=files_per_partition, max_rows_per_file=spec.max_rows_per_file,
+              sort_within=spec.indexed or None)
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     write = append_table if mode == "append" else replace_partitions
@@ -192,9 +193,12 @@ def read_ingested(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return read_table(spark, path, parts)
 
 
-def chunk_filter(spec: TableSpec, lo: str, hi: str):
-    """Predicate on the chunk column matching a time range (partition pruning)."""
-    from ..functions.time import chunk_label, ntz_literal
-    g = spec.segment_granularity
-    return (F.col(CHUNK) >= chunk_label(ntz_literal(lo), g)) & \
-           (F.col(CHUNK) <= chunk_label(ntz_literal(hi), g))
+def read_range(spark: SparkSession, spec: TableSpec, path: str, intervals) -> DataFrame:
+    """Rows of an ingested table inside ``lo/hi`` intervals, partition-pruned.
+
+    A filter on ``__time`` alone cannot prune folders: the matching range of
+    chunk labels is added next to it, so only the chunks that can hold rows
+    are listed and read (``PartitionFilters`` in the plan).
+    """
+    table = read_ingested(spark, spec, path)
+    return filter_intervals(table, intervals, TIME_COLUMN, CHUNK, spec.segment_granularity)

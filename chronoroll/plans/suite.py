@@ -39,7 +39,7 @@ from .audit import inventory, load_audit, make_folder
 from .catalog import ctas, register
 from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, MISSING_TIME_MOD,
                    RAW_EVENT_COLUMNS, publish_events, raw_events, table, write_region_csv)
-from .ingest import clean, read_ingested, read_table, run_ingest
+from .ingest import clean, read_ingested, read_range, read_table, run_ingest
 from .snapshot import read_snapshot, snapshot_regions
 from .spec_job import run_spec, run_stream_spec
 
@@ -155,6 +155,7 @@ EVENTS_STREAM_SPEC_JSON = {
     },
 }
 
+RANGE = ("1997-03-15/1997-06-01", "1999-12-31/2000-01-02")
 INTERVALS = ("2024-01-03/2024-01-10", "2024-01-20T12:00:00/2024-01-25")
 SNAPSHOT_TS = "2024-02-01T00:00:00"
 
@@ -307,6 +308,12 @@ def q_rollup_day_month_chunks(spark, sf):
     return finish(read_ingested(spark, ORDERS_DAILY, out), ORDERS_DAILY)
 
 
+def q_time_range_read(spark, sf):
+    out = scratch_path(spark, "orders-daily")
+    run_ingest(spark, ORDERS_DAILY, table(spark, sf, "orders"), out)
+    return finish(read_range(spark, ORDERS_DAILY, out, RANGE), ORDERS_DAILY)
+
+
 def q_detail_unit_count(spark, sf):
     spec = TableSpec(name="t", time_column="ts",
                      dimensions=(Dim("event_id", "long"), Dim("event_type")),
@@ -555,6 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_star_hour": q_select_star_hour,
     "rollup_hour": q_rollup_hour,
     "rollup_day_month_chunks": q_rollup_day_month_chunks,
+    "time_range_read": q_time_range_read,
     "detail_unit_count": q_detail_unit_count,
     "reaggregate_day": q_reaggregate_day,
     "distinct_regions": q_distinct_regions,
@@ -729,6 +737,13 @@ ORACLE_SQL["spec_job_csv_detail"] = f"""SELECT {_bucket('hour', 'ts')} AS __time
 FROM {_CLEAN} c WHERE ts IS NOT NULL"""
 ORACLE_SQL["spec_job_stream"] = _STREAM_DAILY_SQL
 ORACLE_SQL["stream_compaction"] = _STREAM_DAILY_SQL
+_RANGE_SQL = " OR ".join(
+    f"(o_orderdate >= TIMESTAMP '{lo}' AND o_orderdate < TIMESTAMP '{hi}')"
+    for lo, hi in (r.split("/") for r in RANGE))
+ORACLE_SQL["time_range_read"] = f"""SELECT {_bucket('day', 'o_orderdate')} AS __time,
+  o_orderstatus, o_orderpriority, {_chunk('month', 'o_orderdate')} AS chunk, COUNT(*) AS "count",
+  {_units_sum('o_totalprice')} AS price_sum, {_mean('o_totalprice')} AS price_avg
+FROM orders WHERE {_RANGE_SQL} GROUP BY 1, 2, 3, 4"""
 ORACLE_SQL["region_snapshot_job"] = """SELECT event_type, COUNT(*) AS n_rows, COUNT(*) AS n_latest
 FROM events GROUP BY 1"""
 

@@ -84,7 +84,9 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = Non
     """
     out = layout(df, partition_cols or [], files_per_partition)
     if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+        # prefixed by the partition columns: that is the order the writer needs
+        # anyway, so it adds no sort of its own on top of this one
+        out = out.sortWithinPartitions(*(partition_cols or []), *sort_within)
     _writer(out, mode, partition_cols, max_rows_per_file, fmt, header,
             dynamic and bool(partition_cols)).save(path)
     return path

@@ -32,8 +32,12 @@ TIME_COLUMN = "__time"
 
 @dataclass(frozen=True)
 class Dim:
+    """A dimension. ``index=True`` (``createBitmapIndex``) sorts rows by it
+    inside every written file, so Parquet min/max statistics let a filter on
+    it skip row groups."""
     name: str
     type: str = "string"
+    index: bool = False
 
     def __post_init__(self):
         if self.type.lower() not in DIM_TYPES:
@@ -45,7 +49,7 @@ class Dim:
             return d
         if isinstance(d, str):
             return Dim(d)
-        return Dim(d["name"], d.get("type", "string").lower())
+        return Dim(d["name"], d.get("type", "string").lower(), bool(d.get("createBitmapIndex", False)))
 
 
 @dataclass(frozen=True)
@@ -105,6 +109,10 @@ class TableSpec:
     def dim_names(self) -> list[str]:
         return [d.name for d in self.dimensions]
 
+    @property
+    def indexed(self) -> list[str]:
+        return [d.name for d in self.dimensions if d.index]
+
     def with_(self, **changes: Any) -> "TableSpec":
         return dataclasses.replace(self, **changes)
 

@@ -150,3 +150,13 @@ def test_run_ingest_counts_and_quarantine_from_one_pass(spark, sf_small, tmp_dir
     assert c[0] == raw.count()
     assert c[1] == read_ingested(spark, spec, f"{tmp_dir}/t").agg(F.sum("count")).collect()[0][0]
     assert c[2] == spark.read.parquet(f"{tmp_dir}/q").count() and c[0] == c[1] + c[2]
+
+
+def test_dimension_missing_from_input_is_null(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00", "a")], "ts string, d string")
+    spec = TableSpec(name="t", time_column="ts", dimensions=(Dim("d"), Dim("absent", "long")),
+                     metrics=(Metric("count", "count"),), query_granularity="day", rollup=True)
+    good, _ = clean(df, spec)
+    r = rollup(good, spec).collect()[0]
+    assert r["absent"] is None and r["count"] == 1
+    assert dict(rollup(good, spec).dtypes)["absent"] == "bigint"
