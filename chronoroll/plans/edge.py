@@ -46,13 +46,16 @@ def raw_events(events: DataFrame) -> DataFrame:
 
 
 def write_region_csv(raw: DataFrame, base: str, region_col: str = "event_type",
-                     files_per_region: int = 3) -> str:
-    """One folder per region holding CSV files with a header row."""
+                     files_per_region: int | None = None) -> str:
+    """One folder per region holding CSV files with a header row.
+
+    Files are sized by AQE (a large region gets many files), as any
+    region's raw drop would be split over many files at scale."""
     return write_table(raw, base, [region_col], mode="overwrite", fmt="csv",
                        files_per_partition=files_per_region)
 
 
-def publish_events(raw: DataFrame, topic_dir: str) -> str:
-    """Every raw event as one JSON message line."""
-    publish_json(raw, topic_dir)
+def publish_events(raw: DataFrame, topic_dir: str, key: str | None = "event_type") -> str:
+    """Every raw event as one JSON message line, keyed (foldered) by region."""
+    publish_json(raw, topic_dir, partition_cols=[key] if key else None)
     return topic_dir

@@ -26,7 +26,7 @@ from ..operators.lookup import lookup
 from ..operators.rollup import (counts_by, detail, distinct_values, exact_distinct, finish,
                                 reaggregate, rollup, sketch_summary)
 from ..operators.union import union_by_name, union_by_position
-from ..session import scratch_path
+from ..session import content_bytes, scratch_path
 from ..sinks.files import (TEXT_TIME_OPTIONS, publish_json, replace_partitions,
                            write_snapshot_and_latest, write_table)
 from ..sources.files import (from_csv_lines, read_csv, read_csv_positional, read_parquet,
@@ -431,9 +431,12 @@ def q_union_by_name(spark, sf):
 
 
 def _stream_source(spark, sf) -> DataFrame:
+    """All events published as JSON messages, streamed as a backlog in
+    about four micro-batches (bounded by bytes, so at any scale)."""
     topic = scratch_path(spark, "topic")
-    publish_events(raw_events(_events(spark, sf)).repartition(4, "event_id"), topic)
-    return read_json_stream(spark, topic, MESSAGE_DDL, max_files_per_trigger=1)
+    publish_events(raw_events(_events(spark, sf)), topic)
+    per_batch = max(1, -(-content_bytes(spark, topic) // 4))
+    return read_json_stream(spark, topic, MESSAGE_DDL, max_bytes_per_trigger=per_batch)
 
 
 def q_stream_rollup_day(spark, sf):
@@ -515,7 +518,7 @@ def q_spec_job_csv_detail(spark, sf):
 
 def q_spec_job_stream(spark, sf):
     topic = scratch_path(spark, "topic")
-    publish_events(raw_events(_events(spark, sf)).repartition(4, "event_id"), topic)
+    publish_events(raw_events(_events(spark, sf)), topic)
     out, ckpt = scratch_path(spark, "spec-stream-out"), scratch_path(spark, "spec-stream-ckpt")
     q, spec = run_stream_spec(spark, EVENTS_STREAM_SPEC_JSON, out, ckpt, source_override=topic)
     q.awaitTermination()

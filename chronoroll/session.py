@@ -128,3 +128,9 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def content_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes of the files below ``path`` (file-system metadata)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())

@@ -146,16 +146,24 @@ def _with_string_partition(df: DataFrame, partition_col: str):
 
 
 def publish_json(df: DataFrame, target: str, fmt: str = "text", options: dict | None = None,
-                 cols: list[str] | None = None) -> None:
+                 cols: list[str] | None = None, partition_cols: list[str] | None = None) -> None:
     """Publish each row as one JSON message (K9).
 
-    ``fmt="kafka"`` sends ``value`` to the topic named in ``options``
-    (needs the Kafka connector on the classpath); ``fmt="text"`` writes
-    one message per line to ``target``.
+    ``fmt="kafka"`` sends ``value`` (and ``key`` = the first partition
+    column, when given) to the topic named in ``options`` (needs the Kafka
+    connector on the classpath); ``fmt="text"`` writes one message per line
+    below ``target``, in one folder per value of ``partition_cols`` (like a
+    topic keyed by region), files sized by AQE.
     """
     from ..functions.values import to_json_value
-    msgs = df.select(to_json_value(cols).alias("value"))
+    keys = list(partition_cols or [])
+    msgs = df.select(to_json_value(cols).alias("value"), *keys)
     if fmt == "kafka":
+        if keys:
+            msgs = msgs.withColumn("key", F.col(keys[0]).cast("string")).drop(*keys)
         msgs.write.format("kafka").options(**(options or {})).save()
+        return
+    if keys:
+        write_table(msgs, target, keys, mode="overwrite", fmt="text")
     else:
         msgs.write.mode("overwrite").format("text").options(**(options or {})).save(target)

@@ -41,13 +41,16 @@ EVENT_TS = "_event_ts"
 
 def read_json_stream(spark: SparkSession, source: str, schema: str | T.StructType,
                      fmt: str = "files", options: dict | None = None,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Stream of JSON messages as typed columns (S9), from the earliest.
 
     ``fmt="kafka"``: ``source`` is the topic; ``options`` carry
     ``kafka.bootstrap.servers`` etc.; reading starts at the earliest offset.
     ``fmt="files"``: ``source`` is a folder of text files, one message per
-    line; all files present at start are read first.
+    line (region sub-folders allowed); all files present at start are read
+    first. ``max_bytes_per_trigger`` bounds a micro-batch by input size,
+    ``max_files_per_trigger`` by file count.
     """
     ddl = schema if isinstance(schema, str) else schema.simpleString()
     if fmt == "kafka":
@@ -60,6 +63,8 @@ def read_json_stream(spark: SparkSession, source: str, schema: str | T.StructTyp
         r = spark.readStream.format("text")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+        if max_bytes_per_trigger:
+            r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
         for k, v in (options or {}).items():
             r = r.option(k, v)
         raw = r.load(source)
