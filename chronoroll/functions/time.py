@@ -22,6 +22,7 @@ REFERENCE_TIME_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 RUN_ID_FORMAT = "yyyyMMddHHmmss"
 
 _NUMERIC = r"^\s*-?\d+\s*$"
+_ZONED = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)\s*$"
 
 
 def _c(c: Column | str) -> Column:
@@ -52,15 +53,27 @@ def parse_time(c: Column | str, fmt: str = "iso") -> Column:
     col = _c(c)
     f = fmt.lower()
     if f == "iso":
-        return col.cast("string").try_cast(NTZ)
+        return _iso(col.cast("string"))
     if f in ("millis", "posix", "micros", "nano"):
         return _epoch(col, f)
     if f == "auto":
         s = col.cast("string")
-        return F.when(s.rlike(_NUMERIC), _epoch(s, "millis")).otherwise(s.try_cast(NTZ))
+        return F.when(s.rlike(_NUMERIC), _epoch(s, "millis")).otherwise(_iso(s))
     return F.try_to_timestamp(col.cast("string"), F.lit(fmt)).cast(NTZ)
 
 
+def _iso(s: Column) -> Column:
+    """ISO-8601 text → UTC wall clock.
+
+    Text without a zone is a UTC wall clock already (cast straight to
+    ``timestamp_ntz``, which would otherwise drop an offset silently); text
+    with ``Z`` or ``±hh[:mm]`` is read as an instant and turned into its UTC
+    wall clock.
+    """
+    zoned = s.contains(":") & s.rlike(_ZONED)
+    return F.when(zoned, instant_to_ntz(s.try_cast("timestamp"))).otherwise(s.try_cast(NTZ))
+
+
 def _epoch(col: Column, unit: str) -> Column:
     n = col.cast("string").try_cast("long")
     if unit == "posix":

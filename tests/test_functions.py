@@ -133,3 +133,19 @@ def test_instant_round_trip_in_any_zone(spark):
         assert r["back"] == v and r["day"] == dt.datetime(2024, 1, 5)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York"])
+def test_iso_offsets_become_utc(spark, tz):
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        p = parse_time(F.col("s"), "iso")
+        assert one(spark, p, "2020-01-01T05:00:00+02:00") == dt.datetime(2020, 1, 1, 3)
+        assert one(spark, p, "2020-01-01T05:00:00-0130") == dt.datetime(2020, 1, 1, 6, 30)
+        assert one(spark, p, "2020-01-01T05:00:00Z") == dt.datetime(2020, 1, 1, 5)
+        assert one(spark, p, "2020-01-01T05:00:00") == dt.datetime(2020, 1, 1, 5)
+        assert one(spark, p, "2020-01-01 05:00") == dt.datetime(2020, 1, 1, 5)
+        assert one(spark, p, "2020-01-01") == dt.datetime(2020, 1, 1)
+        assert one(spark, p, "2020-13-01") is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
