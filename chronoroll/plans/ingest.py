@@ -170,7 +170,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     write(rows, table_path, parts, **kw)
     if quarantine_path:
         qparts = [spec.partition_col] if spec.partition_col else None
-        write_table(bad, quarantine_path, qparts, mode="overwrite", files_per_partition=1)
+        write_table(bad, quarantine_path, qparts, mode="overwrite")
     return IngestResult(table_path, quarantine_path, tuple(parts), counts)
 
 

@@ -100,7 +100,7 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
                     max_rows_per_file=spec.max_rows_per_file)
         if quarantine_path:
             write_table(bad.withColumn(BATCH, F.lit(batch_id).cast("long")), quarantine_path,
-                        [BATCH], mode="overwrite", files_per_partition=1)
+                        [BATCH], mode="overwrite")
         if agg is not None:
             agg.unpersist()
 
@@ -214,7 +214,7 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = (batch.withColumn(TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
                .withColumn(BATCH, F.lit(batch_id).cast("long")))
-        write_table(out, out_path, [BATCH], mode="overwrite", files_per_partition=1)
+        write_table(out, out_path, [BATCH], mode="overwrite")
 
     w = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
