@@ -78,6 +78,13 @@ def main(argv: list[str] | None = None) -> int:
                                partition_col=a.region_col, fmt=a.format)
         print(f"snapshot: {res.dated}  latest: {res.latest}")
         res.counts.show(1000, truncate=False)
+        from .plans.audit import compare_inventories
+        check = compare_inventories(spark, a.raw, a.latest, a.region_col)
+        check.show(1000, truncate=False)
+        missing = check.filter(F.col("status") == "MISSING_OUTPUT").count()
+        if missing:
+            print(f"{missing} region(s) have input but no output")
+            return 1
     elif a.cmd == "ingest":
         from .plans.spec_job import run_spec
         res = run_spec(spark, _load_spec(a.spec), a.table, quarantine_path=a.quarantine,

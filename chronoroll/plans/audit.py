@@ -92,3 +92,22 @@ def load_audit(rows_in: DataFrame, loaded: DataFrame, bad: DataFrame | None,
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an (empty) folder, e.g. a region announced before its files."""
     make_dirs(spark, path)
+
+
+def compare_inventories(spark: SparkSession, raw_base: str, out_base: str,
+                        partition_col: str = "region", raw_glob: str = "*.csv",
+                        out_glob: str = "*") -> DataFrame:
+    """Per region: has the raw input files, has the output files, and the
+    status (``OK``, ``MISSING_OUTPUT`` for a raw region with no output,
+    ``NO_INPUT`` for a region with output only, ``EMPTY`` for neither)."""
+    raw = inventory(spark, raw_base, partition_col, raw_glob) \
+        .select(partition_col, F.col("n_files").alias("raw_files"))
+    out = inventory(spark, out_base, partition_col, out_glob) \
+        .select(partition_col, F.col("n_files").alias("out_files"))
+    j = raw.join(out, partition_col, "full_outer")
+    r = F.coalesce(F.col("raw_files"), F.lit(0)) > 0
+    o = F.coalesce(F.col("out_files"), F.lit(0)) > 0
+    status = (F.when(r & o, F.lit("OK")).when(r, F.lit("MISSING_OUTPUT"))
+               .when(o, F.lit("NO_INPUT")).otherwise(F.lit("EMPTY")))
+    return j.select(partition_col, r.alias("raw_has_files"), o.alias("out_has_files"),
+                    status.alias("status")).orderBy(partition_col)

@@ -35,7 +35,7 @@ from ..spec import Dim, Metric, TableSpec
 from ..streaming.stream import (compact_stream_rollup, purge_compacted, read_json_stream,
                                 read_stream_rollup, read_stream_window, stream_rollup,
                                 stream_window)
-from .audit import inventory, load_audit, make_folder
+from .audit import compare_inventories, inventory, load_audit, make_folder
 from .catalog import ctas, register
 from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, MISSING_TIME_MOD,
                    RAW_EVENT_COLUMNS, publish_events, raw_events, table, write_region_csv)
@@ -538,6 +538,18 @@ def q_region_snapshot_job(spark, sf):
                            "full_outer")
 
 
+def q_pipeline_check(spark, sf):
+    """Raw region folders against the refreshed ``latest`` output, per region."""
+    import datetime as dt
+    raw_base = scratch_path(spark, "raw-events")
+    write_region_csv(raw_events(_events(spark, sf)), raw_base)
+    make_folder(spark, f"{raw_base}/event_type=refund")          # announced, no files yet
+    snap, latest = scratch_path(spark, "snapshots"), scratch_path(spark, "latest")
+    snapshot_regions(spark, raw_base, snap, latest, columns=RAW_EVENT_COLUMNS,
+                     partition_col="event_type", run_ts=dt.datetime(2024, 2, 1))
+    return compare_inventories(spark, raw_base, latest, "region")
+
+
 def q_ctas_report(spark, sf):
     register(spark, "events_src", _events(spark, sf))
     sql = ("SELECT event_type, COUNT(*) AS n_events, COUNT(DISTINCT user_id) AS n_users, "
@@ -591,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spec_job_rollup": q_spec_job_rollup,
     "ctas_report": q_ctas_report,
     "region_snapshot_job": q_region_snapshot_job,
+    "pipeline_check": q_pipeline_check,
     "spec_job_csv_detail": q_spec_job_csv_detail,
     "spec_job_stream": q_spec_job_stream,
 }
@@ -747,6 +760,9 @@ ORACLE_SQL["time_range_read"] = f"""SELECT {_bucket('day', 'o_orderdate')} AS __
   o_orderstatus, o_orderpriority, {_chunk('month', 'o_orderdate')} AS chunk, COUNT(*) AS "count",
   {_units_sum('o_totalprice')} AS price_sum, {_mean('o_totalprice')} AS price_avg
 FROM orders WHERE {_RANGE_SQL} GROUP BY 1, 2, 3, 4"""
+ORACLE_SQL["pipeline_check"] = """SELECT event_type AS region, true AS raw_has_files,
+  true AS out_has_files, 'OK' AS status FROM events GROUP BY 1
+UNION ALL SELECT 'refund', false, false, 'EMPTY'"""
 ORACLE_SQL["region_snapshot_job"] = """SELECT event_type, COUNT(*) AS n_rows, COUNT(*) AS n_latest
 FROM events GROUP BY 1"""
 
