@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--columns", help="comma-separated header names (read as text)")
     s.add_argument("--region-col", default="region")
     s.add_argument("--format", default="csv")
+    s.add_argument("--files-per-region", type=int,
+                   help="1 = one file per region (small regions only); default: sized by AQE")
 
     i = sub.add_parser("ingest", help="run a batch ingestion spec (JSON)")
     i.add_argument("--spec", required=True)
@@ -75,7 +77,8 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.snapshot import snapshot_regions
         cols = a.columns.split(",") if a.columns else None
         res = snapshot_regions(spark, a.raw, a.out, a.latest, columns=cols,
-                               partition_col=a.region_col, fmt=a.format)
+                               partition_col=a.region_col, fmt=a.format,
+                               files_per_region=a.files_per_region)
         print(f"snapshot: {res.dated}  latest: {res.latest}")
         res.counts.show(1000, truncate=False)
         from .plans.audit import compare_inventories

@@ -32,7 +32,9 @@ def lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, out: str | N
     map_key = map_key or key
     m = (mapping.groupBy(F.col(map_key).alias("_lk"))
                 .agg(F.max(F.col(value)).alias("_lv")))
-    if fits_broadcast(m, max_broadcast_rows):
+    # the check reads at most max_broadcast_rows + 1 rows of the mapping
+    # itself; one value per key can only be fewer rows than that
+    if fits_broadcast(mapping, max_broadcast_rows):
         m = F.broadcast(m)
     joined = df.join(m, df[key] == m["_lk"], "left")
     v = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
