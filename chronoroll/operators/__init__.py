@@ -1,7 +1,8 @@
 """Relational operators: cleaning, rollup, lookup, union."""
 
 from .clean import (BAD_REASON, RAW_TIME, bad_reason, coerce_columns, coerce_dims, exclude,
-                    filter_intervals, filter_partition, interval_predicate, preview, project,
+                    filter_intervals, filter_partition, interval_predicate, keep_rows, preview,
+                    project,
                     rename_positional, split_bad, stamp, tag, with_event_time, with_expr)
 from .lookup import fits_broadcast, lookup
 from .rollup import (bucket, counts_by, detail, distinct_values, exact_distinct, finish,
@@ -9,7 +10,8 @@ from .rollup import (bucket, counts_by, detail, distinct_values, exact_distinct,
 from .union import union_by_name, union_by_position
 
 __all__ = ["BAD_REASON", "RAW_TIME", "bad_reason", "coerce_columns", "coerce_dims", "exclude",
-           "filter_intervals", "filter_partition", "interval_predicate", "preview", "project",
+           "filter_intervals", "filter_partition", "interval_predicate", "keep_rows", "preview",
+           "project",
            "rename_positional", "split_bad", "stamp", "tag", "with_event_time", "with_expr",
            "fits_broadcast", "lookup", "bucket", "counts_by", "detail", "distinct_values",
            "exact_distinct", "finish", "quantiles", "reaggregate", "roll", "rollup",

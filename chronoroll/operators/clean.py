@@ -162,6 +162,23 @@ def split_bad(df: DataFrame, raw_time: str = RAW_TIME,
     return good, bad
 
 
+def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
+    """``df.filter(cond)``, evaluating the columns of ``df`` once.
+
+    When ``cond`` reads a column computed by an expensive expression just
+    below (a time parsed from text), Catalyst pushes a filter beneath that
+    projection and evaluates the expression twice: once in the filter, once
+    in the projection. A row emitted through a one-element ``explode`` (null
+    array = no row) cannot be pushed below, so the expression runs once; the
+    generator stays inside whole-stage code generation. For predicates on
+    plain scan columns use ``filter``: those should reach the scan.
+    """
+    cols = df.columns
+    packed = F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))
+    rows = df.select(F.explode(F.when(cond, packed)).alias("_row"))
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in cols])
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows for a look at the data."""
     return df.limit(n)

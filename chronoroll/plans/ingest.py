@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from ..functions.time import floor_time
 from ..operators.clean import (BAD_REASON, RAW_TIME, bad_reason, coerce_dims, exclude,
-                               filter_intervals, interval_predicate, project, split_bad,
-                               with_event_time)
+                               filter_intervals, interval_predicate, keep_rows, project,
+                               split_bad, with_event_time)
 from ..operators.rollup import roll, rollup, state_aggs
 from ..session import shared_dir
 from ..sinks.files import CHUNK, append_table, replace_partitions, with_chunk, write_table
@@ -66,10 +66,20 @@ def _timed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
 
 
 def clean(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(typed rows with ``__time`` inside the intervals, bad rows), lazily."""
+    """(typed rows with ``__time`` inside the intervals, bad rows), lazily.
+
+    A time parsed from text is kept with ``keep_rows`` (parsed once per
+    row); a typed time column is filtered normally, so the predicate is
+    pushed into the scan.
+    """
     timed, bad = _timed(df, spec)
-    good = filter_intervals(timed.filter(F.col(TIME_COLUMN).isNotNull()), spec.intervals)
-    return good, bad
+    t = F.col(TIME_COLUMN)
+    cond = t.isNotNull()
+    if spec.intervals:
+        cond = cond & interval_predicate(t, spec.intervals)
+    if isinstance(df.schema[spec.time_column].dataType, T.StringType):
+        return keep_rows(timed, cond), bad
+    return timed.filter(cond), bad
 
 
 def prepare(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:

@@ -160,3 +160,16 @@ def test_dimension_missing_from_input_is_null(spark):
     r = rollup(good, spec).collect()[0]
     assert r["absent"] is None and r["count"] == 1
     assert dict(rollup(good, spec).dtypes)["absent"] == "bigint"
+
+
+def test_keep_rows_equals_filter_and_parses_once(spark, sf_small):
+    from chronoroll.operators import keep_rows
+    raw = _raw(spark, sf_small)
+    timed = with_event_time(raw, SPEC)
+    cond = F.col("__time").isNotNull()
+    a = sorted(tuple(r) for r in keep_rows(timed, cond).collect())
+    b = sorted(tuple(r) for r in timed.filter(cond).collect())
+    assert a == b and len(a) < raw.count()
+    good, _ = clean(raw, SPEC)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp") == 1
