@@ -49,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--table", required=True)
     i.add_argument("--quarantine")
     i.add_argument("--base", help="override inputSource.baseDir")
+    i.add_argument("--region", action="append",
+                   help="reload only this region folder (repeatable); others stay as they are")
 
     st = sub.add_parser("stream", help="run a message-topic spec as a stream")
     st.add_argument("--spec", required=True)
@@ -91,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "ingest":
         from .plans.spec_job import run_spec
         res = run_spec(spark, _load_spec(a.spec), a.table, quarantine_path=a.quarantine,
-                       base_override=a.base, keep_counts=True)
+                       base_override=a.base, keep_counts=True, regions=a.region)
         print(f"table: {res.table}  partitions: {', '.join(res.partition_cols)}")
         if res.counts is not None:
             res.counts.orderBy(*res.counts.columns[:1]).show(1000, truncate=False)

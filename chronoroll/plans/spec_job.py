@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import region_from_path
-from ..sources.files import read_csv, read_csv_positional, read_parquet
+from ..sources.files import read_csv, read_csv_positional, read_parquet, region_glob
 from ..sources.jdbc import read_jdbc_query, read_jdbc_table
 from ..spec import JdbcOptions, TableSpec
 from .ingest import IngestResult, run_ingest
@@ -35,8 +35,12 @@ def input_ddl(spec: TableSpec) -> str:
 
 
 def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
-                          base_override: str | None = None) -> DataFrame:
-    """The input rows an ``ioConfig`` describes, as one DataFrame (one scan)."""
+                          base_override: str | None = None,
+                          regions: list[str] | None = None) -> DataFrame:
+    """The input rows an ``ioConfig`` describes, as one DataFrame (one scan).
+
+    ``regions`` limits a ``*/…`` file glob to those region folders.
+    """
     src = io.get("inputSource", {})
     fmt = io.get("inputFormat", {"type": "csv"})
     kind = src.get("type", "local")
@@ -59,7 +63,7 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
         if not paths:
             raise ValueError("inputSource needs baseDir, paths or uris")
         base = paths if isinstance(paths, str) else ",".join(paths)
-    glob = src.get("filter", "*")
+    glob = region_glob(src.get("filter", "*"), regions)
     ftype = fmt.get("type", "csv")
     if ftype == "parquet":
         return read_parquet(spark, base, glob=glob, recursive="/" in glob or glob.startswith("*/"))
@@ -84,19 +88,21 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
 
 def run_spec(spark: SparkSession, spec_json: dict, table_path: str,
              quarantine_path: str | None = None, base_override: str | None = None,
-             keep_counts: bool = False) -> IngestResult:
+             keep_counts: bool = False, regions: list[str] | None = None) -> IngestResult:
     """Run a batch ingestion spec end to end.
 
     ``tuningConfig.appendToExisting`` → append; otherwise the chunks (and
     regions) present in the load are replaced, which is what
     ``dropExisting`` asks for. ``maxRowsPerSegment`` caps rows per file.
+    ``regions`` reloads only those region folders; every other region of
+    the table is left as it is.
     """
     body = _spec_body(spec_json)
     spec = TableSpec.from_dict(body)
     io = body.get("ioConfig", {})
     if io.get("type") == "kafka":
         raise ValueError("stream spec: use run_stream_spec")
-    source = source_from_io_config(spark, io, spec, base_override)
+    source = source_from_io_config(spark, io, spec, base_override, regions)
     tuning = body.get("tuningConfig", {})
     mode = "append" if tuning.get("appendToExisting", False) else "replace"
     return run_ingest(spark, spec, source, table_path, quarantine_path=quarantine_path,

@@ -190,6 +190,21 @@ def q_csv_hourly_rollup(spark: SparkSession, sf: str) -> DataFrame:
                      "FROM events_hourly")
 
 
+def q_region_reload(spark, sf):
+    """Load every region, then reload one region from a newer raw drop
+    (measures doubled): only that region's partitions change (D5 intent)."""
+    ev = _events(spark, sf)
+    first, second = scratch_path(spark, "raw-events"), scratch_path(spark, "raw-events-2")
+    write_region_csv(raw_events(ev), first)
+    write_region_csv(raw_events(ev.withColumn("value", F.col("value") * 2)), second)
+    out = scratch_path(spark, "events-hourly")
+    read = lambda base, regions=None: read_partitioned_csv(
+        spark, base, columns=RAW_EVENT_COLUMNS, partition_col="event_type", regions=regions)
+    run_ingest(spark, EVENTS_HOURLY, read(first), out)
+    run_ingest(spark, EVENTS_HOURLY, read(second, ["click"]), out)
+    return finish(read_ingested(spark, EVENTS_HOURLY, out), EVENTS_HOURLY)
+
+
 def q_partitioned_csv_ingest(spark, sf):
     raw = _typed_raw(_raw_csv(spark, sf))
     return raw.select("event_id", parse_time("ts", REFERENCE_TIME_FORMAT).alias("ts"),
@@ -561,6 +576,7 @@ def q_ctas_report(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_hourly_rollup": q_csv_hourly_rollup,
     "partitioned_csv_ingest": q_partitioned_csv_ingest,
+    "region_reload": q_region_reload,
     "csv_infer_ingest": q_csv_infer_ingest,
     "preview_first_rows": q_preview_first_rows,
     "csv_positional_ingest": q_csv_positional_ingest,
@@ -760,6 +776,12 @@ ORACLE_SQL["time_range_read"] = f"""SELECT {_bucket('day', 'o_orderdate')} AS __
   o_orderstatus, o_orderpriority, {_chunk('month', 'o_orderdate')} AS chunk, COUNT(*) AS "count",
   {_units_sum('o_totalprice')} AS price_sum, {_mean('o_totalprice')} AS price_avg
 FROM orders WHERE {_RANGE_SQL} GROUP BY 1, 2, 3, 4"""
+_RELOADED = f"""(SELECT event_id, ts, user_id, event_type,
+    CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value FROM {_CLEAN} c)"""
+ORACLE_SQL["region_reload"] = f"""SELECT {_bucket('hour', 'ts')} AS __time, event_type,
+  {_chunk('month', 'ts')} AS chunk, COUNT(*) AS "count", {_units_sum('value')} AS value_sum,
+  {_mean('value')} AS value_avg, CAST(SUM(user_id) AS BIGINT) AS user_sum
+FROM {_RELOADED} r WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
 ORACLE_SQL["pipeline_check"] = """SELECT event_type AS region, true AS raw_has_files,
   true AS out_has_files, 'OK' AS status FROM events GROUP BY 1
 UNION ALL SELECT 'refund', false, false, 'EMPTY'"""

@@ -32,10 +32,30 @@ def _load(reader, path: str) -> DataFrame:
         raise
 
 
+_GLOB_SPECIAL = "\\{}[]*?,"
+
+
+def region_glob(glob: str, regions: list[str] | None) -> str:
+    """Narrow the folder part of ``*/…`` to the given regions.
+
+    Each region matches a plain folder (``austin``) or a ``key=value`` folder
+    (``city=austin``); glob characters in names are escaped. Only the
+    matching folders are then listed and read.
+    """
+    if not regions:
+        return glob
+    if not glob.startswith("*/"):
+        raise ValueError("regions need a glob of the form '*/<file pattern>'")
+    esc = ["".join("\\" + ch if ch in _GLOB_SPECIAL else ch for ch in r) for r in regions]
+    alts = ",".join(a for r in esc for a in (r, f"*={r}"))
+    return "{" + alts + "}" + glob[1:]
+
+
 def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | None = None,
                          partition_col: str = "region", glob: str = "*/*.csv",
                          strict: bool = True, infer: bool = False,
-                         keep_file: bool = False, options: dict | None = None) -> DataFrame:
+                         keep_file: bool = False, options: dict | None = None,
+                         regions: list[str] | None = None) -> DataFrame:
     """Read every CSV of every region folder below ``base``.
 
     ``columns`` declares the header: all columns are read as text and typed
@@ -48,7 +68,9 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
 
     Files outside ``glob`` (a non-CSV file in a region folder, a stray file
     next to the folders) are not read. A region folder with no CSV yields no
-    rows; ``plans.audit.inventory`` reports it.
+    rows; ``plans.audit.inventory`` reports it. ``regions`` restricts the
+    read to those region folders at listing time (a filter on the derived
+    region column could not skip any file).
     """
     r = spark.read.format("csv").option("header", "true").option("mode", "PERMISSIVE")
     if columns:
@@ -57,7 +79,7 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
         r = r.option("inferSchema", "true")
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    df = _load(r, f"{base.rstrip('/')}/{glob}")
+    df = _load(r, f"{base.rstrip('/')}/{region_glob(glob, regions)}")
     df = df.withColumn(partition_col, region_from_path(F.col(FILE_PATH)))
     if keep_file:
         df = df.withColumn("_file", F.col(FILE_PATH))

@@ -87,3 +87,17 @@ def test_csv_lines(spark):
     out = from_csv_lines(df, "line", "a BIGINT, b STRING, c DOUBLE").collect()
     assert (out[0]["a"], out[0]["b"], out[0]["c"]) == (1, "abc", 2.5)
     assert out[1]["c"] is None
+
+
+def test_region_subset_is_narrowed_at_listing(spark, raw_dirs, tmp_dir):
+    from chronoroll.sources.files import region_glob
+    df = read_partitioned_csv(spark, raw_dirs, columns=COLS, partition_col="city", regions=["boston"])
+    assert {r["city"] for r in df.collect()} == {"boston"}
+    assert all("/boston/" in f for f in df.inputFiles())
+    # key=value folders and glob characters in names
+    base = os.path.join(tmp_dir, "kv")
+    write(f"{base}/city=a*b/x.csv", HEADER + "1,01/08/2020 02:30:00 PM,A,1\n")
+    write(f"{base}/city=ab/x.csv", HEADER + "2,01/08/2020 02:30:00 PM,A,1\n")
+    got = read_partitioned_csv(spark, base, columns=COLS, partition_col="city", regions=["a*b"])
+    assert [r["DR_NO"] for r in got.collect()] == ["1"]
+    assert region_glob("*/*.csv", ["x"]) == "{x,*=x}/*.csv"
