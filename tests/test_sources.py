@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from chronoroll.sources import (from_csv_lines, read_csv, read_csv_positional, read_parquet,
                                 read_partitioned_csv)

@@ -1,4 +1,3 @@
-import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +5,6 @@ from pyspark.sql import functions as F
 from chronoroll.plans.ingest import read_ingested
 from chronoroll.plans.spec_job import _iso_period, run_spec, source_from_io_config
 from chronoroll.plans.edge import table
-from chronoroll.sinks import publish_json
 from chronoroll.spec import TableSpec
 
 
