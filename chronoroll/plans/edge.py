@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.time import format_reference_time
 from ..sinks.files import publish_json, write_table
 
-# Record-id rules that make missing and malformed cells.
+# Record-id rules that make missing and malformed cells, and
+# the share of rows moved into one hot region for skew runs.
+HOT_REGION = "hot"
+HOT_MOD = 3                # every third record belongs to the hot region
 MISSING_TIME_MOD = 97      # time text left empty
 BAD_TIME_MOD = 101         # time text that is not a time
 BAD_USER_MOD = 71          # user id with a letter in it
@@ -45,6 +48,12 @@ def raw_events(events: DataFrame) -> DataFrame:
                          user.alias("user_id"), "event_type", value.alias("value"), "props")
 
 
+def with_hot_region(raw: DataFrame, region_col: str = "event_type") -> DataFrame:
+    """The same rows with a third of them moved into one region (skew)."""
+    hot = F.col("event_id").cast("long") % HOT_MOD == 0
+    return raw.withColumn(region_col, F.when(hot, F.lit(HOT_REGION)).otherwise(F.col(region_col)))
+
+
 def write_region_csv(raw: DataFrame, base: str, region_col: str = "event_type",
                      files_per_region: int | None = None) -> str:
     """One folder per region holding CSV files with a header row.

@@ -37,8 +37,9 @@ from ..streaming.stream import (compact_stream_rollup, purge_compacted, read_jso
                                 stream_window)
 from .audit import compare_inventories, inventory, load_audit, make_folder
 from .catalog import ctas, register
-from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, MISSING_TIME_MOD,
-                   RAW_EVENT_COLUMNS, publish_events, raw_events, table, write_region_csv)
+from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, HOT_MOD, HOT_REGION,
+                   MISSING_TIME_MOD, RAW_EVENT_COLUMNS, publish_events, raw_events, table,
+                   with_hot_region, write_region_csv)
 from .ingest import clean, read_ingested, read_range, read_table, run_ingest
 from .snapshot import read_snapshot, snapshot_regions
 from .spec_job import run_spec, run_stream_spec
@@ -205,6 +206,18 @@ def q_region_reload(spark, sf):
     return finish(read_ingested(spark, EVENTS_HOURLY, out), EVENTS_HOURLY)
 
 
+def q_skewed_region_rollup(spark, sf):
+    """The flagship ingest with a third of all rows in one region: partial
+    aggregation before the shuffle and size-sized writer tasks carry it."""
+    base = scratch_path(spark, "raw-events-skewed")
+    write_region_csv(with_hot_region(raw_events(_events(spark, sf))), base)
+    raw = read_partitioned_csv(spark, base, columns=RAW_EVENT_COLUMNS, partition_col="event_type")
+    out, bad = scratch_path(spark, "events-hourly-skewed"), scratch_path(spark, "bad-skewed")
+    res = run_ingest(spark, EVENTS_HOURLY, raw, out, quarantine_path=bad)
+    table_rows = finish(read_ingested(spark, EVENTS_HOURLY, out), EVENTS_HOURLY)
+    return table_rows.join(res.counts.select("event_type", "rows_in", "rows_bad"), "event_type")
+
+
 def q_partitioned_csv_ingest(spark, sf):
     raw = _typed_raw(_raw_csv(spark, sf))
     return raw.select("event_id", parse_time("ts", REFERENCE_TIME_FORMAT).alias("ts"),
@@ -577,6 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_hourly_rollup": q_csv_hourly_rollup,
     "partitioned_csv_ingest": q_partitioned_csv_ingest,
     "region_reload": q_region_reload,
+    "skewed_region_rollup": q_skewed_region_rollup,
     "csv_infer_ingest": q_csv_infer_ingest,
     "preview_first_rows": q_preview_first_rows,
     "csv_positional_ingest": q_csv_positional_ingest,
@@ -782,6 +796,15 @@ ORACLE_SQL["region_reload"] = f"""SELECT {_bucket('hour', 'ts')} AS __time, even
   {_chunk('month', 'ts')} AS chunk, COUNT(*) AS "count", {_units_sum('value')} AS value_sum,
   {_mean('value')} AS value_avg, CAST(SUM(user_id) AS BIGINT) AS user_sum
 FROM {_RELOADED} r WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
+_SKEWED = f"""(SELECT event_id, ts, user_id, value,
+    CASE WHEN event_id % {HOT_MOD} = 0 THEN '{HOT_REGION}' ELSE event_type END AS event_type
+  FROM {_CLEAN} c)"""
+ORACLE_SQL["skewed_region_rollup"] = f"""WITH k AS (SELECT event_type, COUNT(*) AS rows_in,
+    CAST(SUM(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_bad FROM {_SKEWED} a GROUP BY 1),
+  r AS (SELECT {_bucket('hour', 'ts')} AS __time, event_type, {_chunk('month', 'ts')} AS chunk,
+    COUNT(*) AS "count", {_units_sum('value')} AS value_sum, {_mean('value')} AS value_avg,
+    CAST(SUM(user_id) AS BIGINT) AS user_sum FROM {_SKEWED} b WHERE ts IS NOT NULL GROUP BY 1, 2, 3)
+SELECT r.*, k.rows_in, k.rows_bad FROM r JOIN k USING (event_type)"""
 ORACLE_SQL["pipeline_check"] = """SELECT event_type AS region, true AS raw_has_files,
   true AS out_has_files, 'OK' AS status FROM events GROUP BY 1
 UNION ALL SELECT 'refund', false, false, 'EMPTY'"""
