@@ -1,12 +1,12 @@
 """Command line: the reference's scripted steps as Spark jobs.
 
     spark-submit chronoroll/cli.py snapshot  --raw /data/raw --out /data/ingestion \\
-        --latest /data/ingestion/latest --columns "DR_NO,Date Rptd,…" --region-col city
-    spark-submit chronoroll/cli.py ingest    --spec crime_reports.json --table /data/tables/crimes \\
-        [--quarantine /data/bad/crimes] [--base /data/ingestion/latest]
-    spark-submit chronoroll/cli.py stream    --spec crime_stream.json --out /data/tables/stream \\
+        --latest /data/ingestion/latest --columns "record_id,reported at,…" --region-col city
+    spark-submit chronoroll/cli.py ingest    --spec events_detail.json --table /data/tables/events \\
+        [--quarantine /data/bad/events] [--base /data/ingestion/latest]
+    spark-submit chronoroll/cli.py stream    --spec events_stream.json --out /data/tables/stream \\
         --checkpoint /data/ckpt/stream [--source /data/topic] [--trigger spec|availableNow|once]
-    spark-submit chronoroll/cli.py compact   --spec crime_stream.json --out /data/tables/stream \\
+    spark-submit chronoroll/cli.py compact   --spec events_stream.json --out /data/tables/stream \\
         --base /data/tables/stream_base [--purge]
     spark-submit chronoroll/cli.py inventory --base /data/raw [--glob "*.csv"]
 
