@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 NTZ = "timestamp_ntz"
 
-# The reference's event-time text format and its run-id format.
+# The reference's event-time text format. Run ids are
+# date-time digits down to the second (two runs in one minute must not share one).
 REFERENCE_TIME_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 RUN_ID_FORMAT = "yyyyMMddHHmmss"
 
