@@ -62,7 +62,7 @@ def _timed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     """(typed rows with a nullable ``__time``, bad rows)."""
     timed = _typed(df, spec)
     _, bad = split_bad(timed)
-    return exclude(timed, _consumed(spec)), bad
+    return exclude(timed, _consumed(spec)), bad.drop(TIME_COLUMN)
 
 
 def clean(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
@@ -150,7 +150,8 @@ def partition_cols(spec: TableSpec) -> list[str]:
 
 def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_path: str,
                quarantine_path: str | None = None, mode: str = "replace",
-               files_per_partition: int | None = None, keep_counts: bool = False) -> IngestResult:
+               files_per_partition: int | None = None, keep_counts: bool = False,
+               one_pass: bool = True) -> IngestResult:
     """Load ``source`` into the table at ``table_path`` as ``spec`` says.
 
     ``mode="replace"`` replaces the (region, chunk) partitions present in
@@ -163,6 +164,11 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     the table, the quarantine and the counts are all cut from it. A detail
     load (no rollup) writes the table from the input and, if asked, the bad
     rows from a second, filtered pass.
+
+    One pass moves every bad row through the aggregation's shuffle, which is
+    cheap while bad rows are few. When most of a load is bad (say a whole
+    region arrives in another time format), ``one_pass=False`` writes the
+    bad rows from a second, filtered read instead.
     """
     parts = partition_cols(spec)
     kw = dict(files_per_partition=files_per_partition, max_rows_per_file=spec.max_rows_per_file,
@@ -171,7 +177,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
         raise ValueError(f"unknown mode {mode!r}")
     write = append_table if mode == "append" else replace_partitions
     counts = None
-    if spec.rollup and (quarantine_path or keep_counts):
+    if spec.rollup and one_pass and (quarantine_path or keep_counts):
         shared_dir(spark)
         agg = rollup_with_rejects(source, spec).checkpoint(eager=True)
         rows, bad, counts = split_rollup(agg, spec)

@@ -173,3 +173,19 @@ def test_keep_rows_equals_filter_and_parses_once(spark, sf_small):
     good, _ = clean(raw, SPEC)
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert plan.count("gettimestamp") == 1
+
+
+def test_two_pass_ingest_matches_one_pass(spark, sf_small, tmp_dir):
+    from chronoroll.plans.ingest import run_ingest, read_ingested
+    spec = SPEC.with_(partition_col="event_type", dimensions=(Dim("event_type"),),
+                      metrics=(Metric("count", "count"), Metric("v", "doubleSum", "value", scale=2)))
+    raw = _raw(spark, sf_small)
+    run_ingest(spark, spec, raw, f"{tmp_dir}/a", quarantine_path=f"{tmp_dir}/qa")
+    run_ingest(spark, spec, raw, f"{tmp_dir}/b", quarantine_path=f"{tmp_dir}/qb", one_pass=False)
+    cols = ["__time", "event_type", "count", "v__units"]
+    a = sorted(tuple(r) for r in read_ingested(spark, spec, f"{tmp_dir}/a").select(cols).collect())
+    b = sorted(tuple(r) for r in read_ingested(spark, spec, f"{tmp_dir}/b").select(cols).collect())
+    assert a == b
+    qa = sorted(r["_raw_time"] or "" for r in spark.read.parquet(f"{tmp_dir}/qa").collect())
+    qb = sorted(r["_raw_time"] or "" for r in spark.read.parquet(f"{tmp_dir}/qb").collect())
+    assert qa == qb and qa
