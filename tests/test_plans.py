@@ -122,3 +122,24 @@ def test_cli_ingest_and_inventory(spark, sf_small, tmp_dir, capsys):
     assert main(["inventory", "--base", base]) == 0
     out = capsys.readouterr().out
     assert "click" in out and "partitions: region, chunk" in out
+
+
+def test_cli_stream_and_compact(spark, sf_small, tmp_dir, capsys):
+    from chronoroll.cli import main
+    from chronoroll.plans.edge import publish_events
+    from chronoroll.plans.suite import EVENTS_STREAM_SPEC_JSON
+    from chronoroll.streaming import read_stream_rollup
+    topic = f"{tmp_dir}/topic"
+    publish_events(raw_events(table(spark, sf_small, "events")), topic)
+    spec_path = f"{tmp_dir}/stream.json"
+    with open(spec_path, "w") as f:
+        json.dump(EVENTS_STREAM_SPEC_JSON, f)
+    out, ck, base = f"{tmp_dir}/out", f"{tmp_dir}/ck", f"{tmp_dir}/base"
+    assert main(["stream", "--spec", spec_path, "--out", out, "--checkpoint", ck,
+                 "--source", topic]) == 0
+    spec = TableSpec.from_dict(EVENTS_STREAM_SPEC_JSON["spec"])
+    before = sorted(tuple(r) for r in read_stream_rollup(spark, spec, out).collect())
+    assert main(["compact", "--spec", spec_path, "--out", out, "--base", base, "--purge"]) == 0
+    after = sorted(tuple(r) for r in read_stream_rollup(spark, spec, out, compacted_path=base).collect())
+    assert before == after and before
+    assert "base covers batches up to" in capsys.readouterr().out
