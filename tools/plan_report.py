@@ -59,6 +59,11 @@ def _scan_lines(plan: str):
         if re.match(r"^\(\d+\) Scan ", head):
             fmt = head.split("Scan", 1)[1].strip()
             info = {"format": fmt}
+            loc = re.search(r"^Location: \w+ \[(.*)\]$", block, re.M)
+            if loc:
+                # scratch prefixes shortened; keeps which folders were listed
+                text = re.sub(r"file:/\S*?/chronoroll/([\w-]+?)-[0-9a-f]{12}", r"<\1>", loc.group(1))
+                info["Location"] = re.sub(r"file:/root/testdata/sf[0-9.]+/", "", text)[:200]
             for key in ("ReadSchema", "PushedFilters", "PartitionFilters"):
                 m = re.search(rf"^{key}: (.*)$", block, re.M)
                 if m and m.group(1) not in ("[]",):
