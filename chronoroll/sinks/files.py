@@ -44,10 +44,12 @@ def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int |
     if not partition_cols or files_per_partition == 0:
         return df
     if files_per_partition is None:
-        return df.hint("rebalance", *partition_cols)
-    keys = [F.col(c) for c in partition_cols]
+        # hint parameters are read as SQL: quote names (they may hold spaces)
+        return df.hint("rebalance", *[f"`{c}`" for c in partition_cols])
+    keys = [F.col(f"`{c}`") for c in partition_cols]
     if files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+                      F.lit(files_per_partition))
         keys.append(salt)
     if num_partitions:
         return df.repartition(num_partitions, *keys)
