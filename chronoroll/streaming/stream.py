@@ -162,11 +162,18 @@ def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
         upto_batch = parts.agg(F.max(BATCH)).collect()[0][0]
     if upto_batch is None:
         return -1
-    fresh = parts.filter(F.col(BATCH) <= upto_batch).drop(BATCH)
+    fresh = parts.filter(F.col(BATCH) <= upto_batch)
     if path_exists(spark, compacted_path):
         base = read_table(spark, compacted_path, [CHUNK])
+        # partials the base already holds stay on disk until purged: skip them
+        covered = base.select(CHUNK, UPTO).distinct()
+        fresh = (fresh.join(covered, CHUNK, "left")
+                      .filter(F.col(UPTO).isNull() | (F.col(BATCH) > F.col(UPTO)))
+                      .drop(UPTO))
         touched = fresh.select(CHUNK).distinct()
-        fresh = fresh.unionByName(base.join(touched, CHUNK, "left_semi").drop(UPTO))
+        fresh = fresh.drop(BATCH).unionByName(base.join(touched, CHUNK, "left_semi").drop(UPTO))
+    else:
+        fresh = fresh.drop(BATCH)
     merged = reaggregate(fresh, spec, keep=[CHUNK]).withColumn(UPTO, F.lit(upto_batch).cast("long"))
     # the base is read and replaced in one job: cut the lineage first
     shared_dir(spark)

@@ -119,3 +119,23 @@ def test_stream_quarantine_holds_bad_messages(spark, sf_small, tmp_dir):
     assert got == sorted(r["_raw_time"] for r in bad.collect()) and got
     total = read_stream_rollup(spark, STREAM_DAILY, f"{tmp_dir}/o").agg(F.sum("count")).collect()[0][0]
     assert total + len(got) == raw.count()
+
+
+def test_repeated_compaction_without_purge_does_not_double_count(spark, sf_small, tmp_dir):
+    from chronoroll.streaming import compact_stream_rollup
+    ev = raw_events(table(spark, sf_small, "events"))
+    topic, out, ck, base = (f"{tmp_dir}/{x}" for x in ("topic", "out", "ck", "base"))
+    publish_json(ev.filter(F.col("event_id").cast("long") < 500).repartition(2, "event_id"),
+                 f"{topic}/a")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, out, ck).awaitTermination()
+    compact_stream_rollup(spark, STREAM_DAILY, out, base)
+    compact_stream_rollup(spark, STREAM_DAILY, out, base)          # nothing new: no change
+    publish_json(ev.filter(F.col("event_id").cast("long") >= 500).repartition(2, "event_id"),
+                 f"{topic}/b")
+    src = read_json_stream(spark, f"{topic}/*", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, out, ck).awaitTermination()
+    compact_stream_rollup(spark, STREAM_DAILY, out, base)          # old partials still on disk
+    got = sorted(tuple(r) for r in read_stream_rollup(
+        spark, STREAM_DAILY, out, compacted_path=base).select(COLS).collect())
+    assert got == _batch_answer(spark, sf_small)
