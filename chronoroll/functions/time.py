@@ -26,6 +26,10 @@ _NUMERIC = r"^\s*-?\d+\s*$"
 _ZONED = r"([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)\s*$"
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast(NTZ)
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -60,7 +64,33 @@ def parse_time(c: Column | str, fmt: str = "iso") -> Column:
     if f == "auto":
         s = col.cast("string")
         return F.when(s.rlike(_NUMERIC), _epoch(s, "millis")).otherwise(_iso(s))
-    return F.try_to_timestamp(col.cast("string"), F.lit(fmt)).cast(NTZ)
+    text = col.cast("string")
+    if _has_zone_letter(fmt):
+        return instant_to_ntz(F.try_to_timestamp(text, F.lit(fmt)))
+    if _session_is_utc():
+        # read and written back in UTC, which has no gaps or overlaps: exact
+        return F.try_to_timestamp(text, F.lit(fmt)).cast(NTZ)
+    # other session zones: read the text as UTC explicitly (exact across
+    # daylight-saving gaps, at some parsing cost)
+    return instant_to_ntz(F.try_to_timestamp(F.concat(text, F.lit(" +0000")),
+                                             F.lit(fmt + " Z")))
+
+
+def _has_zone_letter(fmt: str) -> bool:
+    """Whether a datetime pattern reads a zone (letters outside quotes)."""
+    unquoted = re.sub(r"'[^']*'", "", fmt)
+    return any(ch in unquoted for ch in "XxZzVO")
+
+
+_UTC_NAMES = {"UTC", "GMT", "Z", "ETC/UTC", "ETC/GMT", "UCT", "UNIVERSAL", "ZULU", "+00:00"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return False
+    return str(spark.conf.get("spark.sql.session.timeZone", "")).upper() in _UTC_NAMES
 
 
 def _iso(s: Column) -> Column:
@@ -76,16 +106,15 @@ def _iso(s: Column) -> Column:
 
 
 def _epoch(col: Column, unit: str) -> Column:
+    """Epoch number → UTC wall clock, by arithmetic on the epoch (no zone)."""
     n = col.cast("string").try_cast("long")
     if unit == "posix":
-        n = n * F.lit(1000)
-        unit = "millis"
+        return F.timestamp_add("SECOND", n, _epoch_ntz())
+    if unit == "millis":
+        return F.timestamp_add("MILLISECOND", n, _epoch_ntz())
     if unit == "nano":
         n = F.floor(n / F.lit(1000)).cast("long")
-        unit = "micros"
-    ltz = F.timestamp_millis(n) if unit == "millis" else F.timestamp_micros(n)
-    # epoch numbers denote instants: express them as the UTC wall clock.
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ltz.cast(NTZ))
+    return F.timestamp_add("MICROSECOND", n, _epoch_ntz())
 
 
 def is_blank(c: Column | str) -> Column:
@@ -189,15 +218,18 @@ def interval_bounds(interval: str) -> tuple[Column, Column]:
 
 def utc_epoch_millis(c: Column | str) -> Column:
     """Epoch milliseconds of a ``timestamp_ntz`` read as a UTC wall clock."""
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(c))
-    return F.unix_millis(local.cast("timestamp"))
+    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _c(c))
 
 
 def ntz_to_instant(c: Column | str) -> Column:
-    """The instant (``timestamp``) a UTC wall clock (``timestamp_ntz``) denotes."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(c)).cast("timestamp")
+    """The instant (``timestamp``) a UTC wall clock (``timestamp_ntz``) denotes.
+
+    Pure arithmetic on epoch microseconds: exact in every session zone,
+    daylight-saving gaps and overlaps included.
+    """
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c)))
 
 
 def instant_to_ntz(c: Column | str) -> Column:
     """The UTC wall clock (``timestamp_ntz``) of an instant (``timestamp``)."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(c).cast(NTZ))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), _epoch_ntz())

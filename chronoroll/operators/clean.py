@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import chunk_label, event_time, interval_bounds, is_blank, ntz_literal
+from ..functions.time import (chunk_label, event_time, instant_to_ntz, interval_bounds,
+                              is_blank, ntz_literal)
 from ..functions.values import coerce
 from ..spec import TIME_COLUMN, TableSpec
 
@@ -129,8 +130,9 @@ def with_event_time(df: DataFrame, spec: TableSpec, keep_raw: bool = True) -> Da
     raw = F.col(f"`{spec.time_column}`")
     kind = df.schema[spec.time_column].dataType.typeName()
     if kind in ("timestamp_ntz", "timestamp", "date"):
-        # already typed (Parquet, JDBC): no text to parse, only a default to apply
-        t = raw.cast("timestamp_ntz")
+        # already typed (Parquet, JDBC): no text to parse, only a default to
+        # apply; an instant (``timestamp``) becomes its UTC wall clock
+        t = instant_to_ntz(raw) if kind == "timestamp" else raw.cast("timestamp_ntz")
         if spec.missing_time is not None:
             t = F.coalesce(t, ntz_literal(spec.missing_time))
     else:

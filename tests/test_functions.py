@@ -149,3 +149,36 @@ def test_iso_offsets_become_utc(spark, tz):
         assert one(spark, p, "2020-13-01") is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York", "Europe/Berlin"])
+def test_pattern_parse_and_conversions_exact_in_any_zone(spark, tz):
+    from chronoroll.functions.time import instant_to_ntz, ntz_to_instant
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        p = parse_time(F.col("s"), REF)
+        # a wall clock that does not exist in New York (spring forward)
+        assert one(spark, p, "03/10/2024 02:30:00 AM") == dt.datetime(2024, 3, 10, 2, 30)
+        # one that exists twice there (fall back)
+        assert one(spark, p, "11/03/2024 01:30:00 AM") == dt.datetime(2024, 11, 3, 1, 30)
+        assert one(spark, p, "bad") is None
+        for v in (dt.datetime(2024, 11, 3, 5, 30), dt.datetime(2024, 3, 10, 7, 15)):
+            assert one(spark, instant_to_ntz(ntz_to_instant("t")), v, "t timestamp_ntz") == v
+        assert one(spark, parse_time(F.col("s"), "yyyy-MM-dd HH:mm XXX"),
+                   "2024-01-01 10:00 +02:00") == dt.datetime(2024, 1, 1, 8)
+        assert one(spark, parse_time(F.col("s"), "micros"), "1704067200000001") == \
+            dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_typed_instant_column_becomes_utc_wall_clock(spark):
+    from chronoroll.operators import with_event_time
+    from chronoroll.spec import TableSpec
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:00+00:00' AS t")
+        out = with_event_time(df, TableSpec(name="x", time_column="t")).collect()[0]["__time"]
+        assert out == dt.datetime(2024, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
