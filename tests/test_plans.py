@@ -143,3 +143,29 @@ def test_cli_stream_and_compact(spark, sf_small, tmp_dir, capsys):
     after = sorted(tuple(r) for r in read_stream_rollup(spark, spec, out, compacted_path=base).collect())
     assert before == after and before
     assert "base covers batches up to" in capsys.readouterr().out
+
+
+def test_compare_inventories_statuses(spark, sf_small, tmp_dir):
+    from chronoroll.plans.audit import compare_inventories
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    ev = raw_events(table(spark, sf_small, "events"))
+    write_region_csv(ev.filter("event_type <> 'view'"), raw)        # view: output only
+    write_region_csv(ev.filter("event_type <> 'click'"), out)       # click: input only
+    st = {r["region"]: r["status"] for r in compare_inventories(spark, raw, out).collect()}
+    assert st["click"] == "MISSING_OUTPUT" and st["view"] == "NO_INPUT" and st["error"] == "OK"
+
+
+def test_cli_snapshot(spark, sf_small, tmp_dir, capsys):
+    from chronoroll.cli import main
+    from chronoroll.plans.edge import RAW_EVENT_COLUMNS
+    raw = f"{tmp_dir}/raw"
+    write_region_csv(raw_events(table(spark, sf_small, "events")), raw)
+    code = main(["snapshot", "--raw", raw, "--out", f"{tmp_dir}/snap", "--latest",
+                 f"{tmp_dir}/latest", "--columns", ",".join(RAW_EVENT_COLUMNS),
+                 "--region-col", "event_type", "--files-per-region", "1"])
+    assert code == 0
+    out = capsys.readouterr().out
+    assert "n_rows" in out and "MISSING_OUTPUT" not in out
+    import glob
+    for d in glob.glob(f"{tmp_dir}/latest/event_type=*"):
+        assert len(glob.glob(f"{d}/*.csv")) == 1
