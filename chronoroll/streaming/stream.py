@@ -81,11 +81,14 @@ def _trigger(writer, trigger: str | None):
 
 def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint: str,
                   quarantine_path: str | None = None, trigger: str | None = "availableNow",
-                  files_per_partition: int | None = None):
+                  files_per_partition: int | None = 0):
     """Start the partial-rollup stream (ST1–ST3); returns the StreamingQuery.
 
     ``trigger``: ``availableNow`` (process what is there, then stop),
     ``once``, or a processing-time interval such as ``"10 minutes"``.
+    Partials are written straight from the aggregation's partitions (already
+    hashed and sized by AQE): one shuffle per micro-batch, not two.
+    ``compact_stream_rollup`` later rewrites them into sized files.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         agg = None
