@@ -9,9 +9,10 @@ load touches, so re-loading one region leaves every other region alone.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,35 +66,53 @@ def _timed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     return exclude(timed, _consumed(spec)), bad.drop(TIME_COLUMN)
 
 
-def clean(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+BAD_ROWS = "bad_rows"
+
+
+def _text_time(df: DataFrame, spec: TableSpec) -> bool:
+    return isinstance(df.schema[spec.time_column].dataType, T.StringType)
+
+
+def _count_bad(timed: DataFrame, observation: Observation | None) -> DataFrame:
+    """Count the bad rows (null ``__time``) as a side metric of the write."""
+    if observation is None:
+        return timed
+    return timed.observe(observation, F.count_if(F.col(TIME_COLUMN).isNull()).alias(BAD_ROWS))
+
+
+def clean(df: DataFrame, spec: TableSpec,
+          observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(typed rows with ``__time`` inside the intervals, bad rows), lazily.
 
     A time parsed from text is kept with ``keep_rows`` (parsed once per
     row); a typed time column is filtered normally, so the predicate is
-    pushed into the scan.
+    pushed into the scan. ``observation`` (text times only) counts the bad
+    rows while the good ones are written.
     """
     timed, bad = _timed(df, spec)
     t = F.col(TIME_COLUMN)
     cond = t.isNotNull()
     if spec.intervals:
         cond = cond & interval_predicate(t, spec.intervals)
-    if isinstance(df.schema[spec.time_column].dataType, T.StringType):
-        return keep_rows(timed, cond), bad
+    if _text_time(df, spec):
+        return keep_rows(_count_bad(timed, observation), cond), bad
     return timed.filter(cond), bad
 
 
-def prepare(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+def prepare(df: DataFrame, spec: TableSpec,
+            observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(table rows with ``chunk``, bad rows) for a raw frame, lazily.
 
     A rollup takes the rows with their nullable time straight into the
     aggregation (see ``rollup``), so each time text is parsed once.
+    ``observation`` counts bad rows as the table is written (see ``clean``).
     """
     full = _spec_with_partition(spec)
     if spec.rollup:
         timed, bad = _timed(df, spec)
-        rows = rollup(timed, full, intervals=spec.intervals)
+        rows = rollup(_count_bad(timed, observation), full, intervals=spec.intervals)
     else:
-        good, bad = clean(df, spec)
+        good, bad = clean(df, spec, observation)
         rows = roll(good, full)
     return with_chunk(rows, TIME_COLUMN, spec.segment_granularity), bad
 
@@ -163,7 +182,10 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     one per bad row) is checkpointed to the cluster's checkpoint folder and
     the table, the quarantine and the counts are all cut from it. A detail
     load (no rollup) writes the table from the input and, if asked, the bad
-    rows from a second, filtered pass.
+    rows from a second, filtered pass. When the time is parsed from text,
+    the table write counts the bad rows on the way (an ``Observation``), and
+    the second pass is skipped when there are none: a clean load is read
+    once. (A typed time needs no parse; its bad side is a null filter.)
 
     One pass moves every bad row through the aggregation's shuffle, which is
     cheap while bad rows are few. When most of a load is bad (say a whole
@@ -176,15 +198,21 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     write = append_table if mode == "append" else replace_partitions
-    counts = None
+    counts = obs = None
     if spec.rollup and one_pass and (quarantine_path or keep_counts):
         shared_dir(spark)
         agg = rollup_with_rejects(source, spec).checkpoint(eager=True)
         rows, bad, counts = split_rollup(agg, spec)
     else:
-        rows, bad = prepare(source, spec)
+        if quarantine_path and _text_time(source, spec):
+            obs = Observation(f"chronoroll_bad_rows_{uuid.uuid4().hex}")
+        rows, bad = prepare(source, spec, obs)
     write(rows, table_path, parts, **kw)
     if quarantine_path:
+        if obs is not None and not obs.get.get(BAD_ROWS):
+            # no bad row in this load: an empty quarantine, no second read
+            # (a zero limit is planned as an empty relation)
+            bad = bad.limit(0)
         qparts = [spec.partition_col] if spec.partition_col else None
         write_table(bad, quarantine_path, qparts, mode="overwrite")
     return IngestResult(table_path, quarantine_path, tuple(parts), counts)

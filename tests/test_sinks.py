@@ -149,3 +149,34 @@ def test_ingest_with_spaces_in_column_names(spark, tmp_dir):
     assert out == {("Central", "a"): (2, 30.0), ("West Side", "b"): (1, 41.0)}
     assert spark.read.parquet(f"{tmp_dir}/q").count() == 1
     assert res.counts.agg(F.sum("rows_in")).collect()[0][0] == 4
+
+
+def _counted_source(spark, rows, schema):
+    """A frame whose every read adds its row count to an accumulator."""
+    acc = spark.sparkContext.accumulator(0)
+
+    def tick(r):
+        acc.add(1)
+        return r
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(tick), schema), acc
+
+
+def test_detail_load_without_bad_rows_reads_its_input_once(spark, tmp_dir):
+    rows = [("2020-01-08 14:00:00", "a", 1), ("2020-01-09 01:00:00", "b", 2),
+            ("2020-02-01 00:00:00", "a", 3)]
+    spec = TableSpec(name="t", time_column="ts", time_format="yyyy-MM-dd HH:mm:ss",
+                     dimensions=(Dim("k"), Dim("v", "long")), metrics=(Metric("count", "count"),),
+                     query_granularity="none", segment_granularity="month", rollup=False)
+    df, acc = _counted_source(spark, rows, "ts string, k string, v long")
+    run_ingest(spark, spec, df, f"{tmp_dir}/t", quarantine_path=f"{tmp_dir}/q")
+    assert acc.value == len(rows)          # the table write only
+    assert read_ingested(spark, spec, f"{tmp_dir}/t").count() == 3
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == 0   # empty, schema kept
+
+    # with a bad row, the bad side is written from a second, filtered pass
+    df, acc = _counted_source(spark, rows + [("not a time", "c", 4)], "ts string, k string, v long")
+    run_ingest(spark, spec, df, f"{tmp_dir}/t2", quarantine_path=f"{tmp_dir}/q2")
+    assert acc.value == 2 * (len(rows) + 1)
+    bad = spark.read.parquet(f"{tmp_dir}/q2").collect()
+    assert [(r["k"], r["_bad_reason"]) for r in bad] == [("c", "unparseable time")]
+    assert read_ingested(spark, spec, f"{tmp_dir}/t2").count() == 3
