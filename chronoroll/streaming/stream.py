@@ -20,8 +20,10 @@ group.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +31,8 @@ from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..functions.values import parse_json
 from ..operators.clean import BAD_REASON
 from ..operators.rollup import finish, reaggregate, state_aggs
-from ..plans.ingest import (_spec_with_partition, clean, prepare, read_table,
-                            rollup_with_rejects, split_rollup)
+from ..plans.ingest import (BAD_ROWS, _spec_with_partition, _text_time, clean, prepare,
+                            read_table, rollup_with_rejects, split_rollup)
 from ..session import delete_path, list_dirs, path_exists, shared_dir
 from ..sinks.files import CHUNK, replace_partitions, write_table
 from ..spec import TIME_COLUMN, TableSpec
@@ -91,16 +93,20 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     ``compact_stream_rollup`` later rewrites them into sized files.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        agg = None
+        agg = obs = None
         if quarantine_path and spec.rollup:
             # one pass over the micro-batch feeds both outputs (see rollup_with_rejects)
             agg = rollup_with_rejects(batch, spec).persist()
             rows, bad, _ = split_rollup(agg, spec)
         else:
-            rows, bad = prepare(batch, spec)
+            if quarantine_path and _text_time(batch, spec):
+                obs = Observation(f"chronoroll_bad_rows_{uuid.uuid4().hex}")
+            rows, bad = prepare(batch, spec, obs)
         write_table(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), out_path,
                     [CHUNK, BATCH], mode="overwrite", files_per_partition=files_per_partition,
                     max_rows_per_file=spec.max_rows_per_file)
+        if obs is not None and not obs.get.get(BAD_ROWS):
+            bad = bad.limit(0)         # no bad row in this batch: no second read
         if quarantine_path:
             write_table(bad.withColumn(BATCH, F.lit(batch_id).cast("long")), quarantine_path,
                         [BATCH], mode="overwrite")

@@ -139,3 +139,25 @@ def test_repeated_compaction_without_purge_does_not_double_count(spark, sf_small
     got = sorted(tuple(r) for r in read_stream_rollup(
         spark, STREAM_DAILY, out, compacted_path=base).select(COLS).collect())
     assert got == _batch_answer(spark, sf_small)
+
+
+def test_detail_stream_quarantine_with_bad_row_count(spark, sf_small, tmp_dir):
+    """Detail micro-batches count bad rows while writing; the quarantine
+    gets exactly the bad messages whether or not a batch has any."""
+    from chronoroll.streaming import bad_messages
+    raw = raw_events(table(spark, sf_small, "events"))
+    good_only = raw.filter(F.col("ts").rlike("^[0-9]{4}-"))
+    publish_json(good_only.repartition(1), f"{tmp_dir}/t/a")
+    publish_json(raw.repartition(1), f"{tmp_dir}/t/b")
+    spec = STREAM_DAILY.with_(rollup=False)
+    src = read_json_stream(spark, f"{tmp_dir}/t/*", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, spec, f"{tmp_dir}/o", f"{tmp_dir}/c",
+                  quarantine_path=f"{tmp_dir}/q").awaitTermination()
+    _, bad = clean(raw, spec)
+    want_bad = sorted(r["_raw_time"] for r in bad.collect())
+    got = sorted(r["_raw_time"] for r in bad_messages(spark, f"{tmp_dir}/q").collect())
+    assert got == want_bad and got
+    n_good_only = good_only.count()
+    assert n_good_only > 0
+    loaded = spark.read.parquet(f"{tmp_dir}/o").count()
+    assert loaded == n_good_only + raw.count() - len(want_bad)
