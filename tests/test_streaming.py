@@ -146,7 +146,7 @@ def test_detail_stream_quarantine_with_bad_row_count(spark, sf_small, tmp_dir):
     gets exactly the bad messages whether or not a batch has any."""
     from chronoroll.streaming import bad_messages
     raw = raw_events(table(spark, sf_small, "events"))
-    good_only = raw.filter(F.col("ts").rlike("^[0-9]{4}-"))
+    good_only = raw.filter(F.col("ts").rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2} [AP]M$"))
     publish_json(good_only.repartition(1), f"{tmp_dir}/t/a")
     publish_json(raw.repartition(1), f"{tmp_dir}/t/b")
     spec = STREAM_DAILY.with_(rollup=False)
