@@ -23,7 +23,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,9 +242,15 @@ def read_stream_window(spark: SparkSession, spec: TableSpec, out_path: str) -> D
     spec = _spec_with_partition(spec)
     parts = spark.read.parquet(out_path)
     keys = [TIME_COLUMN, *spec.dim_names]
-    w = Window.partitionBy(*keys).orderBy(F.col(BATCH).desc())
-    newest = (parts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-              .drop("_rn", BATCH))
+    # a group is written once per batch that updates it: the newest version
+    # is the one of the highest batch id. max_by is a partial aggregate, so
+    # the versions are reduced map-side before the shuffle (a window would
+    # shuffle and sort every version). One max_by per column (batch ids are
+    # unique within a group, so all pick the same row) keeps fixed-width
+    # buffers and a hash aggregate; a struct buffer would force a sort.
+    values = [c for c in parts.columns if c not in keys and c != BATCH]
+    newest = (parts.groupBy(*[F.col(f"`{k}`") for k in keys])
+                   .agg(*[F.max_by(F.col(f"`{c}`"), F.col(BATCH)).alias(c) for c in values]))
     return finish(newest, spec)
 
 

@@ -60,6 +60,19 @@ def test_window_stream_equals_batch(spark, sf_small, tmp_dir):
     assert got == _batch_answer(spark, sf_small)
 
 
+def test_window_reader_keeps_the_newest_of_several_versions(spark, sf_small, tmp_dir):
+    # two files that each hold every (day, type) group: every group is
+    # updated, and written, in both micro-batches
+    publish_json(raw_events(table(spark, sf_small, "events")).repartition(2, "event_id"),
+                 f"{tmp_dir}/topic")
+    src = read_json_stream(spark, f"{tmp_dir}/topic", MESSAGE_DDL, max_files_per_trigger=1)
+    stream_window(src, STREAM_DAILY, f"{tmp_dir}/w", f"{tmp_dir}/wc").awaitTermination()
+    got = sorted(tuple(r) for r in read_stream_window(spark, STREAM_DAILY, f"{tmp_dir}/w")
+                 .select(COLS).collect())
+    assert got == _batch_answer(spark, sf_small)
+    assert spark.read.parquet(f"{tmp_dir}/w").count() > len(got)
+
+
 def test_watermark_drops_rows_behind_it(spark, tmp_dir):
     topic = f"{tmp_dir}/wm"
     first = spark.createDataFrame(
