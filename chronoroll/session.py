@@ -24,7 +24,8 @@ def build_session(app: str = "chronoroll", master: str | None = None,
     UTC session zone (the reference runs every service in UTC), AQE with
     partition coalescing and skew-join splitting, Arrow for pandas transfer,
     and dynamic partition overwrite so ``mode("overwrite")`` on a partitioned
-    table replaces only the partitions present in the written data.
+    table replaces only the partitions present in the written data. Spent
+    checkpoints are cleaned up from the shared checkpoint folder.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -36,6 +37,9 @@ def build_session(app: str = "chronoroll", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # checkpointed aggregates (one-pass loads, compaction) are deleted
+        # from the shared folder once no plan on the driver refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
