@@ -211,7 +211,9 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     if quarantine_path:
         if obs is not None and not obs.get.get(BAD_ROWS):
             # no bad row in this load: an empty quarantine, no second read
-            # (a zero limit is planned as an empty relation)
+            # (a zero limit is planned as an empty relation). A task re-run
+            # after an executor loss can only add to the count, never hide
+            # a bad row, so zero is exact; an overcount just costs the read.
             bad = bad.limit(0)
         qparts = [spec.partition_col] if spec.partition_col else None
         write_table(bad, quarantine_path, qparts, mode="overwrite")
