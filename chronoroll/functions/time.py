@@ -90,7 +90,10 @@ def _session_is_utc() -> bool:
     spark = SparkSession.getActiveSession()
     if spark is None:
         return False
-    return str(spark.conf.get("spark.sql.session.timeZone", "")).upper() in _UTC_NAMES
+    # no default argument: Spark validates a default against the zone
+    # checker (an empty one fails); the setting always has a value (the
+    # JVM's zone when unset)
+    return str(spark.conf.get("spark.sql.session.timeZone") or "").upper() in _UTC_NAMES
 
 
 def _iso(s: Column) -> Column:

@@ -182,3 +182,17 @@ def test_typed_instant_column_becomes_utc_wall_clock(spark):
         assert out == dt.datetime(2024, 1, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_time_parsing_in_a_session_without_an_explicit_zone(spark):
+    """A plain session (the zone setting never set) must work too."""
+    from chronoroll.functions.time import _session_is_utc
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.unset("spark.sql.session.timeZone")
+    try:
+        _session_is_utc()
+        df = spark.createDataFrame([("01/08/2020 02:30:00 PM",)], "t string")
+        got = df.select(parse_time("t", "MM/dd/yyyy hh:mm:ss a").alias("x")).first()["x"]
+        assert str(got) == "2020-01-08 14:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
