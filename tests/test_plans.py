@@ -39,6 +39,16 @@ def test_lookup_default_and_no_row_growth(spark):
     out = {r["k"]: r["v"] for r in lookup(df, m, "k", "v", default="?").collect()}
     assert out == {1: "y", 2: "z", 3: "?"}
     assert fits_broadcast(m, 3) and not fits_broadcast(m, 2)
+    # 3 rows × (16 overhead + 1 key digit + 1 value letter) = 54 bytes
+    assert fits_broadcast(m, 3, max_bytes=54) and not fits_broadcast(m, 3, max_bytes=53)
+
+
+def test_lookup_wide_values_are_not_broadcast(spark):
+    df = spark.range(10).withColumnRenamed("id", "k")
+    m = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    out = lookup(df, m, "k", "v", max_broadcast_bytes=5000)
+    assert "broadcast" not in out._jdf.queryExecution().logical().toString().lower()
+    assert out.filter(F.length("v") == 1000).count() == 10
 
 
 def test_lookup_large_side_is_not_broadcast(spark):
