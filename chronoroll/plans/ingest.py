@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,6 +81,21 @@ def _count_bad(timed: DataFrame, observation: Observation | None) -> DataFrame:
     return timed.observe(observation, F.count_if(F.col(TIME_COLUMN).isNull()).alias(BAD_ROWS))
 
 
+def no_bad_rows(observation: Observation | None) -> bool:
+    """True only when the finished write reported zero bad rows.
+
+    A plan Spark optimised down to nothing (an empty input) reports no
+    metric at all; that counts as unknown, so the caller still writes the
+    bad side (a read of nothing).
+    """
+    if observation is None:
+        return False
+    try:
+        return observation.get.get(BAD_ROWS) == 0
+    except Py4JJavaError:            # no metrics row: the observed node never ran
+        return False
+
+
 def clean(df: DataFrame, spec: TableSpec,
           observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(typed rows with ``__time`` inside the intervals, bad rows), lazily.
@@ -209,7 +225,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
         rows, bad = prepare(source, spec, obs)
     write(rows, table_path, parts, **kw)
     if quarantine_path:
-        if obs is not None and not obs.get.get(BAD_ROWS):
+        if no_bad_rows(obs):
             # no bad row in this load: an empty quarantine, no second read
             # (a zero limit is planned as an empty relation). A task re-run
             # after an executor loss can only add to the count, never hide

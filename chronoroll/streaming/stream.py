@@ -31,7 +31,7 @@ from ..functions.time import instant_to_ntz, ntz_to_instant
 from ..functions.values import parse_json
 from ..operators.clean import BAD_REASON
 from ..operators.rollup import finish, reaggregate, state_aggs
-from ..plans.ingest import (BAD_ROWS, _spec_with_partition, _text_time, clean, prepare,
+from ..plans.ingest import (_spec_with_partition, _text_time, clean, no_bad_rows, prepare,
                             read_table, rollup_with_rejects, split_rollup)
 from ..session import delete_path, list_dirs, path_exists, shared_dir
 from ..sinks.files import CHUNK, replace_partitions, write_table
@@ -105,7 +105,7 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
         write_table(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), out_path,
                     [CHUNK, BATCH], mode="overwrite", files_per_partition=files_per_partition,
                     max_rows_per_file=spec.max_rows_per_file)
-        if obs is not None and not obs.get.get(BAD_ROWS):
+        if no_bad_rows(obs):
             bad = bad.limit(0)         # no bad row in this batch: no second read
         if quarantine_path:
             write_table(bad.withColumn(BATCH, F.lit(batch_id).cast("long")), quarantine_path,

@@ -180,3 +180,16 @@ def test_detail_load_without_bad_rows_reads_its_input_once(spark, tmp_dir):
     bad = spark.read.parquet(f"{tmp_dir}/q2").collect()
     assert [(r["k"], r["_bad_reason"]) for r in bad] == [("c", "unparseable time")]
     assert read_ingested(spark, spec, f"{tmp_dir}/t2").count() == 3
+
+
+def test_detail_load_of_an_empty_input_with_quarantine(spark, tmp_dir):
+    # Spark reports no metric for a plan optimised to nothing: the bad side
+    # is then written the ordinary way (a read of nothing)
+    spec = TableSpec(name="t", time_column="ts", time_format="yyyy-MM-dd HH:mm:ss",
+                     dimensions=(Dim("k"),), metrics=(Metric("count", "count"),),
+                     query_granularity="none", segment_granularity="month", rollup=False)
+    for i, df in enumerate([spark.createDataFrame([], "ts string, k string"),
+                            spark.range(5).selectExpr("cast(id as string) as ts", "'a' as k")
+                                 .filter("1 = 0")]):
+        run_ingest(spark, spec, df, f"{tmp_dir}/t{i}", quarantine_path=f"{tmp_dir}/q{i}")
+        assert spark.read.parquet(f"{tmp_dir}/q{i}").count() == 0
