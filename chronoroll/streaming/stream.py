@@ -230,7 +230,11 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = (batch.withColumn(TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
                .withColumn(BATCH, F.lit(batch_id).cast("long")))
-        write_table(out, out_path, [BATCH], mode="overwrite")
+        # a stateful micro-batch is planned without AQE, which would drop a
+        # REBALANCE hint: the updated groups are written straight from the
+        # state's hash partitions (fixed for the life of the query), one
+        # file per state partition and batch, no extra shuffle
+        write_table(out, out_path, [BATCH], mode="overwrite", files_per_partition=0)
 
     w = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
