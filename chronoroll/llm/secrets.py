@@ -1,0 +1,167 @@
+"""Secret scan: base patterns and windowed entropy, in DataFrame functions only.
+
+Base kinds are patterns found leftmost and without overlap: ``assign``
+(a credential name, ``:`` or ``=``, a value), ``access`` (access key ids)
+and ``hex`` (long hexadecimal runs). The entropy kinds look at candidate
+strings, the runs of one character class. A window of fixed length slides
+over each candidate; its Shannon entropy follows from the counts of the
+character that enters and of the one that leaves,
+
+    sum(c log2 c)  +=  f(c_in + 1) - f(c_in)  +  f(c_out - 1) - f(c_out),
+
+so no window is counted anew. Windows at or above the class's threshold that
+overlap or touch become one span. A candidate that matches an allow-list
+pattern gives none, and neither does a span that overlaps a base span.
+
+Positions are code points, the end exclusive. Defined cases: a null or empty
+text has no spans; overlapping base kinds are all reported; spans are ordered
+by start, then by kind as listed in KINDS; repeated rows are scanned row by
+row; an empty table gives an empty result; a column of the input that has the
+name of a result column is replaced by it.
+"""
+
+from __future__ import annotations
+
+from math import log2
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: (kind, pattern, group that must have the least length, least length): fixed values of the contract.
+BASE: tuple[tuple[str, str, int, int], ...] = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+)
+#: (kind, pattern of candidates, what a candidate must hold besides, window, least bits a character).
+CLASSES: tuple[tuple[str, str, tuple[str, ...], int, float], ...] = (
+    ("entropy_hex", r"[0-9A-Fa-f]{20,}", ("[0-9]", "[A-Fa-f]"), 20, 2.8),
+    ("entropy_key", r"[A-Za-z0-9+/_=-]{20,}", ("[0-9]", "[a-z]", "[A-Z]"), 20, 3.6),
+)
+#: Candidates that are no secrets: placeholders, plain counts, version-4 style ids, paths, names in one case.
+ALLOW: tuple[str, ...] = (
+    r"(?i)example|sample|placeholder|changeme|xxxxx|lorem",
+    r"(?i)0123456789|abcdefghij",
+    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+    r"^/?([A-Za-z][a-z]*[/_-])+[A-Za-z]?[a-z]*$",
+)
+KINDS = (*[k[0] for k in BASE], *[k[0] for k in CLASSES])
+_SPAN = "array<struct<start:int,rank:int,stop:int>>"
+
+
+def _found(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
+    """Spans of the matches whose ``group`` has at least ``least`` characters.
+
+    The text between matches (``split``) and the matches themselves
+    (``regexp_extract_all``) give the positions by their lengths.
+    """
+    p = F.lit(pattern)
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    hits = F.regexp_extract_all(text, p, F.lit(0))
+    sizes = F.transform(hits, F.length)
+    inner = sizes if group == 0 else F.transform(F.regexp_extract_all(text, p, F.lit(group)), F.length)
+    steps = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), inner.alias("inner"))
+    walked = F.aggregate(
+        F.filter(steps, lambda s: s["size"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
+        lambda acc, s: F.struct(
+            (acc["at"] + s["gap"] + s["size"]).alias("at"),
+            F.when(s["inner"] >= least, F.concat(acc["out"], F.array(F.struct(
+                (acc["at"] + s["gap"]).alias("start"), F.lit(rank).alias("rank"),
+                (acc["at"] + s["gap"] + s["size"]).alias("stop"))))).otherwise(acc["out"]).alias("out")),
+    )["out"]
+    return F.when(F.coalesce(text, F.lit("")).rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
+
+
+def _weight(c: Column) -> Column:
+    """``c log2 c``, 0 at 0."""
+    return F.when(c > 0, c * F.log2(F.greatest(c, F.lit(1.0)))).otherwise(F.lit(0.0))
+
+
+def _dense(candidate: Column, window: int, bits: float) -> Column:
+    """Merged (start, stop) of the windows of ``candidate`` with at least ``bits`` a character."""
+    chars = F.split(candidate, "")
+    n = F.length(candidate)
+    inside = lambda held, ch: (F.length(held) - F.length(F.replace(held, ch, F.lit("")))).cast("double")
+    state = F.struct(F.lit("").alias("held"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<a:int,b:int>>").alias("out"))
+
+    def step(acc, i):
+        full = F.length(acc["held"]) >= window
+        old, new = F.substring(acc["held"], 1, 1), F.element_at(chars, i)
+        rest = F.when(full, F.substr(acc["held"], F.lit(2))).otherwise(acc["held"])
+        c_old = inside(acc["held"], old)
+        c_new = inside(rest, new)
+        total = (acc["sum"]
+                 + F.when(full, _weight(c_old - 1) - _weight(c_old)).otherwise(F.lit(0.0))
+                 + _weight(c_new + 1) - _weight(c_new))
+        held = F.concat(rest, new)
+        good = (F.length(held) == window) & (F.lit(log2(window)) - total / F.lit(float(window)) >= F.lit(bits))
+        last = F.try_element_at(acc["out"], F.lit(-1))
+        here = F.struct((i - window).alias("a"), i.alias("b"))
+        joined = F.concat(F.slice(acc["out"], F.lit(1), F.greatest(F.size(acc["out"]) - 1, F.lit(0))),
+                          F.array(F.struct(last["a"].alias("a"), i.alias("b"))))
+        out = (F.when(~good, acc["out"])
+               .when(last.isNotNull() & (last["b"] >= i - window), joined)
+               .otherwise(F.concat(acc["out"], F.array(here))))
+        return F.struct(held.alias("held"), total.alias("sum"), out.alias("out"))
+
+    return F.aggregate(F.sequence(F.lit(1), n), state, step)["out"]
+
+
+def _entropic(text: Column, pattern: str, needs: tuple[str, ...], window: int, bits: float, rank: int) -> Column:
+    candidates = _found(text, pattern, 0, window, rank)
+
+    def spans(c):
+        run = F.substr(text, c["start"] + 1, c["stop"] - c["start"])
+        fit = F.lit(True)
+        for need in needs:
+            fit = fit & run.rlike(need)
+        for allowed in ALLOW:
+            fit = fit & ~run.rlike(allowed)
+        moved = F.transform(_dense(run, window, bits), lambda w: F.struct(
+            (c["start"] + w["a"]).alias("start"), F.lit(rank).alias("rank"), (c["start"] + w["b"]).alias("stop")))
+        return F.when(fit, moved).otherwise(F.array().cast(_SPAN))
+
+    return F.flatten(F.transform(candidates, spans))
+
+
+def scan(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """``docs`` with ``base_spans`` and ``spans``: arrays of (kind, start, stop), in order."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.withColumn("base_spans", F.array_sort(F.concat(
+        *[_found(t, p, g, n, i) for i, (_, p, g, n) in enumerate(BASE)])))
+    more = F.concat(*[_entropic(t, p, needs, w, bits, len(BASE) + i)
+                      for i, (_, p, needs, w, bits) in enumerate(CLASSES)])
+    free = F.filter(more, lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    # a span of an earlier class hides those of later classes that overlap it
+    free = F.filter(free, lambda s: ~F.exists(more, lambda o: (o["rank"] < s["rank"]) & (o["start"] < s["stop"]) & (s["start"] < o["stop"])))
+    rows = rows.withColumn("spans", F.array_sort(F.concat("base_spans", free)))
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    for c in ("base_spans", "spans"):
+        rows = rows.withColumn(c, F.transform(c, lambda s: F.struct(
+            F.element_at(kinds, s["rank"] + 1).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))))
+    return rows
+
+
+def listed(spans: Column) -> Column:
+    """``kind:start:end`` of every span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+
+def count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
+    """``text`` with every span, overlapping ones together, replaced by ``mark``."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        gap = F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        return (F.when(s["stop"] <= acc["at"], acc)
+                .when((s["start"] < acc["at"]), F.struct(s["stop"].alias("at"), acc["out"].alias("out")))
+                .otherwise(F.struct(s["stop"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))))
+
+    done = F.aggregate(spans, state, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
