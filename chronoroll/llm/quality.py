@@ -136,8 +136,8 @@ def fit(counts: list[tuple[str, int]], *, rounds: int = 200,
     """(shares of the classes, accuracies, probability of good of each vote string) by EM.
 
     The classes are "good" (0) and one kind of bad document for each rule:
-    bad documents are not alike, a rule finds its own kind and says little on
-    the others. ``accuracies[c, j, v]`` is the chance that rule ``j`` votes
+    bad documents are not alike, a rule finds its own kind, which only documents
+    that it votes bad can be, and says little on the others. ``accuracies[c, j, v]`` is the chance that rule ``j`` votes
     ``VOTES[v]`` on a document of class ``c``. EM starts from the votes for
     bad, shared evenly among the kinds that got one, and each estimate counts
     one vote of each sort besides those seen.
@@ -150,12 +150,13 @@ def fit(counts: list[tuple[str, int]], *, rounds: int = 200,
     bad = (kind == 0).astype(float)
     belongs = np.concatenate([(bad.sum(1, keepdims=True) == 0) * 1.0, bad], axis=1)
     belongs /= belongs.sum(1, keepdims=True)
+    possible = np.concatenate([np.ones((len(n), 1), bool), bad > 0], axis=1)
     for _ in range(rounds):
         acc = np.einsum("pc,p,pjv->cjv", belongs, n, cast) + 1
         acc /= acc.sum(2, keepdims=True)
         share = n @ belongs + 1
         share /= share.sum()
-        log = np.log(share) + np.einsum("cjv,pjv->pc", np.log(acc), cast)
+        log = np.where(possible, np.log(share) + np.einsum("cjv,pjv->pc", np.log(acc), cast), -np.inf)
         new = np.exp(log - log.max(1, keepdims=True))
         new /= new.sum(1, keepdims=True)
         moved, belongs = np.abs(new - belongs).max(), new
