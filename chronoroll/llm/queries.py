@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, urls
+from . import extract, packing, quality, secret_scan, substring, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages, extract.learn(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,12 +45,27 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = secrets.scan(docs)
+    rows = secret_scan.scan(docs)
     base = F.col("base_spans")
     return rows.select(
-        "doc_id", *[secrets.count(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
-        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"))
+        "doc_id", *[secret_scan.count(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def _fold(c: str) -> Column:
+    """crc32 of the id as text, modulo 4: rows of remainder 2 are held out."""
+    return F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(4))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    train = toxicity.training_rows(docs, labels, _fold("doc_id") != 2)
+    model = toxicity.Model(train, _fold("id") == 3)
+    return model.score(docs).select(
+        "doc_id", F.coalesce(_fold("doc_id") == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +78,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
