@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, packing, quality, secret_scan, substring, toxicity, urls
+from . import extract, nearby, packing, quality, secret_scan, substring, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nearby.groups(docs)
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract.extract(pages, extract.learn(pages)).select("page_id", "url", "text", "n_chars")
@@ -79,6 +84,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_html_extraction": op4_html_extraction,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
