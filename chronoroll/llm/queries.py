@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, nearby, packing, quality, secret_scan, substring, toxicity, urls
+from . import extract, nearby, packing, quality, secret_scan, semantic, substring, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return semantic.leaks(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.dedup(docs).select(
@@ -83,6 +88,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_html_extraction": op4_html_extraction,
