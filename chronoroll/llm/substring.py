@@ -39,7 +39,7 @@ from . import words as W
 
 WINDOW = 13
 #: Bytes of text in a block, and of hashes that a task compares at once (about).
-STAGED_BLOCK, GATHERED = 4 << 20, 24 << 20
+STAGED_BLOCK, GATHERED = 2 << 20, 16 << 20
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -161,8 +161,8 @@ def _rows(batches):
     """Rows one by one: a block is large."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            yield {n: row.column(n)[0].as_py() for n in row.schema.names}
+            yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+            pa.default_memory_pool().release_unused()
 
 
 def _ask(staged: DataFrame, rungs: list[int], parts: list[int], k: int) -> DataFrame:
