@@ -21,7 +21,7 @@ column is replaced by it.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,8 @@ RULES: tuple[tuple[str, str, float, float, int], ...] = (
     ("few_distinct", "1 - try_divide(n_distinct_words, n_words)", 0.85, 0.70, 20),
     ("word_length", "abs(try_divide(word_chars, n_words) - 6)", 8.0, 4.0, 5),
 )
+#: Votes of each sort that an estimate counts besides those seen.
+SMOOTHING = 0.05
 #: What a rule may say: bad, nothing, good.
 VOTES = "-0+"
 #: The last rule, by the number of words: bad below the first, good from the second on.
@@ -119,6 +121,11 @@ def _lines(buf, off, word_start):
     return np.bincount(owner, minlength=n), np.bincount(owner[order][same], minlength=n)
 
 
+def base_failed() -> Column:
+    """The base rule: fewer than 10 words, or over 20 % of them in windows of five that repeat."""
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def with_votes(measured: DataFrame, rules=RULES) -> DataFrame:
     """Adds ``votes``: one of ``+-0`` for each rule and one for the length."""
     parts = []
@@ -140,7 +147,7 @@ def fit(counts: list[tuple[str, int]], *, rounds: int = 200,
     that it votes bad can be, and says little on the others. ``accuracies[c, j, v]`` is the chance that rule ``j`` votes
     ``VOTES[v]`` on a document of class ``c``. EM starts from the votes for
     bad, shared evenly among the kinds that got one, and each estimate counts
-    one vote of each sort besides those seen.
+    SMOOTHING votes of each sort besides those seen.
     """
     if not counts:
         return np.empty(0), np.empty(0), {}
@@ -152,7 +159,7 @@ def fit(counts: list[tuple[str, int]], *, rounds: int = 200,
     belongs /= belongs.sum(1, keepdims=True)
     possible = np.concatenate([np.ones((len(n), 1), bool), bad > 0], axis=1)
     for _ in range(rounds):
-        acc = np.einsum("pc,p,pjv->cjv", belongs, n, cast) + 1
+        acc = np.einsum("pc,p,pjv->cjv", belongs, n, cast) + SMOOTHING
         acc /= acc.sum(2, keepdims=True)
         share = n @ belongs + 1
         share /= share.sum()

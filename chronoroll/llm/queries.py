@@ -81,8 +81,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     voted = quality.with_votes(quality.measures(docs)).drop("text").checkpoint()
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (quality.score(voted).withColumn("base_failed", failed)
+    return (quality.score(voted).withColumn("base_failed", quality.base_failed())
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", (~F.col("base_failed") & F.col("good")).alias("kept"), "p_good"))
 

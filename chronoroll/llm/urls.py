@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import words as W
+
 SHORT = 8
 #: Longest rule path: an upper bound of the number of path prefixes of a URL.
 MAX_PATH = 2048
@@ -68,8 +70,8 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
 
     taken = {"host", "path", "rule", "verdict"}
     own = [c for c in pages.columns if c not in taken]
-    rows = (pages.select(*[F.col(f"`{c}`") for c in own], host_of(F.col(f"`{url}`")).alias("host"),
-                         path_of(F.col(f"`{url}`")).alias("path"))
+    rows = (pages.select(*[F.col(W.quoted(c)) for c in own], host_of(F.col(W.quoted(url))).alias("host"),
+                         path_of(F.col(W.quoted(url))).alias("path"))
             .withColumn("_row", F.monotonically_increasing_id()))
     prefixes = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
     expressions = F.flatten(F.transform(suffixes(F.col("host")), lambda h: F.transform(
@@ -79,6 +81,6 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     met = asked.join(known, F.substring("_asked", 1, SHORT) == F.col("_short"), "left")
     best = F.max(F.when(F.col("_digest") == F.col("_asked"), F.col("_rule")))
     keep = [*own, "host", "path"]
-    out = met.groupBy("_row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in keep], best.alias("_best"))
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("_best.rule").alias("rule"),
+    out = met.groupBy("_row").agg(*[F.first(F.col(W.quoted(c))).alias(c) for c in keep], best.alias("_best"))
+    return out.select(*[F.col(W.quoted(c)) for c in keep], F.col("_best.rule").alias("rule"),
                       F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
