@@ -1,7 +1,7 @@
 """Command line: the reference's scripted steps as Spark jobs.
 
     spark-submit chronoroll/cli.py snapshot  --raw /data/raw --out /data/ingestion \\
-        --latest /data/ingestion/latest --columns "record_id,reported at,…" --region-col city
+        --latest /data/ingestion/latest --columns "id,at,kind,…" --region-col kind
     spark-submit chronoroll/cli.py ingest    --spec events_detail.json --table /data/tables/events \\
         [--quarantine /data/bad/events] [--base /data/ingestion/latest]
     spark-submit chronoroll/cli.py stream    --spec events_stream.json --out /data/tables/stream \\
@@ -10,8 +10,8 @@
         --base /data/tables/stream_base [--purge]
     spark-submit chronoroll/cli.py inventory --base /data/raw [--glob "*.csv"]
 
-Every command prints a small per-region or per-run summary; no data set is
-collected to the driver.
+Every command prints a short summary; ``--report`` writes the full per-region
+report. No data set is collected to the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +30,14 @@ def _load_spec(path: str) -> dict:
         return json.load(f)
 
 
+def _report(df, folder: str | None, name: str) -> None:
+    """Print how many rows a report has and its first ones; write all of it to ``folder``."""
+    print(f"{name}: {df.count()} rows")
+    df.show(truncate=False)
+    if folder:
+        df.write.mode("overwrite").option("header", "true").csv(f"{folder.rstrip('/')}/{name}")
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="chronoroll")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -72,6 +80,8 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--glob", default="*.csv")
     v.add_argument("--region-col", default="region")
 
+    for p in (s, i, v):
+        p.add_argument("--report", help="folder for the full per-region report (CSV)")
     a = ap.parse_args(argv)
     spark = build_session(f"chronoroll-{a.cmd}")
 
@@ -82,10 +92,10 @@ def main(argv: list[str] | None = None) -> int:
                                partition_col=a.region_col, fmt=a.format,
                                files_per_region=a.files_per_region)
         print(f"snapshot: {res.dated}  latest: {res.latest}")
-        res.counts.show(1000, truncate=False)
+        _report(res.counts, a.report, "counts")
         from .plans.audit import compare_inventories
         check = compare_inventories(spark, a.raw, a.latest, a.region_col)
-        check.show(1000, truncate=False)
+        _report(check, a.report, "check")
         missing = check.filter(F.col("status") == "MISSING_OUTPUT").count()
         if missing:
             print(f"{missing} region(s) have input but no output")
@@ -96,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
                        base_override=a.base, keep_counts=True, regions=a.region)
         print(f"table: {res.table}  partitions: {', '.join(res.partition_cols)}")
         if res.counts is not None:
-            res.counts.orderBy(*res.counts.columns[:1]).show(1000, truncate=False)
+            _report(res.counts.orderBy(*res.counts.columns[:1]), a.report, "counts")
     elif a.cmd == "stream":
         from .plans.spec_job import run_stream_spec
         q, _ = run_stream_spec(spark, _load_spec(a.spec), a.out, a.checkpoint,
@@ -115,7 +125,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "inventory":
         from .plans.audit import inventory
         inv = inventory(spark, a.base, a.region_col, glob=a.glob)
-        inv.show(1000, truncate=False)
+        _report(inv, a.report, "inventory")
         empty = inv.filter(~F.col("has_files")).count()
         if empty:
             print(f"{empty} region folder(s) without files")

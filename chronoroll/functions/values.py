@@ -19,13 +19,23 @@ def coerce(c: Column | str, type_name: str) -> Column:
 
     ``try_cast`` keeps the ANSI-mode engine from failing the whole job on one
     bad cell (plain ``cast`` raises under ANSI). Text is trimmed first, so
-    `` 12 `` reads as 12 the way a CSV reader would.
+    `` 12 `` reads as 12 the way a CSV reader would. A long may be written
+    with a decimal point and zeros (``400.0``, as tools export an integer
+    column with gaps); with any other fraction it becomes null.
     """
     t = SPARK_TYPES[type_name.lower()]
     col = _c(c)
     if t == "string":
         return col.cast("string")
-    return F.trim(col.cast("string")).try_cast(t)
+    text = F.trim(col.cast("string"))
+    return exact_long(text) if t == "bigint" else text.try_cast(t)
+
+
+def exact_long(c: Column) -> Column:
+    """Text as a long, also one with a decimal point and zeros; null for any other text."""
+    exact = c.try_cast("decimal(38,9)")
+    return F.coalesce(c.try_cast("bigint"),
+                      F.when(exact == F.floor(exact), exact.try_cast("bigint")))
 
 
 def region_from_path(path: Column | str) -> Column:
@@ -43,12 +53,16 @@ def region_from_path(path: Column | str) -> Column:
     return F.when(name.contains("%"), F.coalesce(decoded, name)).otherwise(name)
 
 
-def parse_json(c: Column | str, ddl: str) -> Column:
+def parse_json(c: Column | str, ddl: str, malformed: str | None = None) -> Column:
     """Parse a JSON text column to a struct with the given DDL schema.
 
-    Malformed text yields a struct of nulls (PERMISSIVE), never an error.
+    Malformed text yields a struct of nulls (PERMISSIVE), never an error;
+    ``malformed`` names a further field that then holds the text.
     """
-    return F.from_json(_c(c), ddl, {"mode": "PERMISSIVE"})
+    options = {"mode": "PERMISSIVE"}
+    if malformed:
+        ddl, options = f"{ddl}, `{malformed}` STRING", {**options, "columnNameOfCorruptRecord": malformed}
+    return F.from_json(_c(c), ddl, options)
 
 
 def to_json_value(cols: list[str] | None = None) -> Column:

@@ -1,18 +1,17 @@
 """Relational operators: cleaning, rollup, lookup, union."""
 
-from .clean import (BAD_REASON, RAW_TIME, bad_reason, coerce_columns, coerce_dims, exclude,
-                    filter_intervals, filter_partition, interval_predicate, keep_rows, preview,
-                    project,
+from .clean import (BAD_REASON, MALFORMED, RAW_TIME, bad_reason, coerce_columns, coerce_dims, exclude,
+                    filter_intervals, filter_partition, interval_predicate, keep_rows, parsed_messages, preview, project,
                     rename_positional, split_bad, stamp, tag, with_event_time, with_expr)
-from .lookup import fits_broadcast, lookup
+from .lookup import lookup
 from .rollup import (bucket, counts_by, detail, distinct_values, exact_distinct, finish,
                      quantiles, reaggregate, roll, rollup, sketch_summary)
 from .union import union_by_name, union_by_position
 
-__all__ = ["BAD_REASON", "RAW_TIME", "bad_reason", "coerce_columns", "coerce_dims", "exclude",
-           "filter_intervals", "filter_partition", "interval_predicate", "keep_rows", "preview",
-           "project",
+__all__ = ["BAD_REASON", "MALFORMED", "RAW_TIME", "bad_reason", "coerce_columns", "coerce_dims", "exclude",
+           "filter_intervals", "filter_partition", "interval_predicate", "keep_rows",
+           "parsed_messages", "preview", "project",
            "rename_positional", "split_bad", "stamp", "tag", "with_event_time", "with_expr",
-           "fits_broadcast", "lookup", "bucket", "counts_by", "detail", "distinct_values",
+           "lookup", "bucket", "counts_by", "detail", "distinct_values",
            "exact_distinct", "finish", "quantiles", "reaggregate", "roll", "rollup",
            "sketch_summary", "union_by_name", "union_by_position"]

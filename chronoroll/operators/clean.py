@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions.time import (chunk_label, event_time, instant_to_ntz, interval_bounds,
                               is_blank, ntz_literal)
-from ..functions.values import coerce
+from ..functions.values import coerce, parse_json
 from ..spec import TIME_COLUMN, TableSpec
 
 RAW_TIME = "_raw_time"
 BAD_REASON = "_bad_reason"
+MALFORMED = "_malformed"        # the text of a record that could not be parsed, else null
 
 
 def project(df: DataFrame, spec: TableSpec, keep: list[str] | None = None) -> DataFrame:
@@ -39,6 +40,21 @@ def project(df: DataFrame, spec: TableSpec, keep: list[str] | None = None) -> Da
                        else F.lit(None).cast("string").alias(c) for c in wanted])
 
 
+def parsed_messages(df: DataFrame, ddl: str, value: str = "value",
+                    keep: list[str] | None = None) -> DataFrame:
+    """JSON messages as typed columns plus ``_malformed``.
+
+    ``_malformed`` is the text of a message that is no JSON object (empty text
+    for a missing one) and null for all others: a record of nulls is a record,
+    garbage is not.
+    """
+    m = df.select(*(keep or []), F.col(value), parse_json(value, ddl, MALFORMED).alias("_m"))
+    broken = F.when(F.col("_m").isNull(), F.coalesce(F.col(value), F.lit(""))) \
+              .otherwise(F.col(f"_m.{MALFORMED}"))
+    fields = [f.name for f in m.schema["_m"].dataType.fields if f.name != MALFORMED]
+    return m.select(*(keep or []), *[F.col(f"_m.`{f}`") for f in fields], broken.alias(MALFORMED))
+
+
 def exclude(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataFrame:
     """Drop the named columns, e.g. the time text once it is parsed."""
     return df.drop(*columns)
@@ -125,7 +141,8 @@ def with_event_time(df: DataFrame, spec: TableSpec, keep_raw: bool = True) -> Da
     """Add ``__time`` parsed from the spec's time column.
 
     Null or empty time text takes ``spec.missing_time`` when the spec has
-    one; text that does not parse stays null (see ``split_bad``).
+    one; text that does not parse stays null (see ``split_bad``). A record
+    marked as malformed has no time at all, so no default either.
     """
     raw = F.col(f"`{spec.time_column}`")
     kind = df.schema[spec.time_column].dataType.typeName()
@@ -137,15 +154,19 @@ def with_event_time(df: DataFrame, spec: TableSpec, keep_raw: bool = True) -> Da
             t = F.coalesce(t, ntz_literal(spec.missing_time))
     else:
         t = event_time(raw, spec.time_format, spec.missing_time)
+    if MALFORMED in df.columns:
+        t = F.when(F.col(MALFORMED).isNull(), t)
     out = df.withColumn(TIME_COLUMN, t)
     if keep_raw:
         out = out.withColumn(RAW_TIME, raw.cast("string"))
     return out
 
 
-def bad_reason(raw_time: str = RAW_TIME, parsed: str = TIME_COLUMN) -> Column:
+def bad_reason(raw_time: str = RAW_TIME, parsed: str = TIME_COLUMN,
+               malformed: bool = False) -> Column:
     """Why a row cannot be loaded, or null when it can."""
-    return (F.when(is_blank(raw_time) & F.col(parsed).isNull(), F.lit("missing time"))
+    first = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed record")) if malformed else F
+    return (first.when(is_blank(raw_time) & F.col(parsed).isNull(), F.lit("missing time"))
              .when(F.col(parsed).isNull(), F.lit("unparseable time")))
 
 
@@ -160,7 +181,8 @@ def split_bad(df: DataFrame, raw_time: str = RAW_TIME,
     # a row is bad exactly when its parsed time is null; the reason is only
     # worked out on the (small) bad side
     good = df.filter(F.col(parsed).isNotNull())
-    bad = df.filter(F.col(parsed).isNull()).withColumn(BAD_REASON, bad_reason(raw_time, parsed))
+    bad = df.filter(F.col(parsed).isNull()).withColumn(
+        BAD_REASON, bad_reason(raw_time, parsed, MALFORMED in df.columns))
     return good, bad
 
 

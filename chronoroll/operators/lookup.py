@@ -1,11 +1,8 @@
-"""Key → value lookup on a dimension.
+"""Lookup of one value per key from a mapping table.
 
-The lookup table is broadcast only after its size is checked: at most
-``max_broadcast_rows`` rows and ``max_broadcast_bytes`` of key and value
-text (both measured on a bounded ``limit``, so the check itself never reads
-more than that many rows). A larger lookup table is joined with a normal
-shuffle join instead, which AQE may still turn into a broadcast at run time
-if it proves small.
+Spark picks the join: a mapping whose size statistics or measured shuffle
+size are below the broadcast threshold is broadcast, a larger one is
+shuffled, and a key that holds a large share of the rows is split by AQE.
 """
 
 from __future__ import annotations
@@ -13,45 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 2**20
-ROW_OVERHEAD_BYTES = 16
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` of data.
-
-    Bytes are the text length of every value plus a fixed per-row overhead
-    (numbers as text overstate their binary size: a safe side). Both are
-    measured on at most ``max_rows + 1`` rows.
-    """
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-             for c in df.columns]
-    row_bytes = sum(sizes, F.lit(ROW_OVERHEAD_BYTES))
-    n, total = (df.limit(max_rows + 1)
-                  .agg(F.count(F.lit(1)), F.sum(row_bytes)).first())
-    return n <= max_rows and (total or 0) <= max_bytes
-
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, out: str | None = None,
-           map_key: str | None = None, default=None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+           map_key: str | None = None, default=None) -> DataFrame:
     """Add ``out`` = mapping[value] for df[key]; unmatched keys get ``default``.
 
     One value per key is kept (the largest, so the result is deterministic),
     so a lookup never multiplies the rows of ``df``.
     """
     out = out or value
-    map_key = map_key or key
-    m = (mapping.groupBy(F.col(map_key).alias("_lk"))
+    m = (mapping.groupBy(F.col(map_key or key).alias("_lk"))
                 .agg(F.max(F.col(value)).alias("_lv")))
-    # the check reads at most max_broadcast_rows + 1 rows of the two mapping
-    # columns; one value per key can only be fewer rows and bytes than that
-    if fits_broadcast(mapping.select(F.col(map_key), F.col(value)), max_broadcast_rows,
-                      max_broadcast_bytes):
-        m = F.broadcast(m)
     joined = df.join(m, df[key] == m["_lk"], "left")
     v = F.col("_lv") if default is None else F.coalesce(F.col("_lv"), F.lit(default))
     return joined.withColumn(out, v).drop("_lk", "_lv")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import floor_time
+from ..functions.values import exact_long
 from ..spec import TIME_COLUMN, Metric, TableSpec
 
 UNITS = "__units"
@@ -33,7 +34,7 @@ def metric_input(m: Metric) -> Column:
     """The metric's input column as a number; text that is no number → null."""
     x = _f(m)
     if m.type in ("longSum", "longMin", "longMax"):
-        return x.try_cast("long")
+        return exact_long(x)
     if m.type in ("doubleSum", "doubleMean", "doubleAvg", "doubleMin", "doubleMax",
                   "quantilesDoublesSketch"):
         return x.try_cast("double")
@@ -42,7 +43,8 @@ def metric_input(m: Metric) -> Column:
 
 def _units(m: Metric, x: Column) -> Column:
     """Fixed-point integer units of a value (10**-scale each)."""
-    return F.round(x * F.lit(float(10 ** m.scale))).cast("long")
+    # NaN, Infinity and values beyond 64 bits count as no value
+    return F.round(x * F.lit(float(10 ** m.scale))).try_cast("long")
 
 
 def state_columns(m: Metric) -> list[str]:
@@ -69,7 +71,7 @@ def state_aggs(m: Metric) -> list[Column]:
     if t in ("doubleMean", "doubleAvg"):
         s = F.sum(_units(m, x)).alias(m.name + UNITS) if m.scale is not None \
             else F.sum(x).alias(m.name + SUM)
-        return [s, F.count(x).alias(m.name + N)]
+        return [s, F.count(_units(m, x) if m.scale is not None else x).alias(m.name + N)]
     if t.endswith("Min"):
         return [F.min(x).alias(m.name)]
     if t.endswith("Max"):
@@ -83,6 +85,18 @@ def state_aggs(m: Metric) -> list[Column]:
     raise ValueError(t)
 
 
+def row_states(m: Metric) -> list[Column]:
+    """The stored state of a metric for one row (detail tables)."""
+    x = metric_input(m)
+    if m.type in ("doubleSum", "doubleMean", "doubleAvg"):
+        v = _units(m, x) if m.scale is not None else x
+        state = [v.alias(state_columns(m)[0])]
+        return state if m.type == "doubleSum" else [*state, v.isNotNull().cast("long").alias(m.name + N)]
+    if m.type in ("hyperUnique", "thetaSketch", "quantilesDoublesSketch"):
+        raise ValueError(f"metric {m.name!r} ({m.type}) needs a rollup")
+    return [x.alias(m.name)]
+
+
 def merge_aggs(m: Metric) -> list[Column]:
     """Aggregate expressions that merge stored states of a metric."""
     t = m.type
@@ -151,7 +165,12 @@ def rollup(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN,
 
 def detail(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN,
            keep: list[str] | None = None) -> DataFrame:
-    """No rollup: every row kept, time floored, ``count = 1``."""
+    """No rollup: every row kept, time floored, ``count = 1``.
+
+    A metric is stored as its mergeable state of one row, so ``finish`` and
+    ``reaggregate`` read a detail table like a rolled-up one. Sketches have
+    no state of a single row: they need a rollup.
+    """
     cols = [floor_time(time_col, spec.query_granularity).alias(TIME_COLUMN)]
     cols += [F.col(f"`{d}`") for d in spec.dim_names if d != TIME_COLUMN]
     cols += [F.col(f"`{c}`") for c in (keep or [])]
@@ -159,7 +178,7 @@ def detail(df: DataFrame, spec: TableSpec, time_col: str = TIME_COLUMN,
         if m.type == "count":
             cols.append(F.lit(1).cast("long").alias(m.name))
         elif m.field:
-            cols.append(metric_input(m).alias(m.name))
+            cols += row_states(m)
     return df.select(*cols)
 
 

@@ -24,6 +24,7 @@ MISSING_TIME_MOD = 97      # time text left empty
 BAD_TIME_MOD = 101         # time text that is not a time
 BAD_USER_MOD = 71          # user id with a letter in it
 BAD_VALUE_MOD = 53         # measure that is not a number
+GARBLED_MOD = 89           # message or line that is broken
 BAD_TIME_TEXT = "not a time"
 BAD_VALUE_TEXT = "n/a"
 

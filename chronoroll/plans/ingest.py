@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import floor_time
-from ..operators.clean import (BAD_REASON, RAW_TIME, bad_reason, coerce_dims, exclude,
-                               filter_intervals, interval_predicate, keep_rows, project,
-                               split_bad, with_event_time)
+from ..functions.time import chunk_label, floor_time, interval_bounds
+from ..operators.clean import (MALFORMED, RAW_TIME, coerce_dims, exclude, filter_intervals,
+                               interval_predicate, keep_rows, project, split_bad,
+                               with_event_time)
 from ..operators.rollup import roll, rollup, state_aggs
-from ..session import shared_dir
-from ..sinks.files import CHUNK, append_table, replace_partitions, with_chunk, write_table
+from ..session import list_dirs, list_files, shared_dir
+from ..sinks.files import (CHUNK, append_table, drop_unwritten, partition_files,
+                           replace_partitions, with_chunk, write_table)
 from ..spec import TIME_COLUMN, Dim, TableSpec
 
 
@@ -50,21 +51,38 @@ def _spec_with_partition(spec: TableSpec) -> TableSpec:
 
 
 def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Projected, typed rows with a nullable ``__time`` and the raw time text."""
+    """Projected, typed rows with a nullable ``__time`` and the raw time text.
+
+    A blank region counts as a missing one: both live in the same partition
+    folder, so they must be one group.
+    """
     spec = _spec_with_partition(spec)
     keep = [spec.partition_col] if spec.partition_col else []
-    return with_event_time(coerce_dims(project(df, spec, keep=keep), spec), spec)
+    keep += [MALFORMED] if MALFORMED in df.columns else []
+    typed = with_event_time(coerce_dims(project(df, spec, keep=keep), spec), spec).drop(MALFORMED)
+    if spec.partition_col:
+        p = F.col(f"`{spec.partition_col}`")
+        typed = typed.withColumn(spec.partition_col, F.when(p.cast("string") != "", p))
+    return typed
 
 
 def _consumed(spec: TableSpec) -> list[str]:
     return [c for c in (spec.time_column, RAW_TIME, *spec.exclude) if c != TIME_COLUMN]
 
 
-def _timed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(typed rows with a nullable ``__time``, bad rows)."""
-    timed = _typed(df, spec)
-    _, bad = split_bad(timed)
-    return exclude(timed, _consumed(spec)), bad.drop(TIME_COLUMN)
+def bad_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows that cannot be loaded, with every source column as it was read.
+
+    ``_raw_time`` and ``_bad_reason`` are added; nothing is typed or dropped,
+    so a corrected row can be loaded again.
+    """
+    _, bad = split_bad(with_event_time(df, spec))
+    return bad.drop(TIME_COLUMN)
+
+
+def _timed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Typed rows with a nullable ``__time``."""
+    return exclude(_typed(df, spec), _consumed(spec))
 
 
 BAD_ROWS = "bad_rows"
@@ -105,7 +123,7 @@ def clean(df: DataFrame, spec: TableSpec,
     pushed into the scan. ``observation`` (text times only) counts the bad
     rows while the good ones are written.
     """
-    timed, bad = _timed(df, spec)
+    timed, bad = _timed(df, spec), bad_rows(df, spec)
     t = F.col(TIME_COLUMN)
     cond = t.isNotNull()
     if spec.intervals:
@@ -115,6 +133,18 @@ def clean(df: DataFrame, spec: TableSpec,
     return timed.filter(cond), bad
 
 
+def _in_reach(timed: DataFrame, df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows of a typed time that are missing a time or inside the intervals.
+
+    The filter reaches the scan. For a time parsed from text it would make
+    every row parse twice; there the rollup itself drops the others.
+    """
+    if not spec.intervals or _text_time(df, spec):
+        return timed
+    t = F.col(TIME_COLUMN)
+    return timed.filter(t.isNull() | interval_predicate(t, spec.intervals))
+
+
 def prepare(df: DataFrame, spec: TableSpec,
             observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(table rows with ``chunk``, bad rows) for a raw frame, lazily.
@@ -125,7 +155,10 @@ def prepare(df: DataFrame, spec: TableSpec,
     """
     full = _spec_with_partition(spec)
     if spec.rollup:
-        timed, bad = _timed(df, spec)
+        timed, bad = _timed(df, spec), bad_rows(df, spec)
+        if spec.intervals and not _text_time(df, spec):
+            # a typed time: only the rows inside the intervals are read at all
+            timed = timed.filter(interval_predicate(F.col(TIME_COLUMN), spec.intervals))
         rows = rollup(_count_bad(timed, observation), full, intervals=spec.intervals)
     else:
         good, bad = clean(df, spec, observation)
@@ -133,50 +166,47 @@ def prepare(df: DataFrame, spec: TableSpec,
     return with_chunk(rows, TIME_COLUMN, spec.segment_granularity), bad
 
 
-REJECT, KEPT, N = "_reject", "_kept", "_n"
+KEPT, BAD, N = "_kept", "_bad", "_n"
 
 
-def rollup_with_rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One aggregation that yields the rolled-up rows *and* the bad rows.
+def rollup_with_rejects(df: DataFrame, spec: TableSpec, count_outside: bool = False) -> DataFrame:
+    """One aggregation that yields the rolled-up rows *and* the load's accounts.
 
-    Good rows are grouped by (bucket, dimensions) as usual. A bad row gets
-    its whole content (plus the reason) as an extra grouping key, so it
-    comes out of the same aggregation as its own group with its multiplicity
-    in ``_n``. Rows outside the intervals land in a null bucket. One scan of
-    the input therefore feeds the table, the quarantine and the audit.
+    Good rows are grouped by (bucket, dimensions) as usual; bad rows and rows
+    outside the intervals fall in a null bucket and are only counted, by
+    group. For a typed time the rows outside the intervals are not read
+    unless ``count_outside`` asks for their number.
     """
     full = _spec_with_partition(spec)
     typed = _typed(df, spec)
+    if not count_outside:
+        typed = _in_reach(typed, df, spec)
     t = F.col(TIME_COLUMN)
-    raw_cols = [c for c in typed.columns if c != TIME_COLUMN]
-    reject = F.when(t.isNull(), F.struct(*[F.col(f"`{c}`") for c in raw_cols],
-                                         bad_reason().alias(BAD_REASON)))
     keep = t.isNotNull()
     if spec.intervals:
         keep = keep & interval_predicate(t, spec.intervals)
     keys = [F.when(keep, floor_time(t, spec.query_granularity)).alias(TIME_COLUMN)]
-    keys += [F.col(f"`{d}`") for d in full.dim_names] + [reject.alias(REJECT)]
+    keys += [F.col(f"`{d}`") for d in full.dim_names]
     aggs = [a for m in full.metrics for a in state_aggs(m)]
     return typed.groupBy(*keys).agg(*aggs, F.count_if(keep).alias(KEPT),
-                                    F.count(F.lit(1)).alias(N))
+                                    F.count_if(t.isNull()).alias(BAD), F.count(F.lit(1)).alias(N))
 
 
-def split_rollup(agg: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(table rows with ``chunk``, bad rows, per-region counts) from ``rollup_with_rejects``."""
-    rows = agg.filter(F.col(KEPT) > 0).drop(REJECT, KEPT, N)
+def split_rollup(agg: DataFrame, spec: TableSpec,
+                 outside_known: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(table rows with ``chunk``, per-region counts) from ``rollup_with_rejects``."""
+    rows = agg.filter(F.col(KEPT) > 0).drop(KEPT, BAD, N)
     rows = with_chunk(rows, TIME_COLUMN, spec.segment_granularity)
-    bad = (agg.filter(F.col(REJECT).isNotNull())
-              .select(F.explode(F.array_repeat(REJECT, F.col(N).cast("int"))).alias("_r"))
-              .select("_r.*"))
     region = [spec.partition_col] if spec.partition_col else []
-    n = F.col(N)
-    counts = agg.groupBy(*region).agg(
-        F.sum(n).alias("rows_in"),
-        F.sum(F.when(F.col(KEPT) > 0, n).otherwise(0)).alias("rows_loaded"),
-        F.sum(F.when(F.col(REJECT).isNotNull(), n).otherwise(0)).alias("rows_bad"))
-    counts = counts.withColumn(
-        "rows_outside", F.col("rows_in") - F.col("rows_loaded") - F.col("rows_bad"))
-    return rows, bad, counts
+    counts = agg.groupBy(*region).agg(F.sum(N).alias("rows_in"), F.sum(KEPT).alias("rows_loaded"),
+                                      F.sum(BAD).alias("rows_bad"))
+    outside = F.col("rows_in") - F.col("rows_loaded") - F.col("rows_bad")
+    return rows, counts.withColumn("rows_outside", outside if outside_known else F.lit(None).cast("long"))
+
+
+def has_bad(agg: DataFrame) -> bool:
+    """Whether a ``rollup_with_rejects`` (materialised) met a bad row."""
+    return bool(agg.agg(F.sum(BAD)).first()[0])
 
 
 def partition_cols(spec: TableSpec) -> list[str]:
@@ -186,46 +216,56 @@ def partition_cols(spec: TableSpec) -> list[str]:
 def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_path: str,
                quarantine_path: str | None = None, mode: str = "replace",
                files_per_partition: int | None = None, keep_counts: bool = False,
-               one_pass: bool = True) -> IngestResult:
+               one_pass: bool = True, drop_existing: bool = False,
+               regions: list[str] | None = None, count_outside: bool = False) -> IngestResult:
     """Load ``source`` into the table at ``table_path`` as ``spec`` says.
 
     ``mode="replace"`` replaces the (region, chunk) partitions present in
-    this load (others stay); ``"append"`` adds rows. Bad rows go to
-    ``quarantine_path`` (partitioned by region) when it is given.
-
-    A rollup load with a quarantine or ``keep_counts`` reads its input once:
-    the aggregation of ``rollup_with_rejects`` (small: one row per group and
-    one per bad row) is checkpointed to the cluster's checkpoint folder and
-    the table, the quarantine and the counts are all cut from it. A detail
-    load (no rollup) writes the table from the input and, if asked, the bad
-    rows from a second, filtered pass. When the time is parsed from text,
-    the table write counts the bad rows on the way (an ``Observation``), and
-    the second pass is skipped when there are none: a clean load is read
-    once. (A typed time needs no parse; its bad side is a null filter.)
-
-    One pass moves every bad row through the aggregation's shuffle, which is
-    cheap while bad rows are few. When most of a load is bad (say a whole
-    region arrives in another time format), ``one_pass=False`` writes the
-    bad rows from a second, filtered read instead.
+    this load (others stay); ``"append"`` adds rows. With ``drop_existing``
+    a replacing load stands for its whole scope: partitions of ``regions``
+    (all regions by default) whose chunk lies wholly inside the intervals
+    (every chunk without intervals) and that the load did not write are
+    removed after the new data is in place. Bad rows go to
+    ``quarantine_path`` (partitioned by region, all source columns) when it
+    is given.
+
+    A rollup load with a quarantine or ``keep_counts`` takes its accounts
+    from the aggregation itself (``rollup_with_rejects``, checkpointed to
+    the cluster's checkpoint folder); a detail load counts the bad rows of a
+    text time while the table is written (an ``Observation``). Either way
+    the bad rows are written by a second, filtered read, and only if there
+    are any: a clean load is read once, and no number of equal bad rows
+    gathers in a task. ``one_pass=False`` skips the accounts.
     """
     parts = partition_cols(spec)
     kw = dict(files_per_partition=files_per_partition, max_rows_per_file=spec.max_rows_per_file,
               sort_within=spec.indexed or None)
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    write = append_table if mode == "append" else replace_partitions
+    if regions and not spec.partition_col:
+        raise ValueError("a load of some regions needs a partition column, or it would "
+                         "replace the chunks of the others")
     counts = obs = None
+    clean_load = False
+    bad = bad_rows(source, spec)
     if spec.rollup and one_pass and (quarantine_path or keep_counts):
         shared_dir(spark)
-        agg = rollup_with_rejects(source, spec).checkpoint(eager=True)
-        rows, bad, counts = split_rollup(agg, spec)
+        agg = rollup_with_rejects(source, spec, count_outside).checkpoint(eager=True)
+        known = count_outside or not spec.intervals or _text_time(source, spec)
+        rows, counts = split_rollup(agg, spec, known)
+        clean_load = not has_bad(agg)
     else:
         if quarantine_path and _text_time(source, spec):
             obs = Observation(f"chronoroll_bad_rows_{uuid.uuid4().hex}")
-        rows, bad = prepare(source, spec, obs)
-    write(rows, table_path, parts, **kw)
+        rows, _ = prepare(source, spec, obs)
+    if mode == "append":
+        append_table(rows, table_path, parts, **kw)
+    else:
+        scope = _scope(spark, spec, table_path, regions) if drop_existing else {}
+        replace_partitions(rows, table_path, parts, **kw)
+        drop_unwritten(spark, scope)
     if quarantine_path:
-        if no_bad_rows(obs):
+        if clean_load or no_bad_rows(obs):
             # no bad row in this load: an empty quarantine, no second read
             # (a zero limit is planned as an empty relation). A task re-run
             # after an executor loss can only add to the count, never hide
@@ -236,20 +276,57 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     return IngestResult(table_path, quarantine_path, tuple(parts), counts)
 
 
+def _scope(spark: SparkSession, spec: TableSpec, path: str,
+           regions: list[str] | None) -> dict[str, frozenset[str]]:
+    """Partition folders a load stands for, with their files (metadata only)."""
+    bounds = None
+    if spec.intervals:
+        g = spec.segment_granularity
+        cols = []
+        for iv in spec.intervals:
+            lo, hi = interval_bounds(iv)
+            # a chunk that starts before the interval is not wholly inside
+            first = F.when(floor_time(lo, g) == lo, F.lit(0)).otherwise(F.lit(1))
+            cols.append(F.struct(chunk_label(lo, g), first, chunk_label(hi, g)))
+        bounds = [tuple(b) for b in spark.range(1).select(F.array(*cols)).first()[0]]
+    out = {}
+    for values, folder, files in partition_files(spark, path, partition_cols(spec)):
+        chunk = values[CHUNK]
+        if regions is not None and values[spec.partition_col] not in regions:
+            continue
+        if bounds is None or any((chunk > lo or chunk == lo and not late) and chunk < hi
+                                 for lo, late, hi in bounds):
+            out[folder] = files
+    return out
+
+
 def read_table(spark: SparkSession, path: str, string_partitions: list[str] | None = None) -> DataFrame:
     """Read a table written by this library.
 
     Partition folder values such as ``2024-01-01`` would be inferred as
     dates; the named partition columns are read back as text, as written.
+    The schema then comes from one partition folder, so the table's files
+    are listed once.
     """
-    df = spark.read.parquet(path)
     if not string_partitions:
-        return df
+        return spark.read.parquet(path)
+    leaf = a_partition(spark, path)
+    df = spark.read.option("basePath", path).parquet(leaf)
     fields = [T.StructField(f.name, T.StringType(), True) if f.name in string_partitions else f
               for f in df.schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def a_partition(spark: SparkSession, path: str) -> str:
+    """A partition folder that holds files (the table itself if there is none)."""
+    def first(folder: str) -> str | None:
+        if any(not n.startswith(("_", ".")) for n in list_files(spark, folder)):
+            return folder
+        names = (n for n in list_dirs(spark, folder) if "=" in n)
+        return next((f for f in (first(f"{folder}/{n}") for n in names) if f), None)
+    return first(path.rstrip("/")) or path
+
+
 def read_ingested(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     parts = partition_cols(spec)
     return read_table(spark, path, parts)
@@ -260,7 +337,7 @@ def read_range(spark: SparkSession, spec: TableSpec, path: str, intervals) -> Da
 
     A filter on ``__time`` alone cannot prune folders: the matching range of
     chunk labels is added next to it, so only the chunks that can hold rows
-    are listed and read (``PartitionFilters`` in the plan).
+    are read (``PartitionFilters`` in the plan; a path read lists all files).
     """
     table = read_ingested(spark, spec, path)
     return filter_intervals(table, intervals, TIME_COLUMN, CHUNK, spec.segment_granularity)

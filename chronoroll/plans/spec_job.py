@@ -15,12 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import region_from_path
-from ..sources.files import read_csv, read_csv_positional, read_parquet, region_glob
+from ..operators.clean import parsed_messages
+from ..sources.files import (FILE_PATH, read_csv, read_csv_positional, read_parquet,
+                             region_glob)
 from ..sources.jdbc import read_jdbc_query, read_jdbc_table
 from ..spec import JdbcOptions, TableSpec
 from .ingest import IngestResult, run_ingest
 
 
+# Bounds of a micro-batch, whatever the backlog.
+BATCH_BYTES = 256 << 20
+BATCH_MESSAGES = 5_000_000
+
+
 def _spec_body(d: dict) -> dict:
     return d.get("spec", d)
 
@@ -48,7 +55,8 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
         db = src.get("database", {}).get("connectorConfig", {})
         opts = JdbcOptions(db["connectURI"], db.get("user"), db.get("password"))
         sqls = src.get("sqls") or [src["sql"]]
-        frames = [read_jdbc_query(spark, opts, q) for q in sqls]
+        frames = [read_jdbc_query(spark, opts, interval_query(q, spec, bool(src.get("typedTime", False))), **jdbc_partitioning(src))
+                  for q in sqls]
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
@@ -56,34 +64,75 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
     if kind == "jdbc":
         db = src.get("connectorConfig", src)
         opts = JdbcOptions(db["connectURI"], db.get("user"), db.get("password"))
-        return read_jdbc_table(spark, opts, src["table"])
-    base = (base_override or src.get("baseDir") or "").rstrip("/")
-    if not base:
-        paths = src.get("paths") or src.get("uris")
-        if not paths:
-            raise ValueError("inputSource needs baseDir, paths or uris")
-        base = paths if isinstance(paths, str) else ",".join(paths)
-    glob = region_glob(src.get("filter", "*"), regions)
+        return read_jdbc_table(spark, opts, src["table"], **jdbc_partitioning(src))
+    path = input_paths(src, base_override, regions)
     ftype = fmt.get("type", "csv")
     if ftype == "parquet":
-        return read_parquet(spark, base, glob=glob, recursive="/" in glob or glob.startswith("*/"))
-    if ftype == "json":
-        # declared schema: no inference pass over the input
-        return spark.read.format("json").schema(input_ddl(spec)).load(f"{base}/{glob}")
-    if ftype != "csv":
-        raise ValueError(f"unsupported inputFormat {ftype!r}")
-    columns = fmt.get("columns")
-    from_header = fmt.get("findColumnsFromHeader", columns is None)
-    skip = int(fmt.get("skipHeaderRows", 0)) > 0 or bool(fmt.get("hasHeaderRow", False))
-    path = f"{base}/{glob}"
-    if columns and not from_header:
-        df = read_csv_positional(spark, path, columns, skip_header=skip)
+        df = read_parquet(spark, path)
+    elif ftype == "json":
+        # declared schema: no inference pass over the input; a line that is no
+        # JSON object is kept as text
+        lines = spark.read.format("text").load(path)
+        df = parsed_messages(lines.select("value", F.col(FILE_PATH).alias("file_path")),
+                             input_ddl(spec), keep=["file_path"])
+    elif ftype == "csv":
+        columns = fmt.get("columns")
+        from_header = fmt.get("findColumnsFromHeader", columns is None)
+        skip = int(fmt.get("skipHeaderRows", 0)) or int(bool(fmt.get("hasHeaderRow", False)))
+        if columns and not from_header:
+            df = read_csv_positional(spark, path, columns, skip_header=skip, malformed=True)
+        else:
+            df = read_csv(spark, path, infer=False, malformed=True)
     else:
-        df = read_csv(spark, path, infer=False)
+        raise ValueError(f"unsupported inputFormat {ftype!r}")
     if spec.partition_col and spec.partition_col not in df.columns:
         # region folders: the region of a row is the folder of its file
-        df = df.withColumn(spec.partition_col, region_from_path(F.col("_metadata.file_path")))
-    return df
+        file = "file_path" if "file_path" in df.columns else FILE_PATH
+        df = df.withColumn(spec.partition_col, region_from_path(F.col(file)))
+    return df.drop("file_path")
+
+
+def input_paths(src: dict, base_override: str | None = None,
+                regions: list[str] | None = None) -> str | list[str]:
+    """What to load: ``baseDir`` and its file filter as one path pattern, or the listed paths."""
+    base = (base_override or src.get("baseDir") or "").rstrip("/")
+    glob = region_glob(src.get("filter", "*"), regions)
+    if base:
+        return f"{base}/{glob}"
+    paths = src.get("paths") or src.get("uris")
+    if not paths:
+        raise ValueError("inputSource needs baseDir, paths or uris")
+    if regions:
+        raise ValueError("regions need a baseDir with region folders")
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def jdbc_partitioning(src: dict) -> dict:
+    """The parallel-read options of a database source, if it states them."""
+    names = {"partitionColumn": "partition_column", "lowerBound": "lower_bound",
+             "upperBound": "upper_bound", "numPartitions": "num_partitions",
+             "fetchSize": "fetch_size"}
+    return {v: src[k] for k, v in names.items() if k in src}
+
+
+def interval_query(sql: str, spec: TableSpec, typed_time: bool) -> str:
+    """The query with the spec's intervals as a condition on its time column.
+
+    Rows without a time are kept: they take the default or are set aside. A
+    time held as text (``typed_time`` false) is left to the load, which parses it.
+    """
+    if not spec.intervals or not typed_time:
+        return sql
+    t = spec.time_column
+    parts = []
+    for iv in spec.intervals:
+        lo, hi = (x.replace("T", " ").removesuffix("Z") for x in iv.split("/"))
+        parts.append(f"({t} >= TIMESTAMP '{_full_time(lo)}' AND {t} < TIMESTAMP '{_full_time(hi)}')")
+    return f"SELECT * FROM ({sql}) i WHERE {t} IS NULL OR {' OR '.join(parts)}"
+
+
+def _full_time(text: str) -> str:
+    return text if " " in text else f"{text} 00:00:00"
 
 
 def run_spec(spark: SparkSession, spec_json: dict, table_path: str,
@@ -92,21 +141,26 @@ def run_spec(spark: SparkSession, spec_json: dict, table_path: str,
     """Run a batch ingestion spec end to end.
 
     ``tuningConfig.appendToExisting`` → append; otherwise the chunks (and
-    regions) present in the load are replaced, which is what
-    ``dropExisting`` asks for. ``maxRowsPerSegment`` caps rows per file.
-    ``regions`` reloads only those region folders; every other region of
-    the table is left as it is.
+    regions) present in the load are replaced, and with ``dropExisting`` the
+    load stands for its whole scope: chunks of the loaded regions, inside the
+    intervals, that it no longer holds are removed. ``maxRowsPerSegment`` caps
+    rows per file. ``regions`` reloads only those region folders; every other
+    region of the table is left as it is, which needs a table laid out by
+    region (``partitionColumn``).
     """
     body = _spec_body(spec_json)
     spec = TableSpec.from_dict(body)
     io = body.get("ioConfig", {})
     if io.get("type") == "kafka":
         raise ValueError("stream spec: use run_stream_spec")
+    if regions and not spec.partition_col:
+        raise ValueError("regions need a spec with partitionColumn")
     source = source_from_io_config(spark, io, spec, base_override, regions)
     tuning = body.get("tuningConfig", {})
     mode = "append" if tuning.get("appendToExisting", False) else "replace"
     return run_ingest(spark, spec, source, table_path, quarantine_path=quarantine_path,
-                      mode=mode, keep_counts=keep_counts)
+                      mode=mode, keep_counts=keep_counts, regions=regions,
+                      drop_existing=bool(tuning.get("dropExisting", False)))
 
 
 def run_stream_spec(spark: SparkSession, spec_json: dict, out_path: str, checkpoint: str,
@@ -115,8 +169,10 @@ def run_stream_spec(spark: SparkSession, spec_json: dict, out_path: str, checkpo
     """Run a message-topic spec as a Structured Streaming partial rollup.
 
     The topic is read from the earliest offset when ``useEarliestOffset`` is
-    set (always, for a folder source). ``source_override`` reads JSON-line
-    files from a folder instead of the topic (no broker needed). The
+    set, else from the latest (a folder source always from its first file).
+    ``source_override`` reads JSON-line files from a folder instead of the
+    topic (no broker needed). A micro-batch is bounded (``BATCH_BYTES`` of
+    files, or ``maxOffsetsPerTrigger`` messages), however long the backlog. The
     ``intermediatePersistPeriod`` becomes the processing-time trigger when
     ``trigger`` is ``"spec"``.
     """
@@ -127,10 +183,9 @@ def run_stream_spec(spark: SparkSession, spec_json: dict, out_path: str, checkpo
     tuning = body.get("tuningConfig", {})
     ddl = input_ddl(spec)
     if source_override:
-        stream = read_json_stream(spark, source_override, ddl)
+        stream = read_json_stream(spark, source_override, ddl, max_bytes_per_trigger=BATCH_BYTES)
     else:
-        opts = {f"kafka.{k}": v for k, v in io.get("consumerProperties", {}).items()}
-        stream = read_json_stream(spark, io["topic"], ddl, fmt="kafka", options=opts)
+        stream = read_json_stream(spark, io["topic"], ddl, fmt="kafka", options=topic_options(io))
     if trigger == "spec":
         trigger = _iso_period(tuning.get("intermediatePersistPeriod", "PT10M"))
     if tuning.get("maxRowsPerSegment"):
@@ -139,6 +194,14 @@ def run_stream_spec(spark: SparkSession, spec_json: dict, out_path: str, checkpo
                          trigger=trigger), spec
 
 
+def topic_options(io: dict) -> dict:
+    """Options of the topic source from a stream spec's ``ioConfig``."""
+    opts = {f"kafka.{k}": v for k, v in io.get("consumerProperties", {}).items()}
+    opts["startingOffsets"] = "earliest" if io.get("useEarliestOffset", False) else "latest"
+    opts["maxOffsetsPerTrigger"] = str(io.get("maxOffsetsPerTrigger", BATCH_MESSAGES))
+    return opts
+
+
 def _iso_period(p: str) -> str:
     """ISO-8601 period ``PT10M`` → trigger interval ``600 seconds``."""
     import re

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,17 +84,40 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
-            # Only reached in local runs and tests: no cluster folder is named.
+            # no cluster folder is named: only a local run may use its own
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver "
+                                   "and all executors share")
             d = tempfile.mkdtemp(prefix="chronoroll-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder path of the shared folder (not created)."""
     base = shared_dir(spark)
-    return _join(base, f"chronoroll/{name}-{uuid.uuid4().hex[:12]}")
+    path = _join(base, f"chronoroll/{name}-{uuid.uuid4().hex[:12]}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, at its end, the scratch folders that were named inside the ``with`` block.
+
+    Results that read them must be written or collected before the end.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
 
 
 def _join(base: str, rel: str) -> str:
@@ -129,6 +153,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below ``path`` (empty if it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

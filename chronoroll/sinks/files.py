@@ -13,12 +13,17 @@ are available when a caller needs a fixed file count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import chunk_label
+from ..session import delete_path, list_dirs, list_files
 
 CHUNK = "chunk"
+# Fixed value: folder name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Text formats of timestamps in CSV and JSON files we write and read.
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -107,6 +112,36 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], **kw
     return write_table(df, path, partition_cols, mode="overwrite", dynamic=True, **kw)
 
 
+def partition_files(spark: SparkSession, path: str, partition_cols: list[str]):
+    """(values by column, folder, file names) of every partition below ``path``.
+
+    File-system metadata only; a null partition value is ``None``.
+    """
+    def walk(folder: str, values: dict, depth: int):
+        if depth == len(partition_cols):
+            yield values, folder, frozenset(list_files(spark, folder))
+            return
+        start = f"{partition_cols[depth]}="
+        for name in list_dirs(spark, folder):
+            if name.startswith(start):
+                value = unquote(name[len(start):])
+                yield from walk(f"{folder}/{name}", {**values, partition_cols[depth]:
+                                None if value == NULL_PARTITION else value}, depth + 1)
+    yield from walk(path.rstrip("/"), {}, 0)
+
+
+def drop_unwritten(spark: SparkSession, before: dict[str, frozenset[str]]) -> int:
+    """Remove the folders that still hold exactly the files they held ``before``.
+
+    A partition a load has written got new files in place of the old ones;
+    one that kept its files was not part of the load. Returns the number.
+    """
+    stale = [f for f, files in before.items() if frozenset(list_files(spark, f)) == files]
+    for folder in stale:
+        delete_path(spark, folder)
+    return len(stale)
+
+
 def snapshot_path(base: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/run={run_id}"
 
@@ -125,7 +160,8 @@ def write_snapshot_and_latest(df: DataFrame, base: str, latest: str, run_id: str
     The upstream plan runs once: the dated snapshot is written from ``df``
     and ``latest`` is written from the snapshot files, so both copies hold
     identical rows (including any run timestamp) and the source is not
-    scanned a second time. ``latest`` is replaced partition by partition.
+    scanned a second time. ``latest`` is replaced partition by partition, and
+    a region that the run no longer holds is removed from it afterwards.
     """
     spark = df.sparkSession
     dated = write_snapshot(df, base, run_id, partition_col, fmt=fmt, **kw)
@@ -135,8 +171,10 @@ def write_snapshot_and_latest(df: DataFrame, base: str, latest: str, run_id: str
     if fmt == "csv":
         r = r.option("header", "true")
     pinned = r.load(dated)
+    before = {folder: files for _, folder, files in partition_files(spark, latest, [partition_col])}
     write_table(pinned.select(*df.columns), latest, [partition_col], mode="overwrite",
                 fmt=fmt, **kw)
+    drop_unwritten(spark, before)
     return dated, latest
 
 

@@ -9,12 +9,14 @@ the same planning work and the scan is split by Spark's file splitter.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import parse_csv_line, region_from_path
+from ..operators.clean import MALFORMED
 
 FILE_PATH = "_metadata.file_path"
 
@@ -23,7 +25,15 @@ def _string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def _load(reader, path: str) -> DataFrame:
+def _marked(reader, columns: list[str]):
+    """A CSV reader that gives a line with too few or too many fields, or a broken
+    quote, in the column ``_malformed``. Column pruning is off for it: a pruned
+    parse would not see what is wrong with a line."""
+    return (reader.schema(_string_schema([*columns, MALFORMED]))
+            .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", "false"))
+
+
+def _load(reader, path: str | list[str]) -> DataFrame:
     try:
         return reader.load(path)
     except AnalysisException as e:
@@ -55,7 +65,7 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
                          partition_col: str = "region", glob: str = "*/*.csv",
                          strict: bool = True, infer: bool = False,
                          keep_file: bool = False, options: dict | None = None,
-                         regions: list[str] | None = None) -> DataFrame:
+                         regions: list[str] | None = None, malformed: bool = False) -> DataFrame:
     """Read every CSV of every region folder below ``base``.
 
     ``columns`` declares the header: all columns are read as text and typed
@@ -70,11 +80,13 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
     next to the folders) are not read. A region folder with no CSV yields no
     rows; ``plans.audit.inventory`` reports it. ``regions`` restricts the
     read to those region folders at listing time (a filter on the derived
-    region column could not skip any file).
+    region column could not skip any file). ``malformed`` (with ``columns``)
+    adds ``_malformed``, the text of a line that has not these columns.
     """
     r = spark.read.format("csv").option("header", "true").option("mode", "PERMISSIVE")
     if columns:
-        r = r.schema(_string_schema(columns)).option("enforceSchema", str(not strict).lower())
+        r = _marked(r, columns) if malformed else r.schema(_string_schema(columns))
+        r = r.option("enforceSchema", str(not strict).lower())
     elif infer:
         r = r.option("inferSchema", "true")
     for k, v in (options or {}).items():
@@ -86,10 +98,13 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
     return df
 
 
-def read_csv(spark: SparkSession, path: str, infer: bool = True, header: bool = True,
-             options: dict | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], infer: bool = True, header: bool = True,
+             options: dict | None = None, malformed: bool = False) -> DataFrame:
     """One CSV file or folder, header row, types inferred.
 
+    ``malformed`` (not with ``infer``) adds ``_malformed``, the text of a
+    line that has not the header's columns.
+
     Inference is a separate job over the input; use a declared schema
     (``read_csv_positional`` or ``read_partitioned_csv(columns=…)``) for
     large inputs.
@@ -98,33 +113,71 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True, header: bool =
          .option("inferSchema", str(infer).lower()))
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    return _load(r, path)
+    df = _load(r, path)
+    return _load(_marked(r, df.columns), path) if malformed and not infer else df
 
 
-def read_csv_positional(spark: SparkSession, path: str, columns: list[str],
-                        skip_header: bool = True, options: dict | None = None) -> DataFrame:
+def read_csv_positional(spark: SparkSession, path: str | list[str], columns: list[str],
+                        skip_header: bool | int = True, options: dict | None = None,
+                        malformed: bool = False) -> DataFrame:
     """CSV with declared column names taken by position; header discarded (S3).
 
     Columns are read as text; apply ``coerce`` for declared types. A file with
-    fewer fields null-pads the missing columns.
+    fewer fields null-pads the missing columns; ``malformed`` adds
+    ``_malformed``, the text of such a line. ``skip_header`` may be the number
+    of lines to leave out at the start of every file (beyond one, a quoted
+    cell can't hold a line break).
     """
-    r = (spark.read.format("csv").schema(_string_schema(columns))
-         .option("header", str(skip_header).lower()).option("enforceSchema", "true")
+    if int(skip_header) > 1:
+        lines = skip_lines(spark, path, int(skip_header))
+        names = [*columns, MALFORMED] if malformed else columns
+        ddl = ", ".join(f"`{c}` STRING" for c in names)
+        opts = {"columnNameOfCorruptRecord": MALFORMED, **(options or {})}
+        row = F.from_csv("value", ddl, {k: str(v) for k, v in opts.items()}).alias("_row")
+        return lines.select(row, "file_path").select("_row.*", "file_path")
+    r = spark.read.format("csv")
+    r = _marked(r, columns) if malformed else r.schema(_string_schema(columns))
+    r = (r.option("header", str(bool(skip_header)).lower()).option("enforceSchema", "true")
          .option("mode", "PERMISSIVE"))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return _load(r, path)
 
 
-def read_parquet(spark: SparkSession, path: str, glob: str | None = None,
-                 recursive: bool = False) -> DataFrame:
-    """Parquet scan with the schema from the files (S5); optional file filter."""
-    r = spark.read.format("parquet")
+def skip_lines(spark: SparkSession, path: str | list[str], n: int) -> DataFrame:
+    """Text lines (``value``, ``file_path``) without the first ``n`` of every file.
+
+    Only the block at a file's start is counted, in the task that reads it;
+    a header longer than one scan block is not supported.
+    """
+    lines = _load(spark.read.format("text"), path).select(
+        "value", F.col(FILE_PATH).alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"))
+
+    def run(batches):
+        seen: dict[str, int] = {}
+        for batch in batches:
+            keep_row = []
+            for file, start in zip(batch.column("file_path").to_pylist(),
+                                   batch.column("block_start").to_pylist(), strict=True):
+                k = seen.get(file, 0)
+                keep_row.append(start > 0 or k >= n)
+                if start == 0 and k < n:
+                    seen[file] = k + 1
+            yield batch.filter(pa.array(keep_row)).select(["value", "file_path"])
+
+    return lines.mapInArrow(run, "value string, file_path string")
+
+
+def read_parquet(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Parquet scan with the schema from the files.
+
+    ``glob`` is a path pattern below ``path`` (``*/*.parquet``, a table's
+    folder or file name); ``path`` may be a list of files and folders.
+    """
     if glob:
-        r = r.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    return _load(r, path)
+        path = [f"{p.rstrip('/')}/{glob}" for p in ([path] if isinstance(path, str) else path)]
+    return _load(spark.read.format("parquet"), path)
 
 
 def from_csv_lines(df: DataFrame, col: str, ddl: str, keep: list[str] | None = None,

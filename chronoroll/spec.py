@@ -11,6 +11,7 @@ spec can never be changed by a job that uses it.
 from __future__ import annotations
 
 import dataclasses
+import logging
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -120,8 +121,9 @@ class TableSpec:
     def from_dict(d: dict) -> "TableSpec":
         """Build from the JSON shape of an ingestion spec's ``dataSchema``.
 
-        ``granularitySpec.rollup`` must be stated whenever no metric is given:
-        an absent flag is ambiguous, so we refuse to guess.
+        An absent ``granularitySpec.rollup`` means rollup, as it does in the
+        store whose specs these are; without metrics that keeps the distinct
+        rows, which is logged since it may not be what was meant.
         """
         schema = d.get("dataSchema", d)
         ts = schema["timestampSpec"]
@@ -129,7 +131,9 @@ class TableSpec:
         gran = schema.get("granularitySpec", {})
         metrics = schema.get("metricsSpec", [])
         if "rollup" not in gran and not metrics:
-            raise ValueError("spec without metrics must state granularitySpec.rollup")
+            logging.getLogger(__name__).warning(
+                "spec %r has no metrics and no rollup flag: its distinct rows are kept",
+                schema.get("dataSource", "table"))
         tuning = d.get("tuningConfig", {})
         return TableSpec(
             name=schema.get("dataSource", "table"),

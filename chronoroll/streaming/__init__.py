@@ -1,7 +1,9 @@
 """Structured Streaming: JSON message ingest with partial or windowed rollups."""
 
-from .stream import (bad_messages, compact_stream_rollup, purge_compacted, read_json_stream,
-                     read_stream_rollup, read_stream_window, stream_rollup, stream_window)
+from .stream import (bad_messages, compact_stream_rollup, compact_stream_window,
+                     purge_compacted, purge_window, read_json_stream, read_stream_rollup,
+                     read_stream_window, stream_quarantine, stream_rollup, stream_window)
 
-__all__ = ["bad_messages", "compact_stream_rollup", "purge_compacted", "read_json_stream",
-           "read_stream_rollup", "read_stream_window", "stream_rollup", "stream_window"]
+__all__ = ["bad_messages", "compact_stream_rollup", "compact_stream_window", "purge_compacted",
+           "purge_window", "read_json_stream", "read_stream_rollup", "read_stream_window",
+           "stream_quarantine", "stream_rollup", "stream_window"]

@@ -21,6 +21,7 @@ group.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,13 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import instant_to_ntz, ntz_to_instant
-from ..functions.values import parse_json
-from ..operators.clean import BAD_REASON
+from ..operators.clean import BAD_REASON, parsed_messages
 from ..operators.rollup import finish, reaggregate, state_aggs
-from ..plans.ingest import (_spec_with_partition, _text_time, clean, no_bad_rows, prepare,
-                            read_table, rollup_with_rejects, split_rollup)
+from ..plans.ingest import (_spec_with_partition, _text_time, a_partition, bad_rows, clean, has_bad,
+                            no_bad_rows, prepare, read_table, rollup_with_rejects, split_rollup)
 from ..session import delete_path, list_dirs, path_exists, shared_dir
-from ..sinks.files import CHUNK, replace_partitions, write_table
+from ..sinks.files import CHUNK, replace_partitions, with_chunk, write_table
 from ..spec import TIME_COLUMN, TableSpec
 
 BATCH = "batch_id"
@@ -47,8 +47,11 @@ def read_json_stream(spark: SparkSession, source: str, schema: str | T.StructTyp
                      max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Stream of JSON messages as typed columns (S9), from the earliest.
 
+    A message that is no JSON object has its text in ``_malformed`` (see
+    ``parsed_messages``); it never counts as a record.
     ``fmt="kafka"``: ``source`` is the topic; ``options`` carry
-    ``kafka.bootstrap.servers`` etc.; reading starts at the earliest offset.
+    ``kafka.bootstrap.servers`` etc.; reading starts at the earliest offset
+    unless the options say otherwise.
     ``fmt="files"``: ``source`` is a folder of text files, one message per
     line (region sub-folders allowed); all files present at start are read
     first. ``max_bytes_per_trigger`` bounds a micro-batch by input size,
@@ -70,7 +73,7 @@ def read_json_stream(spark: SparkSession, source: str, schema: str | T.StructTyp
         for k, v in (options or {}).items():
             r = r.option(k, v)
         raw = r.load(source)
-    return raw.select(parse_json("value", ddl).alias("_m")).select("_m.*")
+    return parsed_messages(raw, ddl)
 
 
 def _trigger(writer, trigger: str | None):
@@ -95,17 +98,18 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         agg = obs = None
         if quarantine_path and spec.rollup:
-            # one pass over the micro-batch feeds both outputs (see rollup_with_rejects)
+            # the aggregation also says whether the batch has bad rows (see rollup_with_rejects)
             agg = rollup_with_rejects(batch, spec).persist()
-            rows, bad, _ = split_rollup(agg, spec)
+            rows, _ = split_rollup(agg, spec)
         else:
             if quarantine_path and _text_time(batch, spec):
                 obs = Observation(f"chronoroll_bad_rows_{uuid.uuid4().hex}")
-            rows, bad = prepare(batch, spec, obs)
+            rows, _ = prepare(batch, spec, obs)
+        bad = bad_rows(batch, spec)
         write_table(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), out_path,
                     [CHUNK, BATCH], mode="overwrite", files_per_partition=files_per_partition,
                     max_rows_per_file=spec.max_rows_per_file)
-        if no_bad_rows(obs):
+        if quarantine_path and (not has_bad(agg) if agg is not None else no_bad_rows(obs)):
             bad = bad.limit(0)         # no bad row in this batch: no second read
         if quarantine_path:
             write_table(bad.withColumn(BATCH, F.lit(batch_id).cast("long")), quarantine_path,
@@ -207,14 +211,27 @@ def purge_compacted(spark: SparkSession, out_path: str, compacted_path: str) ->
     return removed
 
 
+# Granularities that are event-time windows of one length, and
+# the offset of a week's start (Monday) from the epoch's weekday.
+WINDOWS = {"second": "1 second", "minute": "1 minute", "fifteen_minute": "15 minutes",
+           "thirty_minute": "30 minutes", "hour": "1 hour", "six_hour": "6 hours",
+           "day": "1 day", "week": "7 days"}
+WEEK_START = "4 days"
+
+
 def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint: str,
-                  window: str = "1 day", watermark: str | None = None,
-                  trigger: str | None = "availableNow"):
+                  watermark: str | None = None, trigger: str | None = "availableNow"):
     """Stateful tumbling-window rollup (ST4); returns the StreamingQuery.
 
-    Without ``watermark`` every late row is still counted (state is kept);
-    with one, state older than the watermark is dropped.
+    The window is the spec's query granularity; the updated groups of a batch
+    are written to ``chunk=…/batch_id=…`` folders, so a time range reads only
+    its chunks. Without ``watermark`` every late row is still counted, and the
+    state grows with the number of windows and groups; with one, state older
+    than the watermark is dropped. Rows that cannot be loaded are left to
+    ``stream_quarantine``, run beside this query on the same source.
     """
+    if spec.query_granularity not in WINDOWS:
+        raise ValueError(f"no window of fixed length for granularity {spec.query_granularity!r}")
     spec = _spec_with_partition(spec)
     metric_inputs, _ = clean(stream, spec)
     # event-time windows and watermarks work on instants: the UTC wall clock
@@ -224,8 +241,10 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     if watermark:
         metric_inputs = metric_inputs.withWatermark(EVENT_TS, watermark)
     aggs = [a for m in spec.metrics for a in state_aggs(m)]
-    agg = (metric_inputs.groupBy(F.window(EVENT_TS, window).alias("_w"), *spec.dim_names)
-           .agg(*aggs))
+    length = WINDOWS[spec.query_granularity]
+    window = (F.window(EVENT_TS, length, length, WEEK_START) if spec.query_granularity == "week"
+              else F.window(EVENT_TS, length))
+    agg = metric_inputs.groupBy(window.alias("_w"), *[F.col(f"`{d}`") for d in spec.dim_names]).agg(*aggs)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = (batch.withColumn(TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
@@ -233,29 +252,88 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
         # a stateful micro-batch is planned without AQE, which would drop a
         # REBALANCE hint: the updated groups are written straight from the
         # state's hash partitions (fixed for the life of the query), one
-        # file per state partition and batch, no extra shuffle
-        write_table(out, out_path, [BATCH], mode="overwrite", files_per_partition=0)
+        # file per state partition, chunk and batch, no extra shuffle
+        write_table(with_chunk(out, TIME_COLUMN, spec.segment_granularity), out_path,
+                    [CHUNK, BATCH], mode="overwrite", files_per_partition=0)
 
     w = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
-def read_stream_window(spark: SparkSession, spec: TableSpec, out_path: str) -> DataFrame:
-    """Newest version of each (window, group) written by ``stream_window``."""
-    spec = _spec_with_partition(spec)
-    parts = spark.read.parquet(out_path)
-    keys = [TIME_COLUMN, *spec.dim_names]
+def stream_quarantine(stream: DataFrame, spec: TableSpec, path: str, checkpoint: str,
+                      trigger: str | None = "availableNow"):
+    """Stream the rows that cannot be loaded to ``path`` (P11); returns the StreamingQuery.
+
+    A query of its own over the same source, for streams whose aggregation
+    keeps state and so cannot hand them out.
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_table(bad_rows(batch, spec).withColumn(BATCH, F.lit(batch_id).cast("long")), path,
+                    [BATCH], mode="overwrite", files_per_partition=0)
+
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def _versions(spark: SparkSession, out_path: str, compacted_path: str | None) -> DataFrame:
+    """Every version of every group: compacted base and newer batches."""
+    # a path whose batches were all folded into the base and purged holds no file
+    frames = [read_table(spark, p, [CHUNK]) for p in (out_path, compacted_path)
+              if p and path_exists(spark, p) and a_partition(spark, p) != p]
+    if not frames:
+        raise FileNotFoundError(f"no window output below {out_path}")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _newest(versions: DataFrame, spec: TableSpec, keep_batch: bool) -> DataFrame:
+    keys = [TIME_COLUMN, CHUNK, *spec.dim_names]
     # a group is written once per batch that updates it: the newest version
     # is the one of the highest batch id. max_by is a partial aggregate, so
     # the versions are reduced map-side before the shuffle (a window would
-    # shuffle and sort every version). One max_by per column (batch ids are
-    # unique within a group, so all pick the same row) keeps fixed-width
-    # buffers and a hash aggregate; a struct buffer would force a sort.
-    values = [c for c in parts.columns if c not in keys and c != BATCH]
-    newest = (parts.groupBy(*[F.col(f"`{k}`") for k in keys])
-                   .agg(*[F.max_by(F.col(f"`{c}`"), F.col(BATCH)).alias(c) for c in values]))
-    return finish(newest, spec)
+    # shuffle and sort every version). One max_by per column (versions of one
+    # batch are equal, so all pick the same row) keeps fixed-width buffers
+    # and a hash aggregate; a struct buffer would force a sort.
+    values = [c for c in versions.columns if c not in keys and c != BATCH]
+    last = [F.max(BATCH).alias(BATCH)] if keep_batch else []
+    return (versions.groupBy(*[F.col(f"`{k}`") for k in keys])
+            .agg(*[F.max_by(F.col(f"`{c}`"), F.col(BATCH)).alias(c) for c in values], *last))
+
+
+def read_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
+                       compacted_path: str | None = None) -> DataFrame:
+    """Newest version of each (window, group) written by ``stream_window``."""
+    spec = _spec_with_partition(spec)
+    return finish(_newest(_versions(spark, out_path, compacted_path), spec, False), spec)
+
+
+def compact_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
+                          compacted_path: str) -> int:
+    """Keep only the newest version of each group in a base table; returns its last batch.
+
+    The base holds a version's batch id, so a reader that still sees the
+    folded batches (before ``purge_window``) gets the same answer.
+    """
+    spec = _spec_with_partition(spec)
+    versions = _versions(spark, out_path, compacted_path)
+    shared_dir(spark)
+    newest = _newest(versions, spec, True).checkpoint(eager=True)
+    upto = newest.agg(F.max(BATCH)).first()[0]
+    if upto is None:
+        return -1
+    replace_partitions(newest, compacted_path, [CHUNK])
+    return int(upto)
+
+
+def purge_window(spark: SparkSession, out_path: str, upto_batch: int) -> int:
+    """Delete the batch folders up to ``upto_batch`` that a base covers; returns the number."""
+    removed = 0
+    for chunk in list_dirs(spark, out_path):
+        for name in list_dirs(spark, f"{out_path}/{chunk}") if chunk.startswith(f"{CHUNK}=") else []:
+            if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= upto_batch:
+                delete_path(spark, f"{out_path}/{chunk}/{name}")
+                removed += 1
+    return removed
 
 
 def bad_messages(spark: SparkSession, quarantine_path: str) -> DataFrame:
@@ -263,4 +341,5 @@ def bad_messages(spark: SparkSession, quarantine_path: str) -> DataFrame:
 
 
 __all__ = ["read_json_stream", "stream_rollup", "read_stream_rollup", "compact_stream_rollup",
-           "purge_compacted", "stream_window", "read_stream_window", "bad_messages"]
+           "purge_compacted", "stream_window", "read_stream_window", "compact_stream_window",
+           "purge_window", "stream_quarantine", "bad_messages"]

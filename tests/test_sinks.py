@@ -135,16 +135,16 @@ def test_ingest_with_spaces_in_column_names(spark, tmp_dir):
     df = spark.createDataFrame(
         [("01/08/2020 02:30:00 PM", "Central", "30", "a"), ("01/08/2020 02:45:00 PM", "Central", "x", "a"),
          ("01/09/2020 01:00:00 AM", "West Side", "41", "b"), ("bad", "West Side", "1", "b")],
-        "`occurred at` string, `area name` string, `subject age` string, `city name` string")
-    spec = TableSpec(name="t", time_column="occurred at", time_format="MM/dd/yyyy hh:mm:ss a",
-                     dimensions=(Dim("area name"),),
+        "`scanned at` string, `depot name` string, `parcel weight` string, `hub name` string")
+    spec = TableSpec(name="t", time_column="scanned at", time_format="MM/dd/yyyy hh:mm:ss a",
+                     dimensions=(Dim("depot name"),),
                      metrics=(Metric("count", "count"),
-                              Metric("avg age", "doubleMean", "subject age")),
+                              Metric("mean weight", "doubleMean", "parcel weight")),
                      query_granularity="day", segment_granularity="month", rollup=True,
-                     partition_col="city name")
+                     partition_col="hub name")
     res = run_ingest(spark, spec, df, f"{tmp_dir}/t", quarantine_path=f"{tmp_dir}/q")
     from chronoroll.operators import finish
-    out = {(r["area name"], r["city name"]): (r["count"], r["avg age"])
+    out = {(r["depot name"], r["hub name"]): (r["count"], r["mean weight"])
            for r in finish(read_ingested(spark, spec, f"{tmp_dir}/t"), spec).collect()}
     assert out == {("Central", "a"): (2, 30.0), ("West Side", "b"): (1, 41.0)}
     assert spark.read.parquet(f"{tmp_dir}/q").count() == 1

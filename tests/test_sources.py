@@ -5,7 +5,7 @@ import pytest
 from chronoroll.sources import (from_csv_lines, read_csv, read_csv_positional, read_parquet,
                                 read_partitioned_csv)
 
-HEADER = "record_id,occurred at,area name,subject age\n"
+HEADER = "parcel_no,scanned at,depot name,parcel weight\n"
 
 
 def write(path, text):
@@ -27,14 +27,14 @@ def raw_dirs(tmp_dir):
     return base
 
 
-COLS = ["record_id", "occurred at", "area name", "subject age"]
+COLS = ["parcel_no", "scanned at", "depot name", "parcel weight"]
 
 
 def test_partitioned_csv_tags_region_and_skips_strays(spark, raw_dirs):
     df = read_partitioned_csv(spark, raw_dirs, columns=COLS, partition_col="city")
-    rows = sorted((r["record_id"], r["city"]) for r in df.collect())
+    rows = sorted((r["parcel_no"], r["city"]) for r in df.collect())
     assert rows == [("1", "austin"), ("2", "austin"), ("3", "austin"), ("4", "boston")]
-    assert dict(df.dtypes)["subject age"] == "string"
+    assert dict(df.dtypes)["parcel weight"] == "string"
 
 
 def test_partitioned_csv_is_one_scan(spark, raw_dirs):
@@ -45,18 +45,18 @@ def test_partitioned_csv_is_one_scan(spark, raw_dirs):
 
 def test_strict_header_rejects_other_column_order(spark, tmp_dir):
     base = os.path.join(tmp_dir, "raw2")
-    write(f"{base}/r1/a.csv", "area name,record_id,occurred at,subject age\nCentral,1,x,2\n")
+    write(f"{base}/r1/a.csv", "depot name,parcel_no,scanned at,parcel weight\nCentral,1,x,2\n")
     with pytest.raises(Exception):
         read_partitioned_csv(spark, base, columns=COLS, strict=True).collect()
     loose = read_partitioned_csv(spark, base, columns=COLS, strict=False).collect()
-    assert loose[0]["record_id"] == "Central"          # positional, as the reference did
+    assert loose[0]["parcel_no"] == "Central"          # positional, as the reference did
 
 
 def test_short_file_is_null_padded(spark, tmp_dir):
     base = os.path.join(tmp_dir, "raw3")
-    write(f"{base}/r1/a.csv", "record_id,occurred at\n5,01/08/2020 02:30:00 PM\n")
+    write(f"{base}/r1/a.csv", "parcel_no,scanned at\n5,01/08/2020 02:30:00 PM\n")
     r = read_partitioned_csv(spark, base, columns=COLS, strict=False).collect()[0]
-    assert r["record_id"] == "5" and r["subject age"] is None
+    assert r["parcel_no"] == "5" and r["parcel weight"] is None
 
 
 def test_missing_base_is_a_clear_error(spark, tmp_dir):
@@ -67,13 +67,13 @@ def test_missing_base_is_a_clear_error(spark, tmp_dir):
 def test_csv_infer_reads_reference_time_as_text(spark, raw_dirs):
     df = read_csv(spark, f"{raw_dirs}/austin/a.csv", infer=True)
     types = dict(df.dtypes)
-    assert types["occurred at"] == "string" and types["record_id"] == "int"
+    assert types["scanned at"] == "string" and types["parcel_no"] == "int"
 
 
 def test_positional_csv_discards_header(spark, raw_dirs):
-    df = read_csv_positional(spark, f"{raw_dirs}/boston/only.csv", ["id", "when", "area", "age"])
+    df = read_csv_positional(spark, f"{raw_dirs}/boston/only.csv", ["id", "when", "depot", "weight"])
     r = df.collect()
-    assert df.columns == ["id", "when", "area", "age"] and r[0]["id"] == "4" and len(r) == 1
+    assert df.columns == ["id", "when", "depot", "weight"] and r[0]["id"] == "4" and len(r) == 1
 
 
 def test_parquet_glob(spark, sf_small):
@@ -98,5 +98,5 @@ def test_region_subset_is_narrowed_at_listing(spark, raw_dirs, tmp_dir):
     write(f"{base}/city=a*b/x.csv", HEADER + "1,01/08/2020 02:30:00 PM,A,1\n")
     write(f"{base}/city=ab/x.csv", HEADER + "2,01/08/2020 02:30:00 PM,A,1\n")
     got = read_partitioned_csv(spark, base, columns=COLS, partition_col="city", regions=["a*b"])
-    assert [r["record_id"] for r in got.collect()] == ["1"]
+    assert [r["parcel_no"] for r in got.collect()] == ["1"]
     assert region_glob("*/*.csv", ["x"]) == "{x,*=x}/*.csv"
