@@ -9,7 +9,9 @@ byte, mixed afterwards; two independent ones make a 128-bit key.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 
 BLOCK = 2 << 20
 #: Bytes hashed at once; only a single word longer than this needs more.
-_SEGMENT = 1 << 19
+_SEGMENT = 1 << 17
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -38,6 +40,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _held() -> dict:
+    """A dictionary of the worker process itself.
+
+    This module travels with every task by value; what it held in its own
+    variables would be a new copy each time, and garbage after the task.
+    """
+    return sys.modules.setdefault("_chronoroll_powers", ModuleType("_chronoroll_powers")).__dict__
+
+
 class Hash:
     """One hash function of byte runs and of runs of such hashes."""
 
@@ -47,20 +58,21 @@ class Hash:
             self.table[65:91] = self.table[97:123]
         self.base = int(_random(seed + 1, 1)[0])
         self.inverse = pow(self.base, -1, 1 << 64)
-        self._powers: tuple[np.ndarray, np.ndarray] | None = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "_powers": None}
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if self._powers is None or len(self._powers[0]) < n:
-            out = []
-            for b in (self.base, self.inverse):
-                p = np.full(n, b, np.uint64)
-                p[0] = 1
-                out.append(np.multiply.accumulate(p))
-            self._powers = (out[0], out[1])
-        return self._powers
+        """Powers of the base and of its inverse; kept for segments of the usual size."""
+        held = _held()
+        key = f"h{self.base}"
+        if key in held and len(held[key][0]) >= n:
+            return held[key]
+        out = []
+        for b in (self.base, self.inverse):
+            p = np.full(n, b, np.uint64)
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+        if n <= _SEGMENT + 1:
+            held[key] = (out[0], out[1])
+        return out[0], out[1]
 
     def runs(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the byte runs ``buf[start:end]`` (runs in order)."""
