@@ -42,7 +42,7 @@ TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 20, 7, 3, 4
 #: nearly four standard errors below the threshold.
 SKETCH, LEAST_ESTIMATE = 128, 0.66
 #: Likeliest candidates of a class that are confirmed first, and members that stand for a group.
-FIRST_TRIES, HUBS = 3, 2
+FIRST_TRIES, HUBS = 3, 4
 
 _WORD = W.Hash(41, fold_case=True)
 _MULTIPLY = W._random(51, TREES * DEPTH)
