@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import (REFERENCE_TIME_FORMAT, floor_time, format_reference_time,
+from ..functions.time import (REFERENCE_TIME_FORMAT, floor_time, format_reference_time, format_run_id,
                               parse_time, run_id, utc_epoch_millis)
 from ..functions.values import parse_json
 from ..operators.clean import (BAD_REASON, RAW_TIME, coerce_columns, filter_partition,
-                               preview, stamp, with_event_time, with_expr)
+                               preview, rename_positional, stamp, tag, with_event_time, with_expr)
 from ..operators.lookup import lookup
 from ..operators.rollup import (counts_by, detail, distinct_values, exact_distinct, finish,
                                 reaggregate, rollup, sketch_summary)
@@ -308,8 +308,9 @@ def q_partition_filter(spark, sf):
 
 
 def q_select_star_hour(spark, sf):
-    return with_expr(_events(spark, sf), "hour_time",
-                     "CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ)")
+    df = with_expr(_events(spark, sf), "hour_time",
+                   "CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ)")
+    return df.withColumn("run_id", format_run_id("ts"))
 
 
 def q_rollup_hour(spark, sf):
@@ -446,7 +447,8 @@ def q_append_table(spark, sf):
 def q_replace_partitions(spark, sf):
     ev = _events(spark, sf).select("event_id", "event_type", "value")
     path = write_table(ev, scratch_path(spark, "events-replace"), ["event_type"])
-    reload = ev.filter(F.col("event_type") == "click").withColumn("value", F.col("value") * 2)
+    clicks = ev.filter(F.col("event_type") == "click").withColumn("value", F.col("value") * 2)
+    reload = tag(clicks.drop("event_type"), "event_type", "click").select(ev.columns)
     replace_partitions(reload, path, ["event_type"])
     return read_table(spark, path, ["event_type"]).select("event_id", "event_type", "value")
 
@@ -465,7 +467,7 @@ def q_max_rows_per_file(spark, sf):
 def q_union_by_position(spark, sf):
     a = _events(spark, sf).select("event_id", "ts", "event_type")
     b = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    return union_by_position([a, b])
+    return union_by_position([a, rename_positional(b, a.columns)])
 
 
 def q_union_by_name(spark, sf):
@@ -903,7 +905,7 @@ WHERE event_id % {BAD_TIME_MOD} = 0 AND event_id % {MISSING_TIME_MOD} <> 0""",
 WHERE {_EV_IN_INTERVALS}""",
     "partition_filter": """SELECT event_id, ts, user_id, value, event_type FROM events
 WHERE event_type = 'click'""",
-    "select_star_hour": f"SELECT *, {_bucket('hour', 'ts')} AS hour_time FROM events",
+    "select_star_hour": f"SELECT *, {_bucket('hour', 'ts')} AS hour_time, strftime(ts, '%Y%m%d%H%M%S') AS run_id FROM events",
     "rollup_hour": f"""SELECT {_bucket('hour', 'ts')} AS __time, event_type, COUNT(*) AS "count",
   {_units_sum('value')} AS value_sum, {_mean('value')} AS value_avg, MIN(value) AS value_min,
   MAX(value) AS value_max, CAST(SUM(user_id) AS BIGINT) AS user_sum
