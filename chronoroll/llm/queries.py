@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, nearby, packing, quality, secret_scan, semantic, substring, toxicity, urls
+from ..session import scratch_path
+from . import extract, nearby, packing, quality, secret_scan, semantic, substring, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +64,26 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+#: Pages whose record is damaged or lost in the second replica: (modulus, remainder).
+DAMAGED, LOST = (1009, 7), (2003, 11)
+
+
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as two WARC replicas, the second with damaged and lost records, and audited."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    files = max(1, -(-pages.count() // warc.RECORDS_PER_FILE))
+    page, html = F.col("page_id"), F.coalesce("html", F.lit(""))
+    damaged = F.when(page % DAMAGED[0] == DAMAGED[1], F.concat(F.lit("?"), F.substr(html, F.lit(2)))).otherwise(html)
+
+    def replica(rows: DataFrame, payload: Column) -> DataFrame:
+        text = warc.record(F.concat(F.lit("urn:page:"), page.cast("string")), F.col("url"), payload)
+        named = rows.select(F.pmod(F.xxhash64("page_id"), F.lit(files)).alias("file"), page.alias("order"), text.alias("record"))
+        return warc.read(spark, warc.write(named, scratch_path(spark, "warc")))
+
+    found = warc.audit(replica(pages, html), replica(pages.where(~F.coalesce(page % LOST[0] == LOST[1], F.lit(False))), damaged))
+    return found.select(F.regexp_extract("record_id", r"(\d+)$", 1).cast("long").alias("page_id"), F.col("uri").alias("url"), "status")
+
+
 def _fold(c: str) -> Column:
     """crc32 of the id as text, modulo 4: rows of remainder 2 are held out."""
     return F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(4))
@@ -94,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
     "op7_secret_scan": op7_secret_scan,
+    "op8_warc_audit": op8_warc_audit,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -116,4 +138,8 @@ ORACLE_SQL: dict[str, str] = {
                     WHEN com AND starts_with(path, '/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM (SELECT *, (host = 'org' OR host LIKE '%.org') AS org, (host = 'com' OR host LIKE '%.com') AS com,
                      (host = 'example.org' OR host LIKE '%.example.org') AS sub FROM parts)""",
+    "op8_warc_audit": f"""
+        SELECT page_id, coalesce(url, '') AS url, CASE WHEN page_id % {LOST[0]} = {LOST[1]} THEN 'missing' ELSE 'changed' END AS status
+        FROM pages WHERE page_id % {LOST[0]} = {LOST[1]}
+            OR page_id % {DAMAGED[0]} = {DAMAGED[1]} AND coalesce(html, '') NOT LIKE '?%'""",
 }
