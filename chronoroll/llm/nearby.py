@@ -197,7 +197,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star contraction in turn, until the edges are the
     stars of the components.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct().checkpoint()
+    e = W.checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -206,7 +206,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        e = small.select("e.*").where("u <> v").distinct().checkpoint()
+        e = W.checkpointed(small.select("e.*").where("u <> v").distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -224,18 +224,18 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int) -> DataFrame:
     """(a, b) confirmed links between class nodes, enough to span every component found."""
     ordered = _trees(classes).repartitionByRange("tree", "prefix", "node").sortWithinPartitions("tree", "prefix", "node")
-    pairs = _neighbours(ordered).groupBy("a", "b").agg(F.first("estimate").alias("estimate")).checkpoint()
+    pairs = W.checkpointed(_neighbours(ordered).groupBy("a", "b").agg(F.first("estimate").alias("estimate")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     payload = _stored(_payload(docs, ends), "texts")
 
     each = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n")), F.struct(F.col("b").alias("n")))).alias("of"), "a", "b", "estimate")
     rank = F.row_number().over(Window.partitionBy("of.n").orderBy(F.desc("estimate"), "a", "b"))
     likely = each.withColumn("r", rank).where(F.col("r") <= FIRST_TRIES).select("a", "b").distinct()
-    tried = _confirm(likely, payload, size, percent).checkpoint()
+    tried = W.checkpointed(_confirm(likely, payload, size, percent))
     # what is not yet in one component, whole
     rest = _across(pairs.join(tried, ["a", "b"], "left_anti").select("a", "b"), components(tried.where("linked")))
-    tried = tried.unionAll(_confirm(rest.select("a", "b"), payload, size, percent).checkpoint())
-    label = components(tried.where("linked")).checkpoint()
+    tried = tried.unionAll(W.checkpointed(_confirm(rest.select("a", "b"), payload, size, percent)))
+    label = W.checkpointed(components(tried.where("linked")))
     # failed against a member of another group: try the members with most links
     good = tried.where("linked")
     degree = (good.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count().join(label, "node"))

@@ -135,7 +135,7 @@ def with_votes(measured: DataFrame, rules=RULES) -> DataFrame:
                      .when(x > bad, "-").when(x < good, "+").otherwise("0"))
     length = (F.when(F.col("n_words") < FEW_WORDS, "-")
               .when(F.col("n_words") >= ENOUGH_WORDS, "+").otherwise("0"))
-    return measured.withColumn("votes", F.concat(*parts, length))
+    return measured.drop("p_good", "good").withColumn("votes", F.concat(*parts, length))
 
 
 def fit(counts: list[tuple[str, int]], *, rounds: int = 200,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import extract, nearby, packing, quality, secret_scan, semantic, substring, toxicity, urls, warc
+from . import words as W
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +45,7 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = packing.tokenize(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).drop("ids").checkpoint()
+    pieces = W.checkpointed(packing.tokenize(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).drop("ids"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -101,7 +102,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    voted = quality.with_votes(quality.measures(docs)).drop("text").checkpoint()
+    voted = W.checkpointed(quality.with_votes(quality.measures(docs)).drop("text"))
     return (quality.score(voted).withColumn("base_failed", quality.base_failed())
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", (~F.col("base_failed") & F.col("good")).alias("kept"), "p_good"))

@@ -246,7 +246,7 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window
         last = k == len(lengths) - 1
         bits = _answer(_ask(blocks, lengths, parts, k), last).groupBy("block").agg(F.collect_list(F.struct("part", "bits")).alias(f"bits{k}"))
         # one row for each block, bits only
-        bits = bits.checkpoint()
+        bits = W.checkpointed(bits)
         staged = staged.join(bits, "block", "left")
         blocks = staged.where(F.col(f"bits{k}").isNotNull())
 

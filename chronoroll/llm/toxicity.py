@@ -190,9 +190,9 @@ class Model:
 
     def __init__(self, train: DataFrame, calibrate: Column):
         """``train``: (id, text, label); rows for which ``calibrate`` holds fit the calibration."""
-        train = train.withColumn("calibrate", calibrate).checkpoint()
+        train = W.checkpointed(train.withColumn("calibrate", calibrate))
         self.lexicon = learn_lexicon(train.where(~F.col("calibrate")))
-        rows = self._features(train).drop("text").checkpoint()
+        rows = W.checkpointed(self._features(train).drop("text"))
         fit, rest = rows.where(~F.col("calibrate")), rows.where("calibrate")
         classes = {(bool(r[0]), r[1]): r[2] for r in rows.groupBy("calibrate", "label").count().collect()}
         n = sum(classes.values())

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import words as W
 
 RANGE, FANOUT = 1 << 16, 16
 #: Records of one file (about 16 MB of pages).
@@ -120,7 +121,7 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
             a, b = (x.withColumn("up", F.floor(F.col("k") / FANOUT).cast("long")).join(parents, ["file", "up"], "left_semi").drop("up")
                     for x in (a, b))
         both = a.join(b.withColumnRenamed("digest", "other"), ["file", "k"], "full_outer")
-        suspects = both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("file", "k").checkpoint()
+        suspects = W.checkpointed(both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("file", "k"))
     ranges = suspects.withColumnRenamed("k", "range")
     nth = F.row_number().over(Window.partitionBy("file", "record_id").orderBy("offset"))
     a, b = (df.withColumn("range", F.floor(F.col("offset") / RANGE).cast("long")).join(ranges, ["file", "range"], "left_semi")

@@ -173,6 +173,13 @@ def covered(at: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.cumsum(d[:n]) > 0
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's checkpoint folder, its lineage cut."""
+    from ..session import shared_dir  # here: this module goes to the workers, the other does not
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def quoted(name: str) -> str:
     """A column name of any characters as a reference."""
     return "`" + name.replace("`", "``") + "`"

@@ -88,7 +88,7 @@ def test_quality_keeps_prose_and_rejects_junk(spark, nothing):
 
 
 def test_quality_columns_clash(docs):
-    out = quality.judge(clash(docs, "votes", "n_lines"))
+    out = quality.judge(clash(docs, "votes", "n_lines", "p_good", "good"))
     assert out.count() == len(corpus()) and "a.b `c" in out.columns
 
 
