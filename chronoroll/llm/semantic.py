@@ -40,7 +40,7 @@ RANK, SPARE, SEED = 64, 16, 5
 PASSAGE, WINDOWS = 48, (24, 32, 48, 64, 96)
 LEAST_WORDS, LEAST_COSINE, LEAST_SHARE, SURE_SHARE = 8, 0.3, 0.6, 0.8
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
-ITEMS_AT_ONCE = 5_000
+ITEMS_AT_ONCE = 2_000
 _AT_ONCE = 1 << 15
 
 _WORD = W.Hash(61, fold_case=True)
@@ -224,12 +224,16 @@ def _search(staged: DataFrame, queries: Queries, vectors: np.ndarray) -> DataFra
     by_window = [(w, np.flatnonzero(queries.window == w)) for w in WINDOWS]
     by_window = [(w, own, items[own]) for w, own in by_window if len(own)]
     parts = [p.tolist() for p in queries.parts]
-    least, item_of = queries.least, queries.item
+    least, item_of, size = queries.least, queries.item, len(queries.vocabulary)
+    has_word = np.zeros((len(parts), (size >> 3) + 1), np.uint8)
+    for k, p in enumerate(queries.parts):
+        np.bitwise_or.at(has_word[k], p >> 3, np.uint8(1) << (p & 7).astype(np.uint8))
 
     def leaks(terms, first, found, ids):
         """Adds the leaks of some texts to ``found``."""
         total = np.zeros((len(terms) + 1, table.shape[1]))
         np.cumsum(table[terms], axis=0, out=total[1:])
+        padded = np.concatenate([terms, np.full(WINDOWS[-1], size, terms.dtype)])
         sizes = np.diff(first)
         for w, own, vec in by_window:
             count = np.where(sizes > 0, -(-np.maximum(sizes - w, 0) // (w // 4)) + 1, 0)
@@ -239,25 +243,30 @@ def _search(staged: DataFrame, queries: Queries, vectors: np.ndarray) -> DataFra
             hi = np.minimum(lo + w, first[text + 1])
             cosine = _unit((total[hi] - total[lo]).astype(np.float32)) @ vec.T
             at, which = np.nonzero(cosine >= LEAST_COSINE)
-            for i, k in zip(at.tolist(), which.tolist(), strict=True):
-                part = own[k]
-                doc = ids[text[i]]
-                if doc is None:
-                    continue
-                there = terms[lo[i]:hi[i]].tolist()
-                mine = parts[part]
-                held = set(there)
-                if sum(x in held for x in mine) < least[part]:
-                    continue
-                n = common(mine, there)
-                if n < least[part]:
-                    continue
-                answer = mine[-ANSWER_WORDS:]
-                if n < SURE_SHARE * len(mine) and common(answer, there) < ANSWER_SHARE * len(answer):
-                    continue
-                key, new = (doc, item_of[part]), (n / len(mine), float(cosine[i, k]), int(lo[i] - first[text[i]]))
-                if key not in found or (new[0], new[1]) > found[key][:2]:
-                    found[key] = new
+            for c in range(0, len(at), _AT_ONCE):
+                i, part = at[c:c + _AT_ONCE], own[which[c:c + _AT_ONCE]]
+                # words of the window that the item has at all bound the common subsequence
+                there = padded[lo[i][:, None] + np.arange(w)]
+                has = has_word[part[:, None], there >> 3] >> (there & 7).astype(np.uint8) & 1
+                has &= np.arange(w) < (hi - lo)[i][:, None]
+                enough = np.flatnonzero(has.sum(1, dtype=np.int32) >= least[part])
+                for j in enough.tolist():
+                    confirm(parts[part[j]], part[j], terms[lo[i[j]]:hi[i[j]]].tolist(), ids[text[i[j]]],
+                            float(cosine[i[j], which[c + j]]), int(lo[i[j]] - first[text[i[j]]]), found)
+
+    def confirm(mine, part, there, doc, cosine, start, found):
+        held = set(there)
+        if doc is None or sum(x in held for x in mine) < least[part]:
+            return
+        n = common(mine, there)
+        if n < least[part]:
+            return
+        answer = mine[-ANSWER_WORDS:]
+        if n < SURE_SHARE * len(mine) and common(answer, there) < ANSWER_SHARE * len(answer):
+            return
+        key, new = (doc, item_of[part]), (n / len(mine), cosine, start)
+        if key not in found or (new[0], new[1]) > found[key][:2]:
+            found[key] = new
 
     def run(batches):
         for ids, terms, first in _blocks(batches):
