@@ -76,12 +76,12 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     log_dir = tempfile.mkdtemp(prefix="chronoroll-eventlog-")
     from chronoroll.session import build_session
-    import __spark_entry__ as E
-    spark = build_session("plan-report", master="local[8]", shuffle_partitions=8,
+    from chronoroll.plans.suite import QUERIES
+    spark = build_session("plan-report", master=os.environ.get("PLAN_MASTER", "local[8]"), shuffle_partitions=8,
                           extra={"spark.eventLog.enabled": "true",
                                  "spark.eventLog.dir": f"file://{log_dir}"})
     windows = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         t0 = time.time() * 1000
         fn(spark, sf).write.format("noop").mode("overwrite").save()
         windows.append((name, t0, time.time() * 1000))
@@ -103,7 +103,7 @@ def main():
                 per_query[name].append(_final(plan_of[eid]))
                 break
 
-    print("# Physical plans of the registered queries\n")
+    print("# Physical plans of the time-series queries\n")
     print(f"Generated by `tools/plan_report.py {sf}`: every SQL execution a query")
     print("runs (its writes included), read from Spark's event log.\n")
     print("| query | SQL runs | shuffles (hash / rebalance / range / round-robin) | broadcasts | sort-merge joins | codegen |")
