@@ -123,7 +123,7 @@ def clean(df: DataFrame, spec: TableSpec,
     pushed into the scan. ``observation`` (text times only) counts the bad
     rows while the good ones are written.
     """
-    timed, bad = _timed(df, spec), bad_rows(df, spec)
+    timed, bad = _timed(_in_reach(df, spec), spec), bad_rows(df, spec)
     t = F.col(TIME_COLUMN)
     cond = t.isNotNull()
     if spec.intervals:
@@ -133,16 +133,20 @@ def clean(df: DataFrame, spec: TableSpec,
     return timed.filter(cond), bad
 
 
-def _in_reach(timed: DataFrame, df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows of a typed time that are missing a time or inside the intervals.
+def _in_reach(df: DataFrame, spec: TableSpec, nulls: bool = False) -> DataFrame:
+    """Source rows whose typed time can lie inside the intervals.
 
-    The filter reaches the scan. For a time parsed from text it would make
-    every row parse twice; there the rollup itself drops the others.
+    The test is on the source column itself, so it reaches the scan; rows
+    without a time stay if they take a default or are to be counted
+    (``nulls``). For a time parsed from text such a filter would make every
+    row parse twice; there the rollup itself drops the others.
     """
-    if not spec.intervals or _text_time(df, spec):
-        return timed
-    t = F.col(TIME_COLUMN)
-    return timed.filter(t.isNull() | interval_predicate(t, spec.intervals))
+    kind = df.schema[spec.time_column].dataType
+    if not spec.intervals or not isinstance(kind, T.TimestampNTZType):
+        return df
+    raw = F.col(f"`{spec.time_column}`")
+    inside = interval_predicate(raw, spec.intervals)
+    return df.filter(raw.isNull() | inside if nulls or spec.missing_time is not None else inside)
 
 
 def prepare(df: DataFrame, spec: TableSpec,
@@ -155,10 +159,7 @@ def prepare(df: DataFrame, spec: TableSpec,
     """
     full = _spec_with_partition(spec)
     if spec.rollup:
-        timed, bad = _timed(df, spec), bad_rows(df, spec)
-        if spec.intervals and not _text_time(df, spec):
-            # a typed time: only the rows inside the intervals are read at all
-            timed = timed.filter(interval_predicate(F.col(TIME_COLUMN), spec.intervals))
+        timed, bad = _timed(_in_reach(df, spec), spec), bad_rows(df, spec)
         rows = rollup(_count_bad(timed, observation), full, intervals=spec.intervals)
     else:
         good, bad = clean(df, spec, observation)
@@ -178,9 +179,7 @@ def rollup_with_rejects(df: DataFrame, spec: TableSpec, count_outside: bool = Fa
     unless ``count_outside`` asks for their number.
     """
     full = _spec_with_partition(spec)
-    typed = _typed(df, spec)
-    if not count_outside:
-        typed = _in_reach(typed, df, spec)
+    typed = _typed(df if count_outside else _in_reach(df, spec, nulls=True), spec)
     t = F.col(TIME_COLUMN)
     keep = t.isNotNull()
     if spec.intervals:
@@ -251,7 +250,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     if spec.rollup and one_pass and (quarantine_path or keep_counts):
         shared_dir(spark)
         agg = rollup_with_rejects(source, spec, count_outside).checkpoint(eager=True)
-        known = count_outside or not spec.intervals or _text_time(source, spec)
+        known = count_outside or _in_reach(source, spec) is source
         rows, counts = split_rollup(agg, spec, known)
         clean_load = not has_bad(agg)
     else:

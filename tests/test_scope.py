@@ -124,10 +124,11 @@ def test_interval_of_a_typed_time_reaches_the_scan(spark, tmp_dir):
     rows(spark, *FULL).withColumn("at", F.col("at").cast("timestamp_ntz")).write.parquet(f"{tmp_dir}/in")
     src = spark.read.parquet(f"{tmp_dir}/in")
     spec = SPEC.with_(intervals=("2024-01-02/2024-01-03",))
-    from chronoroll.plans.ingest import prepare
-    for plan in (prepare(src, spec)[0], rollup_with_rejects(src, spec)):
-        text = plan._jdf.queryExecution().toString()
-        assert "GreaterThanOrEqual(at,2024-01-02T00:00" in text
+    from chronoroll.plans.ingest import clean, prepare
+    for s in (spec, spec.with_(missing_time="2024-01-02T09:00:00Z")):
+        for plan in (prepare(src, s)[0], rollup_with_rejects(src, s), clean(src, s)[0]):
+            text = plan._jdf.queryExecution().toString()
+            assert "PushedFilters: [" in text and "GreaterThanOrEqual(at,2024-01-02T00:00" in text
     res = run_ingest(spark, spec, src, f"{tmp_dir}/t", keep_counts=True)
     assert {r["rows_outside"] for r in res.counts.collect()} == {None}
     res = run_ingest(spark, spec, src, f"{tmp_dir}/t", keep_counts=True, count_outside=True)
