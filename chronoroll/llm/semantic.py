@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import words as W
 
-RANK, SPARE, SEED = 64, 16, 5
+RANK, SPARE, SEED = 64, 8, 5
 #: Words of a passage of the statistics, and of the search windows by the length of the item.
 PASSAGE, WINDOWS = 48, (24, 32, 48, 64, 96)
-LEAST_WORDS, LEAST_COSINE, LEAST_SHARE, SURE_SHARE = 8, 0.3, 0.6, 0.8
+LEAST_WORDS, LEAST_COSINE, LEAST_SHARE, SURE_SHARE = 8, 0.35, 0.6, 0.8
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
 ITEMS_AT_ONCE = 2_000
 _AT_ONCE = 1 << 15
