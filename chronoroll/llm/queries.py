@@ -70,16 +70,19 @@ DAMAGED, LOST = (1009, 7), (2003, 11)
 
 
 def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written as two WARC replicas, the second with damaged and lost records, and audited."""
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    files = max(1, -(-pages.count() // warc.RECORDS_PER_FILE))
+    """All pages written as two WARC replicas, the second with damaged and lost records, and audited.
+
+    A file of an archive holds the pages of one split of the table.
+    """
+    split = F.xxhash64("_metadata.file_name", "_metadata.file_block_start").alias("file")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html", split)
     page, html = F.col("page_id"), F.coalesce("html", F.lit(""))
     damaged = F.when(page % DAMAGED[0] == DAMAGED[1], F.concat(F.lit("?"), F.substr(html, F.lit(2)))).otherwise(html)
 
     def replica(rows: DataFrame, payload: Column) -> DataFrame:
         text = warc.record(F.concat(F.lit("urn:page:"), page.cast("string")), F.col("url"), payload)
-        named = rows.select(F.pmod(F.xxhash64("page_id"), F.lit(files)).alias("file"), page.alias("order"), text.alias("record"))
-        return warc.read(spark, warc.write(named, scratch_path(spark, "warc")))
+        named = rows.select("file", page.alias("order"), text.alias("record"))
+        return warc.read(spark, warc.write(named, scratch_path(spark, "warc"), gather=False, compression="gzip"))
 
     found = warc.audit(replica(pages, html), replica(pages.where(~F.coalesce(page % LOST[0] == LOST[1], F.lit(False))), damaged))
     return found.select(F.regexp_extract("record_id", r"(\d+)$", 1).cast("long").alias("page_id"), F.col("uri").alias("url"), "status")

@@ -29,8 +29,6 @@ from ..session import scratch_path
 from . import words as W
 
 RANGE, FANOUT = 1 << 16, 16
-#: Records of one file (about 16 MB of pages).
-RECORDS_PER_FILE = 4_000
 # ---- fixed values of the format
 VERSION, END = "WARC/1.0\r\n", "\r\n\r\n"
 BORDER = END + VERSION
@@ -45,10 +43,16 @@ def record(record_id: Column, uri: Column, payload: Column) -> Column:
                     F.lit(END), body)
 
 
-def write(records: DataFrame, path: str) -> str:
-    """Write (file, order, record) rows as one WARC file each value of ``file``."""
-    (records.repartition("file").sortWithinPartitions("file", "order").select("record", "file")
-     .write.partitionBy("file").option("lineSep", END).text(path))
+def write(records: DataFrame, path: str, *, gather: bool = True, compression: str = "none") -> str:
+    """Write (file, order, record) rows as one WARC file each value of ``file``.
+
+    Without ``gather`` the rows of a file must already be in one partition, as
+    those of a split of a table are: nothing is shuffled then. ``compression``
+    (``gzip``) packs a whole file; offsets are those of the unpacked bytes.
+    """
+    rows = records.repartition("file") if gather else records
+    (rows.sortWithinPartitions("file", "order").select("record", "file")
+     .write.partitionBy("file").option("lineSep", END).option("compression", compression).text(path))
     return path
 
 
