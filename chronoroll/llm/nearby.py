@@ -14,6 +14,13 @@ class that failed against a member of a group is also held against the
 group's best linked members: in a group of copies of one text these are the
 text itself and its lightest edits.
 
+Where more classes share a whole run than have each other as neighbours, as
+texts around one template do, the order says no more. The classes of such
+dense runs meet in an exact join besides (a prefix filter): two sets that
+overlap enough share one of the first shingles of each in any common order,
+here the rarest first. Two classes that share a run are thus neighbours or
+both in the exact join. Pairs already in one component are left out of it.
+
 Components come from alternating star contractions, which need a number of
 rounds logarithmic in the longest path.
 
@@ -43,6 +50,8 @@ TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 20, 7, 3, 4
 SKETCH, LEAST_ESTIMATE = 128, 0.66
 #: Likeliest candidates of a class that are confirmed first, and members that stand for a group.
 FIRST_TRIES, HUBS = 3, 4
+#: Counters that order shingles by rarity (collisions cost time only), and rows of one side of the exact join in a salt.
+RARITY, SALT_ROWS = 1 << 18, 1000
 
 _WORD = W.Hash(41, fold_case=True)
 _MULTIPLY = W._random(51, TREES * DEPTH)
@@ -191,6 +200,64 @@ def _confirm(pairs: DataFrame, payload: DataFrame, size: int, percent: int) -> D
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _dense(trees: DataFrame) -> DataFrame:
+    """(node): the classes of every run that more classes share than a class has neighbours on a side."""
+    crowded = trees.groupBy("tree", "prefix").count().where(F.col("count") > NEIGHBOURS + 1).select("tree", "prefix")
+    return trees.select("tree", "prefix", "node").join(crowded, ["tree", "prefix"], "left_semi").select("node").distinct()
+
+
+def _exact(dense: DataFrame, payload: DataFrame, label: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): every pair of dense classes of different components that can overlap enough, by a prefix filter."""
+    texts = payload.join(dense, "node", "left_semi")
+
+    def sets(batch):
+        unpack = zstandard.ZstdDecompressor()
+        for data in batch.column("data"):
+            raw = np.frombuffer(unpack.decompress(data.as_py()), np.uint8)
+            yield np.unique(shingles(raw, np.array([0, len(raw)]), size)[0])
+
+    def count(batches):
+        seen = np.zeros(RARITY, np.int64)
+        for batch in batches:
+            for own in sets(batch):
+                np.add.at(seen, (own % np.uint64(RARITY)).astype(np.int64), 1)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["slot", "n"])
+
+    often = np.zeros(RARITY, np.int64)
+    for slot, n in texts.select("data").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():  # at most RARITY rows
+        often[slot] = n
+
+    def run(batches):
+        for batch in batches:
+            node, h, at, n = [], [], [], []
+            for i, own in zip(batch.column("node").to_pylist(), sets(batch), strict=True):
+                seen = often[(own % np.uint64(RARITY)).astype(np.int64)]
+                first = np.lexsort((own, seen))[:len(own) - -(-percent * len(own) // 100) + 1]
+                place = np.flatnonzero(seen[first] > 1)  # what no other set holds meets nothing
+                node.append(np.full(len(place), i, np.int64))
+                h.append(own[first[place]].view(np.int64))
+                at.append(place)
+                n.append(np.full(len(place), len(own), np.int64))
+            if node:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (node, h, at, n)], names=["node", "h", "at", "n"])
+
+    listed = texts.select("node", "data").mapInArrow(run, "node long, h long, at long, n long").join(label, "node", "left")
+    listed = _stored(listed.select("node", "h", "at", "n", F.coalesce("label", "node").alias("label")), "rare")
+    # all but the commonest component of a shingle are held against all, so one large component is not held against itself
+    lists = (listed.groupBy("h", "label").count().groupBy("h")
+             .agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("most"), F.sum("count").alias("all")))
+    lists = lists.where("most < all").select("h", "main", F.ceil((F.col("all") - F.col("most")) / SALT_ROWS).alias("salts"))
+    x = (listed.join(lists, "h").where("label <> main").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts"))).alias("x"))
+    y = listed.join(lists, "h").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.label") != F.col("y.label"))
+                 & ((100 + percent) * rest >= percent * total)
+                 & (percent * F.greatest("x.n", "y.n") <= 100 * F.least("x.n", "y.n")))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of (a, b) edges reaches.
 
@@ -223,9 +290,11 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int) -> DataFrame:
     """(a, b) confirmed links between class nodes, enough to span every component found."""
-    ordered = _trees(classes).repartitionByRange("tree", "prefix", "node").sortWithinPartitions("tree", "prefix", "node")
+    trees = _trees(classes)
+    dense = W.checkpointed(_dense(trees.select("tree", "prefix", "node")))
+    ordered = trees.repartitionByRange("tree", "prefix", "node").sortWithinPartitions("tree", "prefix", "node")
     pairs = W.checkpointed(_neighbours(ordered).groupBy("a", "b").agg(F.first("estimate").alias("estimate")))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(dense).distinct()
     payload = _stored(_payload(docs, ends), "texts")
 
     each = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n")), F.struct(F.col("b").alias("n")))).alias("of"), "a", "b", "estimate")
@@ -247,8 +316,13 @@ def links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int) -> Da
     more = (turned.join(hubs, "group").where("node <> hub")
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
             .join(tried, ["a", "b"], "left_anti"))
-    more = _confirm(more, payload, size, percent).where("linked")
-    return good.unionAll(more).select("a", "b")
+    tried = tried.unionAll(W.checkpointed(_confirm(more, payload, size, percent)))
+    good = tried.where("linked").select("a", "b")
+    if dense.isEmpty():
+        return good
+    label = W.checkpointed(components(good))
+    rest = _exact(dense, payload, label, size, percent).join(tried, ["a", "b"], "left_anti")
+    return good.unionAll(_confirm(rest, payload, size, percent).where("linked").select("a", "b"))
 
 
 def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:

@@ -316,6 +316,22 @@ def test_near_duplicates_hot_group(spark):
     assert lines(nearby.groups(df)) == grouped(rows)
 
 
+def test_near_duplicates_around_a_template(spark, monkeypatch):
+    monkeypatch.setattr(nearby, "NEIGHBOURS", 1)  # a few hundred texts are then as crowded as many thousands
+    rng = random.Random(10)
+    template = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(0, 400, 2):  # pairs at 0.8 or a little more among texts at about 0.6 of each other
+        own = [w if rng.random() > 0.07 else f"w{rng.randrange(10**9)}" for w in template]
+        near = list(own)
+        for k in rng.sample(range(300), 14):
+            near[k] = f"e{rng.randrange(10**9)}"
+        rows += [(i, " ".join(own)), (i + 1, " ".join(near))]
+    want = grouped(rows)
+    assert sum(not kept for *_, kept in want) > 150
+    assert lines(nearby.groups(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+
+
 def test_components_of_a_long_path(spark):
     rng = random.Random(8)
     path = list(range(200))
