@@ -38,12 +38,12 @@ PLACE = ("sequence_id", "offset")
 
 
 def tokenize(docs: DataFrame, ranks: str, pattern: str, *, text: str = "text",
-             capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+             special: dict[str, int] | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: ``docs`` without ``text``, with the columns of PIECE.
 
     ``ranks`` is the rank file of a byte-level vocabulary, ``pattern`` what
-    splits a text before the merges; strings of special tokens are ordinary
-    text. ``ids`` is binary, little-endian unsigned 32-bit. A document of more
+    splits a text before the merges. ``special`` gives the ids of special
+    tokens; without it their strings are ordinary text. ``ids`` is binary, little-endian unsigned 32-bit. A document of more
     than ``capacity`` ids is cut into full pieces, the first takes the rest.
     """
     kept = [n for n in docs.columns if n != text and n not in PIECE]
@@ -54,11 +54,11 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str, *, text: str = "text",
                            T.StructField("ids_crc32", T.LongType())])
 
     def run(batches):
-        encoding = _encoding(ranks, pattern)
+        encoding = _encoding(ranks, pattern, special or {})
         for batch, _, _ in W.blocks(batches, "text"):
             at, piece, start, length, ids, crc = [], [], [], [], [], []
             for i, s in enumerate(batch.column("text").to_pylist()):
-                got = np.append(encoding.encode_to_numpy(s or "", allowed_special=set(), disallowed_special=()), np.uint32(end_id)).astype("<u4")
+                got = np.append(encoding.encode_to_numpy(s or "", allowed_special=set(special or ()), disallowed_special=()), np.uint32(end_id)).astype("<u4")
                 cuts = [0, *range(len(got) % capacity or capacity, len(got) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     raw = got[a:b].tobytes()
@@ -72,17 +72,24 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str, *, text: str = "text",
     return done.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(kept)], *PIECE)
 
 
-def _encoding(ranks: str, pattern: str):
+def special_tokens(tokenizer: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's JSON file and their ids."""
+    import json
+    with open(tokenizer, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def _encoding(ranks: str, pattern: str, special: dict[str, int]):
     """The vocabulary, built once in a worker process."""
     import base64
 
     import tiktoken
     from tiktoken import registry
-    name = f"chronoroll:{ranks}:{pattern}"
+    name = f"chronoroll:{ranks}:{pattern}:{sorted(special.items())}"
     if name not in registry.ENCODINGS:
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        registry.ENCODINGS[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        registry.ENCODINGS[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=table, special_tokens=special)
     return registry.ENCODINGS[name]
 
 

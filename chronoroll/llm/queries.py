@@ -45,7 +45,8 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = W.checkpointed(packing.tokenize(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).drop("ids"))
+    special = packing.special_tokens(P.path("byte_bpe_50k.json"))
+    pieces = W.checkpointed(packing.tokenize(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, special=special).drop("ids"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

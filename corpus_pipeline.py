@@ -61,7 +61,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into sequences of at most 1024 tokens."""
     import public_tokenizers as P
-    pieces = W.checkpointed(packing.tokenize(docs.select("doc_id", "text"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).drop("ids"))
+    special = packing.special_tokens(P.path("byte_bpe_50k.json"))
+    pieces = W.checkpointed(packing.tokenize(docs.select("doc_id", "text"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, special=special).drop("ids"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

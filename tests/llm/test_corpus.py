@@ -209,6 +209,19 @@ def test_packing_round_trip(spark, docs, nothing):
     assert packing.pack(packing.tokenize(nothing, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).checkpoint()).count() == 0
 
 
+def test_packing_special_tokens_as_the_tokenizer(spark, tmp_path):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from chronoroll.llm.queries import QUERIES
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext|", "plain words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = {(i, 0, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, t in enumerate(texts)
+            for ids in [[*own.encode(t, add_special_tokens=False).ids, packing.END_ID]]}
+    assert {tuple(r)[:5] for r in QUERIES["op5_packing"](spark, str(tmp_path)).collect()} == want
+
+
 def test_fullest_against_enumeration():
     rng = random.Random(2)
     for _ in range(200):
