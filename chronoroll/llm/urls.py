@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from . import words as W
 
 SHORT = 8
-#: Longest rule path: an upper bound of the number of path prefixes of a URL.
-MAX_PATH = 2048
 
 
 def lower_ascii(c: Column) -> Column:
@@ -58,9 +56,9 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
 
     ``rules`` has string columns ``host``, ``path`` and ``verdict``.
     """
-    good = rules.where((F.col("host") != "") & F.col("path").isNotNull() & (F.length("path") <= MAX_PATH))
+    good = rules.where((F.col("host") != "") & F.col("path").isNotNull())
     good = good.groupBy(lower_ascii(F.col("host")).alias("host"), "path").agg(F.max("verdict").alias("verdict"))
-    # at most MAX_PATH + 1 different lengths, whatever the number of rules
+    # no more different lengths than the longest path has characters, whatever the number of rules
     lengths = sorted(r[0] for r in good.select(F.length("path")).distinct().collect())
     digest = F.sha2(F.concat("host", "path").cast("binary"), 256)
     known = good.select(

@@ -170,6 +170,13 @@ def test_url_rules(spark):
     assert urls.judge(df.limit(0), table).count() == 0
 
 
+def test_url_rule_with_a_long_path(spark):
+    path = "/" + "x" * 3000
+    table = spark.createDataFrame([("example.org", path, "block")], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(0, f"http://example.org{path}/1"), (1, "http://example.org/x")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, table).collect()} == {0: "block", 1: "allow"}
+
+
 # ---- packing
 
 def ids_of(texts):
