@@ -19,7 +19,8 @@ texts around one template do, the order says no more. The classes of such
 dense runs meet in an exact join besides (a prefix filter): two sets that
 overlap enough share one of the first shingles of each in any common order,
 here the rarest first. Two classes that share a run are thus neighbours or
-both in the exact join. Pairs already in one component are left out of it.
+both in the exact join, save where a border of the sorted partitions cuts a
+run of few. Pairs already in one component are left out of it.
 
 Components come from alternating star contractions, which need a number of
 rounds logarithmic in the longest path.
