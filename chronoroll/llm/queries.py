@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import extract, nearby, packing, quality, secret_scan, semantic, substring, toxicity, urls, warc
+from . import align, extract, nearby, packing, periodic, pieces, quality, secret_scan, semantic, substring, toxicity, urls, warc
 from . import words as W
 
 
@@ -112,6 +112,51 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", (~F.col("base_failed") & F.col("good")).alias("kept"), "p_good"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, P.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.sha2("spans", 256).alias("spans_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = align.align(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("piece_bpe_32k.model"))
+    return rows.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256"))
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """The contract's texts: for a tenth of the ids, the words from a place on repeat the first of them.
+
+    The words of a changed text are joined by one space; the others stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+    sized = chosen.withColumn("n", F.size("w")).withColumn("g", F.floor(F.col("h") / 10))
+    placed = sized.withColumn("a", F.expr("CAST(g % nullif(n, 0) AS int)")).withColumn(
+        "p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS int)"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), CAST((n - a) div p + 1 AS int))), 1, n - a)")
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.concat_ws(" ", F.expr("slice(w, 1, a)"), tail)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.find(repeated_tails(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.expr("array_sort(runs, (x, y) -> CASE WHEN x.length <> y.length THEN IF(x.length > y.length, -1, 1) "
+                  "WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1) ELSE IF(x.period < y.period, -1, 1) END)")
+    top = F.get(best, F.lit(0))
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return (rows.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -123,6 +168,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_audit": op8_warc_audit,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
