@@ -13,7 +13,7 @@ Counting takes two shuffles of distinct id pairs, never of links: each block
 counts its own pairs first, the pairs are summed, and each block gets back the
 counts of the pairs it holds. The rest is done block by block.
 
-Blocks hold about ``words.BLOCK`` bytes of text, or one longer text, which
+Blocks hold about ``BLOCK`` bytes of text, or one longer text, which
 bounds memory. Defined cases: a null or empty text, and one whose joined A or
 B bytes are not a space and the text, has no tokens: all figures are 0 and
 ``groups`` is empty; repeated rows are documents each; an empty table gives an
@@ -37,8 +37,8 @@ from . import words as W
 from .pieces import Model
 
 FIELDS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
-#: A tokens of one place in the state.
-LANE = 512
+#: A tokens of one place in the state, and bytes of text in a block.
+LANE, BLOCK = 512, 1 << 20
 #: Row groups of the table of blocks: a row holds a whole block.
 _ROW_GROUP = 16 << 20
 
@@ -101,23 +101,35 @@ def lockstep(a_end: np.ndarray, a_cut: np.ndarray, b_end: np.ndarray, b_cut: np.
     return a[order], b[order], m[order]
 
 
-def _encode(texts: list[str], a: Ranks, b: Model) -> tuple[list, list]:
-    """Ids of both vocabularies by text; none where the bytes don't agree."""
-    raw = np.frombuffer("".join(texts).encode(), np.uint8)
-    off = np.cumsum([0, *[len(t.encode()) for t in texts]])
-    got, cut, _, _ = b.encode(raw, off)
-    got, ids_a, ids_b = got.tolist(), [], []
-    for t, lo, hi in zip(texts, cut.tolist(), cut[1:].tolist()):
+def _encode(texts: list[str], a: Ranks, b: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(A ids, their number by text, B ids, their number by text); none for a text whose bytes don't agree."""
+    ids_a, ids_b = [], b.own.encode(texts, num_threads=1)
+    for i, t in enumerate(texts):
         whole = b" " + t.encode()
-        x, y = a.encoding.encode_ordinary(" " + t) if t else [], got[lo:hi]
-        same = bool(t) and b"".join([a.surface[i] for i in x]) == whole and b"".join([b.surface[i] for i in y]) == whole
-        ids_a.append(x if same else [])
-        ids_b.append(y if same else [])
-    return ids_a, ids_b
+        x = a.encoding.encode_ordinary(" " + t) if t else []
+        if b"".join([a.surface[y] for y in x]) != whole or b"".join([b.surface[y] for y in ids_b[i]]) != whole:
+            x, ids_b[i] = [], []
+        ids_a.append(x)
+    n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
+    flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
+    return flat_a, n_a, flat_b, n_b
+
+
+def _pack(values: np.ndarray, n: int) -> bytes:
+    """Numbers below ``n``, compressed: low bytes first, then the next ones."""
+    raw = values.astype(_dtype(n))
+    planes = np.ascontiguousarray(raw.view(np.uint8).reshape(len(raw), raw.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, count: int, n: int) -> np.ndarray:
+    kind = np.dtype(_dtype(n))
+    raw = np.frombuffer(pa.decompress(data, count * kind.itemsize, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(kind.itemsize, count).T).view(kind).reshape(count).astype(np.int64)
 
 
 def _dtype(n: int) -> str:
-    return "<u2" if n <= 1 << 16 else "<u4"
+    return "u1" if n <= 1 << 8 else "<u2" if n <= 1 << 16 else "<u4"
 
 
 def _stage(docs: DataFrame, kept: list[str], text: str, shared, pattern: str) -> DataFrame:
@@ -131,30 +143,24 @@ def _stage(docs: DataFrame, kept: list[str], text: str, shared, pattern: str) ->
     def run(batches):
         ranks, model = Ranks.of(shared.value[0], pattern), Model.of(shared.value[1])
         task = TaskContext.get().partitionId() << 32
-        for k, (batch, _, _) in enumerate(W.blocks(batches, "text")):
-            ids_a, ids_b = _encode([t or "" for t in batch.column("text").to_pylist()], ranks, model)
-            a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
-            n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
+        for k, (batch, _, _) in enumerate(W.blocks(batches, "text", BLOCK)):
+            a, n_a, b, n_b = _encode([t or "" for t in batch.column("text").to_pylist()], ranks, model)
             a_cut, b_cut = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
-            at_a, at_b, moves = lockstep(np.cumsum(ranks.width[a]), a_cut, np.cumsum(_widths(model)[b]), b_cut)
+            at_a, at_b, moves = lockstep(np.cumsum(ranks.width[a]), a_cut, np.cumsum(model.bytes_of[b]), b_cut)
             doc = np.searchsorted(a_cut, at_a, "right") - 1
             space = len(ranks.surface) * len(model.surface)
             pair = np.unique(doc * space + a[at_a] * len(model.surface) + b[at_b]) % space
             pair, held = np.unique(pair, return_counts=True)
             sizes = np.stack([n_a, n_b, np.bincount(doc, minlength=len(n_a))], 1)
-            data = (a.astype(_dtype(len(ranks.surface))), b.astype(_dtype(len(model.surface))), moves.astype(np.uint8),
-                    sizes.astype("<i8"), pair.astype("<i8"), held.astype("<i4"))
+            data = (_pack(a, len(ranks.surface)), _pack(b, len(model.surface)), _pack(moves, 4),
+                    sizes.astype("<i8").tobytes(), pair.astype("<i8").tobytes(), held.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task + k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("row")),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in data]], names=schema.names)
+                 *[pa.array([x], pa.binary()) for x in data]], names=schema.names)
 
     return packed.mapInArrow(run, schema)
 
 
-def _widths(model: Model) -> np.ndarray:
-    return np.array([len(s) for s in model.surface])
-
-
 def _pairs(staged: DataFrame) -> DataFrame:
     """(block, pair, n): how many of a block's documents hold an id pair linked."""
 
@@ -200,15 +206,16 @@ def align(docs: DataFrame, ranks: str, pattern: str, model: str, *, text: str =
     pairs = _pairs(staged)
     found = (pairs.select("block", "pair").join(counts(pairs.select("pair", "n"), n_b), "pair")
              .groupBy("block").agg(F.collect_list(F.struct("pair", "docs", "best")).alias("table")))  # one block's pairs
-    joined = staged.select("block", "rows", "a", "b", "moves", "sizes").join(found, "block", "left").select("rows", "a", "b", "moves", "sizes", "table")
+    joined = staged.select("block", "rows", "a", "b", "moves", "sizes").join(
+        found.hint("shuffle_hash"), "block", "left").select("rows", "a", "b", "moves", "sizes", "table")
     figures = T.StructType([T.StructField(c, T.LongType()) for c in FIELDS[:-1]] + [T.StructField(FIELDS[-1], T.StringType())])
     schema = T.StructType([T.StructField("row", T.StructType([T.StructField("none", T.IntegerType()), *rows_type.fields])), *figures.fields])
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                yield _judge(one, n_a, n_b, schema.names)
+                yield _judge(batch.slice(i, 1), n_a, n_b, schema.names)
+                pa.default_memory_pool().release_unused()
 
     done = joined.mapInArrow(run, schema)
     return done.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(kept)], *FIELDS)
@@ -216,9 +223,8 @@ def align(docs: DataFrame, ranks: str, pattern: str, model: str, *, text: str =
 
 def _judge(block: pa.RecordBatch, n_a: int, n_b: int, names: list[str]) -> pa.RecordBatch:
     """The documents of a block with their figures."""
-    a, b = (np.frombuffer(block.column(c)[0].as_py(), _dtype(n)).astype(np.int64) for c, n in (("a", n_a), ("b", n_b)))
-    moves = np.frombuffer(block.column("moves")[0].as_py(), np.uint8).astype(np.int64)
     sizes = np.frombuffer(block.column("sizes")[0].as_py(), "<i8").reshape(-1, 3)
+    a, b, moves = (_unpack(block.column(c)[0].as_py(), int(m), n) for c, m, n in zip(("a", "b", "moves"), sizes.sum(0), (n_a, n_b, 4)))
     on_a, on_b = moves & 1, moves >> 1
     at_a, at_b = np.cumsum(on_a) - on_a, np.cumsum(on_b) - on_b
     links = np.append(0, np.cumsum(sizes[:, 2]))
@@ -233,29 +239,32 @@ def _judge(block: pa.RecordBatch, n_a: int, n_b: int, names: list[str]) -> pa.Re
     figures = [sizes[:, 0], sizes[:, 1], W.per_text(cut, links), sizes[:, 2], W.per_text(best, links), W.per_text(docs, links)]
     return pa.RecordBatch.from_arrays(
         [block.column("rows").flatten(), *[pa.array(x, pa.int64()) for x in figures],
-         pa.array(_groups(a, b, at_a[cut], at_b[cut], sizes), pa.string())], names=names)
+         _groups(a, b, at_a[cut], at_b[cut], sizes)], names=names)
 
 
-def _groups(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, sizes: np.ndarray) -> list[str]:
+def _groups(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """``a1,a2|b1;a3|b2,b3`` for each document; ``last_a`` and ``last_b`` end the groups."""
     # an A token stands behind the B tokens of the groups before its own, a B token behind the A tokens of its own too
-    b_before = np.append(0, last_b + 1)
-    a_upto = last_a + 1
-    to_a = np.arange(len(a)) + b_before[np.searchsorted(last_a, np.arange(len(a)))]
-    to_b = np.arange(len(b)) + a_upto[np.searchsorted(last_b, np.arange(len(b)))] if len(b) else np.empty(0, np.int64)
+    size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+    to_a = np.arange(len(a)) + np.repeat(last_b + 1 - size_b, size_a)
+    to_b = np.arange(len(b)) + np.repeat(last_a + 1, size_b)
     code = np.empty(len(a) + len(b), np.int64)
-    sep_a, sep_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    sep_a[last_a], sep_b[last_b] = 1, 2
-    code[to_a], code[to_b] = a * 3 + sep_a, b * 3 + sep_b
-    names = _names(max(int(code.max()) // 3 + 1, 1)) if len(code) else []
-    cut = np.append(0, np.cumsum(sizes[:, 0] + sizes[:, 1])).tolist()
-    listed = code.tolist()
-    return ["".join([names[c] for c in listed[x:y]])[:-1] for x, y in zip(cut, cut[1:])]
-
-
-def _names(n: int) -> list[str]:
-    """Decimal ids, each with the three marks that can follow it."""
+    code[to_a], code[to_b] = a * 4, b * 4
+    code[to_a[last_a]] += 1
+    code[to_b[last_b]] += 2
+    ends = np.cumsum(sizes[:, 0] + sizes[:, 1])
+    code[ends[sizes[:, 0] > 0] - 1] += 1  # nothing follows a document's last token
+    text, width = _names(int(code.max(initial=0)) // 4 + 1)
+    size = width[code]
+    chars = text[code][np.arange(text.shape[1]) < size[:, None]]
+    off = np.append(0, np.append(0, np.cumsum(size))[ends])
+    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(chars)]).cast(pa.string())
+
+
+def _names(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, length) of decimal ids, each with the four marks that can follow it."""
     held = W._held()
-    if len(held.get("decimal", ())) < 3 * n:
-        held["decimal"] = [f"{i}{mark}" for i in range(n) for mark in ",|;"]
+    if len(held.get("decimal", ((),))[0]) < 4 * n:
+        names = np.array([f"{i}{mark}".encode() for i in range(n) for mark in (",", "|", ";", "")])
+        held["decimal"] = names.view(np.uint8).reshape(4 * n, -1), np.char.str_len(names)
     return held["decimal"]

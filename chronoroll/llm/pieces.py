@@ -24,6 +24,7 @@ import codecs
 import hashlib
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, groupby
 
 import numpy as np
@@ -151,8 +152,21 @@ class Model:
         #: Bytes that a piece takes of the normalised text (a byte piece: one of its character's).
         self.width = np.array([1 if k == _BYTE else len(p.encode()) for p, _, k in pieces])
         self.is_byte = np.array([k == _BYTE for _, _, k in pieces])
+        #: Bytes that a piece stands for.
+        self.bytes_of = np.array([len(x) for x in self.surface])
+        self.data = data
+
+    @cached_property
+    def own(self):
+        """The library with the model as it is."""
+        import sentencepiece
+        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
+
+    @cached_property
+    def segments(self):
+        """The library without the model's normaliser."""
         import sentencepiece
-        self.segments = sentencepiece.SentencePieceProcessor(model_proto=data + _NO_NORMALISER)
+        return sentencepiece.SentencePieceProcessor(model_proto=self.data + _NO_NORMALISER)
 
     @staticmethod
     def of(data: bytes) -> Model:

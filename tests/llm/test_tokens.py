@@ -16,7 +16,6 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from chronoroll.llm import align, periodic, pieces
-from chronoroll.llm import words as W
 from chronoroll.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,10 +160,10 @@ def aligned(rows):
                                for i, a, b, g, k in docs)
 
 
-@pytest.mark.parametrize("lane,block", [(512, W.BLOCK), (3, 700)])
+@pytest.mark.parametrize("lane,block", [(512, align.BLOCK), (3, 700)])
 def test_alignment(spark, docs, folder, monkeypatch, lane, block):
     monkeypatch.setattr(align.lockstep, "__defaults__", (lane,))
-    monkeypatch.setattr(W.blocks, "__defaults__", (block,))
+    monkeypatch.setattr(align, "BLOCK", block)
     rows = [(i, t if t is None or len(t) < 3000 else t[:3000]) for i, t in corpus()]
     src = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = aligned(rows)
