@@ -8,7 +8,8 @@ than ``LANE`` A tokens takes several places in the state, each with its own
 stretch of A tokens, so the number of steps does not grow with the longest
 text; where a stretch starts among the B tokens is found by binary search.
 
-Links are kept as one byte a step (which pointers advanced), beside the ids.
+Links are kept as one byte a step (which pointers advanced), beside the A ids;
+a B id as its place among the block's partners of the A id that it begins in.
 Counting takes two shuffles of distinct id pairs, never of links: each block
 counts its own pairs first, the pairs are summed, and each block gets back the
 counts of the pairs it holds. The rest is done block by block.
@@ -152,7 +153,10 @@ def _stage(docs: DataFrame, kept: list[str], text: str, shared, pattern: str) ->
             pair = np.unique(doc * space + a[at_a] * len(model.surface) + b[at_b]) % space
             pair, held = np.unique(pair, return_counts=True)
             sizes = np.stack([n_a, n_b, np.bincount(doc, minlength=len(n_a))], 1)
-            data = (_pack(a, len(ranks.surface)), _pack(b, len(model.surface)), _pack(moves, 4),
+            start = np.flatnonzero(np.diff(at_b, prepend=-1))  # the first link of each B token
+            of_a = a[at_a[start]] * len(model.surface)
+            nth = np.searchsorted(pair, of_a + b) - np.searchsorted(pair, of_a)
+            data = (_pack(a, len(ranks.surface)), _pack(nth, len(model.surface)), _pack(moves, 4),
                     sizes.astype("<i8").tobytes(), pair.astype("<i8").tobytes(), held.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task + k], pa.int64()), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("row")),
@@ -224,17 +228,20 @@ def align(docs: DataFrame, ranks: str, pattern: str, model: str, *, text: str =
 def _judge(block: pa.RecordBatch, n_a: int, n_b: int, names: list[str]) -> pa.RecordBatch:
     """The documents of a block with their figures."""
     sizes = np.frombuffer(block.column("sizes")[0].as_py(), "<i8").reshape(-1, 3)
-    a, b, moves = (_unpack(block.column(c)[0].as_py(), int(m), n) for c, m, n in zip(("a", "b", "moves"), sizes.sum(0), (n_a, n_b, 4)))
+    a, nth, moves = (_unpack(block.column(c)[0].as_py(), int(m), n) for c, m, n in zip(("a", "b", "moves"), sizes.sum(0), (n_a, n_b, 4)))
     on_a, on_b = moves & 1, moves >> 1
     at_a, at_b = np.cumsum(on_a) - on_a, np.cumsum(on_b) - on_b
     links = np.append(0, np.cumsum(sizes[:, 2]))
-    best = docs = np.empty(0, np.int64)
+    b = best = docs = np.empty(0, np.int64)
     if len(moves):
         table = block.column("table").flatten()
         pair, held, top = (table.field(c).to_numpy(zero_copy_only=False) for c in ("pair", "docs", "best"))
         order = np.argsort(pair)
-        place = order[np.searchsorted(pair, a[at_a] * n_b + b[at_b], sorter=order)]
-        best, docs = top[place].astype(np.int64), held[place]
+        pair, held, top = pair[order], held[order], top[order].astype(np.int64)
+        start = np.flatnonzero(np.diff(at_b, prepend=-1))
+        b = pair[np.searchsorted(pair, a[at_a[start]] * n_b) + nth] % n_b
+        place = np.searchsorted(pair, a[at_a] * n_b + b[at_b])
+        best, docs = top[place], held[place]
     cut = moves == 3
     figures = [sizes[:, 0], sizes[:, 1], W.per_text(cut, links), sizes[:, 2], W.per_text(best, links), W.per_text(docs, links)]
     return pa.RecordBatch.from_arrays(
