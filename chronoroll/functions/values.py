@@ -10,6 +10,14 @@ SPARK_TYPES = {"string": "string", "long": "bigint", "double": "double",
                "float": "float", "boolean": "boolean"}
 
 
+# The CSV dialect of public exports (RFC 4180): a quote inside a quoted cell is
+# written twice, a backslash is an ordinary character. Spark's own default
+# (``escape="\\"``) is an option of every reader and writer.
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+# A cell is written as it is: white space at its ends belongs to it.
+CSV_WRITER = {**CSV_DIALECT, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -71,6 +79,14 @@ def to_json_value(cols: list[str] | None = None) -> Column:
     return F.to_json(inner, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
 
 
-def parse_csv_line(c: Column | str, ddl: str, sep: str = ",") -> Column:
-    """Parse one CSV line per row into a struct (``from_csv``)."""
-    return F.from_csv(_c(c), ddl, {"sep": sep, "mode": "PERMISSIVE"})
+def parse_csv_line(c: Column | str, ddl: str, sep: str = ",", options: dict | None = None) -> Column:
+    """Parse one CSV line per row into a struct (``from_csv``), in the dialect above.
+
+    The whole text is one record, so a quoted cell may hold line breaks.
+    """
+    return F.from_csv(_c(c), ddl, {**CSV_DIALECT, "sep": sep, "mode": "PERMISSIVE", **(options or {})})
+
+
+def to_csv_line(*cols: Column | str, options: dict | None = None) -> Column:
+    """One CSV line of the columns, which ``parse_csv_line`` reads back."""
+    return F.to_csv(F.struct(*cols), {**CSV_WRITER, **(options or {})})

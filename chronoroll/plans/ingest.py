@@ -23,8 +23,8 @@ from ..operators.clean import (MALFORMED, RAW_TIME, coerce_dims, exclude, filter
                                with_event_time)
 from ..operators.rollup import roll, rollup, state_aggs
 from ..session import list_dirs, list_files, shared_dir
-from ..sinks.files import (CHUNK, append_table, drop_unwritten, partition_files,
-                           replace_partitions, with_chunk, write_table)
+from ..sinks.files import CHUNK, append_table, replace_partitions, replace_scope, with_chunk, write_table
+from ..sinks.journal import partition_folders, recover
 from ..spec import TIME_COLUMN, Dim, TableSpec
 
 
@@ -224,7 +224,8 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     a replacing load stands for its whole scope: partitions of ``regions``
     (all regions by default) whose chunk lies wholly inside the intervals
     (every chunk without intervals) and that the load did not write are
-    removed after the new data is in place. Bad rows go to
+    removed with the swap of the new ones (``replace_scope``). A change that
+    an earlier load of the table began and did not end is finished first. Bad rows go to
     ``quarantine_path`` (partitioned by region, all source columns) when it
     is given.
 
@@ -244,6 +245,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     if regions and not spec.partition_col:
         raise ValueError("a load of some regions needs a partition column, or it would "
                          "replace the chunks of the others")
+    recover(spark, table_path)
     counts = obs = None
     clean_load = False
     bad = bad_rows(source, spec)
@@ -259,10 +261,10 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
         rows, _ = prepare(source, spec, obs)
     if mode == "append":
         append_table(rows, table_path, parts, **kw)
+    elif drop_existing:
+        replace_scope(rows, table_path, parts, _scope(spark, spec, table_path, regions), **kw)
     else:
-        scope = _scope(spark, spec, table_path, regions) if drop_existing else {}
         replace_partitions(rows, table_path, parts, **kw)
-        drop_unwritten(spark, scope)
     if quarantine_path:
         if clean_load or no_bad_rows(obs):
             # no bad row in this load: an empty quarantine, no second read
@@ -276,8 +278,8 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
 
 
 def _scope(spark: SparkSession, spec: TableSpec, path: str,
-           regions: list[str] | None) -> dict[str, frozenset[str]]:
-    """Partition folders a load stands for, with their files (metadata only)."""
+           regions: list[str] | None) -> list[str]:
+    """Partition folders a load stands for, relative to the table (metadata only)."""
     bounds = None
     if spec.intervals:
         g = spec.segment_granularity
@@ -288,34 +290,48 @@ def _scope(spark: SparkSession, spec: TableSpec, path: str,
             first = F.when(floor_time(lo, g) == lo, F.lit(0)).otherwise(F.lit(1))
             cols.append(F.struct(chunk_label(lo, g), first, chunk_label(hi, g)))
         bounds = [tuple(b) for b in spark.range(1).select(F.array(*cols)).first()[0]]
-    out = {}
-    for values, folder, files in partition_files(spark, path, partition_cols(spec)):
+    out = []
+    for folder, values in partition_folders(spark, path, partition_cols(spec)).items():
         chunk = values[CHUNK]
         if regions is not None and values[spec.partition_col] not in regions:
             continue
         if bounds is None or any((chunk > lo or chunk == lo and not late) and chunk < hi
                                  for lo, late, hi in bounds):
-            out[folder] = files
+            out.append(folder)
     return out
 
 
-def read_table(spark: SparkSession, path: str, string_partitions: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, string_partitions: list[str] | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
     """Read a table written by this library.
 
     Partition folder values such as ``2024-01-01`` would be inferred as
     dates; the named partition columns are read back as text, as written.
-    The schema then comes from one partition folder, so the table's files
-    are listed once.
+    With ``schema`` the files are listed once and none is opened for it.
+    Without one the columns are those of all loads together (Spark merges
+    the files' schemas in parallel tasks): a column that a later load added
+    is null in the rows of earlier ones.
     """
-    if not string_partitions:
-        return spark.read.parquet(path)
-    leaf = a_partition(spark, path)
-    df = spark.read.option("basePath", path).parquet(leaf)
-    fields = [T.StructField(f.name, T.StringType(), True) if f.name in string_partitions else f
-              for f in df.schema.fields]
+    text = set(string_partitions or [])
+    if schema is None:
+        merged = spark.read.option("mergeSchema", "true").parquet(path)
+        if not text:
+            return merged
+        schema = merged.schema
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in text else f for f in schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def table_schema(spark: SparkSession, spec: TableSpec) -> T.StructType:
+    """The columns a load of ``spec`` writes, partition columns last."""
+    full = _spec_with_partition(spec)
+    inputs = dict.fromkeys([full.time_column, *full.dim_names, *[m.field for m in full.metrics if m.field]])
+    none = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in inputs]))
+    written = prepare(none, spec)[0].schema
+    parts = partition_cols(spec)
+    return T.StructType([f for f in written if f.name not in parts] + [written[p] for p in parts])
+
+
 def a_partition(spark: SparkSession, path: str) -> str:
     """A partition folder that holds files (the table itself if there is none)."""
     def first(folder: str) -> str | None:
@@ -327,8 +343,8 @@ def a_partition(spark: SparkSession, path: str) -> str:
 
 
 def read_ingested(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    parts = partition_cols(spec)
-    return read_table(spark, path, parts)
+    """The table with the columns of ``spec``: null where an earlier load had no such column."""
+    return read_table(spark, path, partition_cols(spec), table_schema(spark, spec))
 
 
 def read_range(spark: SparkSession, spec: TableSpec, path: str, intervals) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.time import run_id as make_run_id
 from ..operators.clean import stamp
 from ..operators.rollup import counts_by
-from ..sinks.files import TEXT_TIME_OPTIONS, write_snapshot_and_latest
+from ..sinks.files import SNAPSHOT_CSV, TEXT_TIME_OPTIONS, write_snapshot_and_latest
 from ..sources.files import read_partitioned_csv
 
 
@@ -59,7 +59,7 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, partitio
     if fmt in ("csv", "json"):
         r = r.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
-        r = r.option("header", "true")
+        r = r.options(**SNAPSHOT_CSV)
     return r.load(path)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import region_from_path
 from ..operators.clean import parsed_messages
+from ..sources.census import read_csv_census
 from ..sources.files import (FILE_PATH, read_csv, read_csv_positional, read_parquet,
                              region_glob)
 from ..sources.jdbc import read_jdbc_query, read_jdbc_table
@@ -80,9 +81,12 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
         from_header = fmt.get("findColumnsFromHeader", columns is None)
         skip = int(fmt.get("skipHeaderRows", 0)) or int(bool(fmt.get("hasHeaderRow", False)))
         if columns and not from_header:
-            df = read_csv_positional(spark, path, columns, skip_header=skip, malformed=True)
+            df = read_csv_positional(spark, path, columns, skip_header=skip, malformed=True, options=csv_options(fmt))
+        elif fmt.get("headerCensus", False):
+            df = read_csv_census(spark, path, columns=columns, malformed=True, options=csv_options(fmt), keep_file=True)
+            df = df.withColumnRenamed("_file", "file_path")
         else:
-            df = read_csv(spark, path, infer=False, malformed=True)
+            df = read_csv(spark, path, infer=False, malformed=True, options=csv_options(fmt))
     else:
         raise ValueError(f"unsupported inputFormat {ftype!r}")
     if spec.partition_col and spec.partition_col not in df.columns:
@@ -92,6 +96,12 @@ def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,
     return df.drop("file_path")
 
 
+def csv_options(fmt: dict) -> dict:
+    """The dialect an ``inputFormat`` states: ``delimiter``, ``quote``, ``escape``, ``multiLine``, ``encoding``."""
+    names = {"delimiter": "sep", "quote": "quote", "escape": "escape", "multiLine": "multiLine", "encoding": "encoding"}
+    return {v: str(fmt[k]).lower() if isinstance(fmt[k], bool) else fmt[k] for k, v in names.items() if k in fmt}
+
+
 def input_paths(src: dict, base_override: str | None = None,
                 regions: list[str] | None = None) -> str | list[str]:
     """What to load: ``baseDir`` and its file filter as one path pattern, or the listed paths."""

@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -166,6 +167,46 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a file or folder; the folder above ``dst`` is created, ``dst`` must not exist."""
+    fs, p = _fs(spark, src)
+    _, q = _fs(spark, dst)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Files below ``path``, relative to it (empty if it does not exist); names with ``_`` or ``.`` in front are skipped.
+
+    Spark lists them, in parallel tasks where there are many folders.
+    """
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    base = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).inputFiles()
+    return sorted(unquote(urlsplit(f).path).removeprefix(base) for f in listed)
+
+
 def content_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes of the files below ``path`` (file-system metadata)."""
     fs, p = _fs(spark, path)

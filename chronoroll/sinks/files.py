@@ -13,17 +13,17 @@ are available when a caller needs a fixed file count.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import chunk_label
-from ..session import delete_path, list_dirs, list_files
+from ..functions.values import CSV_DIALECT, CSV_WRITER
+from .journal import commit, partition_folders, recover, staging_path
 
 CHUNK = "chunk"
-# Fixed value: folder name of a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# How CSV files written here are read back: cells may hold line breaks, so a
+# file (sized by its writer) is one task.
+SNAPSHOT_CSV = {**CSV_DIALECT, "header": "true", "multiLine": "true"}
 
 # Text formats of timestamps in CSV and JSON files we write and read.
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -65,7 +65,7 @@ def _writer(df: DataFrame, mode: str, partition_cols: list[str] | None,
             max_rows_per_file: int | None, fmt: str, header: bool, dynamic: bool):
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", str(header).lower())
+        w = w.option("header", str(header).lower()).options(**CSV_WRITER)
     if fmt in ("csv", "json"):
         w = w.options(**TEXT_TIME_OPTIONS)
     if partition_cols:
@@ -112,34 +112,22 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], **kw
     return write_table(df, path, partition_cols, mode="overwrite", dynamic=True, **kw)
 
 
-def partition_files(spark: SparkSession, path: str, partition_cols: list[str]):
-    """(values by column, folder, file names) of every partition below ``path``.
+def replace_scope(df: DataFrame, path: str, partition_cols: list[str], scope: list[str] | None = None, **kw) -> None:
+    """Put the partitions of ``df`` in the table and remove what else lies in ``scope`` (K5, K2).
 
-    File-system metadata only; a null partition value is ``None``.
-    """
-    def walk(folder: str, values: dict, depth: int):
-        if depth == len(partition_cols):
-            yield values, folder, frozenset(list_files(spark, folder))
-            return
-        start = f"{partition_cols[depth]}="
-        for name in list_dirs(spark, folder):
-            if name.startswith(start):
-                value = unquote(name[len(start):])
-                yield from walk(f"{folder}/{name}", {**values, partition_cols[depth]:
-                                None if value == NULL_PARTITION else value}, depth + 1)
-    yield from walk(path.rstrip("/"), {}, 0)
-
-
-def drop_unwritten(spark: SparkSession, before: dict[str, frozenset[str]]) -> int:
-    """Remove the folders that still hold exactly the files they held ``before``.
-
-    A partition a load has written got new files in place of the old ones;
-    one that kept its files was not part of the load. Returns the number.
+    ``scope`` are partition folders relative to ``path`` (all of the table's
+    by default). The rows are staged first, then swapped in by a journal: a
+    crash at any point leaves the old table, or a change that the next load
+    of the table finishes (see ``journal``).
     """
-    stale = [f for f, files in before.items() if frozenset(list_files(spark, f)) == files]
-    for folder in stale:
-        delete_path(spark, folder)
-    return len(stale)
+    spark = df.sparkSession
+    recover(spark, path)
+    if scope is None:
+        scope = list(partition_folders(spark, path, partition_cols))
+    staged = staging_path(path)
+    write_table(df, staged, partition_cols, mode="overwrite", dynamic=False, **kw)
+    new = list(partition_folders(spark, staged, partition_cols))
+    commit(spark, path, staged, replace=new, remove=sorted(set(scope) - set(new)))
 
 
 def snapshot_path(base: str, run_id: str) -> str:
@@ -160,8 +148,8 @@ def write_snapshot_and_latest(df: DataFrame, base: str, latest: str, run_id: str
     The upstream plan runs once: the dated snapshot is written from ``df``
     and ``latest`` is written from the snapshot files, so both copies hold
     identical rows (including any run timestamp) and the source is not
-    scanned a second time. ``latest`` is replaced partition by partition, and
-    a region that the run no longer holds is removed from it afterwards.
+    scanned a second time. ``latest`` holds exactly the run's regions: they
+    are swapped in, and the others removed, by one journal.
     """
     spark = df.sparkSession
     dated = write_snapshot(df, base, run_id, partition_col, fmt=fmt, **kw)
@@ -169,12 +157,9 @@ def write_snapshot_and_latest(df: DataFrame, base: str, latest: str, run_id: str
     if fmt in ("csv", "json"):
         r = r.options(**TEXT_TIME_OPTIONS).schema(_with_string_partition(df, partition_col))
     if fmt == "csv":
-        r = r.option("header", "true")
+        r = r.options(**SNAPSHOT_CSV)
     pinned = r.load(dated)
-    before = {folder: files for _, folder, files in partition_files(spark, latest, [partition_col])}
-    write_table(pinned.select(*df.columns), latest, [partition_col], mode="overwrite",
-                fmt=fmt, **kw)
-    drop_unwritten(spark, before)
+    replace_scope(pinned.select(*df.columns), latest, [partition_col], fmt=fmt, **kw)
     return dated, latest
 
 

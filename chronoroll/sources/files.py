@@ -1,6 +1,11 @@
 """File sources: region-partitioned CSV, single CSV, positional CSV, Parquet,
 and CSV lines held in a column.
 
+CSV is read in the dialect of public exports (``CSV_DIALECT``: a quote in a
+quoted cell is written twice); ``options`` are Spark's and win over it. A cell
+may hold a line break only with ``multiLine``, which makes a file one task;
+without it such a cell's lines are records of their own, set aside as malformed.
+
 Every reader is one Spark scan over a path glob. There is no driver-side loop
 over folders or files: the region of a row comes from the path of the file
 that holds it (``_metadata.file_path``), so ten regions or ten thousand cost
@@ -15,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import parse_csv_line, region_from_path
+from ..functions.values import CSV_DIALECT, parse_csv_line, region_from_path
 from ..operators.clean import MALFORMED
 
 FILE_PATH = "_metadata.file_path"
@@ -33,6 +38,12 @@ def _marked(reader, columns: list[str]):
             .option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", "false"))
 
 
+def _csv(spark: SparkSession, options: dict | None):
+    """A CSV reader of the library's dialect; ``options`` of Spark's reader win over it."""
+    return spark.read.format("csv").options(**{**CSV_DIALECT, "mode": "PERMISSIVE",
+                                               **{k: str(v) for k, v in (options or {}).items()}})
+
+
 def _load(reader, path: str | list[str]) -> DataFrame:
     try:
         return reader.load(path)
@@ -83,14 +94,12 @@ def read_partitioned_csv(spark: SparkSession, base: str, columns: list[str] | No
     region column could not skip any file). ``malformed`` (with ``columns``)
     adds ``_malformed``, the text of a line that has not these columns.
     """
-    r = spark.read.format("csv").option("header", "true").option("mode", "PERMISSIVE")
+    r = _csv(spark, options).option("header", "true")
     if columns:
         r = _marked(r, columns) if malformed else r.schema(_string_schema(columns))
         r = r.option("enforceSchema", str(not strict).lower())
     elif infer:
         r = r.option("inferSchema", "true")
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
     df = _load(r, f"{base.rstrip('/')}/{region_glob(glob, regions)}")
     df = df.withColumn(partition_col, region_from_path(F.col(FILE_PATH)))
     if keep_file:
@@ -109,10 +118,8 @@ def read_csv(spark: SparkSession, path: str | list[str], infer: bool = True, hea
     (``read_csv_positional`` or ``read_partitioned_csv(columns=…)``) for
     large inputs.
     """
-    r = (spark.read.format("csv").option("header", str(header).lower())
+    r = (_csv(spark, options).option("header", str(header).lower())
          .option("inferSchema", str(infer).lower()))
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
     df = _load(r, path)
     return _load(_marked(r, df.columns), path) if malformed and not infer else df
 
@@ -132,15 +139,12 @@ def read_csv_positional(spark: SparkSession, path: str | list[str], columns: lis
         lines = skip_lines(spark, path, int(skip_header))
         names = [*columns, MALFORMED] if malformed else columns
         ddl = ", ".join(f"`{c}` STRING" for c in names)
-        opts = {"columnNameOfCorruptRecord": MALFORMED, **(options or {})}
+        opts = {"columnNameOfCorruptRecord": MALFORMED, **CSV_DIALECT, **(options or {})}
         row = F.from_csv("value", ddl, {k: str(v) for k, v in opts.items()}).alias("_row")
         return lines.select(row, "file_path").select("_row.*", "file_path")
-    r = spark.read.format("csv")
+    r = _csv(spark, options)
     r = _marked(r, columns) if malformed else r.schema(_string_schema(columns))
-    r = (r.option("header", str(bool(skip_header)).lower()).option("enforceSchema", "true")
-         .option("mode", "PERMISSIVE"))
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
+    r = r.option("header", str(bool(skip_header)).lower()).option("enforceSchema", "true")
     return _load(r, path)
 
 
@@ -181,7 +185,7 @@ def read_parquet(spark: SparkSession, path: str | list[str], glob: str | None =
 
 
 def from_csv_lines(df: DataFrame, col: str, ddl: str, keep: list[str] | None = None,
-                   sep: str = ",") -> DataFrame:
+                   sep: str = ",", options: dict | None = None) -> DataFrame:
     """Parse a column of CSV lines in parallel into typed columns."""
-    parsed = parse_csv_line(col, ddl, sep).alias("_row")
+    parsed = parse_csv_line(col, ddl, sep, options).alias("_row")
     return df.select(*(keep or []), parsed).select(*(keep or []), "_row.*")
