@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 NTZ = "timestamp_ntz"
@@ -182,6 +182,29 @@ def chunk_label(c: Column | str, granularity: str) -> Column:
     return label
 
 
+# From one chunk's start to the next (sub-day labels name the hour), and its least hours.
+CHUNK_STEPS = {"day": ("1 day", 24), "week": ("7 day", 168), "month": ("1 month", 672), "quarter": ("3 month", 2160),
+               "year": ("1 year", 8760)}
+
+
+def chunk_names(spark: SparkSession, intervals, granularity: str, most: int) -> list[str] | None:
+    """Labels of all chunks that can hold a time inside the ``lo/hi`` intervals, in order; ``None`` beyond ``most``."""
+    g = granularity.lower()
+    if g == "all":
+        return ["1970-01-01"]
+    length, hours = CHUNK_STEPS.get(g, ("1 hour", 1))
+    step = F.expr(f"INTERVAL {length}")
+    found = set()
+    for iv in intervals:
+        lo, hi = interval_bounds(iv)
+        if spark.range(1).select(F.timestamp_diff("HOUR", lo, hi)).first()[0] > most * hours:
+            return None
+        first = floor_time(lo, g if g in CHUNK_STEPS else "hour")
+        starts = F.when(lo < hi, F.sequence(first, hi, step)).otherwise(F.array(first))
+        found.update(spark.range(1).select(F.transform(starts, lambda t: chunk_label(t, g))).first()[0])
+    return sorted(found)
+
+
 def format_reference_time(c: Column | str) -> Column:
     """``MM/dd/yyyy hh:mm:ss a`` text of a ``timestamp_ntz``, from its fields."""
     t = _c(c)

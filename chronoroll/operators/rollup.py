@@ -36,11 +36,18 @@ def metric_input(m: Metric) -> Column:
     if m.type in ("longSum", "longMin", "longMax"):
         return exact_long(x)
     if m.type in ("doubleSum", "doubleMean", "doubleAvg", "doubleMin", "doubleMax",
-                  "quantilesDoublesSketch"):
+                  "quantilesDoublesSketch", "fixedBucketsHistogram"):
         return x.try_cast("double")
     return x
 
 
+def _bin(m: Metric, x: Column) -> Column:
+    """Place of a value in the bin array: below, the bins, at or above, missing."""
+    inside = (F.floor((x - F.lit(m.lower)) * F.lit(m.bins) / F.lit(m.upper - m.lower)) + 1).cast("int")
+    return (F.when(x.isNull() | F.isnan(x), F.lit(m.bins + 2)).when(x < F.lit(m.lower), F.lit(0))
+             .when(x >= F.lit(m.upper), F.lit(m.bins + 1)).otherwise(F.least(inside, F.lit(m.bins))))
+
+
 def _units(m: Metric, x: Column) -> Column:
     """Fixed-point integer units of a value (10**-scale each)."""
     # NaN, Infinity and values beyond 64 bits count as no value
@@ -82,6 +89,9 @@ def state_aggs(m: Metric) -> list[Column]:
         return [F.theta_sketch_agg(x, m.lg_k).alias(m.name)]
     if t == "quantilesDoublesSketch":
         return [F.kll_sketch_agg_double(x).alias(m.name)]
+    if t == "fixedBucketsHistogram":
+        at = _bin(m, x)
+        return [F.array(*[F.count_if(at == k) for k in range(m.bins + 3)]).alias(m.name)]
     raise ValueError(t)
 
 
@@ -94,6 +104,9 @@ def row_states(m: Metric) -> list[Column]:
         return state if m.type == "doubleSum" else [*state, v.isNotNull().cast("long").alias(m.name + N)]
     if m.type in ("hyperUnique", "thetaSketch", "quantilesDoublesSketch"):
         raise ValueError(f"metric {m.name!r} ({m.type}) needs a rollup")
+    if m.type == "fixedBucketsHistogram":
+        at = _bin(m, x)
+        return [F.array(*[(at == k).cast("long") for k in range(m.bins + 3)]).alias(m.name)]
     return [x.alias(m.name)]
 
 
@@ -112,6 +125,8 @@ def merge_aggs(m: Metric) -> list[Column]:
         return [F.theta_union_agg(m.name, m.lg_k).alias(m.name)]
     if t == "quantilesDoublesSketch":
         return [F.kll_merge_agg_double(m.name).alias(m.name)]
+    if t == "fixedBucketsHistogram":
+        return [F.array(*[F.sum(F.get(m.name, k)) for k in range(m.bins + 3)]).alias(m.name)]
     raise ValueError(t)
 
 
@@ -236,6 +251,16 @@ def exact_distinct(df: DataFrame, group_cols: list[str], cols: dict[str, Column
     return df.groupBy(*group_cols).agg(*aggs)
 
 
+def histogram_bins(df: DataFrame, metric: Metric, keep: list[str]) -> DataFrame:
+    """A stored histogram as rows: ``keep``, ``bin`` (0 is below, ``bins + 1`` at or above, ``bins + 2``
+    missing), its borders ``lower`` and ``upper`` (null where open) and ``n``."""
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.posexplode(F.col(f"`{metric.name}`")).alias("bin", "n"))
+    width, b = (metric.upper - metric.lower) / metric.bins, F.col("bin")
+    return rows.select(*[F.col(f"`{c}`") for c in keep], "bin",
+                       F.when(b.between(1, metric.bins + 1), F.lit(metric.lower) + (b - 1) * F.lit(width)).alias("lower"),
+                       F.when(b <= metric.bins, F.lit(metric.lower) + b * F.lit(width)).alias("upper"), "n")
+
+
 def quantiles(sketch: Column | str, probs: list[float]) -> list[Column]:
     """Quantile estimates from a stored KLL sketch."""
     s = F.col(sketch) if isinstance(sketch, str) else sketch

@@ -9,15 +9,23 @@ folder names under the base (a metadata listing) or a list the caller gives.
 The audit is three aggregates — rows read, rows loaded, rows set aside, each
 one row per region — joined on the region. Each side is tiny after its
 aggregate, so the join costs nothing however large the load was.
+``content_audit`` compares the cells too, by sums of row hashes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import region_from_path
+from ..operators.lookup import with_lookups
+from ..operators.rollup import N, state_columns
 from ..session import list_dirs, make_dirs, path_exists
+from ..sinks.files import CHUNK
+from ..spec import TIME_COLUMN, TableSpec
+from .ingest import _spec_with_partition, prepare, read_ingested, read_table
 
 
 def list_region_folders(spark: SparkSession, base: str) -> list[str]:
@@ -89,6 +97,79 @@ def load_audit(rows_in: DataFrame, loaded: DataFrame, bad: DataFrame | None,
     return out.withColumn("status", status).orderBy(partition_col)
 
 
+def fingerprint(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
+    """Rows and content per group of ``by``: ``n_rows`` and two sums of row hashes, ``sum_a`` and ``sum_b``.
+
+    The sums do not depend on the order or the partitions of the rows, and
+    count repeated rows each: two sets of rows agree in all three exactly if
+    they are the same multiset (but for a chance of about 2^-128). Nulls and
+    places of cells count. One partial aggregation, a row per group and task
+    is shuffled.
+    """
+    names = sorted(c for c in (columns or df.columns) if c not in by)
+    cells = [x for c in names for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    total = lambda h: F.sum(h.cast("decimal(20,0)"))
+    return df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(
+        F.count(F.lit(1)).alias("n_rows"), total(F.xxhash64(F.lit("a"), *cells)).alias("sum_a"),
+        total(F.xxhash64(F.lit("b"), *cells)).alias("sum_b"))
+
+
+def exact_columns(spec: TableSpec) -> list[str]:
+    """Columns of a table of ``spec`` whose values do not depend on the order of the rows.
+
+    Sketches and floating sums without ``scale`` are left out.
+    """
+    loose = {c for m in spec.metrics for c in state_columns(m)
+             if m.type in ("hyperUnique", "thetaSketch", "quantilesDoublesSketch")
+             or m.type in ("doubleSum", "doubleMean", "doubleAvg") and m.scale is None and c != m.name + N}
+    full = _spec_with_partition(spec)
+    states = [c for m in full.metrics for c in state_columns(m)]
+    return [c for c in [TIME_COLUMN, *full.dim_names, *states, CHUNK] if c not in loose]
+
+
+def content_audit(spark: SparkSession, spec: TableSpec, source: DataFrame, table_path: str,
+                  quarantine_path: str | None = None) -> DataFrame:
+    """Per region: does the table hold exactly what ``source`` gives by ``spec``, cell by cell (Q3)?
+
+    What a load should have written is worked out again from the source and
+    compared with the stored table by ``fingerprint``, the bad side likewise.
+    Counts can match while cells are wrong, missing rows be made up for by
+    repeated ones; then ``rows_match`` is true and ``content_match`` false,
+    and the status FAILED. A rolled-up table is compared group by group.
+    """
+    source = with_lookups(spark, source, spec.lookups)
+    by = [spec.partition_col] if spec.partition_col else []
+    columns = exact_columns(spec)
+    rows, bad = prepare(source, spec)
+    sides = [("rows", rows, read_ingested(spark, spec, table_path), columns)]
+    if quarantine_path:
+        held = read_table(spark, quarantine_path, by)
+        sides.append(("bad", bad, held, [c for c in bad.columns if c in held.columns]))
+    out = None
+    for name, want, have, cols in sides:
+        w, h = fingerprint(want, by, cols).alias("w"), fingerprint(have, by, cols).alias("h")
+        same = reduce(lambda a, b: a & b, [F.col(f"w.`{c}`").eqNullSafe(F.col(f"h.`{c}`")) for c in by], F.lit(True))
+        n_w, n_h = (F.coalesce(F.col(f"{x}.n_rows"), F.lit(0)) for x in "wh")
+        equal = reduce(lambda a, b: a & b, [F.col(f"w.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("sum_a", "sum_b")])
+        side = w.join(h, same, "full_outer").select(
+            *[F.coalesce(F.col(f"w.`{c}`"), F.col(f"h.`{c}`")).alias(c) for c in by], n_w.alias(f"{name}_expected"),
+            n_h.alias(f"{name}_found"), equal.alias(f"{name}_equal"))
+        if out is None:
+            out = side
+        else:
+            a, b = out.alias("a"), side.alias("b")
+            same = reduce(lambda x, y: x & y, [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in by], F.lit(True))
+            keep = [F.coalesce(F.col(f"a.`{c}`"), F.col(f"b.`{c}`")).alias(c) for c in by]
+            out = a.join(b, same, "full_outer").select(*keep, *[c for c in out.columns if c not in by], *[c for c in side.columns if c not in by])
+    names = [name for name, *_ in sides]
+    zero = {f"{n}_{k}": 0 for n in names for k in ("expected", "found")}
+    out = out.fillna(zero).fillna({f"{n}_equal": True for n in names})
+    all_of = lambda cols: reduce(lambda a, b: a & b, cols)
+    out = out.withColumn("rows_match", all_of([F.col(f"{n}_expected") == F.col(f"{n}_found") for n in names]))
+    out = out.withColumn("content_match", all_of([F.col(f"{n}_equal") for n in names])).drop(*[f"{n}_equal" for n in names])
+    return out.withColumn("status", F.when(F.col("rows_match") & F.col("content_match"), F.lit("SUCCESS")).otherwise(F.lit("FAILED")))
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an (empty) folder, e.g. a region announced before its files."""
     make_dirs(spark, path)

@@ -13,15 +13,17 @@ import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import chunk_label, floor_time, interval_bounds
+from ..functions.time import chunk_label, chunk_names, floor_time, interval_bounds
 from ..operators.clean import (MALFORMED, RAW_TIME, coerce_dims, exclude, filter_intervals,
                                interval_predicate, keep_rows, project, split_bad,
                                with_event_time)
-from ..operators.rollup import roll, rollup, state_aggs
+from ..operators.lookup import with_lookups
+from ..operators.rollup import reaggregate, roll, rollup, state_aggs
 from ..session import list_dirs, list_files, shared_dir
 from ..sinks.files import CHUNK, append_table, replace_partitions, replace_scope, with_chunk, write_table
 from ..sinks.journal import partition_folders, recover
@@ -86,6 +88,17 @@ def _timed(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 BAD_ROWS = "bad_rows"
+ROW_ID = "_row_id"
+
+
+def with_row_id(bad: DataFrame) -> DataFrame:
+    """Bad rows with an id of their own, unique over all loads, by which a corrected row is recognised (``replay``).
+
+    A load's own id, a hash of the row and its place in the load: equal rows
+    are told apart.
+    """
+    cells = [x for c in bad.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return bad.withColumn(ROW_ID, F.concat_ws("-", F.lit(uuid.uuid4().hex), F.hex(F.xxhash64(*cells)), F.hex(F.monotonically_increasing_id())))
 
 
 def _text_time(df: DataFrame, spec: TableSpec) -> bool:
@@ -246,6 +259,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
         raise ValueError("a load of some regions needs a partition column, or it would "
                          "replace the chunks of the others")
     recover(spark, table_path)
+    source = with_lookups(spark, source, spec.lookups)
     counts = obs = None
     clean_load = False
     bad = bad_rows(source, spec)
@@ -266,6 +280,7 @@ def run_ingest(spark: SparkSession, spec: TableSpec, source: DataFrame, table_pa
     else:
         replace_partitions(rows, table_path, parts, **kw)
     if quarantine_path:
+        bad = with_row_id(bad)
         if clean_load or no_bad_rows(obs):
             # no bad row in this load: an empty quarantine, no second read
             # (a zero limit is planned as an empty relation). A task re-run
@@ -325,7 +340,7 @@ def read_table(spark: SparkSession, path: str, string_partitions: list[str] | No
 def table_schema(spark: SparkSession, spec: TableSpec) -> T.StructType:
     """The columns a load of ``spec`` writes, partition columns last."""
     full = _spec_with_partition(spec)
-    inputs = dict.fromkeys([full.time_column, *full.dim_names, *[m.field for m in full.metrics if m.field]])
+    inputs = [*full.input_names, *[x.name for x in full.lookups]]
     none = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in inputs]))
     written = prepare(none, spec)[0].schema
     parts = partition_cols(spec)
@@ -347,12 +362,30 @@ def read_ingested(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return read_table(spark, path, partition_cols(spec), table_schema(spark, spec))
 
 
+#: Chunks of a range that are listed by name; the folders of a longer range are listed whole and pruned.
+MOST_CHUNKS = 10_000
+
+
 def read_range(spark: SparkSession, spec: TableSpec, path: str, intervals) -> DataFrame:
     """Rows of an ingested table inside ``lo/hi`` intervals, partition-pruned.
 
-    A filter on ``__time`` alone cannot prune folders: the matching range of
-    chunk labels is added next to it, so only the chunks that can hold rows
-    are read (``PartitionFilters`` in the plan; a path read lists all files).
+    The chunks that can hold such rows are worked out from the intervals and
+    only their folders are listed; the range of their labels is a condition
+    too (``PartitionFilters``), since a filter on ``__time`` alone prunes no
+    folder. A range without chunks gives no rows.
     """
-    table = read_ingested(spark, spec, path)
+    names = chunk_names(spark, intervals, spec.segment_granularity, MOST_CHUNKS) if intervals else None
+    if names is None:
+        table = read_ingested(spark, spec, path)
+    else:
+        region = f"{spec.partition_col}=*/" if spec.partition_col else ""
+        schema = table_schema(spark, spec)
+        fields = [T.StructField(f.name, T.StringType(), True) if f.name in partition_cols(spec) else f for f in schema]
+        reader = spark.read.schema(T.StructType(fields)).option("basePath", path)
+        try:
+            table = reader.parquet(f"{path.rstrip('/')}/{region}{CHUNK}={{{','.join(names)}}}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            table = spark.createDataFrame([], T.StructType(fields))
     return filter_intervals(table, intervals, TIME_COLUMN, CHUNK, spec.segment_granularity)

@@ -35,11 +35,7 @@ def _spec_body(d: dict) -> dict:
 
 def input_ddl(spec: TableSpec) -> str:
     """All input fields a spec reads, as text (typed later by ``coerce``)."""
-    seen: list[str] = []
-    for f in [spec.time_column] + spec.dim_names + [m.field for m in spec.metrics if m.field]:
-        if f not in seen:
-            seen.append(f)
-    return ", ".join(f"`{f}` STRING" for f in seen)
+    return ", ".join(f"`{f}` STRING" for f in spec.input_names)
 
 
 def source_from_io_config(spark: SparkSession, io: dict, spec: TableSpec,

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.time import (REFERENCE_TIME_FORMAT, floor_time, format_reference_time, format_run_id,
                               parse_time, run_id, utc_epoch_millis)
-from ..functions.values import parse_json
+from ..functions.values import parse_json, to_csv_line
 from ..operators.clean import (BAD_REASON, RAW_TIME, coerce_columns, filter_partition,
                                preview, rename_positional, stamp, tag, with_event_time, with_expr)
 from ..operators.lookup import lookup
@@ -39,7 +39,7 @@ from ..streaming.stream import (compact_stream_rollup, purge_compacted, read_jso
                                 purge_window)
 from .audit import compare_inventories, inventory, load_audit, make_folder
 from .catalog import ctas, register
-from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, GARBLED_MOD, HOT_MOD,
+from .edge import (BAD_TIME_MOD, BAD_TIME_TEXT, BAD_USER_MOD, BAD_VALUE_MOD, BAD_VALUE_TEXT, GARBLED_MOD, HOT_MOD,
                    HOT_REGION, MISSING_TIME_MOD, RAW_EVENT_COLUMNS, publish_events, raw_events, table,
                    with_hot_region, write_region_csv)
 from .ingest import clean, read_ingested, read_range, read_table, run_ingest
@@ -109,37 +109,34 @@ ORDERS_SPEC_JSON = {
 # and a discarded header, text times, typed dimensions, half-hour buckets. The
 # key names and the time pattern are fixed values of the format.
 EVENTS_DETAIL_SPEC_JSON = {"spec": {
-    "partitionColumn": "region",
     "dataSchema": {
         "dataSource": "event_rows",
-        "granularitySpec": {"rollup": False, "queryGranularity": "thirty_minute",
-                            "segmentGranularity": "week"},
+        "timestampSpec": {"column": "happened", "format": REFERENCE_TIME_FORMAT},
+        "dimensionsSpec": {"dimensions": [{"name": "id", "type": "long"}, {"name": "uid", "type": "long"},
+                                          {"name": "amount", "type": "double"}, "payload"]},
         "metricsSpec": [{"name": "n", "type": "count"}],
-        "dimensionsSpec": {"dimensions": ["payload", {"name": "uid", "type": "long"},
-                                          {"name": "id", "type": "long"},
-                                          {"name": "amount", "type": "double"}]},
-        "timestampSpec": {"format": REFERENCE_TIME_FORMAT, "column": "happened"}},
-    "tuningConfig": {"dropExisting": True, "maxRowsPerSegment": 250_000},
+        "granularitySpec": {"segmentGranularity": "week", "queryGranularity": "thirty_minute", "rollup": False}},
     "ioConfig": {
+        "inputSource": {"type": "local", "filter": "*/*.csv"},
         "inputFormat": {"type": "csv", "columns": ["id", "happened", "uid", "amount", "payload"],
-                        "findColumnsFromHeader": False, "skipHeaderRows": 1},
-        "inputSource": {"type": "local", "filter": "*/*.csv"}}}}
+                        "findColumnsFromHeader": False, "skipHeaderRows": 1}},
+    "tuningConfig": {"maxRowsPerSegment": 250_000, "dropExisting": True},
+    "partitionColumn": "region"}}
 
 # A message-topic spec: text times, a default for a missing time, a daily
 # rollup in month chunks (the same table as STREAM_DAILY).
 EVENTS_STREAM_SPEC_JSON = {"spec": {
-    "ioConfig": {"type": "kafka", "topic": "events", "useEarliestOffset": True,
-                 "consumerProperties": {"bootstrap.servers": "broker:9092"}},
-    "tuningConfig": {"maxRowsPerSegment": 400_000, "intermediatePersistPeriod": "PT2M30S"},
     "dataSchema": {
         "dataSource": "event_days",
-        "granularitySpec": {"rollup": True, "segmentGranularity": "month", "queryGranularity": "day"},
-        "timestampSpec": {"missingValue": MISSING_TIME, "format": REFERENCE_TIME_FORMAT,
-                          "column": "ts"},
-        "metricsSpec": [{"type": "count", "name": "count"},
-                        {"type": "longSum", "name": "user_sum", "fieldName": "user_id"},
-                        {"type": "doubleMean", "name": "value_avg", "fieldName": "value", "scale": 2}],
-        "dimensionsSpec": {"dimensions": ["event_type"]}}}}
+        "timestampSpec": {"column": "ts", "format": REFERENCE_TIME_FORMAT, "missingValue": MISSING_TIME},
+        "dimensionsSpec": {"dimensions": ["event_type"]},
+        "metricsSpec": [{"name": "count", "type": "count"},
+                        {"name": "value_avg", "type": "doubleMean", "fieldName": "value", "scale": 2},
+                        {"name": "user_sum", "type": "longSum", "fieldName": "user_id"}],
+        "granularitySpec": {"segmentGranularity": "month", "queryGranularity": "day", "rollup": True}},
+    "ioConfig": {"type": "kafka", "topic": "events", "useEarliestOffset": True,
+                 "consumerProperties": {"bootstrap.servers": "broker:9092"}},
+    "tuningConfig": {"maxRowsPerSegment": 400_000, "intermediatePersistPeriod": "PT2M30S"}}}
 
 HISTOGRAM_BINS = 10
 RANGE = ("1997-03-15/1997-06-01", "1999-12-31/2000-01-02")
@@ -563,10 +560,11 @@ def q_malformed_messages(spark, sf):
 
 
 def q_malformed_csv_lines(spark, sf):
-    """CSV lines with a field too few or too many, set aside with their text."""
-    raw = raw_events(_events(spark, sf)).withColumn("props", F.lit("p"))
+    """CSV lines with a field too few or too many, set aside with their text; payloads hold commas and quotes."""
+    raw = raw_events(_events(spark, sf))
     eid = F.col("event_id").cast("long")
-    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in RAW_EVENT_COLUMNS])
+    raw = raw.withColumn("props", F.when(eid % 4 == 0, F.concat(F.lit('say "hi", then '), "props")).otherwise(F.col("props")))
+    line = to_csv_line(*RAW_EVENT_COLUMNS)
     short = F.concat_ws(",", "event_id", F.coalesce("ts", F.lit("")))
     line = (F.when(eid % (GARBLED_MOD * 2) == 0, F.concat(line, F.lit(",more")))
             .when(eid % GARBLED_MOD == 0, short).otherwise(line))
@@ -579,8 +577,10 @@ def q_malformed_csv_lines(spark, sf):
                         "findColumnsFromHeader": False, "skipHeaderRows": 0}}}}
     run_spec(spark, job, out, quarantine_path=bad)
     loaded = read_ingested(spark, TableSpec.from_dict(job["spec"]), out)
-    loaded = loaded.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reason", F.lit("loaded"))
-    set_aside = spark.read.parquet(bad).groupBy("region", F.col(BAD_REASON).alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
+    n = [F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("payload")).alias("payload_chars")]
+    loaded = loaded.groupBy("region").agg(*n).withColumn("reason", F.lit("loaded"))
+    set_aside = spark.read.parquet(bad).withColumn("payload", F.when(F.col("_malformed").isNull(), F.col("payload")))
+    set_aside = set_aside.groupBy("region", F.col(BAD_REASON).alias("reason")).agg(*n)
     return loaded.unionByName(set_aside)
 
 
@@ -683,12 +683,13 @@ def q_lookup_region(spark, sf):
 
 
 def q_inventory(spark, sf):
+    """Bytes of cells per region folder: the header line of each file taken off, however many files there are."""
     base = scratch_path(spark, "raw-inventory")
-    # one file per region: a small drop of one column, whose bytes SQL can state
-    ids = _events(spark, sf).select("event_type", F.col("event_id").cast("string").alias("event_id"))
-    write_region_csv(ids, base, files_per_region=1)
+    write_region_csv(raw_events(_events(spark, sf)), base)
     make_folder(spark, f"{base}/event_type=refund")
-    return inventory(spark, base, "region").select("region", "n_files", "n_bytes", "has_files")
+    header = len(",".join(RAW_EVENT_COLUMNS)) + 1
+    return inventory(spark, base, "region").select(
+        "region", (F.col("n_bytes") - header * F.col("n_files")).alias("cell_bytes"), "has_files")
 
 
 def q_load_audit(spark, sf):
@@ -947,10 +948,14 @@ UNION ALL SELECT o_orderkey AS event_id, CAST(NULL AS VARCHAR) AS event_type,
   COALESCE(r.r_name, 'UNKNOWN') AS region
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "inventory": """SELECT event_type AS region, CAST(1 AS BIGINT) AS n_files,
-  CAST(SUM(length(CAST(event_id AS VARCHAR)) + 1) + length('event_id') + 1 AS BIGINT) AS n_bytes, true AS has_files
+    "inventory": f"""SELECT event_type AS region, CAST(SUM(
+    length(CAST(event_id AS VARCHAR)) + 5
+    + CASE WHEN event_id % {MISSING_TIME_MOD} = 0 THEN 0 WHEN event_id % {BAD_TIME_MOD} = 0 THEN {len(BAD_TIME_TEXT)} ELSE 22 END
+    + length(CAST(user_id AS VARCHAR)) + CASE WHEN event_id % {BAD_USER_MOD} = 0 THEN 1 ELSE 0 END
+    + CASE WHEN event_id % {BAD_VALUE_MOD} = 0 THEN {len(BAD_VALUE_TEXT)} ELSE length(CAST(value AS VARCHAR)) END
+    + length(replace(props, '"', '""')) + 2) AS BIGINT) AS cell_bytes, true AS has_files
 FROM events GROUP BY 1
-UNION ALL SELECT 'refund', CAST(0 AS BIGINT), CAST(0 AS BIGINT), false""",
+UNION ALL SELECT 'refund', CAST(0 AS BIGINT), false""",
     "load_audit": f"""SELECT event_type, COUNT(*) AS rows_in,
   CAST(SUM(CASE WHEN {_BAD_T} THEN 0 ELSE 1 END) AS BIGINT) AS rows_loaded,
   CAST(SUM(CASE WHEN {_BAD_T} THEN 1 ELSE 0 END) AS BIGINT) AS rows_bad,
@@ -1014,10 +1019,11 @@ ORACLE_SQL["malformed_messages"] = f"""SELECT CASE WHEN {_BROKEN} THEN NULL ELSE
   CASE WHEN {_BROKEN} THEN 'malformed record'
        WHEN event_id % {MISSING_TIME_MOD} <> 0 AND event_id % {BAD_TIME_MOD} = 0 THEN 'unparseable time' ELSE 'loaded' END AS reason,
   COUNT(*) AS n_rows FROM events GROUP BY 1, 2"""
+_CUT_PAYLOAD = f"CASE WHEN {_BROKEN} THEN 0 ELSE length(props) + CASE WHEN event_id % 4 = 0 THEN length('say \"hi\", then ') ELSE 0 END END"
 ORACLE_SQL["malformed_csv_lines"] = f"""SELECT event_type AS region,
   CASE WHEN {_BROKEN} THEN 'malformed record' WHEN event_id % {MISSING_TIME_MOD} = 0 THEN 'missing time'
        WHEN event_id % {BAD_TIME_MOD} = 0 THEN 'unparseable time' ELSE 'loaded' END AS reason,
-  COUNT(*) AS n_rows FROM events GROUP BY 1, 2"""
+  COUNT(*) AS n_rows, CAST(nullif(SUM({_CUT_PAYLOAD}), 0) AS BIGINT) AS payload_chars FROM events GROUP BY 1, 2"""
 ORACLE_SQL["region_reload_fewer_chunks"] = f"""SELECT event_type, {_chunk('day', 'ts')} AS chunk, COUNT(*) AS n_rows
 FROM {_CLEAN} c WHERE ts IS NOT NULL AND (event_type <> 'click' OR dayofyear(ts) % 2 = 0) GROUP BY 1, 2"""
 ORACLE_SQL["spec_region_reload"] = f"""SELECT event_type AS region, COUNT(*) AS n_rows, CAST(SUM(event_id) AS BIGINT) AS id_sum

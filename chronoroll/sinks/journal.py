@@ -52,30 +52,38 @@ def partition_folders(spark: SparkSession, path: str, partition_cols: list[str])
     return out
 
 
-def commit(spark: SparkSession, table: str, staged: str, replace: list[str] = (), remove: list[str] = (),
-           add: dict[str, str] | None = None) -> None:
-    """Write the journal of a change and carry it out.
+def announce(spark: SparkSession, table: str, staged: str, replace: list[str] = (), remove: list[str] = (),
+             add: dict[str, str] | None = None, below: str = "") -> str:
+    """Write the journal of a change, which from now on will be carried out; returns its path.
 
     ``replace``: partition folders below ``staged`` that take the place of the
-    table's; ``remove``: folders of the table that go; ``add``: files below
-    ``staged`` and the place in the table each moves to.
+    table's (of the same name, without ``below`` in front); ``remove``: folders
+    of the table that go; ``add``: files below ``staged`` and the place in the
+    table each moves to.
     """
     table = table.rstrip("/")
-    entry = {"staged": staged, "replace": sorted(replace), "remove": sorted(remove), "add": sorted((add or {}).items())}
+    entry = {"staged": staged, "replace": sorted((f, f.removeprefix(below)) for f in replace),
+             "remove": sorted(remove), "add": sorted((add or {}).items())}
     make_dirs(spark, f"{table}/{JOURNAL}")
     # an entry is complete once it has its name: it is written under another one
     name = f"{table}/{JOURNAL}/{uuid.uuid4().hex}"
     write_text(spark, f"{name}.tmp", json.dumps(entry))
     move_path(spark, f"{name}.tmp", f"{name}.json")
-    _carry_out(spark, table, f"{name}.json", entry)
+    return f"{name}.json"
 
 
-def _carry_out(spark: SparkSession, table: str, journal: str, entry: dict) -> None:
+def commit(spark: SparkSession, table: str, staged: str, **change) -> None:
+    """Announce a change and carry it out."""
+    _carry_out(spark, table.rstrip("/"), announce(spark, table, staged, **change))
+
+
+def _carry_out(spark: SparkSession, table: str, journal: str) -> None:
+    entry = json.loads(read_text(spark, journal))
     staged = entry["staged"]
-    for folder in entry["replace"]:
-        if path_exists(spark, f"{staged}/{folder}"):
-            delete_path(spark, f"{table}/{folder}")
-            move_path(spark, f"{staged}/{folder}", f"{table}/{folder}")
+    for src, dst in entry["replace"]:
+        if path_exists(spark, f"{staged}/{src}"):
+            delete_path(spark, f"{table}/{dst}")
+            move_path(spark, f"{staged}/{src}", f"{table}/{dst}")
     for src, dst in entry["add"]:
         if path_exists(spark, f"{staged}/{src}"):
             move_path(spark, f"{staged}/{src}", f"{table}/{dst}")
@@ -91,8 +99,7 @@ def recover(spark: SparkSession, table: str) -> int:
     done = 0
     for name in list_files(spark, f"{table}/{JOURNAL}"):
         if name.endswith(".json"):
-            path = f"{table}/{JOURNAL}/{name}"
-            _carry_out(spark, table, path, json.loads(read_text(spark, path)))
+            _carry_out(spark, table, f"{table}/{JOURNAL}/{name}")
             done += 1
     delete_path(spark, f"{table}/{JOURNAL}")
     delete_path(spark, f"{table}/{STAGED}")      # of loads that died before their journal

@@ -26,7 +26,7 @@ DIM_TYPES = ("string", "long", "double", "float", "boolean")
 # enabled by its extension list.
 METRIC_TYPES = ("count", "longSum", "doubleSum", "doubleMean", "doubleAvg",
                 "hyperUnique", "thetaSketch", "quantilesDoublesSketch",
-                "longMin", "longMax", "doubleMin", "doubleMax")
+                "longMin", "longMax", "doubleMin", "doubleMax", "fixedBucketsHistogram")
 
 TIME_COLUMN = "__time"
 
@@ -56,14 +56,22 @@ class Dim:
 @dataclass(frozen=True)
 class Metric:
     """One metric. ``scale`` makes a sum exact: values are accumulated as
-    integers of 10**-scale units, so partial sums merge without float drift."""
+    integers of 10**-scale units, so partial sums merge without float drift.
+    A ``fixedBucketsHistogram`` counts values in ``bins`` equal bins of
+    ``[lower, upper)``, those below, those at or above ``upper``, and those
+    that are missing or no number."""
     name: str
     type: str
     field: str | None = None
     scale: int | None = None
     lg_k: int = 12
+    bins: int = 0
+    lower: float = 0.0
+    upper: float = 0.0
 
     def __post_init__(self):
+        if self.type == "fixedBucketsHistogram" and not (self.bins > 0 and self.lower < self.upper):
+            raise ValueError(f"histogram {self.name!r} needs numBuckets and lowerLimit < upperLimit")
         if self.type not in METRIC_TYPES:
             raise ValueError(f"unknown metric type {self.type!r}")
         if self.type != "count" and not self.field:
@@ -74,7 +82,30 @@ class Metric:
         if isinstance(m, Metric):
             return m
         return Metric(m["name"], m["type"], m.get("fieldName", m.get("field")),
-                      m.get("scale"), m.get("lgK", m.get("lg_k", 12)))
+                      m.get("scale"), m.get("lgK", m.get("lg_k", 12)), int(m.get("numBuckets", 0)),
+                      float(m.get("lowerLimit", 0.0)), float(m.get("upperLimit", 0.0)))
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A dimension taken from a mapping table: ``name`` = the mapping's ``value`` for the row's ``column``.
+
+    The mapping (``path``, read with format ``fmt``) is read anew by every
+    load and every micro-batch.
+    """
+    name: str
+    column: str
+    path: str
+    key: str
+    value: str
+    default: str | None = None
+    fmt: str = "parquet"
+
+    @staticmethod
+    def of(x: dict | "Lookup") -> "Lookup":
+        if isinstance(x, Lookup):
+            return x
+        return Lookup(x["name"], x["column"], x["path"], x["key"], x["value"], x.get("default"), x.get("format", "parquet"))
 
 
 @dataclass(frozen=True)
@@ -93,8 +124,10 @@ class TableSpec:
     intervals: tuple[str, ...] | None = None
     partition_col: str | None = None
     max_rows_per_file: int | None = None
+    lookups: tuple[Lookup, ...] = ()
 
     def __post_init__(self):
+        object.__setattr__(self, "lookups", tuple(Lookup.of(x) for x in self.lookups))
         for g in (self.query_granularity, self.segment_granularity):
             if g.lower() not in GRANULARITIES:
                 raise ValueError(f"unknown granularity {g!r}")
@@ -110,6 +143,13 @@ class TableSpec:
     def dim_names(self) -> list[str]:
         return [d.name for d in self.dimensions]
 
+    @property
+    def input_names(self) -> list[str]:
+        """The columns a source must have: time, dimensions, metric inputs; a lookup's column for its name."""
+        made = {x.name for x in self.lookups}
+        names = [self.time_column, *self.dim_names, *[m.field for m in self.metrics if m.field], *[x.column for x in self.lookups]]
+        return list(dict.fromkeys(n for n in names if n not in made))
+
     @property
     def indexed(self) -> list[str]:
         return [d.name for d in self.dimensions if d.index]
@@ -149,6 +189,7 @@ class TableSpec:
             intervals=gran.get("intervals"),
             partition_col=d.get("partitionColumn"),
             max_rows_per_file=tuning.get("maxRowsPerSegment"),
+            lookups=tuple(Lookup.of(x) for x in schema.get("transformSpec", {}).get("lookups", [])),
         )
 
 

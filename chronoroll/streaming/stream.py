@@ -15,7 +15,10 @@ optional watermark. The state store keeps one mergeable state per open
 window and group; with a watermark, windows older than it are dropped from
 state and late rows for them are ignored. Updated groups of each batch are
 written with the batch id; the reader keeps the newest version of each
-group.
+group. With ``arrival`` the state is bounded and no row is ever ignored: a
+state belongs to the stretch of time in which its rows came in, leaves the
+store when that is over, and rows that come later for the same window make a
+new partial, which the reader merges.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.time import instant_to_ntz, ntz_to_instant
+from ..functions.time import floor_time, instant_to_ntz, ntz_to_instant
 from ..operators.clean import BAD_REASON, parsed_messages
+from ..operators.lookup import with_lookups
 from ..operators.rollup import finish, reaggregate, state_aggs
 from ..plans.ingest import (_spec_with_partition, _text_time, a_partition, bad_rows, clean, has_bad,
                             no_bad_rows, prepare, read_table, rollup_with_rejects, split_rollup)
@@ -93,9 +97,13 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     ``once``, or a processing-time interval such as ``"10 minutes"``.
     Partials are written straight from the aggregation's partitions (already
     hashed and sized by AQE): one shuffle per micro-batch, not two.
-    ``compact_stream_rollup`` later rewrites them into sized files.
+    ``compact_stream_rollup`` later rewrites them into sized files. The spec's
+    lookups are read anew for every micro-batch.
     """
+    spark = stream.sparkSession
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = with_lookups(spark, batch, spec.lookups)     # each mapping as it is now
         agg = obs = None
         if quarantine_path and spec.rollup:
             # the aggregation also says whether the batch has bad rows (see rollup_with_rejects)
@@ -219,17 +227,34 @@ WINDOWS = {"second": "1 second", "minute": "1 minute", "fifteen_minute": "15 min
 WEEK_START = "4 days"
 
 
+ARRIVED = "_arrived"
+
+
 def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint: str,
-                  watermark: str | None = None, trigger: str | None = "availableNow"):
+                  watermark: str | None = None, trigger: str | None = "availableNow",
+                  arrival: str | None = None):
     """Stateful tumbling-window rollup (ST4); returns the StreamingQuery.
 
     The window is the spec's query granularity; the updated groups of a batch
     are written to ``chunk=…/batch_id=…`` folders, so a time range reads only
     its chunks. Without ``watermark`` every late row is still counted, and the
     state grows with the number of windows and groups; with one, state older
-    than the watermark is dropped. Rows that cannot be loaded are left to
-    ``stream_quarantine``, run beside this query on the same source.
+    than the watermark is dropped, and rows that come later are too.
+
+    ``arrival`` (a length, ``"10 minutes"``) bounds the state without losing
+    rows: a group's state is kept per stretch of arrival time (the batch's
+    own time, which a replay of the batch repeats), and a watermark on the
+    arrival drops it once the stretch has passed. The store holds the groups
+    of the latest stretches only; a late row starts a new partial of its old
+    window, and ``read_stream_window`` merges a window's partials.
+
+    Rows that cannot be loaded are left to ``stream_quarantine``, run beside
+    this query on the same source.
     """
+    if spec.lookups:
+        raise ValueError("lookups are read for every micro-batch, which a windowed state cannot do: use stream_rollup")
+    if watermark and arrival:
+        raise ValueError("a stream has a watermark on its event time or on the arrival, not both")
     if spec.query_granularity not in WINDOWS:
         raise ValueError(f"no window of fixed length for granularity {spec.query_granularity!r}")
     spec = _spec_with_partition(spec)
@@ -244,10 +269,16 @@ def stream_window(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
     length = WINDOWS[spec.query_granularity]
     window = (F.window(EVENT_TS, length, length, WEEK_START) if spec.query_granularity == "week"
               else F.window(EVENT_TS, length))
-    agg = metric_inputs.groupBy(window.alias("_w"), *[F.col(f"`{d}`") for d in spec.dim_names]).agg(*aggs)
+    dims = [F.col(f"`{d}`") for d in spec.dim_names]
+    if arrival:
+        came = metric_inputs.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, "0 seconds")
+        agg = came.groupBy(F.window(ARRIVED, arrival).alias("_w"), floor_time(TIME_COLUMN, spec.query_granularity).alias(TIME_COLUMN),
+                           *dims).agg(*aggs)
+    else:
+        agg = metric_inputs.groupBy(window.alias("_w"), *dims).agg(*aggs)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = (batch.withColumn(TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
+        out = (batch.withColumn(ARRIVED if arrival else TIME_COLUMN, instant_to_ntz(F.col("_w.start"))).drop("_w")
                .withColumn(BATCH, F.lit(batch_id).cast("long")))
         # a stateful micro-batch is planned without AQE, which would drop a
         # REBALANCE hint: the updated groups are written straight from the
@@ -287,7 +318,7 @@ def _versions(spark: SparkSession, out_path: str, compacted_path: str | None) ->
 
 
 def _newest(versions: DataFrame, spec: TableSpec, keep_batch: bool) -> DataFrame:
-    keys = [TIME_COLUMN, CHUNK, *spec.dim_names]
+    keys = [TIME_COLUMN, CHUNK, *spec.dim_names, *([ARRIVED] if ARRIVED in versions.columns else [])]
     # a group is written once per batch that updates it: the newest version
     # is the one of the highest batch id. max_by is a partial aggregate, so
     # the versions are reduced map-side before the shuffle (a window would
@@ -302,9 +333,10 @@ def _newest(versions: DataFrame, spec: TableSpec, keep_batch: bool) -> DataFrame
 
 def read_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
                        compacted_path: str | None = None) -> DataFrame:
-    """Newest version of each (window, group) written by ``stream_window``."""
+    """Newest version of each (window, group) written by ``stream_window``; partials by arrival are merged."""
     spec = _spec_with_partition(spec)
-    return finish(_newest(_versions(spark, out_path, compacted_path), spec, False), spec)
+    newest = _newest(_versions(spark, out_path, compacted_path), spec, False)
+    return finish(reaggregate(newest, spec, keep=[CHUNK]) if ARRIVED in newest.columns else newest, spec)
 
 
 def compact_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
@@ -312,10 +344,18 @@ def compact_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
     """Keep only the newest version of each group in a base table; returns its last batch.
 
     The base holds a version's batch id, so a reader that still sees the
-    folded batches (before ``purge_window``) gets the same answer.
+    folded batches (before ``purge_window``) gets the same answer. Only the
+    chunks that have newer versions are read and rewritten.
     """
     spec = _spec_with_partition(spec)
-    versions = _versions(spark, out_path, compacted_path)
+    try:
+        versions = _versions(spark, out_path, None)
+    except FileNotFoundError:
+        return -1                      # nothing new
+    if path_exists(spark, compacted_path) and a_partition(spark, compacted_path) != compacted_path:
+        touched = versions.select(CHUNK).distinct()
+        base = _versions(spark, compacted_path, None)
+        versions = versions.unionByName(base.join(touched, CHUNK, "left_semi"))
     shared_dir(spark)
     newest = _newest(versions, spec, True).checkpoint(eager=True)
     upto = newest.agg(F.max(BATCH)).first()[0]

@@ -7,7 +7,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from chronoroll.plans.suite import QUERIES
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -36,7 +35,7 @@ def con(sf_small):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, sf_small, name):
     df = E.queries()[name](spark, sf_small)
     rows = [tuple(r) for r in df.collect()]

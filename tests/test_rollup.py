@@ -120,23 +120,22 @@ def test_fixed_point_sum_is_order_independent(spark):
 def test_interval_start_included_end_excluded(spark):
     import datetime as dt
     from chronoroll.operators import filter_intervals
-    df = spark.createDataFrame([(dt.datetime(2020, 1, 1),), (dt.datetime(2020, 1, 1, 0, 0, 1),),
-                                (dt.datetime(2025, 12, 31),), (dt.datetime(2019, 12, 31, 23, 59),)],
-                               "__time timestamp_ntz")
-    out = [r[0] for r in filter_intervals(df, ["2020-01-01/2025-12-31"]).orderBy("__time").collect()]
-    assert out == [dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1, 0, 0, 1)]
+    lo, hi, tick = dt.datetime(2023, 3, 5, 6), dt.datetime(2023, 4, 9), dt.timedelta(microseconds=1)
+    df = spark.createDataFrame([(t,) for t in (lo - tick, lo, lo + tick, hi - tick, hi)], "__time timestamp_ntz")
+    out = [r[0] for r in filter_intervals(df, ["2023-03-05T06:00:00/2023-04-09"]).orderBy("__time").collect()]
+    assert out == [lo, lo + tick, hi - tick]
 
 
 def test_rollup_intervals_inside_aggregation(spark):
-    df = spark.createDataFrame([("2020-01-01 00:00:00", "a"), ("2025-12-31 00:00:00", "a"),
-                                (None, "a"), ("2021-06-01 10:00:00", "b")], "ts string, d string")
+    df = spark.createDataFrame([("2023-03-05T00:00:00", "a"), ("2023-03-05T23:59:59", "a"), ("2023-04-09T00:00:00", "a"),
+                                ("2023-04-08T10:00:00", "b"), ("soon", "b")], "ts string, d string")
     spec = TableSpec(name="t", time_column="ts", dimensions=(Dim("d"),),
                      metrics=(Metric("count", "count"),), query_granularity="day", rollup=True,
-                     intervals=("2020-01-01/2025-12-31",))
+                     intervals=("2023-03-05/2023-04-09",))
     from chronoroll.plans.ingest import prepare
     rows, bad = prepare(df, spec)
     got = sorted((str(r["__time"]), r["d"], r["count"]) for r in rows.collect())
-    assert got == [("2020-01-01 00:00:00", "a", 1), ("2021-06-01 00:00:00", "b", 1)]
+    assert got == [("2023-03-05 00:00:00", "a", 2), ("2023-04-08 00:00:00", "b", 1)]
     assert bad.count() == 1
 
 

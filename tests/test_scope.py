@@ -81,11 +81,11 @@ def test_malformed_messages_are_no_records(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in")
     with open(f"{tmp_dir}/in/m.txt", "w") as f:
         f.write('{"at": "2024-01-01T00:00:00", "kind": "a"}\n{"kind": "b"}\ngarbage\n[]\n\n{"at": \n')
-    spec = SPEC.with_(partition_col=None, missing_time="2020-01-01T00:00:00Z")
+    spec = SPEC.with_(partition_col=None, missing_time="1999-09-09T09:00:00Z")
     stream = read_json_stream(spark, f"{tmp_dir}/in", "at string, kind string")
     stream_rollup(stream, spec, f"{tmp_dir}/out", f"{tmp_dir}/ck", quarantine_path=f"{tmp_dir}/bad").awaitTermination()
     got = {(str(r["__time"])[:10], r["kind"], r["n"]) for r in read_stream_rollup(spark, spec, f"{tmp_dir}/out").collect()}
-    assert got == {("2024-01-01", "a", 1), ("2020-01-01", "b", 1)}
+    assert got == {("2024-01-01", "a", 1), ("1999-09-09", "b", 1)}
     bad = {(r["_malformed"], r["_bad_reason"]) for r in spark.read.parquet(f"{tmp_dir}/bad").collect()}
     assert bad == {(x, "malformed record") for x in ("garbage", "[]", "", '{"at": ')}
 
@@ -95,7 +95,7 @@ def test_malformed_csv_lines_go_to_the_bad_side(spark, tmp_dir):
     with open(f"{tmp_dir}/raw/north/a.csv", "w") as f:
         f.write("no,at,kind\n1,2024-01-01T00:00:00,a\n2,2024-01-01T00:00:00\n3,2024-01-01T00:00:00,a,extra\n4x,never,a\n")
     spec_json = {"partitionColumn": "region", "dataSchema": {
-        "timestampSpec": {"column": "at", "format": "iso", "missingValue": "2020-01-01T00:00:00Z"},
+        "timestampSpec": {"column": "at", "format": "iso", "missingValue": "1999-09-09T09:00:00Z"},
         "dimensionsSpec": {"dimensions": [{"name": "no", "type": "long"}]}, "granularitySpec": {"rollup": False}},
         "ioConfig": {"inputSource": {"baseDir": f"{tmp_dir}/raw", "filter": "*/*.csv"}, "inputFormat": {"type": "csv"}}}
     run_spec(spark, spec_json, f"{tmp_dir}/t", quarantine_path=f"{tmp_dir}/q")

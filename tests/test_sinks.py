@@ -131,24 +131,23 @@ def test_indexed_dimension_sorts_files(spark, sf_small, tmp_dir):
         assert ids == sorted(ids)
 
 
-def test_ingest_with_spaces_in_column_names(spark, tmp_dir):
-    df = spark.createDataFrame(
-        [("01/08/2020 02:30:00 PM", "Central", "30", "a"), ("01/08/2020 02:45:00 PM", "Central", "x", "a"),
-         ("01/09/2020 01:00:00 AM", "West Side", "41", "b"), ("bad", "West Side", "1", "b")],
-        "`scanned at` string, `depot name` string, `parcel weight` string, `hub name` string")
-    spec = TableSpec(name="t", time_column="scanned at", time_format="MM/dd/yyyy hh:mm:ss a",
-                     dimensions=(Dim("depot name"),),
-                     metrics=(Metric("count", "count"),
-                              Metric("mean weight", "doubleMean", "parcel weight")),
-                     query_granularity="day", segment_granularity="month", rollup=True,
-                     partition_col="hub name")
+def test_ingest_with_spaces_in_column_names(spark, sf_small, tmp_dir):
+    orders = table(spark, sf_small, "orders")
+    df = orders.select(F.col("o_orderdate").cast("string").alias("ordered on"), F.col("o_orderpriority").alias("order priority"),
+                       F.col("o_totalprice").cast("string").alias("total price"), F.col("o_orderstatus").alias("order status"))
+    df = df.unionByName(df.limit(3).withColumn("ordered on", F.lit("some day")))
+    spec = TableSpec(name="t", time_column="ordered on", time_format="yyyy-MM-dd HH:mm:ss", dimensions=(Dim("order priority"),),
+                     metrics=(Metric("count", "count"), Metric("price sum", "doubleSum", "total price", scale=2)),
+                     query_granularity="month", segment_granularity="year", rollup=True, partition_col="order status")
     res = run_ingest(spark, spec, df, f"{tmp_dir}/t", quarantine_path=f"{tmp_dir}/q")
     from chronoroll.operators import finish
-    out = {(r["depot name"], r["hub name"]): (r["count"], r["mean weight"])
+    got = {(r["__time"], r["order priority"], r["order status"]): (r["count"], r["price sum"])
            for r in finish(read_ingested(spark, spec, f"{tmp_dir}/t"), spec).collect()}
-    assert out == {("Central", "a"): (2, 30.0), ("West Side", "b"): (1, 41.0)}
-    assert spark.read.parquet(f"{tmp_dir}/q").count() == 1
-    assert res.counts.agg(F.sum("rows_in")).collect()[0][0] == 4
+    want = orders.groupBy(F.expr("CAST(trunc(o_orderdate, 'month') AS timestamp_ntz)"), "o_orderpriority", "o_orderstatus").agg(
+        F.count("*"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / 100).collect()
+    assert got == {tuple(r[:3]): tuple(r[3:]) for r in want}
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == 3
+    assert res.counts.agg(F.sum("rows_in")).first()[0] == orders.count() + 3
 
 
 def _counted_source(spark, rows, schema):
