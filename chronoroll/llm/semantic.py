@@ -5,7 +5,10 @@ of the benchmark (other words cannot bring a passage nearer to an item). A
 randomised SVD of the passage matrix A, by distributed passes that compute
 ``A'(A X)`` for a thin X, gives a latent space. Items and sliding windows of
 the documents are folded into it, on axes of equal variance, and a window is
-a candidate for an item if their cosine reaches ``LEAST_COSINE``. A candidate
+a candidate for an item if their cosine reaches ``LEAST_COSINE``. The cosine
+is worked out only where the two can share enough words at all: of an item's
+rarest words, ``HITS`` more than may be missing, a leak must hold ``HITS``, so an
+index of these words leaves out no pair that the next test would pass. A candidate
 is a leak if the longest common subsequence of the two holds enough of the
 item: ``LEAST_SHARE`` of its words together with its answer (most of its last
 words), or ``SURE_SHARE`` of them without.
@@ -41,7 +44,10 @@ PASSAGE, WINDOWS = 48, (24, 32, 48, 64, 96)
 LEAST_WORDS, LEAST_COSINE, LEAST_SHARE, SURE_SHARE = 8, 0.3, 0.6, 0.8
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
 ITEMS_AT_ONCE = 2_000
-_AT_ONCE = 1 << 15
+#: Rare words of an item that a window must hold for its cosine to be worked out.
+HITS = 4
+#: Words, and pairs of a window and an item, that are worked on at once.
+_AT_ONCE, _PAIRS = 1 << 15, 512
 
 _WORD = W.Hash(61, fold_case=True)
 _ALNUM = np.zeros(256, bool)
@@ -150,10 +156,10 @@ def _document_counts(staged: DataFrame, size: int) -> tuple[int, np.ndarray]:
 def _gram(staged: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
     """``A'(A x)`` over all passages, A being their TF-IDF matrix."""
     size, width = x.shape
-    table = np.vstack([idf[:, None] * x, np.zeros((1, width))]).astype(np.float32)
+    shared = staged.sparkSession.sparkContext.broadcast((idf[:, None] * x).astype(np.float32))  # a block's vocabulary
 
     def run(batches):
-        out = np.zeros((size, width))
+        table, out = shared.value, np.zeros((size, width))
         for _, terms, first in _blocks(batches):
             starts = _passages(first)
             for lo in range(0, len(starts), _AT_ONCE // PASSAGE):
@@ -163,9 +169,10 @@ def _gram(staged: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
                 known = np.flatnonzero(t < size)
                 if not len(known):
                     continue
-                y = np.add.reduceat(table[t], own - own[0], axis=0)
-                passage = np.searchsorted(own - own[0], known, "right") - 1
                 term = t[known]
+                new = np.diff(np.searchsorted(own - own[0], known, "right"), prepend=-1) > 0  # a passage begins
+                y = np.add.reduceat(table[term], np.flatnonzero(new), axis=0)
+                passage = np.cumsum(new) - 1
                 order = np.argsort(term, kind="stable")
                 cut = np.flatnonzero(np.diff(term[order], prepend=-1))
                 out[term[order][cut]] += np.add.reduceat(y[passage[order]], cut, axis=0)
@@ -176,14 +183,18 @@ def _gram(staged: DataFrame, idf: np.ndarray, x: np.ndarray) -> np.ndarray:
     fields = ", ".join(f"v{j} double" for j in range(width))
     summed = staged.mapInArrow(run, f"term long, {fields}").groupBy("term").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(width)])
     out = np.zeros((size, width))
-    for row in summed.collect():  # a row for each word of the block's vocabulary
-        out[row[0]] = row[1:]
+    rows = summed.toArrow()  # a row for each word of the block's vocabulary
+    for j in range(width):
+        out[rows.column("term").to_numpy(), j] = rows.column(f"v{j}").to_numpy()
     return out * idf[:, None]
 
 
-def axes(staged: DataFrame, size: int, rank: int = RANK) -> np.ndarray | None:
-    """Word vectors (vocabulary x rank) that fold TF-IDF into the latent space, axes of equal variance."""
-    passages, seen = _document_counts(staged, size)
+def axes(staged: DataFrame, size: int, rank: int = RANK, counts: tuple[int, np.ndarray] | None = None) -> np.ndarray | None:
+    """Word vectors (vocabulary x rank) that fold TF-IDF into the latent space, axes of equal variance.
+
+    ``counts``: the passages, and those that hold each word, if they are known.
+    """
+    passages, seen = counts or _document_counts(staged, size)
     if not passages or not seen.any():
         return None
     idf = np.log((passages + 1) / (seen + 1)) + 1e-3
@@ -217,44 +228,80 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(size > 0, size, 1)
 
 
-def _search(staged: DataFrame, queries: Queries, vectors: np.ndarray) -> DataFrame:
+class Index:
+    """Items of one window length by their rarest words."""
+
+    def __init__(self, queries: Queries, own: np.ndarray, seen: np.ndarray):
+        self.own = own
+        terms, items = [], []
+        for k, p in enumerate(own):
+            part = queries.parts[p]
+            rare = part[np.argsort(seen[part], kind="stable")][:len(part) - queries.least[p] + HITS]
+            terms.append(np.unique(rare))
+            items.append(np.full(len(terms[-1]), k))
+        terms, items = np.concatenate(terms), np.concatenate(items)
+        order = np.argsort(terms, kind="stable")
+        self.items = items[order]
+        self.at = np.searchsorted(terms[order], np.arange(len(seen) + 2))  # one more for words outside the vocabulary
+
+    def pairs(self, terms: np.ndarray, first: np.ndarray, begin: np.ndarray, count: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item of ``own``) that share at least HITS places of rare words; ``begin`` and ``count`` are each text's windows."""
+        many = self.at[terms + 1] - self.at[terms]
+        place = np.flatnonzero(many)
+        many = many[place]
+        item = self.items[np.repeat(self.at[terms[place]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+        place = np.repeat(place, many)
+        text = np.searchsorted(first, place, "right") - 1
+        within, step = place - first[text], w // 4
+        low = np.maximum(-(-(within - w + 1) // step), 0)
+        high = np.minimum(within // step, count[text] - 1)
+        n = high - low + 1
+        window = np.repeat(begin[text] + low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        key, hits = np.unique(window * len(self.own) + np.repeat(item, n), return_counts=True)
+        return np.divmod(key[hits >= HITS], len(self.own))
+
+
+def _search(staged: DataFrame, queries: Queries, vectors: np.ndarray, seen: np.ndarray) -> DataFrame:
     """(doc_id, item_id, cosine, share, start): the best window of each document and item."""
     table = np.vstack([vectors, np.zeros((1, vectors.shape[1]), np.float32)])
     items = _unit(np.stack([vectors[p].sum(0) for p in queries.parts])).astype(np.float32)
-    by_window = [(w, np.flatnonzero(queries.window == w)) for w in WINDOWS]
-    by_window = [(w, own, items[own]) for w, own in by_window if len(own)]
+    by_window = [(w, Index(queries, np.flatnonzero(queries.window == w), seen)) for w in WINDOWS if (queries.window == w).any()]
     parts = [p.tolist() for p in queries.parts]
     least, item_of, size = queries.least, queries.item, len(queries.vocabulary)
     has_word = np.zeros((len(parts), (size >> 3) + 1), np.uint8)
     for k, p in enumerate(queries.parts):
         np.bitwise_or.at(has_word[k], p >> 3, np.uint8(1) << (p & 7).astype(np.uint8))
+    # a block of items: their vectors, words and index
+    shared = staged.sparkSession.sparkContext.broadcast((table, items, by_window, parts, least, item_of, has_word))
 
     def leaks(terms, first, found, ids):
         """Adds the leaks of some texts to ``found``."""
-        total = np.zeros((len(terms) + 1, table.shape[1]))
-        np.cumsum(table[terms], axis=0, out=total[1:])
+        table, items, by_window, parts, least, _, has_word = shared.value
         padded = np.concatenate([terms, np.full(WINDOWS[-1], size, terms.dtype)])
         sizes = np.diff(first)
-        for w, own, vec in by_window:
+        for w, index in by_window:
             count = np.where(sizes > 0, -(-np.maximum(sizes - w, 0) // (w // 4)) + 1, 0)
             begin = np.cumsum(count) - count
-            text = np.repeat(np.arange(len(sizes)), count)
-            lo = first[text] + (np.arange(len(text)) - begin[text]) * (w // 4)
-            hi = np.minimum(lo + w, first[text + 1])
-            cosine = _unit((total[hi] - total[lo]).astype(np.float32)) @ vec.T
-            at, which = np.nonzero(cosine >= LEAST_COSINE)
-            for c in range(0, len(at), _AT_ONCE):
-                i, part = at[c:c + _AT_ONCE], own[which[c:c + _AT_ONCE]]
+            window, item = index.pairs(terms, first, begin, count, w)
+            for c in range(0, len(window), _PAIRS):
+                own, part = window[c:c + _PAIRS], index.own[item[c:c + _PAIRS]]
+                text = np.searchsorted(begin + count, own, "right")
+                lo = first[text] + (own - begin[text]) * (w // 4)
+                hi = np.minimum(lo + w, first[text + 1])
+                there = np.where(np.arange(w) < (hi - lo)[:, None], padded[lo[:, None] + np.arange(w)], size)
+                new = np.diff(own, prepend=-1) > 0  # pairs of one window lie together
+                vector = _unit(table[there[new]].sum(1, dtype=np.float32))[np.cumsum(new) - 1]
+                cosine = np.einsum("ij,ij->i", vector, items[part])
                 # words of the window that the item has at all bound the common subsequence
-                there = padded[lo[i][:, None] + np.arange(w)]
                 has = has_word[part[:, None], there >> 3] >> (there & 7).astype(np.uint8) & 1
-                has &= np.arange(w) < (hi - lo)[i][:, None]
-                enough = np.flatnonzero(has.sum(1, dtype=np.int32) >= least[part])
+                has &= there < size
+                enough = np.flatnonzero((cosine >= LEAST_COSINE) & (has.sum(1, dtype=np.int32) >= least[part]))
                 for j in enough.tolist():
-                    confirm(parts[part[j]], part[j], terms[lo[i[j]]:hi[i[j]]].tolist(), ids[text[i[j]]],
-                            float(cosine[i[j], which[c + j]]), int(lo[i[j]] - first[text[i[j]]]), found)
+                    confirm(parts[part[j]], part[j], terms[lo[j]:hi[j]].tolist(), ids[text[j]],
+                            float(cosine[j]), int(lo[j] - first[text[j]]), found)
 
     def confirm(mine, part, there, doc, cosine, start, found):
+        least, item_of = shared.value[4:6]
         held = set(there)
         if doc is None or sum(x in held for x in mine) < least[part]:
             return
@@ -304,8 +351,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text
         if not queries.parts:
             continue
         staged = _staged(src, queries)
-        vectors = axes(staged, len(queries.vocabulary))
+        counts = _document_counts(staged, len(queries.vocabulary))
+        vectors = axes(staged, len(queries.vocabulary), counts=counts)
         if vectors is not None:
-            out = out.unionAll(_search(staged, queries, vectors))
+            out = out.unionAll(_search(staged, queries, vectors, counts[1]))
     best = F.max_by(F.struct("cosine", "share", "start"), F.struct("share", "cosine", -F.col("start"))).alias("best")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.share", "best.start")
