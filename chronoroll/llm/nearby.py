@@ -53,6 +53,8 @@ SKETCH, LEAST_ESTIMATE = 128, 0.66
 FIRST_TRIES, HUBS = 3, 4
 #: Counters that order shingles by rarity (collisions cost time only), and rows of one side of the exact join in a salt.
 RARITY, SALT_ROWS = 1 << 18, 1000
+#: Edges of a task of a contraction round: a round's work is small, its tasks are as few as the edges ask for.
+TASK_EDGES = 20_000
 
 _WORD = W.Hash(41, fold_case=True)
 _MULTIPLY = W._random(51, TREES * DEPTH)
@@ -265,20 +267,22 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star contraction in turn, until the edges are the
     stars of the components.
     """
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     e = W.checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
+    tasks, before = most, None
     while True:
-        both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        few = lambda df: df.coalesce(tasks) if tasks < most else df  # noqa: B023, E731
+        both = few(e).unionAll(few(e).select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = few(both.join(least, "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(
+        small = few(large.join(least, "u")).select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        e = W.checkpointed(small.select("e.*").where("u <> v").distinct())
+        e = W.checkpointed(few(small.select("e.*").where("u <> v").distinct()))
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, tasks = now, max(1, now[0] // TASK_EDGES)
     labels = e.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
