@@ -37,7 +37,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One document of each group of near-duplicates (five-word shingles), the one with the smallest id."""
     dropped = nearby.groups(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*_all(docs))
 
