@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import words as W
 
-SHINGLE, PERCENT = 2, 80
+SHINGLE, PERCENT = 5, 80
 TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 20, 7, 3, 4
 #: Values of the signature in the sketch (4 bits each), and the least estimate that is confirmed:
 #: nearly four standard errors below the threshold.

@@ -34,7 +34,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return nearby.groups(docs)
+    return nearby.groups(docs, size=2)
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

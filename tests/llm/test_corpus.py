@@ -318,7 +318,7 @@ def grouped(rows):
 
 
 def test_near_duplicates(docs, nothing):
-    assert lines(nearby.groups(clash(docs, "kept", "n_shingles"))) == grouped(corpus())
+    assert lines(nearby.groups(clash(docs, "kept", "n_shingles"), size=2)) == grouped(corpus())
     assert nearby.groups(nothing).count() == 0
 
 
@@ -333,7 +333,7 @@ def test_near_duplicates_hot_group(spark):
         rows.append((i, " ".join(words)))
     rows += [(300 + i, rows[7][1]) for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert lines(nearby.groups(df)) == grouped(rows)
+    assert lines(nearby.groups(df, size=2)) == grouped(rows)
 
 
 def test_near_duplicates_around_a_template(spark, monkeypatch):
@@ -349,7 +349,7 @@ def test_near_duplicates_around_a_template(spark, monkeypatch):
         rows += [(i, " ".join(own)), (i + 1, " ".join(near))]
     want = grouped(rows)
     assert sum(not kept for *_, kept in want) > 150
-    assert lines(nearby.groups(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+    assert lines(nearby.groups(spark.createDataFrame(rows, "doc_id long, text string"), size=2)) == want
 
 
 def test_components_of_a_long_path(spark):
