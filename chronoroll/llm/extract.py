@@ -2,10 +2,11 @@
 
 A page becomes a sequence of words and tags. Words score positive and tags
 negative, and one linear scan finds the contiguous region with the largest
-sum, which is the main text. The weights are log-odds learned from labelled
-pages: those that mark their text with ``<article>`` (else ``<main>``) say
-which words and tags stand inside it. On such a page the words outside the
-mark score negative; on the others the learned weights decide. Menus, headers,
+sum, whose visible words are the main text. The weights are log-odds learned
+from labelled pages: those that mark their text with ``<article>`` or ``<main>``
+say which words and tags stand inside it. They score every page; a word inside
+such a mark scores ``MARK`` more. All visible text of the region is returned,
+marked or not. Menus, headers,
 footers, sidebars, notices, adverts, forms, scripts and reader comments,
 known by their tag, role, class or id, neither score nor are returned.
 
@@ -33,6 +34,9 @@ from pyspark.sql import types as T
 
 from . import words as W
 
+#: What a word inside ``<article>`` or ``<main>`` scores besides its weight.
+MARK = 2.0
+
 # ---- fixed values: tags of HTML and the words that pages name their parts by
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre
@@ -208,26 +212,13 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, score: dict[str, float]) -> str:
-    """The blocks of the best region, white space collapsed, joined by two newlines."""
+    """The visible blocks of the best region, white space collapsed, joined by two newlines."""
     items = parse(page or "")
-    labelled = _label(items)
-    scores = []
-    for kind, n, _, _, hidden, marked in items:
-        if not n:
-            scores.append(0.0 if kind.startswith("word:") else score[kind])
-        elif hidden:
-            scores.append(0.0)
-        elif labelled:
-            # the label decides: every word inside outweighs the tags around it
-            scores.append(n * max(score[kind], 1.0) if marked else -n)
-        else:
-            scores.append(n * score[kind])
-    if labelled:
-        scores = [0.0 if s < 0 and k.startswith("tag:") else s for s, (k, *_) in zip(scores, items, strict=True)]
-    lo, hi = best_region(scores)
+    lo, hi = best_region([0.0 if hidden and n else n * (score[kind] + MARK * marked) if n else 0.0 if kind.startswith("word:") else score[kind]
+                          for kind, n, _, _, hidden, marked in items])
     text: dict[int, list[str]] = {}
-    for kind, _, block, raw, hidden, marked in items[lo:hi]:
-        if kind.startswith("word:") and not hidden and (marked or not labelled):
+    for kind, _, block, raw, hidden, _ in items[lo:hi]:
+        if kind.startswith("word:") and not hidden:
             text.setdefault(block, []).append(raw)
     joined = (" ".join(entities.unescape("".join(parts)).split()) for _, parts in sorted(text.items()))
     return "\n\n".join(b for b in joined if b)

@@ -37,6 +37,8 @@ BASE: tuple[tuple[str, str, int, int], ...] = (
 CLASSES: tuple[tuple[str, str, tuple[str, ...], int, float], ...] = (
     ("entropy_hex", r"[0-9A-Fa-f]{20,}", ("[0-9]", "[A-Fa-f]"), 20, 2.8),
     ("entropy_key", r"[A-Za-z0-9+/_=-]{20,}", ("[0-9]", "[a-z]", "[A-Z]"), 20, 3.6),
+    ("entropy_lower", r"[a-z0-9]{20,}", ("[0-9]", "[g-z]"), 20, 3.6),
+    ("entropy_upper", r"[A-Z0-9]{20,}", ("[0-9]", "[G-Z]"), 20, 3.6),
 )
 #: Candidates that are no secrets: placeholders, plain counts, version-4 style ids, paths, names in one case.
 ALLOW: tuple[str, ...] = (
@@ -47,6 +49,12 @@ ALLOW: tuple[str, ...] = (
 )
 KINDS = (*[k[0] for k in BASE], *[k[0] for k in CLASSES])
 _SPAN = "array<struct<start:int,rank:int,stop:int>>"
+_RUN = "array<struct<start:int,run:string>>"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once: an expression used in a lambda is evaluated at each use."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _found(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
@@ -73,6 +81,19 @@ def _found(text: Column, pattern: str, group: int, least: int, rank: int) -> Col
     return F.when(F.coalesce(text, F.lit("")).rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
 
 
+def _runs(text: Column, pattern: str) -> Column:
+    """Start and text of every match, from the matches themselves (no substring of the whole text)."""
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    steps = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("run"))
+    walked = F.aggregate(
+        F.filter(steps, lambda s: s["run"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), F.array().cast(_RUN).alias("out")),
+        lambda acc, s: F.struct(
+            (acc["at"] + s["gap"] + F.length(s["run"])).alias("at"),
+            F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), s["run"].alias("run")))).alias("out")))["out"]
+    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_RUN))
+
+
 def _weight(c: Column) -> Column:
     """``c log2 c``, 0 at 0."""
     return F.when(c > 0, c * F.log2(F.greatest(c, F.lit(1.0)))).otherwise(F.lit(0.0))
@@ -80,8 +101,10 @@ def _weight(c: Column) -> Column:
 
 def _dense(candidate: Column, window: int, bits: float) -> Column:
     """Merged (start, stop) of the windows of ``candidate`` with at least ``bits`` a character."""
-    chars = F.split(candidate, "")
-    n = F.length(candidate)
+    return _let(F.split(candidate, ""), lambda chars: _dense_chars(chars, F.length(F.array_join(chars, "")), window, bits))
+
+
+def _dense_chars(chars: Column, n: Column, window: int, bits: float) -> Column:
     inside = lambda held, ch: (F.length(held) - F.length(F.replace(held, ch, F.lit("")))).cast("double")
     state = F.struct(F.lit("").alias("held"), F.lit(0.0).alias("sum"), F.array().cast("array<struct<a:int,b:int>>").alias("out"))
 
@@ -109,20 +132,47 @@ def _dense(candidate: Column, window: int, bits: float) -> Column:
 
 
 def _entropic(text: Column, pattern: str, needs: tuple[str, ...], window: int, bits: float, rank: int) -> Column:
-    candidates = _found(text, pattern, 0, window, rank)
-
     def spans(c):
-        run = F.substr(text, c["start"] + 1, c["stop"] - c["start"])
+        run = c["run"]
         fit = F.lit(True)
         for need in needs:
             fit = fit & run.rlike(need)
         for allowed in ALLOW:
             fit = fit & ~run.rlike(allowed)
-        moved = F.transform(_dense(run, window, bits), lambda w: F.struct(
-            (c["start"] + w["a"]).alias("start"), F.lit(rank).alias("rank"), (c["start"] + w["b"]).alias("stop")))
+        moved = _let(c["start"], lambda at: F.transform(_dense(run, window, bits), lambda w: F.struct(
+            (at + w["a"]).alias("start"), F.lit(rank).alias("rank"), (at + w["b"]).alias("stop"))))
         return F.when(fit, moved).otherwise(F.array().cast(_SPAN))
 
-    return F.flatten(F.transform(candidates, spans))
+    return F.flatten(F.transform(_runs(text, pattern), spans))
+
+
+def _free(spans: Column) -> Column:
+    """Spans of the entropy classes that no span of an earlier kind overlaps; ``spans`` are all, in order.
+
+    Two passes: the furthest stop of each kind so far, then the nearest start of each kind behind.
+    """
+    ranks = range(len(BASE), len(KINDS))
+    seen = "array<struct<start:int,rank:int,stop:int,hidden:boolean>>"
+
+    def walk(rows, first, better, hides, keep):
+        state = F.struct(*[F.lit(first).cast("int").alias(f"m{r}") for r in ranks], F.array().cast(seen).alias("out"))
+
+        def step(acc, s):
+            hidden = s["hidden"]
+            for r in ranks:
+                hidden = hidden | ((s["rank"] == r) & hides(acc[f"m{r}"], s))
+            here = F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), hidden.alias("hidden"))
+            return F.struct(*[F.when(s["rank"] < r, better(acc[f"m{r}"], s)).otherwise(acc[f"m{r}"]).alias(f"m{r}") for r in ranks],
+                            F.when(keep(s, hidden), F.concat(acc["out"], F.array(here))).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(rows, state, step)["out"]
+
+    all_of = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.lit(False).alias("hidden")))
+    # a span that is hidden itself still hides others
+    ahead = walk(all_of, -1, lambda m, s: F.greatest(m, s["stop"]), lambda m, s: m > s["start"], lambda s, hidden: F.lit(True))
+    behind = walk(F.reverse(ahead), 1 << 30, lambda m, s: F.least(m, s["start"]), lambda m, s: m < s["stop"],
+                  lambda s, hidden: ~hidden & (s["rank"] >= len(BASE)))
+    return F.transform(behind, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop")))
 
 
 def scan(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -132,10 +182,12 @@ def scan(docs: DataFrame, *, text: str = "text") -> DataFrame:
         *[_found(t, p, g, n, i) for i, (_, p, g, n) in enumerate(BASE)])))
     more = F.concat(*[_entropic(t, p, needs, w, bits, len(BASE) + i)
                       for i, (_, p, needs, w, bits) in enumerate(CLASSES)])
-    free = F.filter(more, lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    # a span of an earlier class hides those of later classes that overlap it
-    free = F.filter(free, lambda s: ~F.exists(more, lambda o: (o["rank"] < s["rank"]) & (o["start"] < s["stop"]) & (s["start"] < o["stop"])))
-    rows = rows.withColumn("spans", F.array_sort(F.concat("base_spans", free)))
+    # all spans are a column of their own, so that both walks see what was worked out once
+    held = "every_span"
+    while held in rows.columns:
+        held += "_"
+    rows = rows.withColumn(held, F.array_sort(F.concat("base_spans", more)))
+    rows = rows.withColumn("spans", F.array_sort(F.concat("base_spans", _free(F.col(held))))).drop(held)
     kinds = F.array(*[F.lit(k) for k in KINDS])
     for c in ("base_spans", "spans"):
         rows = rows.withColumn(c, F.transform(c, lambda s: F.struct(

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import html
 import random
 import re
 import zlib
@@ -146,6 +147,32 @@ def test_secret_method_adds_and_suppresses(spark):
     assert rows[3]["clean"] == "x [REDACTED]\" y" and rows[9]["clean"] is None and rows[8]["clean"] == ""
 
 
+def test_secret_classes_of_one_case(spark):
+    texts = ["id k3j9x0q2m7z8p1w4v6t5 end", "JBSWY3DPEHPK3PXQ7M2R", "plainwordswithoutanydigit", "12345678901234567890", "xy" * 20 + "1",
+             "k3j9x0q2m7z8p1w4v6t5K3J9X0Q2", "token=k3j9x0q2m7z8p1w4v6t5"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("every_span", F.lit("mine"))
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.scan(rows).collect()}
+    assert got[0] == [("entropy_lower", 3, 23)] and got[1] == [("entropy_upper", 0, 20)] and got[2] == got[3] == got[4] == []
+    assert [k for k, *_ in got[5]] == ["entropy_key"] and [k for k, *_ in got[6]] == ["assign"]
+    assert "every_span" in secret_scan.scan(rows).columns
+
+
+def test_secret_scan_of_a_long_text_and_an_empty_table(spark, nothing):
+    import time
+    rng = random.Random(4)
+    words = ["".join(rng.choice("0123456789abcdef") for _ in range(24)) if i % 2 else
+             "".join(rng.choice("0123456789abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ") for _ in range(26)) for i in range(12_000)]
+    text = " ".join(words)
+    began = time.time()
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.time() - began < 60
+    assert [tuple(s) for s in row["base_spans"]] == base_spans(text)
+    hidden = [(s["start"], s["stop"]) for s in row["base_spans"]]
+    added = [s for s in row["spans"] if s["kind"].startswith("entropy")]
+    assert len(added) > 4000 and not any(a < s["stop"] and s["start"] < b for s in added[:200] for a, b in hidden)
+    assert secret_scan.scan(nothing).count() == 0
+
+
 # ---- URL filter
 
 def test_url_rules(spark):
@@ -455,6 +482,42 @@ def test_main_text(inside, text):
     assert extract.main_text(PAGE % inside, score) == text
 
 
+def test_region_is_chosen_by_the_learned_weights():
+    rng = random.Random(12)
+    learned = [PAGE % f"<article><h1>t</h1><p>{prose(rng, 60)}</p><p>{prose(rng, 50)}</p></article><div class='x'><a href='#'>{prose(rng, 4)}</a></div>"
+               for _ in range(40)]
+    totals = collections.defaultdict(lambda: [0, 0])
+    for p in learned:
+        for k, (a, b) in extract.counts(p).items():
+            totals[k][0] += a
+            totals[k][1] += b
+    score = extract.weights({k: tuple(v) for k, v in totals.items()})
+    one, two = prose(rng, 60), prose(rng, 70)
+    assert extract.main_text(PAGE % f"<article><p>{one}</p></article><div><p>between</p></div><article><p>{two}</p></article>", score) == f"{one}\n\nbetween\n\n{two}"
+    cards = "".join(f"<div class='c'><article><a href='#'>{prose(rng, 3)}</a></article></div>" for _ in range(3))
+    body = "".join(f"<p>{prose(rng, 60)}</p>" for _ in range(5))
+    got = extract.main_text(PAGE % f"<div><div>{body}</div></div><div><div><div>{cards}</div></div></div>", score)
+    assert got == "\n\n".join(re.findall("<p>(.*?)</p>", body))
+
+
+def test_extract_query(spark, sf_small):
+    from chronoroll.llm.queries import QUERIES
+    rows = QUERIES["op4_html_extraction"](spark, sf_small).collect()
+    pages = {r["page_id"]: r["html"] or "" for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()}
+    assert len(rows) == len(pages) and sum(r["n_chars"] > 200 for r in rows) > 0.8 * len(rows)
+    bare = lambda t: re.sub(r"\s", "", html.unescape(t))
+    kept = total = 0
+    for r in rows:  # by hand: every block of the text lies in the article, whose paragraphs are all there
+        inner = re.search(r"(?is)<(article|main)\b.*</\1>", pages[r["page_id"]])
+        if inner:
+            article = bare(re.sub(r"(?s)<!--.*?-->|<[^>]*>", "", inner[0]))
+            assert all(bare(x) in article for x in r["text"].split("\n\n"))
+            found = [bare(re.sub(r"<[^>]*>", "", x)) for x in re.findall(r"(?is)<p>([^<]{80,}?)</p>", inner[0])]
+            kept += sum(x in bare(r["text"]) for x in found)
+            total += len(found)
+    assert total and kept > 0.9 * total         # those left out stand in comments, notices and the like
+
+
 def test_extract_frame(spark):
     rng = random.Random(2)
     body = [prose(rng, 60) for _ in range(30)]
