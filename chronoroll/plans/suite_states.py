@@ -24,7 +24,7 @@ from ..sources.files import read_partitioned_csv
 from ..spec import Dim, Lookup, Metric, TableSpec
 from ..streaming.stream import read_json_stream, read_stream_rollup, read_stream_window, stream_rollup, stream_window
 from .audit import content_audit
-from .edge import RAW_EVENT_COLUMNS, publish_events, raw_events, write_region_csv
+from .edge import RAW_EVENT_COLUMNS, publish_events, raw_events, table, write_region_csv
 from .ingest import partition_cols, prepare, read_ingested, read_range, run_ingest
 from .replay import replay
 from .suite import (_BAD_T, _CLEAN, _STREAM, _STREAM_DAILY_SQL, COUNT, EVENTS_HOURLY, MESSAGE_DDL, ORACLE_SQL as _SQL,
@@ -207,6 +207,13 @@ def q_fixed_histogram_day(spark, sf):
     return histogram_bins(days, HISTOGRAM, ["__time", "event_type"]).where("n > 0").select("__time", "event_type", "bin", "n")
 
 
+def q_one_file_per_region(spark, sf):
+    """Suppliers by nation, a small region each, one file a region."""
+    out = write_table(table(spark, sf, "supplier"), scratch_path(spark, "suppliers"), ["s_nationkey"], files_per_partition=1)
+    rows = spark.read.parquet(out).groupBy("s_nationkey", F.col("_metadata.file_path").alias("f")).count()
+    return rows.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_files"), F.sum("count").alias("n_rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_quoted_cells": q_csv_quoted_cells,
     "csv_header_census": q_csv_header_census,
@@ -220,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reaggregate_exact_distinct": q_reaggregate_exact_distinct,
     "theta_overlap": q_theta_overlap,
     "fixed_histogram_day": q_fixed_histogram_day,
+    "one_file_per_region": q_one_file_per_region,
 }
 
 _SECOND = _bucket("second", "ts")
@@ -254,6 +262,7 @@ UNION ALL SELECT {_bucket('month', 'ts')}, 'all', COUNT(DISTINCT user_id), 'mont
   true AS both_within, true AS common_within, true AS only_a_within
 FROM (SELECT {_bucket('month', 'ts')} AS __time, user_id, bool_or(event_type = 'click') AS c, bool_or(event_type = 'purchase') AS p
   FROM events GROUP BY 1, 2) u GROUP BY 1""",
+    "one_file_per_region": "SELECT s_nationkey, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows FROM supplier GROUP BY 1",
     "fixed_histogram_day": f"""SELECT {_bucket('day', 'ts')} AS __time, event_type, {_BIN} AS bin, COUNT(*) AS n
 FROM {_CLEAN} c WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
 }
