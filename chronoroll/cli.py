@@ -22,6 +22,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from .functions.values import CSV_WRITER
 from .session import build_session
 
 
@@ -35,7 +36,7 @@ def _report(df, folder: str | None, name: str) -> None:
     print(f"{name}: {df.count()} rows")
     df.show(truncate=False)
     if folder:
-        df.write.mode("overwrite").option("header", "true").csv(f"{folder.rstrip('/')}/{name}")
+        df.write.mode("overwrite").option("header", "true").options(**CSV_WRITER).csv(f"{folder.rstrip('/')}/{name}")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -16,7 +16,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.time import (REFERENCE_TIME_FORMAT, floor_time, format_reference_time, format_run_id,
                               parse_time, run_id, utc_epoch_millis)
@@ -28,8 +27,7 @@ from ..operators.rollup import (counts_by, detail, distinct_values, exact_distin
                                 reaggregate, rollup, sketch_summary)
 from ..operators.union import union_by_name, union_by_position
 from ..session import scratch_path
-from ..sinks.files import (TEXT_TIME_OPTIONS, publish_json, replace_partitions,
-                           write_snapshot_and_latest, write_table)
+from ..sinks.files import publish_json, replace_partitions, write_snapshot_and_latest, write_table
 from ..sources.files import (from_csv_lines, read_csv, read_csv_positional, read_parquet,
                              read_partitioned_csv)
 from ..spec import Dim, Metric, TableSpec
@@ -424,10 +422,7 @@ def q_snapshot_latest(spark, sf):
     df = stamp(_events(spark, sf), "processing_ts", SNAPSHOT_TS)
     base, latest = scratch_path(spark, "snapshots"), scratch_path(spark, "latest")
     _, latest = write_snapshot_and_latest(df, base, latest, "20240201000000", "event_type")
-    schema = T.StructType([f for f in df.schema.fields if f.name != "event_type"]
-                          + [T.StructField("event_type", T.StringType())])
-    return (spark.read.format("csv").option("header", "true").options(**TEXT_TIME_OPTIONS)
-            .schema(schema).load(latest))
+    return read_snapshot(spark, latest, df.schema, "event_type")
 
 
 def q_append_table(spark, sf):
