@@ -724,6 +724,23 @@ def q_spec_job_stream(spark, sf):
     return read_stream_rollup(spark, spec, out).drop("chunk")
 
 
+def q_stream_timed_persist(spark, sf):
+    """A stream that persists on the period its spec states (ST2); half of the messages come while it runs."""
+    raw = raw_events(_events(spark, sf))
+    topic, out, ckpt = (scratch_path(spark, x) for x in ("topic", "timed-out", "timed-ckpt"))
+    body = EVENTS_STREAM_SPEC_JSON["spec"]
+    timed = {"spec": {**body, "tuningConfig": {**body["tuningConfig"], "intermediatePersistPeriod": "PT1S"}}}
+    publish_events(raw.where(F.col("event_id").cast("long") % 2 == 0), f"{topic}/a")
+    q, spec = run_stream_spec(spark, timed, out, ckpt, source_override=f"{topic}/*", trigger="spec")
+    try:
+        q.processAllAvailable()
+        publish_events(raw.where(F.col("event_id").cast("long") % 2 == 1), f"{topic}/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return read_stream_rollup(spark, spec, out).drop("chunk")
+
+
 def q_region_snapshot_job(spark, sf):
     """The reference's CSV job: region folders → dated snapshot + latest → rows per region."""
     raw_base = scratch_path(spark, "raw-events")
@@ -805,6 +822,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_check": q_pipeline_check,
     "spec_job_csv_detail": q_spec_job_csv_detail,
     "spec_job_stream": q_spec_job_stream,
+    "stream_timed_persist": q_stream_timed_persist,
     "spec_job_parquet_region": q_spec_job_parquet_region,
     "spec_job_parquet": q_spec_job_parquet,
     "mean_unscaled": q_mean_unscaled,
@@ -970,6 +988,7 @@ ORACLE_SQL["spec_job_csv_detail"] = f"""SELECT CAST(time_bucket(INTERVAL '30 min
   CAST(1 AS BIGINT) AS n, {_chunk('week', 'ts')} AS chunk
 FROM {_CLEAN} c WHERE ts IS NOT NULL"""
 ORACLE_SQL["spec_job_stream"] = _STREAM_DAILY_SQL
+ORACLE_SQL["stream_timed_persist"] = _STREAM_DAILY_SQL
 ORACLE_SQL["stream_compaction"] = _STREAM_DAILY_SQL
 _RANGE_SQL = " OR ".join(
     f"(o_orderdate >= TIMESTAMP '{lo}' AND o_orderdate < TIMESTAMP '{hi}')"

@@ -24,10 +24,11 @@ new partial, which the reader merges.
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,9 @@ from ..operators.lookup import with_lookups
 from ..operators.rollup import finish, reaggregate, state_aggs
 from ..plans.ingest import (_spec_with_partition, _text_time, a_partition, bad_rows, clean, has_bad,
                             no_bad_rows, prepare, read_table, rollup_with_rejects, split_rollup)
-from ..session import delete_path, list_dirs, path_exists, shared_dir
+from ..session import data_files, delete_paths, list_files, path_exists, shared_dir
 from ..sinks.files import CHUNK, replace_partitions, with_chunk, write_table
+from ..sinks.journal import commit, partition_folders, recover, staging_path
 from ..spec import TIME_COLUMN, TableSpec
 
 BATCH = "batch_id"
@@ -132,25 +134,50 @@ def stream_rollup(stream: DataFrame, spec: TableSpec, out_path: str, checkpoint:
 UPTO = "upto_batch"
 
 
+def _covered(spark: SparkSession, compacted_path: str | None) -> dict[str, int]:
+    """Chunk → last batch that its base holds, from the folder names (``chunk=…/upto_batch=…``): no data is read."""
+    covered: dict[str, int] = {}
+    for folder in {f.rpartition("/")[0] for f in data_files(spark, compacted_path)} if compacted_path else ():
+        parts = [p.partition("=") for p in folder.split("/")]
+        if [p[0] for p in parts] != [CHUNK, UPTO]:
+            raise ValueError(f"{compacted_path}/{folder} is no folder of a compacted base ({CHUNK}=…/{UPTO}=…)")
+        chunk, upto = unquote(parts[0][2]), int(parts[1][2])
+        covered[chunk] = max(upto, covered.get(chunk, -1))
+    return covered
+
+
+def _by_batch(covered: dict[str, int]) -> dict[int, list[str]]:
+    out = defaultdict(list)
+    for chunk, upto in covered.items():
+        out[upto].append(chunk)
+    return out
+
+
+def _not_covered(covered: dict[str, int]) -> Column:
+    """Partition filter of the partials that no base holds; the others are not even listed for reading."""
+    keep = ~F.col(CHUNK).isin(list(covered))
+    for upto, chunks in _by_batch(covered).items():
+        keep = keep | (F.col(CHUNK).isin(chunks) & (F.col(BATCH) > upto))
+    return keep
+
+
+def _base(spark: SparkSession, compacted_path: str, covered: dict[str, int]) -> DataFrame:
+    """The newest version of the base of the ``covered`` chunks: a partition filter on both folder levels."""
+    newest = reduce(lambda x, y: x | y, [F.col(CHUNK).isin(chunks) & (F.col(UPTO) == upto)
+                                         for upto, chunks in _by_batch(covered).items()])
+    return read_table(spark, compacted_path, [CHUNK]).filter(newest).drop(UPTO)
+
+
 def _partials(spark: SparkSession, out_path: str, compacted_path: str | None) -> DataFrame:
     """Partial states still to merge: compacted base + newer micro-batches."""
-    try:
-        parts = read_table(spark, out_path, [CHUNK])
-    except AnalysisException as e:
-        # every partial folded into the base and purged: no file left to read
-        if "UNABLE_TO_INFER_SCHEMA" not in str(e) or not compacted_path:
-            raise
-        parts = None
-    if not compacted_path or not path_exists(spark, compacted_path):
-        return parts.drop(BATCH)
-    base = read_table(spark, compacted_path, [CHUNK])
-    if parts is None:
-        return base.drop(UPTO)
-    covered = base.select(CHUNK, UPTO).distinct()     # one row per compacted chunk
-    newer = (parts.join(covered, CHUNK, "left")
-                  .filter(F.col(UPTO).isNull() | (F.col(BATCH) > F.col(UPTO)))
-                  .drop(UPTO, BATCH))
-    return newer.unionByName(base.drop(UPTO))
+    covered = _covered(spark, compacted_path)
+    if not covered:
+        return read_table(spark, out_path, [CHUNK]).drop(BATCH)
+    base = _base(spark, compacted_path, covered)
+    if not data_files(spark, out_path):
+        return base                    # every partial folded into the base and purged
+    newer = read_table(spark, out_path, [CHUNK]).filter(_not_covered(covered)).drop(BATCH)
+    return newer.unionByName(base)
 
 
 def read_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
@@ -161,62 +188,64 @@ def read_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
     return finish(merged, spec) if finished else merged
 
 
-def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str,
-                          compacted_path: str, upto_batch: int | None = None) -> int:
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch that a stream with this checkpoint folder has committed (-1: none)."""
+    return max((int(n) for n in list_files(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
+
+
+def compact_stream_rollup(spark: SparkSession, spec: TableSpec, out_path: str, compacted_path: str,
+                          upto_batch: int | None = None, checkpoint: str | None = None) -> int:
     """Fold all partials up to ``upto_batch`` into the compacted base table.
 
-    The merged states of each chunk replace that chunk of the base, tagged
-    with the last batch they cover; readers then skip partials up to it. A
-    running stream is never blocked: it keeps adding newer batches, and the
-    replaced base partitions are swapped in at commit. Returns the batch the
-    base now covers. Old partial folders may be deleted afterwards with
+    The merged states of a chunk become a new version of that chunk of the
+    base, ``chunk=…/upto_batch=…``; readers then skip partials up to it. What
+    a base covers is thus known from folder names, and only the chunks with
+    newer partials are read and written. New versions are staged and swapped
+    in by the table's journal: a compaction that dies is undone or finished
+    by the next one, and a reader in between takes the newest version it
+    sees. Returns the batch the base now covers.
+
+    While the stream runs, name its ``checkpoint``: only batches it has
+    committed are folded then (the folders of the running one appear one by
+    one). Old partial folders may be deleted afterwards with
     ``purge_compacted`` (readers ignore them either way).
     """
     spec = _spec_with_partition(spec)
-    try:
-        parts = read_table(spark, out_path, [CHUNK])
-    except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return -1                      # nothing left to fold in
-    if upto_batch is None:
-        upto_batch = parts.agg(F.max(BATCH)).collect()[0][0]
+    recover(spark, compacted_path)
+    batches = {(v[CHUNK], int(v[BATCH])) for v in partition_folders(spark, out_path, [CHUNK, BATCH]).values()}
+    last = max((b for _, b in batches), default=-1)
     if upto_batch is None:
-        return -1
-    fresh = parts.filter(F.col(BATCH) <= upto_batch)
-    if path_exists(spark, compacted_path):
-        base = read_table(spark, compacted_path, [CHUNK])
-        # partials the base already holds stay on disk until purged: skip them
-        covered = base.select(CHUNK, UPTO).distinct()
-        fresh = (fresh.join(covered, CHUNK, "left")
-                      .filter(F.col(UPTO).isNull() | (F.col(BATCH) > F.col(UPTO)))
-                      .drop(UPTO))
-        touched = fresh.select(CHUNK).distinct()
-        fresh = fresh.drop(BATCH).unionByName(base.join(touched, CHUNK, "left_semi").drop(UPTO))
-    else:
-        fresh = fresh.drop(BATCH)
+        upto_batch = last
+    if checkpoint is not None:
+        upto_batch = min(upto_batch, last_committed(spark, checkpoint))
+    if last < 0 or upto_batch < 0:
+        return -1                      # nothing to fold in
+    covered = _covered(spark, compacted_path)
+    touched = sorted({c for c, b in batches if covered.get(c, -1) < b <= upto_batch})
+    if not touched:
+        return int(upto_batch)
+    fresh = (read_table(spark, out_path, [CHUNK])
+             .filter(F.col(CHUNK).isin(touched) & (F.col(BATCH) <= upto_batch) & _not_covered(covered)).drop(BATCH))
+    held = {c: covered[c] for c in touched if c in covered}
+    if held:
+        fresh = fresh.unionByName(_base(spark, compacted_path, held))
     merged = reaggregate(fresh, spec, keep=[CHUNK]).withColumn(UPTO, F.lit(upto_batch).cast("long"))
-    # the base is read and replaced in one job: cut the lineage first
-    shared_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    replace_partitions(merged, compacted_path, [CHUNK])
+    staged = staging_path(compacted_path)
+    write_table(merged, staged, [CHUNK, UPTO])
+    new = partition_folders(spark, staged, [CHUNK, UPTO])
+    old = partition_folders(spark, compacted_path, [CHUNK, UPTO]) if held else {}
+    commit(spark, compacted_path, staged, replace=list(new),
+           remove=[f for f, v in old.items() if v[CHUNK] in held and f not in new])
     return int(upto_batch)
 
 
 def purge_compacted(spark: SparkSession, out_path: str, compacted_path: str) -> int:
     """Delete partial folders already covered by the compacted base; returns the count."""
-    if not path_exists(spark, compacted_path):
-        return 0
-    covered = {r[CHUNK]: r[UPTO] for r in
-               read_table(spark, compacted_path, [CHUNK]).select(CHUNK, UPTO).distinct().collect()}
-    removed = 0
-    for chunk, upto in covered.items():
-        folder = f"{out_path.rstrip('/')}/{CHUNK}={chunk}"
-        for name in list_dirs(spark, folder):
-            if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= upto:
-                delete_path(spark, f"{folder}/{name}")
-                removed += 1
-    return removed
+    covered = _covered(spark, compacted_path)
+    old = [f"{out_path.rstrip('/')}/{folder}" for folder, v in partition_folders(spark, out_path, [CHUNK, BATCH]).items()
+           if int(v[BATCH]) <= covered.get(v[CHUNK], -1)]
+    delete_paths(spark, old)
+    return len(old)
 
 
 # Granularities that are event-time windows of one length, and
@@ -367,13 +396,10 @@ def compact_stream_window(spark: SparkSession, spec: TableSpec, out_path: str,
 
 def purge_window(spark: SparkSession, out_path: str, upto_batch: int) -> int:
     """Delete the batch folders up to ``upto_batch`` that a base covers; returns the number."""
-    removed = 0
-    for chunk in list_dirs(spark, out_path):
-        for name in list_dirs(spark, f"{out_path}/{chunk}") if chunk.startswith(f"{CHUNK}=") else []:
-            if name.startswith(f"{BATCH}=") and int(name.split("=", 1)[1]) <= upto_batch:
-                delete_path(spark, f"{out_path}/{chunk}/{name}")
-                removed += 1
-    return removed
+    old = [f"{out_path.rstrip('/')}/{folder}" for folder, v in partition_folders(spark, out_path, [CHUNK, BATCH]).items()
+           if int(v[BATCH]) <= upto_batch]
+    delete_paths(spark, old)
+    return len(old)
 
 
 def bad_messages(spark: SparkSession, quarantine_path: str) -> DataFrame:
@@ -381,5 +407,5 @@ def bad_messages(spark: SparkSession, quarantine_path: str) -> DataFrame:
 
 
 __all__ = ["read_json_stream", "stream_rollup", "read_stream_rollup", "compact_stream_rollup",
-           "purge_compacted", "stream_window", "read_stream_window", "compact_stream_window",
+           "purge_compacted", "last_committed", "stream_window", "read_stream_window", "compact_stream_window",
            "purge_window", "stream_quarantine", "bad_messages"]

@@ -174,3 +174,100 @@ def test_detail_stream_quarantine_with_bad_row_count(spark, sf_small, tmp_dir):
     assert n_good_only > 0
     loaded = spark.read.parquet(f"{tmp_dir}/o").count()
     assert loaded == n_good_only + raw.count() - len(want_bad)
+
+
+def _two_batches(spark, sf, tmp_dir):
+    """A stream's output after two micro-batches, with its checkpoint and the batch answer."""
+    topic, out, ck = (f"{tmp_dir}/{x}" for x in ("topic", "out", "ck"))
+    publish_json(raw_events(table(spark, sf, "events")).repartition(2, "event_id"), topic)
+    src = read_json_stream(spark, topic, MESSAGE_DDL, max_files_per_trigger=1)
+    stream_rollup(src, STREAM_DAILY, out, ck).awaitTermination()
+    return out, ck, _batch_answer(spark, sf)
+
+
+def test_base_says_what_it_covers_by_its_folders(spark, sf_small, tmp_dir):
+    import glob
+    import os
+    from chronoroll.streaming import compact_stream_rollup, purge_compacted
+    out, _, want = _two_batches(spark, sf_small, tmp_dir)
+    base = f"{tmp_dir}/base"
+    read = lambda: read_stream_rollup(spark, STREAM_DAILY, out, compacted_path=base).select(COLS)
+    assert compact_stream_rollup(spark, STREAM_DAILY, out, base, upto_batch=0) == 0
+    assert {os.path.basename(f) for f in glob.glob(f"{base}/chunk=*/*")} == {"upto_batch=0"}
+    assert sorted(tuple(r) for r in read().collect()) == want
+    # covered partials are left out by a partition filter: no join with the base, no file of theirs is read
+    plan = read()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "PartitionFilters: [" in plan
+    assert compact_stream_rollup(spark, STREAM_DAILY, out, base) == 1
+    assert {os.path.basename(f) for f in glob.glob(f"{base}/chunk=*/*")} == {"upto_batch=1"}
+    assert purge_compacted(spark, out, base) > 0
+    assert sorted(tuple(r) for r in read().collect()) == want
+
+
+def test_compaction_that_died_is_finished_by_the_next(spark, sf_small, tmp_dir, monkeypatch):
+    import glob
+    from chronoroll.sinks import journal
+    from chronoroll.streaming import compact_stream_rollup
+    out, _, want = _two_batches(spark, sf_small, tmp_dir)
+    base = f"{tmp_dir}/base"
+    read = lambda: sorted(tuple(r) for r in read_stream_rollup(
+        spark, STREAM_DAILY, out, compacted_path=base).select(COLS).collect())
+    compact_stream_rollup(spark, STREAM_DAILY, out, base, upto_batch=0)
+    real = journal.delete_path
+
+    def dies(spark, path):
+        if "upto_batch=0" in path:
+            raise OSError("killed")
+        real(spark, path)
+    # new versions are in place, the old ones not yet removed
+    monkeypatch.setattr(journal, "delete_path", dies)
+    try:
+        compact_stream_rollup(spark, STREAM_DAILY, out, base)
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert glob.glob(f"{base}/chunk=*/upto_batch=0") and glob.glob(f"{base}/chunk=*/upto_batch=1")
+    assert read() == want
+    compact_stream_rollup(spark, STREAM_DAILY, out, base)
+    assert not glob.glob(f"{base}/chunk=*/upto_batch=0") and read() == want
+
+
+def test_compaction_takes_committed_batches_only(spark, sf_small, tmp_dir):
+    import os
+    import pytest
+    from chronoroll.streaming import compact_stream_rollup, last_committed
+    out, ck, want = _two_batches(spark, sf_small, tmp_dir)
+    assert last_committed(spark, ck) == 1 and last_committed(spark, f"{tmp_dir}/none") == -1
+    os.remove(f"{ck}/commits/1")                       # as while batch 1 is being written
+    base = f"{tmp_dir}/base"
+    assert compact_stream_rollup(spark, STREAM_DAILY, out, base, checkpoint=ck) == 0
+    assert sorted(tuple(r) for r in read_stream_rollup(
+        spark, STREAM_DAILY, out, compacted_path=base).select(COLS).collect()) == want
+    assert compact_stream_rollup(spark, STREAM_DAILY, f"{tmp_dir}/none", f"{tmp_dir}/b2") == -1
+    with pytest.raises(ValueError):                    # a folder that is no base is not taken for an empty one
+        read_stream_rollup(spark, STREAM_DAILY, out, compacted_path=out)
+
+
+def test_spec_period_is_the_trigger(spark, sf_small, tmp_dir):
+    import datetime as dt
+    from chronoroll.plans.spec_job import run_stream_spec
+    from chronoroll.plans.suite import EVENTS_STREAM_SPEC_JSON
+    body = EVENTS_STREAM_SPEC_JSON["spec"]
+    timed = {"spec": {**body, "tuningConfig": {"intermediatePersistPeriod": "PT3S"}}}
+    raw = raw_events(table(spark, sf_small, "events"))
+    topic = f"{tmp_dir}/topic"
+    publish_json(raw.filter(F.col("event_id").cast("long") % 2 == 0), f"{topic}/a")
+    q, spec = run_stream_spec(spark, timed, f"{tmp_dir}/o", f"{tmp_dir}/c", source_override=f"{topic}/*", trigger="spec")
+    try:
+        q.processAllAvailable()
+        assert q.isActive                               # it goes on until it is stopped
+        publish_json(raw.filter(F.col("event_id").cast("long") % 2 == 1), f"{topic}/b")
+        q.processAllAvailable()
+        starts = [dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")) for p in q.recentProgress if p["numInputRows"] > 0]
+    finally:
+        q.stop()
+    assert len(starts) >= 2
+    # after the first one, batches start on the period
+    assert all(s.timestamp() % 3 < 1.5 for s in starts[1:])
+    got = sorted(tuple(r) for r in read_stream_rollup(spark, spec, f"{tmp_dir}/o").select(COLS).collect())
+    assert got == _batch_answer(spark, sf_small)
