@@ -730,11 +730,11 @@ def q_stream_timed_persist(spark, sf):
     topic, out, ckpt = (scratch_path(spark, x) for x in ("topic", "timed-out", "timed-ckpt"))
     body = EVENTS_STREAM_SPEC_JSON["spec"]
     timed = {"spec": {**body, "tuningConfig": {**body["tuningConfig"], "intermediatePersistPeriod": "PT1S"}}}
-    publish_events(raw.where(F.col("event_id").cast("long") % 2 == 0), f"{topic}/a")
+    publish_events(raw.where(F.col("event_id").cast("long") % 2 == 0), f"{topic}/a", key=None)
     q, spec = run_stream_spec(spark, timed, out, ckpt, source_override=f"{topic}/*", trigger="spec")
     try:
         q.processAllAvailable()
-        publish_events(raw.where(F.col("event_id").cast("long") % 2 == 1), f"{topic}/b")
+        publish_events(raw.where(F.col("event_id").cast("long") % 2 == 1), f"{topic}/b", key=None)
         q.processAllAvailable()
     finally:
         q.stop()
