@@ -19,8 +19,8 @@ texts around one template do, the order says no more. The classes of such
 dense runs meet in an exact join besides (a prefix filter): two sets that
 overlap enough share one of the first shingles of each in any common order,
 here the rarest first. Two classes that share a run are thus neighbours or
-both in the exact join, save where a border of the sorted partitions cuts a
-run of few. Pairs already in one component are left out of it.
+both in the exact join: the first and last rows of every sorted partition meet
+once more across its borders. Pairs already in one component are left out of it.
 
 Components come from alternating star contractions, which need a number of
 rounds logarithmic in the longest path.
@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,37 +128,82 @@ def _trees(classes: DataFrame) -> DataFrame:
     return classes.select("node", "signature").mapInArrow(run, "tree int, prefix binary, node long, sketch binary")
 
 
+_ROW = ("tree", "prefix", "node", "sketch", "part")
+_EDGE = pa.struct([("tree", pa.int32()), ("prefix", pa.binary()), ("node", pa.int64()), ("sketch", pa.binary()), ("part", pa.int32())])
+
+
 def _neighbours(ordered: DataFrame) -> DataFrame:
-    """Candidates (a, b, estimate) with a < b from the rows of each sorted partition."""
+    """Candidates (a, b, estimate) with a < b from the rows of each sorted partition, and the rows at its borders.
+
+    A border row has nulls for a pair and itself as ``edge``. Rows that come with the number of their partition
+    (``part``) are border rows themselves: only pairs of two partitions are candidates then.
+    """
+    again = "part" in ordered.columns
+
+    def pairs_of(rows, old):
+        tree, prefix, node, sketch, part = rows
+        for j in range(1, NEIGHBOURS + 1):
+            second = np.arange(max(old, j), len(node))
+            first = second - j
+            ok = (tree[first] == tree[second]) & (prefix[first, :LEAST_DEPTH] == prefix[second, :LEAST_DEPTH]).all(1)
+            if again:
+                ok &= part[first] != part[second]
+            first, second = first[ok], second[ok]
+            x = sketch[first] ^ sketch[second]
+            agree = ((x & 15 == 0).sum(1) + (x & 240 == 0).sum(1)) / SKETCH
+            estimate = (agree - 1 / 16) * (16 / 15)
+            ok = (estimate >= LEAST_ESTIMATE) & (node[first] != node[second])
+            u, v = node[first[ok]], node[second[ok]]
+            yield np.minimum(u, v), np.maximum(u, v), estimate[ok]
+
+    def edges_of(rows):
+        tree, prefix, node, sketch, part = rows
+        m = len(node)
+        own = [pa.array(tree, pa.int32()), pa.array([r.tobytes() for r in prefix], pa.binary()), pa.array(node, pa.int64()),
+               pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(part, pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
+                                           pa.StructArray.from_arrays(own, fields=list(_EDGE))], names=["a", "b", "estimate", "edge"])
 
     def run(batches):
-        held = None
+        held, head, total = None, None, 0
         for batch in batches:
             m = batch.num_rows
             if not m:
                 continue
-            now = (np.asarray(batch.column("tree")), np.frombuffer(b"".join(batch.column("prefix").to_pylist()), ">u4").reshape(m, DEPTH),
-                   np.asarray(batch.column("node")), np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(m, SKETCH // 2))
+            part = np.asarray(batch.column("part")) if again else np.full(m, TaskContext.get().partitionId(), np.int32)
+            now = [np.asarray(batch.column("tree")), np.frombuffer(b"".join(batch.column("prefix").to_pylist()), ">u4").reshape(m, DEPTH),
+                   np.asarray(batch.column("node")), np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(m, SKETCH // 2), part]
             old = 0 if held is None else len(held[0])
-            tree, prefix, node, sketch = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-            a, b, e = [], [], []
-            for j in range(1, NEIGHBOURS + 1):
-                second = np.arange(max(old, j), len(node))
-                first = second - j
-                ok = (tree[first] == tree[second]) & (prefix[first, :LEAST_DEPTH] == prefix[second, :LEAST_DEPTH]).all(1)
-                first, second = first[ok], second[ok]
-                x = sketch[first] ^ sketch[second]
-                agree = ((x & 15 == 0).sum(1) + (x & 240 == 0).sum(1)) / SKETCH
-                estimate = (agree - 1 / 16) * (16 / 15)
-                ok = (estimate >= LEAST_ESTIMATE) & (node[first] != node[second])
-                u, v = node[first[ok]], node[second[ok]]
-                a.append(np.minimum(u, v))
-                b.append(np.maximum(u, v))
-                e.append(estimate[ok])
-            held = [x[-NEIGHBOURS:] for x in (tree, prefix, node, sketch)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, e)], names=["a", "b", "estimate"])
-
-    return ordered.mapInArrow(run, "a long, b long, estimate double")
+            rows = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            out = [np.concatenate(x) for x in zip(*pairs_of(rows, old), strict=True)]
+            if total < NEIGHBOURS:
+                lead = [x[:NEIGHBOURS - total] for x in now]
+                head = lead if head is None else [np.concatenate(x) for x in zip(head, lead, strict=True)]
+            total += m
+            held = [x[-NEIGHBOURS:] for x in rows]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.nulls(len(out[0]), _EDGE)], names=["a", "b", "estimate", "edge"])
+        if total and not again:
+            yield edges_of(head)
+            last = min(NEIGHBOURS, total - len(head[0]))  # those that are not among the first
+            if last > 0:
+                yield edges_of([x[-last:] for x in held])
+
+    edge = "struct<tree:int,prefix:binary,node:long,sketch:binary,part:int>"
+    return ordered.mapInArrow(run, f"a long, b long, estimate double, edge {edge}")
+
+
+def _candidates(trees: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(a, b, estimate) of every two classes that stand at most NEIGHBOURS places apart in the order of a tree.
+
+    The border rows of the partitions (at most 2 NEIGHBOURS of each, whatever it holds) are sorted once more, in one
+    task that streams them; a pair found there may be among the others too.
+    """
+    order = ["tree", "prefix", "node"]
+    ranged = trees.repartitionByRange(tasks, *order) if tasks else trees.repartitionByRange(*order)
+    found = W.checkpointed(_neighbours(ranged.sortWithinPartitions(*order)).groupBy("a", "b", "edge").agg(F.first("estimate").alias("estimate")))
+    edges = found.where("edge is not null").select(*[F.col(f"edge.{c}").alias(c) for c in _ROW])
+    across = _neighbours(edges.coalesce(1).sortWithinPartitions(*order)).groupBy("a", "b").agg(F.first("estimate").alias("estimate"))
+    return found.where("edge is null").select("a", "b", "estimate").unionAll(W.checkpointed(across))
 
 
 def _payload(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -297,8 +343,7 @@ def links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int) -> Da
     """(a, b) confirmed links between class nodes, enough to span every component found."""
     trees = _trees(classes)
     dense = W.checkpointed(_dense(trees.select("tree", "prefix", "node")))
-    ordered = trees.repartitionByRange("tree", "prefix", "node").sortWithinPartitions("tree", "prefix", "node")
-    pairs = W.checkpointed(_neighbours(ordered).groupBy("a", "b").agg(F.first("estimate").alias("estimate")))
+    pairs = _candidates(trees)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(dense).distinct()
     payload = _stored(_payload(docs, ends), "texts")
 

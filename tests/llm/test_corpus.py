@@ -379,6 +379,27 @@ def test_near_duplicates_around_a_template(spark, monkeypatch):
     assert lines(nearby.groups(spark.createDataFrame(rows, "doc_id long, text string"), size=2)) == want
 
 
+@pytest.mark.parametrize("tasks", [3, 40, 300])
+def test_neighbours_across_borders_of_partitions(spark, tasks):
+    rng = random.Random(11)
+    rows = []
+    for node in range(240):  # runs of one to nine equal prefixes, sketches all alike
+        for tree in range(2):
+            head = rng.randrange(30)
+            rows.append((tree, b"".join(x.to_bytes(4, "big") for x in [head] * 3 + [rng.randrange(2) for _ in range(nearby.DEPTH - 3)]), node, b"\x11" * (nearby.SKETCH // 2)))
+    want = set()
+    for tree in range(2):
+        line = sorted((p, n) for t, p, n, _ in rows if t == tree)
+        for i, (p, n) in enumerate(line):
+            for q, m in line[i + 1:i + 1 + nearby.NEIGHBOURS]:
+                if p[:12] == q[:12]:
+                    want.add((min(n, m), max(n, m)))
+    df = spark.createDataFrame(rows, "tree int, prefix binary, node long, sketch binary")
+    got = {(r["a"], r["b"]) for r in nearby._candidates(df, tasks).collect()}
+    assert want <= got and all(r in want or tasks > 3 for r in got)
+    assert nearby._candidates(df.limit(0), tasks).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     rng = random.Random(8)
     path = list(range(200))
