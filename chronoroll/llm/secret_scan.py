@@ -50,6 +50,8 @@ ALLOW: tuple[str, ...] = (
 KINDS = (*[k[0] for k in BASE], *[k[0] for k in CLASSES])
 _SPAN = "array<struct<start:int,rank:int,stop:int>>"
 _RUN = "array<struct<start:int,run:string>>"
+#: Rows that a walk gathers in one array before it goes on with an empty one (see ``_walk``).
+BLOCK = 256
 
 
 def _let(value: Column, body) -> Column:
@@ -57,6 +59,26 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _walk(rows: Column, state: dict[str, Column], out: str, step) -> Column:
+    """What ``step`` appends to ``out`` (an array type) on its way over ``rows``; ``state`` are the other fields it keeps.
+
+    An append copies the array, so one array for a long text would cost its square. The rows are taken in blocks:
+    a block's results are gathered in an array of their own, and the arrays of the blocks are joined at the end.
+    """
+    def begin(fields, gathered):
+        return F.struct(*[fields[n].alias(n) for n in state], F.array().cast(gathered).alias("out"))
+
+    def over(every):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / BLOCK).cast("int")),
+                             lambda k: F.slice(every, k * BLOCK + 1, F.lit(BLOCK)))
+        done = F.aggregate(blocks, begin(state, f"array<{out}>"), lambda acc, block: _let(
+            F.aggregate(block, begin(acc, out), step),
+            lambda r: F.struct(*[r[n].alias(n) for n in state], F.concat(acc["out"], F.array(r["out"])).alias("out"))))
+        return F.when(F.size(every) > 0, F.flatten(done["out"])).otherwise(F.array().cast(out))
+
+    return _let(rows, over)
+
+
 def _found(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
     """Spans of the matches whose ``group`` has at least ``least`` characters.
 
@@ -69,15 +91,13 @@ def _found(text: Column, pattern: str, group: int, least: int, rank: int) -> Col
     sizes = F.transform(hits, F.length)
     inner = sizes if group == 0 else F.transform(F.regexp_extract_all(text, p, F.lit(group)), F.length)
     steps = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), inner.alias("inner"))
-    walked = F.aggregate(
-        F.filter(steps, lambda s: s["size"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
+    walked = _walk(
+        F.filter(steps, lambda s: s["size"].isNotNull()), {"at": F.lit(0)}, _SPAN,
         lambda acc, s: F.struct(
             (acc["at"] + s["gap"] + s["size"]).alias("at"),
             F.when(s["inner"] >= least, F.concat(acc["out"], F.array(F.struct(
                 (acc["at"] + s["gap"]).alias("start"), F.lit(rank).alias("rank"),
-                (acc["at"] + s["gap"] + s["size"]).alias("stop"))))).otherwise(acc["out"]).alias("out")),
-    )["out"]
+                (acc["at"] + s["gap"] + s["size"]).alias("stop"))))).otherwise(acc["out"]).alias("out")))
     return F.when(F.coalesce(text, F.lit("")).rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
 
 
@@ -85,12 +105,11 @@ def _runs(text: Column, pattern: str) -> Column:
     """Start and text of every match, from the matches themselves (no substring of the whole text)."""
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     steps = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("run"))
-    walked = F.aggregate(
-        F.filter(steps, lambda s: s["run"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_RUN).alias("out")),
+    walked = _walk(
+        F.filter(steps, lambda s: s["run"].isNotNull()), {"at": F.lit(0)}, _RUN,
         lambda acc, s: F.struct(
             (acc["at"] + s["gap"] + F.length(s["run"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), s["run"].alias("run")))).alias("out")))["out"]
+            F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), s["run"].alias("run")))).alias("out")))
     return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_RUN))
 
 
@@ -155,7 +174,7 @@ def _free(spans: Column) -> Column:
     seen = "array<struct<start:int,rank:int,stop:int,hidden:boolean>>"
 
     def walk(rows, first, better, hides, keep):
-        state = F.struct(*[F.lit(first).cast("int").alias(f"m{r}") for r in ranks], F.array().cast(seen).alias("out"))
+        state = {f"m{r}": F.lit(first).cast("int") for r in ranks}
 
         def step(acc, s):
             hidden = s["hidden"]
@@ -165,7 +184,7 @@ def _free(spans: Column) -> Column:
             return F.struct(*[F.when(s["rank"] < r, better(acc[f"m{r}"], s)).otherwise(acc[f"m{r}"]).alias(f"m{r}") for r in ranks],
                             F.when(keep(s, hidden), F.concat(acc["out"], F.array(here))).otherwise(acc["out"]).alias("out"))
 
-        return F.aggregate(rows, state, step)["out"]
+        return _walk(rows, state, seen, step)
 
     all_of = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.lit(False).alias("hidden")))
     # a span that is hidden itself still hides others
@@ -207,13 +226,30 @@ def count(spans: Column, kind: str) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
     """``text`` with every span, overlapping ones together, replaced by ``mark``."""
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    def gap(stretch, origin, lo, hi):
+        return F.substr(stretch, lo - origin + 1, F.greatest(hi - lo, F.lit(0)))
+
+    def over(every):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / BLOCK).cast("int")),
+                             lambda k: F.slice(every, k * BLOCK + 1, F.lit(BLOCK)))
+
+        def block_of(acc, block):
+            stop = F.array_max(F.transform(block, lambda s: s["stop"]))
+            stretch = gap(text, F.lit(0), acc["at"], stop)
+
+            def step(inner, s):
+                return (F.when(s["stop"] <= inner["at"], inner)
+                        .when(s["start"] < inner["at"], F.struct(
+                            s["stop"].alias("at"), inner["origin"].alias("origin"), inner["stretch"].alias("stretch"), inner["out"].alias("out")))
+                        .otherwise(F.struct(
+                            s["stop"].alias("at"), inner["origin"].alias("origin"), inner["stretch"].alias("stretch"),
+                            F.concat(inner["out"], gap(inner["stretch"], inner["origin"], inner["at"], s["start"]), F.lit(mark)).alias("out"))))
+
+            start = F.struct(acc["at"].alias("at"), acc["at"].alias("origin"), stretch.alias("stretch"), F.lit("").alias("out"))
+            return _let(F.aggregate(block, start, step), lambda r: F.struct(
+                r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
 
-    def step(acc, s):
-        gap = F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        return (F.when(s["stop"] <= acc["at"], acc)
-                .when((s["start"] < acc["at"]), F.struct(s["stop"].alias("at"), acc["out"].alias("out")))
-                .otherwise(F.struct(s["stop"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(blocks, begin, block_of, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)))
 
-    done = F.aggregate(spans, state, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(spans, over)).otherwise(text)

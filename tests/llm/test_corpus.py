@@ -173,6 +173,39 @@ def test_secret_scan_of_a_long_text_and_an_empty_table(spark, nothing):
     assert secret_scan.scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_secret_spans_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(secret_scan, "BLOCK", block)
+    rng = random.Random(12)
+    texts = []
+    for n in (0, 1, 2, 3, 4, 6, 255, 256, 257, 700):
+        parts = []
+        for _ in range(n):
+            parts += [rng.choice(["é", "𝒳 a", "plain", ""]), rng.choice(["token=", "", "AKIA"]) + "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([10, 26, 40])))]
+        texts.append(" ".join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.scan(df).withColumn("clean", secret_scan.redacted(F.col("text"), F.col("spans"))).collect():
+        text, at, clean = r["text"], 0, ""
+        assert [tuple(s) for s in r["base_spans"]] == base_spans(text)
+        for s in sorted(r["spans"], key=lambda s: s["start"]):
+            if s["start"] >= at:
+                clean += text[at:s["start"]] + "[REDACTED]"
+            at = max(at, s["stop"])
+        assert r["clean"] == clean + text[at:]
+
+
+def test_secret_scan_of_a_megabyte(spark):
+    import time
+    rng = random.Random(13)
+    text = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(32_000))
+    began = time.time()
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).withColumn(
+        "clean", secret_scan.redacted(F.col("text"), F.col("spans"))).first()
+    assert time.time() - began < 60
+    assert [tuple(s) for s in row["spans"]] == base_spans(text) and len(row["spans"]) == 32_000
+    assert row["clean"] == " ".join(["[REDACTED]"] * 32_000)
+
+
 # ---- URL filter
 
 def test_url_rules(spark):
