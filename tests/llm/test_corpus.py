@@ -644,3 +644,31 @@ def test_queries_over_whole_tables(spark, sf_small):
     assert {tuple(r)[:6] for r in rows} == {(i, *measured(t)[:5]) for i, t in table.items()}
     assert all(not r["kept"] for r in rows if r["base_failed"])
     assert lines(QUERIES["op3_near_duplicates"](spark, sf_small)) == grouped(list(table.items()))
+
+
+def test_toxicity_query_on_held_out_labels(spark, sf_small):
+    from chronoroll.llm.queries import QUERIES
+    sf = sf_small.replace("sf0.001", "sf0.1")  # 0.01 has 37 toxic rows to learn from and 14 to test on: 0.84 there
+    rows = {r["doc_id"]: r for r in QUERIES["op9_toxicity"](spark, sf).collect()}
+    texts = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
+    assert set(rows) == texts
+    for i, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) and r["predicted"] == int(r["score"] >= 0.3) and 0 <= r["score"] <= 1
+    labels = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    bad, good = ([rows[i]["score"] for i, y in labels if y == k and rows[i]["held_out"]] for k in (1, 0))
+    assert len(bad) > 100 and len(good) > 800
+    above = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(bad) * len(good))
+    assert above > 0.93
+    found, wrong = sum(b >= 0.3 for b in bad), sum(g >= 0.3 for g in good)
+    assert found > 0.8 * len(bad) and found > 0.9 * (found + wrong)
+
+
+def test_decontamination_query_finds_every_item_held_whole(spark, sf_small):
+    from chronoroll.llm.queries import QUERIES
+    words = lambda t: " " + " ".join(re.findall(r"\w+", (t or "").lower())) + " "
+    sf = sf_small.replace("sf0.001", "sf0.01")
+    items = {r["item_id"]: words(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    held = {(r["doc_id"], i) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+            for i, t in items.items() if t.strip() and t in words(r["text"])}
+    got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op1_decontamination"](spark, sf).collect()}
+    assert held and held <= got
